@@ -12,6 +12,7 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Quadrature sizes: nodes over the normal variable, over the scale and over the range.
 NORMAL_NODES = 200
@@ -86,7 +87,9 @@ class StudentizedRange:
         return (low + high) / 2
 
 
-@F.pandas_udf("p double, critical double")
+@F.pandas_udf(
+    StructType([StructField("p", DoubleType()), StructField("critical", DoubleType())])
+)
 def studentized_range(
     q: pd.Series, groups: pd.Series, freedom: pd.Series, alpha: pd.Series
 ) -> pd.DataFrame:
@@ -99,7 +102,7 @@ def studentized_range(
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_quantile(share: pd.Series) -> pd.Series:
     """Standard normal quantile of a share strictly between 0 and 1."""
     inverse = NormalDist().inv_cdf

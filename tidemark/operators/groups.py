@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tidemark.functions.distributions import studentized_range
-from tidemark.operators.joins import join_dimension
+from tidemark.operators.joins import fits_broadcast, join_dimension
 from tidemark.session import cut_lineage
 
 BLOCK_ROWS = 256
@@ -315,10 +315,12 @@ def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
             .drop("w_left", "w_right")
         )
         merges = mutual if merges is None else merges.unionByName(mutual)
-        weights = cut_lineage(
-            _renamed(weights, "name", mutual, keys).groupBy(*keys, "name").agg(F.sum("w").alias("w"))
-        )
-        moved = _renamed(_renamed(gaps, "a", mutual, keys), "b", mutual, keys)
+        moves = mutual.select(*keys, "left", "right")
+        if fits_broadcast(moves):
+            moves = F.broadcast(moves)
+        weights = _renamed(weights, "name", moves, keys).groupBy(*keys, "name").agg(F.sum("w").alias("w"))
+        weights = cut_lineage(weights)
+        moved = _renamed(_renamed(gaps, "a", moves, keys), "b", moves, keys)
         gaps = cut_lineage(
             moved.where(F.col("a") != F.col("b"))
             .groupBy(*keys, F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
@@ -336,10 +338,10 @@ def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _renamed(df: DataFrame, column: str, mutual: DataFrame, keys: list[str]) -> DataFrame:
+def _renamed(df: DataFrame, column: str, moves: DataFrame, keys: list[str]) -> DataFrame:
     """Clusters named in ``column`` under their name after the merges of this round."""
-    names = mutual.select(*keys, F.col("right").alias(column), F.col("left").alias("_to"))
-    joined = join_dimension(df, names, [*keys, column], "left")
+    names = moves.withColumnsRenamed({"right": column, "left": "_to"})
+    joined = df.join(names, [*keys, column], "left")
     return joined.withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 

@@ -111,9 +111,10 @@ def global_rank(
     recomputed task sees the same ranges. A value that is itself an edge gets a
     range of its own, split further by hash, because one value may hold any
     share of the rows. Only counts by range reach a single task; rows are ranked
-    inside their range.
+    inside their range. Rows without a value keep a null rank.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
+    unknown = df.where(F.col(order).isNull()).withColumn(name, F.lit(None).cast("long"))
     df = df.where(F.col(order).isNotNull())
     shares = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * buckets)).first()[0]

@@ -94,8 +94,8 @@ def ols_table(spark: SparkSession, fit: LinearFit) -> DataFrame:
     rows = []
     terms = ("intercept", *fit.xs)
     for term, estimate, error in zip(terms, (fit.intercept, *fit.slopes), errors):
-        t = estimate / error if error > 0 else float("inf")
-        rows.append((term, estimate, float(error), float(t), t_two_sided(t, fit.df_residual)))
+        t = float(estimate / error) if error > 0 else float("inf")
+        rows.append((term, estimate, float(error), t, t_two_sided(t, fit.df_residual)))
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, t double, p double")
 
 

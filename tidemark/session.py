@@ -16,6 +16,7 @@ def local_session(app: str = "tidemark", cores: int | str = "*", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
@@ -50,10 +51,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so lost executors cost one read."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_root(spark)}/checkpoints")
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """``df`` written as a table in the shared folder and read back.
+
+    What follows reads the columns it needs from there; a lost executor costs a
+    read, and the plan starts afresh.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
