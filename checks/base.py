@@ -131,20 +131,21 @@ PTS = """pts AS (
          || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS key,
          l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax,
          CAST(l_linenumber AS DOUBLE) AS line,
-         CAST(floor(epoch(l_shipdate) / 86400) AS DOUBLE) AS shipped
+         CAST(floor(epoch(l_shipdate) / 86400) AS DOUBLE) AS shipped, l_partkey AS part
   FROM lineitem)"""
 MEASURES = ["quantity", "price", "discount", "tax", "line", "shipped"]
 
 
 def pts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("key"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
         F.col("l_linenumber").cast("double").alias("line"),
         F.floor(F.col("l_shipdate").cast("timestamp").cast("long") / 86400).cast("double").alias("shipped"),
+        F.col("l_partkey").alias("part"),
     )
 
 

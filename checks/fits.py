@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import GAP, LST, MEASURES, PTS, check, gap, lst, pts, rounded, table
-from checks.listing import histogram_sql
+from checks.listing import PAIRS, TAIL, cut_sql, distances_sql, histogram_sql, linkage_sql, normal_cdf_sql, stats_sql
 from tidemark.operators import groups, reduce, regress
-from tidemark.plans.study import StudyConfig, run_listing_study
+from tidemark.operators.joins import join_dimension
+from tidemark.operators.sampling import sample_rows
+from tidemark.plans.study import Study, StudyConfig, run_listing_study
+from tidemark.session import cut_lineage
 
 # --- regression -------------------------------------------------------------
 
@@ -110,10 +113,28 @@ def ols_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, 8, "leverage", "cooks")
 
 
-@check("ols_normal_quantiles")
+def newton(before: str, after: str) -> str:
+    return f"""{after} AS (SELECT std_residual, share,
+    x - ({normal_cdf_sql('x')} - share) * sqrt(2 * pi()) * exp(x * x / 2) AS x FROM {before})"""
+
+
+# Normal quantiles by Newton steps from a rough start, by the position of the residual.
+QUANTILES = f"""pos AS (SELECT std_residual, (row_number() OVER (ORDER BY std_residual) - 0.5) / n AS share FROM s),
+  h0 AS (SELECT *, sqrt(-2 * ln(least(share, 1 - share))) AS t FROM pos),
+  h1 AS (SELECT std_residual, share, (CASE WHEN share < 0.5 THEN -1 ELSE 1 END)
+    * (t - (2.515517 + 0.802853 * t + 0.010328 * t * t) / (1 + 1.432788 * t + 0.189269 * t * t + 0.001308 * t * t * t)) AS x
+    FROM h0),
+  {newton('h1', 'h2')}, {newton('h2', 'h3')}, {newton('h3', 'h4')}"""
+
+
+@check(
+    "ols_normal_quantiles",
+    f"""{DIAGNOSED}, {QUANTILES}
+    SELECT round(std_residual, 6) AS std_residual, round(x, 6) AS normal_quantile FROM h4""",
+)
 def ols_normal_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     listings, fit = _one(spark, sf)
-    found = regress.ols_diagnostics(listings, fit, key="key").select("key", "std_residual", "normal_quantile")
+    found = regress.ols_diagnostics(listings, fit, key="key").select("std_residual", "normal_quantile")
     return rounded(found, 6, "std_residual", "normal_quantile")
 
 
@@ -164,7 +185,7 @@ def impute_ols(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- reduction --------------------------------------------------------------
 
-Z_SQL = "z AS (SELECT key, " + ", ".join(
+Z_SQL = "z AS (SELECT key, part, " + ", ".join(
     f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z_{c}" for c in MEASURES
 ) + " FROM pts)"
 
@@ -199,9 +220,19 @@ def pca_table(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(reduce.pca_table(spark, pca), 6, "sdev", "share", "cumulative")
 
 
-@check("pca_variance")
+# The eigenvalues of a correlation matrix of three columns in closed form.
+@check(
+    "pca_variance",
+    f"""WITH {PTS}, c AS (SELECT corr(quantity, price) AS x, corr(quantity, shipped) AS y, corr(price, shipped) AS z FROM pts),
+    p AS (SELECT *, sqrt((x * x + y * y + z * z) / 3) AS p FROM c),
+    a AS (SELECT p, acos(greatest(-1, least(1, x * y * z / (p * p * p)))) / 3 AS angle FROM p),
+    e AS (SELECT 1 + 2 * p * cos(angle) AS e1, 1 + 2 * p * cos(angle + 2 * pi() / 3) AS e3 FROM a)
+    SELECT 1 AS component, round(sqrt(e1), 6) AS sdev, round(e1 / 3, 6) AS share, round(e1 / 3, 6) AS cumulative FROM e
+    UNION ALL SELECT 2, round(sqrt(3 - e1 - e3), 6), round((3 - e1 - e3) / 3, 6), round((3 - e3) / 3, 6) FROM e
+    UNION ALL SELECT 3, round(sqrt(e3), 6), round(e3 / 3, 6), 1.0 FROM e""",
+)
 def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
-    pca = reduce.fit_pca(pts(spark, sf), MEASURES)
+    pca = reduce.fit_pca(pts(spark, sf), ["quantity", "price", "shipped"])
     return rounded(reduce.pca_table(spark, pca), 6, "sdev", "share", "cumulative")
 
 
@@ -265,19 +296,22 @@ def nearest_one(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(near.select("key", "distance"), 6, "distance")
 
 
-MANY_SQL = f"""WITH {PTS}, {Z_SQL}, q AS (SELECT * FROM z ORDER BY md5(key || '|3'), key LIMIT 20),
-  d AS (SELECT q.key AS query, z.key, {DISTANCE} AS distance FROM z, q)
-  SELECT query, key, round(distance, 6) AS distance,
-    CAST(row_number() OVER (PARTITION BY query ORDER BY distance, key) AS INTEGER) AS place
+# For every brand, the order lines nearest to the average line of its parts.
+MANY_SQL = f"""WITH {PTS}, {Z_SQL},
+  q AS (SELECT p_brand AS brand, {", ".join(f"avg(z_{c}) AS z_{c}" for c in MEASURES)}
+    FROM z JOIN part ON part = p_partkey GROUP BY 1),
+  d AS (SELECT brand, z.key, {DISTANCE} AS distance FROM z, q)
+  SELECT brand, key, round(distance, 6) AS distance,
+    CAST(row_number() OVER (PARTITION BY brand ORDER BY distance, key) AS INTEGER) AS place
   FROM d QUALIFY place <= 5"""
 
 
 def _many(spark: SparkSession, sf: str, **options: int) -> DataFrame:
     names = [f"z_{c}" for c in MEASURES]
-    scaled = reduce.standardize(pts(spark, sf), MEASURES).select("key", *names)
-    asked = scaled.orderBy(F.md5(F.concat("key", F.lit("|3"))), "key").limit(20)
-    asked = asked.withColumnRenamed("key", "query")
-    near = reduce.nearest_many(scaled, asked, names, "key", "query", **options)
+    scaled = reduce.standardize(pts(spark, sf), MEASURES)
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("part"), F.col("p_brand").alias("brand"))
+    average = join_dimension(scaled, parts, "part").groupBy("brand").agg(*[F.avg(c).alias(c) for c in names])
+    near = reduce.nearest_many(scaled, cut_lineage(average), names, "key", "brand", **options)
     return rounded(near, 6, "distance")
 
 
@@ -295,17 +329,64 @@ def nearest_many_blocks(spark: SparkSession, sf: str) -> DataFrame:
 # --- the study --------------------------------------------------------------
 
 
-@check("listing_study")
-def listing_study(spark: SparkSession, sf: str) -> DataFrame:
-    listings = gap(spark, sf).withColumns(
-        {"square_feet": F.col("area") / 0.092903, "square_meters": F.lit(None).cast("double")}
-    )
+# Areas in square feet, unknown in one neighbourhood; areas under 20 m2 are doubtful.
+STUDY = f"""{LST},
+  raw AS (SELECT key, neigh, size, price, round(CASE WHEN neigh <> 'N1' THEN area / 0.092903 END * 0.092903, 2) AS m FROM lst),
+  clean AS (SELECT key, neigh, size, price, CASE WHEN m >= 20 THEN m END AS m FROM raw
+    WHERE neigh IN (SELECT neigh FROM raw GROUP BY 1 HAVING count(CASE WHEN m >= 20 THEN m END) > 0)),
+  {stats_sql('m', 'neigh', 'clean')}, {PAIRS}, {TAIL}, {distances_sql()},
+  {linkage_sql('gaps', "(SELECT DISTINCT neigh AS member FROM clean) AS t", 9)}, {cut_sql(9, '1.0')},
+  listed AS (SELECT clean.*, cluster FROM clean JOIN cut ON neigh = member),
+  drawn AS (SELECT *, row_number() OVER (ORDER BY substr(md5(CAST(key AS VARCHAR) || '|0'), 1, 13), key)
+    <= floor(0.75 * count(*) OVER ()) AS train FROM listed),
+  c AS (SELECT covar_pop(price, price) AS xx, covar_pop(cluster, cluster) AS tt, covar_pop(price, cluster) AS xt,
+    covar_pop(price, m) AS xy, covar_pop(cluster, m) AS ty, avg(price) AS mx, avg(cluster) AS mt, avg(m) AS my
+    FROM drawn WHERE train AND m IS NOT NULL),
+  b AS (SELECT *, (xy * tt - ty * xt) / (xx * tt - xt * xt) AS bx, (ty * xx - xy * xt) / (xx * tt - xt * xt) AS bt FROM c),
+  guess AS (SELECT drawn.*, my + bx * (price - mx) + bt * (cluster - mt) AS p FROM drawn, b)"""
+
+
+def _study(spark: SparkSession, sf: str) -> Study:
+    feet = F.when(F.col("neigh") != "N1", F.col("area") / 0.092903)
     config = StudyConfig(
         key="key",
         group="neigh",
-        models=(("size", "price", "neighb_id"), ("size", "neighb_id")),
+        models=(("price", "neighb_id"), ("neighb_id",)),
         similar_on=("size", "price", "square_meters"),
     )
-    study = run_listing_study(listings, config)
-    found = study.listings.select("key", "neigh", "neighb_id", "size", "price", "square_meters")
-    return rounded(found, 6, "square_meters")
+    return run_listing_study(lst(spark, sf).withColumn("square_feet", feet).drop("area"), config)
+
+
+@check(
+    "listing_study",
+    f"""WITH {STUDY} SELECT key, neigh, cluster AS neighb_id, size, price,
+      round(coalesce(m, p), 5) AS square_meters FROM guess""",
+)
+def listing_study(spark: SparkSession, sf: str) -> DataFrame:
+    found = _study(spark, sf).listings
+    return rounded(found.select("key", "neigh", "neighb_id", "size", "price", "square_meters"), 5, "square_meters")
+
+
+@check(
+    "listing_study_error",
+    f"WITH {STUDY} SELECT round(sqrt(avg((p - m) * (p - m))), 5) AS rmse, count(m) AS n FROM guess WHERE NOT train",
+)
+def listing_study_error(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_study(spark, sf).errors[0], 5, "rmse")
+
+
+SIMILAR_ON = ["size", "price", "area"]
+SIMILAR_GAP = " + ".join(f"pow((f.{c} - o.{c}) / w.d_{c}, 2)" for c in SIMILAR_ON)
+
+
+@check(
+    "listing_study_similar",
+    f"""WITH {STUDY}, filled AS (SELECT key, size, price, coalesce(m, p) AS area FROM guess),
+    w AS (SELECT {", ".join(f"stddev_samp({c}) AS d_{c}" for c in SIMILAR_ON)} FROM filled),
+    o AS (SELECT * FROM filled ORDER BY md5(CAST(key AS VARCHAR) || '|0'), key LIMIT 1)
+    SELECT f.key, round({SIMILAR_GAP}, 5) AS distance FROM filled AS f, o, w ORDER BY {SIMILAR_GAP}, f.key LIMIT 5""",
+)
+def listing_study_similar(spark: SparkSession, sf: str) -> DataFrame:
+    study = _study(spark, sf)
+    one = sample_rows(study.listings, "key").first().asDict()
+    return rounded(study.similar(one, "key").select("key", "distance"), 5, "distance")

@@ -432,14 +432,18 @@ def attach_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return groups.attach_cluster(lst(spark, sf), clusters, "neigh")
 
 
-# Tests, matrix, distances, linkage and cut in one go, as the study does it.
-ALIKE = f"""{stats_sql('area', 'neigh', 'lst')}, {PAIRS}, {TAIL},
-  unlike AS (SELECT a, b, 1 - round(p, 4) AS v FROM tail UNION ALL SELECT b, a, 1 - round(p, 4) FROM tail
+def distances_sql() -> str:
+    """Distances between the rows of one minus the p-values."""
+    return """unlike AS (SELECT a, b, 1 - round(p, 4) AS v FROM tail UNION ALL SELECT b, a, 1 - round(p, 4) FROM tail
     UNION ALL SELECT g, g, 0.0 FROM st),
   gaps AS (SELECT x.a AS a, y.a AS b, sqrt(sum((x.v - y.v) * (x.v - y.v))) AS distance
     FROM unlike AS x JOIN unlike AS y ON x.b = y.b AND x.a < y.a GROUP BY 1, 2)"""
 
 
+# Tests, matrix, distances, linkage and cut in one go, as the study does it.
+ALIKE = f"{stats_sql('area', 'neigh', 'lst')}, {PAIRS}, {TAIL}, {distances_sql()}"
+
+
 @check(
     "similar_groups",
     f"WITH {LST}, {ALIKE}, {linkage_sql('gaps', NEIGHS, 10)}, {cut_sql(10, '1.0')} SELECT member, cluster FROM cut",

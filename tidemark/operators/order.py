@@ -12,23 +12,36 @@ SMALL_BRACKET = 50_000
 SKETCH_ACCURACY = 10_000
 
 
-def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float]:
+def order_statistics(
+    df: DataFrame,
+    column: str,
+    ranks: Sequence[int],
+    guess: tuple[float, float] | None = None,
+) -> dict[int, float]:
     """Exact values at the given 0-based ``ranks`` of the non-null ``column``.
 
-    Every rank has a bracket ``(low, high, end of the rows below low, end of the
-    rows up to high)``. A quantile sketch proposes cuts inside the bracket, exact
-    counts decide on which side of them the rank lies, and this repeats until the
-    bracket is small enough to sort. A pass is one partial aggregate for all
-    ranks and shrinks the brackets by about the sketch accuracy; a value that
-    fills many rows is settled or left behind in one pass.
+    Every rank has a bracket ``(low, high, rows below low, rows up to high)``. A
+    quantile sketch proposes cuts inside the bracket, exact counts decide on
+    which side of them the rank lies, and this repeats until the bracket is
+    small enough to sort. A pass is one partial aggregate for all ranks and
+    shrinks the brackets by about the sketch accuracy; a value that fills many
+    rows is settled or left behind in one pass. A good ``guess`` of the bracket
+    saves passes and a bad one does no harm.
     """
+    value = F.col("v")
     known = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
-    n, low, high = known.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    first = [F.count("*"), F.min("v"), F.max("v")]
+    if guess:
+        first += [F.count_if(value < guess[0]), F.count_if(value <= guess[1])]
+    n, low, high, *around = known.agg(*first).first()
     wanted = sorted(set(ranks))
     if wanted and not 0 <= wanted[0] <= wanted[-1] < n:
         raise ValueError(f"ranks {wanted} do not fit {n} values")
-    found: dict[int, float] = {}
     brackets = {rank: (low, high, 0, n) for rank in wanted}
+    if guess:
+        below, upto = around
+        brackets |= {rank: (*guess, below, upto) for rank in wanted if below <= rank < upto}
+    found: dict[int, float] = {}
     while brackets:
         small: dict[tuple, list[int]] = {}
         for rank, bracket in list(brackets.items()):
@@ -41,7 +54,7 @@ def order_statistics(df: DataFrame, column: str, ranks: Sequence[int]) -> dict[i
                 continue
             del brackets[rank]
         for (lo, hi, below, _), members in small.items():
-            values = known.where(F.col("v").between(lo, hi)).agg(
+            values = known.where(value.between(lo, hi)).agg(
                 F.sort_array(F.collect_list("v")).alias("values")
             )
             picked = values.select(*[F.get("values", F.lit(rank - below)) for rank in members])

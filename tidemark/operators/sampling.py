@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidemark.operators.order import order_statistics
 
 # 13 hexadecimal digits are 52 bits, which a double still holds exactly.
 HASH_DIGITS = 13
+DRAWS = 1 << (4 * HASH_DIGITS)
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -24,7 +27,7 @@ def row_digest(key: str | Sequence[str], seed: int) -> Column:
 
 
 def row_draw(key: str | Sequence[str], seed: int) -> Column:
-    """A whole number, uniform below 2**52, fixed for a key and a seed."""
+    """A whole number, uniform below ``DRAWS``, fixed for a key and a seed."""
     return F.conv(F.substring(row_digest(key, seed), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
@@ -50,25 +53,31 @@ def split_rows(
     """
     draw = row_draw(key, seed)
     if not exact:
-        limit = int(fraction * (1 << (4 * HASH_DIGITS)))
-        chosen = draw < F.lit(limit)
+        chosen = draw < F.lit(int(fraction * DRAWS))
         return df.where(chosen), df.where(~chosen)
-    size = int(df.count() * fraction)
+    total = df.count()
+    size = int(total * fraction)
     if size <= 0:
         return df.limit(0), df
+    # Draws are uniform, so the one at this rank lies close to its share of the range.
+    reach = 6 * math.sqrt(fraction * (1 - fraction) / total) + 1 / total
+    guess = (int((fraction - reach) * DRAWS), int((fraction + reach) * DRAWS))
+    last = order_statistics(df.select(draw.alias("draw")), "draw", [size - 1], guess)[size - 1]
+    # Rows that share the last draw are told apart by their key; there are hardly any.
     keys = _keys(key)
-    last = order_statistics(df.select(draw.alias("draw")), "draw", [size - 1])[size - 1]
-    # Rows that share the last draw are told apart by their key.
-    ties = df.where(draw == last)
-    below = df.where(draw < last).count()
-    keyed = ties.groupBy(*keys).count().orderBy(*keys).limit(size - below).collect()
-    if sum(row["count"] for row in keyed) != size - below:
+    tied = draw == last
+    below, ties, tied_keys = df.agg(
+        F.count_if(draw < last),
+        F.count_if(tied),
+        F.sort_array(F.collect_set(F.when(tied, F.struct(*keys)))),
+    ).first()
+    if below + ties == size:
+        chosen = draw <= last
+    elif len(tied_keys) < ties:
         raise ValueError(f"split key {keys} is not unique")
-    same = F.lit(False)
-    for row in keyed:
-        match = F.lit(True)
-        for name in keys:
-            match = match & F.col(name).eqNullSafe(F.lit(row[name]))
-        same = same | match
-    chosen = (draw < last) | ((draw == last) & same)
+    else:
+        chosen = draw < last
+        for found in tied_keys[: size - below]:
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(found[k])) for k in keys])
+            chosen = chosen | same
     return df.where(chosen), df.where(~chosen)

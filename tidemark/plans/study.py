@@ -90,14 +90,15 @@ def cluster_groups(
     alike = symmetric_pairs(pairs, "p")
     unlike = alike.withColumn("value", 1 - F.col("value"))
     merges = cut_lineage(complete_linkage(row_distances(unlike)))
-    return pairs, merges, cut_clusters(merges, height)
+    return pairs, merges, cut_lineage(cut_clusters(merges, height))
 
 
 def run_listing_study(df: DataFrame, config: StudyConfig) -> Study:
     """The whole study; tables stay DataFrames, fits are a few numbers."""
-    rows = clean_listings(df, config)
+    rows = cut_lineage(clean_listings(df, config))
     pairs, merges, clusters = cluster_groups(rows, config.area, config.group, config.cut_height)
-    rows = attach_cluster(rows, cut_lineage(clusters), config.group)
+    # Everything below reads the cleaned rows, a fraction of the source, several times.
+    rows = cut_lineage(attach_cluster(rows, clusters, config.group))
     train, test = split_rows(rows, config.key, config.train_share, config.seed, exact=True)
     fits = [fit_ols(train, config.area, xs) for xs in config.models]
     errors = [rmse(predict_ols(test, fit), config.area, "predicted") for fit in fits]
