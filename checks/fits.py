@@ -342,7 +342,8 @@ STUDY = f"""{LST},
   c AS (SELECT covar_pop(price, price) AS xx, covar_pop(cluster, cluster) AS tt, covar_pop(price, cluster) AS xt,
     covar_pop(price, m) AS xy, covar_pop(cluster, m) AS ty, avg(price) AS mx, avg(cluster) AS mt, avg(m) AS my
     FROM drawn WHERE train AND m IS NOT NULL),
-  b AS (SELECT *, (xy * tt - ty * xt) / (xx * tt - xt * xt) AS bx, (ty * xx - xy * xt) / (xx * tt - xt * xt) AS bt FROM c),
+  b AS (SELECT *, CASE WHEN tt = 0 THEN xy / xx ELSE (xy * tt - ty * xt) / (xx * tt - xt * xt) END AS bx,
+    CASE WHEN tt = 0 THEN 0 ELSE (ty * xx - xy * xt) / (xx * tt - xt * xt) END AS bt FROM c),
   guess AS (SELECT drawn.*, my + bx * (price - mx) + bt * (cluster - mt) AS p FROM drawn, b)"""
 
 

@@ -136,6 +136,8 @@ def beta_tail(x: float, a: float, b: float) -> float:
 
 def t_two_sided(t: float, freedom: float) -> float:
     """Two-sided p-value of a t statistic."""
+    if math.isnan(t) or freedom <= 0:
+        return float("nan")
     return beta_tail(freedom / (freedom + t * t), freedom / 2.0, 0.5)
 
 

@@ -345,11 +345,14 @@ def _renamed(df: DataFrame, column: str, moves: DataFrame, keys: list[str]) -> D
     return joined.withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
-def cut_clusters(merges: DataFrame, height: float, by: Sequence[str] = ()) -> DataFrame:
+def cut_clusters(
+    merges: DataFrame, height: float, by: Sequence[str] = (), members: DataFrame | None = None
+) -> DataFrame:
     """``(member, cluster)`` after keeping the merges up to ``height``.
 
     Clusters are numbered from 1 by their smallest member. Every member points to
     the cluster it was merged into; the pointers double until all reach the top.
+    A table of all ``members`` also covers a segment of just one, which has no merge.
     """
     keys = [*by, "_all"]
     tagged = cut_lineage(merges.withColumn("_all", F.lit(0)))
@@ -358,6 +361,9 @@ def cut_clusters(merges: DataFrame, height: float, by: Sequence[str] = ()) -> Da
     tops = tagged.select(*keys, F.col("right").alias("member"), up.alias("top")).unionByName(
         first.withColumn("top", F.col("member"))
     )
+    if members is not None:
+        alone = members.select(*by, F.lit(0).alias("_all"), "member", F.col("member").alias("top"))
+        tops = tops.unionByName(alone).groupBy(*keys, "member").agg(F.min("top").alias("top"))
     tops = cut_lineage(tops)
     while True:
         jump = tops.select(*keys, F.col("member").alias("top"), F.col("top").alias("_next"))

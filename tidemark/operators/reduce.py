@@ -144,12 +144,12 @@ def nearest(
     Every task keeps its own ``k`` best. Incomplete rows have no distance and are left out.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return (
-        df.withColumn("distance", squared_distance(columns, query))
-        .where(F.col("distance").isNotNull())
-        .orderBy("distance", *keys)
-        .limit(k)
-    )
+    return _closest(df, squared_distance(columns, query), keys, k)
+
+
+def _closest(df: DataFrame, distance: Column, keys: list[str], k: int) -> DataFrame:
+    measured = df.withColumn("distance", distance).where(F.col("distance").isNotNull())
+    return measured.orderBy("distance", *keys).limit(k)
 
 
 def nearest_similar(
@@ -157,17 +157,18 @@ def nearest_similar(
 ) -> DataFrame:
     """The ``k`` rows nearest to a row of original values, in the space of all components.
 
-    Returns the rows themselves with their distance.
+    Turning the axes keeps distances, so they are taken between standardised
+    values, without computing scores. Returns the rows with their distance.
     """
-    spark = df.sparkSession
-    schema = StructType([StructField(name, DoubleType()) for name in pca.columns])
+    keys = [key] if isinstance(key, str) else list(key)
     missing = [name for name in pca.columns if query.get(name) is None]
     if missing:
         raise ValueError(f"query has no value for {missing}")
-    row = spark.createDataFrame([tuple(float(query[name]) for name in pca.columns)], schema)
-    at = pca_scores(row, pca).first().asDict()
-    names = pca.names()
-    return nearest(pca_scores(df, pca), at, names, key, k).drop(*names)
+    gaps = [
+        (F.col(name).cast("double") - F.lit(float(query[name]))) / F.lit(s)
+        for name, s in zip(pca.columns, pca.scale)
+    ]
+    return _closest(df, _sum([gap * gap for gap in gaps]), keys, k)
 
 
 def nearest_many(

@@ -8,9 +8,9 @@ gives a null prediction and nothing leaves generated code.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,17 +24,24 @@ from tidemark.operators.order import global_rank, quantiles
 from tidemark.operators.profile import histogram
 
 
+# A predictor this close to a combination of the earlier ones adds nothing.
+ALIAS_TOLERANCE = 1e-7
+
+
 @dataclass(frozen=True)
 class LinearFit:
+    """Coefficients with what the diagnostics need; ``aliased`` predictors have none."""
+
     y: str
     xs: tuple[str, ...]
+    aliased: tuple[str, ...]
     n: int
     intercept: float
     slopes: tuple[float, ...]
     center: tuple[float, ...]
     inverse: np.ndarray  # of the scatter of the predictors
-    ss_residual: float
     ss_total: float
+    ss_residual: float = float("nan")
 
     @property
     def df_residual(self) -> int:
@@ -42,15 +49,19 @@ class LinearFit:
 
     @property
     def sigma(self) -> float:
-        return float(np.sqrt(self.ss_residual / self.df_residual))
+        return math.sqrt(self.ss_residual / self.df_residual) if self.df_residual > 0 else float("nan")
 
     @property
     def r2(self) -> float:
-        return 1.0 - self.ss_residual / self.ss_total
+        return 1.0 - self.ss_residual / self.ss_total if self.ss_total > 0 else float("nan")
 
     def prediction(self) -> Column:
-        terms = [F.lit(b) * F.col(x).cast("double") for b, x in zip(self.slopes, self.xs)]
-        return reduce(lambda a, b: a + b, terms, F.lit(self.intercept))
+        total = F.lit(self.intercept)
+        for slope, x in zip(self.slopes, self.xs):
+            total = total + F.lit(slope) * F.col(x).cast("double")
+        for x in self.aliased:
+            total = F.when(F.col(x).isNotNull(), total)
+        return total
 
     def leverage(self) -> Column:
         off = [F.col(x).cast("double") - F.lit(m) for x, m in zip(self.xs, self.center)]
@@ -61,52 +72,70 @@ class LinearFit:
         return total
 
 
+def _independent(scatter: np.ndarray) -> list[int]:
+    """Positions of the predictors that are no combination of the ones before them."""
+    kept: list[int] = []
+    for i in range(len(scatter)):
+        left = scatter[i, i]
+        if kept:
+            cross = scatter[kept, i]
+            left -= cross @ np.linalg.solve(scatter[np.ix_(kept, kept)], cross)
+        if left > ALIAS_TOLERANCE**2 * scatter[i, i]:
+            kept.append(i)
+    return kept
+
+
 def fit_ols(df: DataFrame, y: str, xs: Sequence[str]) -> LinearFit:
-    """Least squares of ``y`` on the numbers ``xs`` with intercept, over complete rows."""
-    xs = tuple(xs)
+    """Least squares of ``y`` on the numbers ``xs`` with intercept, over complete rows.
+
+    A predictor that is constant or a combination of earlier ones is left out of
+    the equation and listed in ``aliased``.
+    """
     m = moments(df, [*xs, y])
-    center, scatter = m.part(xs)
+    kept = _independent(m.scatter[:-1, :-1])
+    names = tuple(xs[i] for i in kept)
+    center, scatter = m.part(names)
     size = np.sqrt(np.diag(scatter))
-    p = len(xs)
-    if (size == 0).any() or np.linalg.matrix_rank(scatter / np.outer(size, size)) < p:
-        raise ValueError(f"predictors {list(xs)} are constant or collinear")
-    if m.n <= p + 1:
-        raise ValueError(f"{m.n} complete rows cannot fit {p + 1} coefficients")
     inverse = np.linalg.inv(scatter / np.outer(size, size)) / np.outer(size, size)
-    slopes = inverse @ m.scatter[:p, p]
-    intercept = float(m.mean[p] - slopes @ center)
+    slopes = inverse @ m.scatter[kept, -1]
     fit = LinearFit(
-        y, xs, m.n, intercept, tuple(map(float, slopes)), tuple(map(float, center)),
-        inverse, float("nan"), float(m.scatter[p, p]),
+        y=y,
+        xs=names,
+        aliased=tuple(x for x in xs if x not in names),
+        n=m.n,
+        intercept=float(m.mean[-1] - slopes @ center),
+        slopes=tuple(map(float, slopes)),
+        center=tuple(map(float, center)),
+        inverse=inverse,
+        ss_total=float(m.scatter[-1, -1]),
     )
     residual = F.col(y).cast("double") - fit.prediction()
-    ss_residual = df.agg(F.sum(residual * residual)).first()[0]
-    return LinearFit(
-        y, xs, m.n, intercept, fit.slopes, fit.center, inverse, float(ss_residual), fit.ss_total
-    )
+    return replace(fit, ss_residual=df.agg(F.sum(residual * residual)).first()[0])
 
 
 def ols_table(spark: SparkSession, fit: LinearFit) -> DataFrame:
-    """``(term, estimate, std_error, t, p)``, the intercept first."""
+    """``(term, estimate, std_error, t, p)``, the intercept first; aliased terms are null."""
     center = np.array(fit.center)
     errors = [fit.sigma * np.sqrt(1.0 / fit.n + center @ fit.inverse @ center)]
     errors += list(fit.sigma * np.sqrt(np.diag(fit.inverse)))
     rows = []
-    terms = ("intercept", *fit.xs)
-    for term, estimate, error in zip(terms, (fit.intercept, *fit.slopes), errors):
-        t = float(estimate / error) if error > 0 else float("inf")
+    for term, estimate, error in zip(("intercept", *fit.xs), (fit.intercept, *fit.slopes), errors):
+        t = float(estimate / error) if error > 0 else float("nan")
         rows.append((term, estimate, float(error), t, t_two_sided(t, fit.df_residual)))
+    rows += [(term, None, None, None, None) for term in fit.aliased]
     return spark.createDataFrame(rows, "term string, estimate double, std_error double, t double, p double")
 
 
 def ols_fit_stats(spark: SparkSession, fit: LinearFit) -> DataFrame:
     """One row: R-squared, adjusted R-squared, residual standard error, F and its p-value."""
-    p = len(fit.xs)
-    adjusted = 1.0 - (1.0 - fit.r2) * (fit.n - 1) / fit.df_residual
-    f = ((fit.ss_total - fit.ss_residual) / p) / (fit.ss_residual / fit.df_residual)
-    row = (fit.n, p, fit.df_residual, fit.r2, adjusted, fit.sigma, f, f_upper(f, p, fit.df_residual))
+    p, rest = len(fit.xs), fit.df_residual
+    adjusted = 1.0 - (1.0 - fit.r2) * (fit.n - 1) / rest if rest > 0 else None
+    f = f_p = None
+    if p and rest > 0 and fit.ss_residual > 0:
+        f = ((fit.ss_total - fit.ss_residual) / p) / (fit.ss_residual / rest)
+        f_p = f_upper(f, p, rest)
     return spark.createDataFrame(
-        [row],
+        [(fit.n, p, rest, fit.r2, adjusted, fit.sigma, f, f_p)],
         "n long, df_model long, df_residual long, r2 double, r2_adjusted double, "
         "sigma double, f double, p double",
     )
@@ -124,7 +153,7 @@ def residual_histogram(df: DataFrame, y: str, predicted: str, bins: int = 20) ->
 
 def residual_quartiles(df: DataFrame, fit: LinearFit) -> DataFrame:
     """One row with minimum, quartiles and maximum of the residuals, exact."""
-    scored = with_residual(predict_ols(df.select(fit.y, *fit.xs), fit, "_fitted"), fit.y, "_fitted")
+    scored = with_residual(predict_ols(df.select(fit.y, *fit.xs, *fit.aliased), fit, "_fitted"), fit.y, "_fitted")
     values = quantiles(scored, "residual", [0.0, 0.25, 0.5, 0.75, 1.0])
     return df.sparkSession.createDataFrame(
         [tuple(map(float, values))],
@@ -145,7 +174,7 @@ def ols_diagnostics(df: DataFrame, fit: LinearFit, key: str | Sequence[str] | No
     added, which needs its rank in the whole table.
     """
     p = len(fit.xs) + 1
-    rows = df.dropna("any", subset=[fit.y, *fit.xs])
+    rows = df.dropna("any", subset=[fit.y, *fit.xs, *fit.aliased])
     spread = F.sqrt(1 - F.col("leverage"))
     rows = (
         rows.withColumn("fitted", fit.prediction())

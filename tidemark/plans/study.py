@@ -90,7 +90,8 @@ def cluster_groups(
     alike = symmetric_pairs(pairs, "p")
     unlike = alike.withColumn("value", 1 - F.col("value"))
     merges = cut_lineage(complete_linkage(row_distances(unlike)))
-    return pairs, merges, cut_lineage(cut_clusters(merges, height))
+    members = df.where(F.col(value).isNotNull()).select(F.col(group).alias("member")).distinct()
+    return pairs, merges, cut_lineage(cut_clusters(merges, height, members=members))
 
 
 def run_listing_study(df: DataFrame, config: StudyConfig) -> Study:
