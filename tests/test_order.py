@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import order, sampling
+
+
+@pytest.fixture
+def tiny_brackets(monkeypatch):
+    monkeypatch.setattr(order, "SMALL_BRACKET", 5)
+    monkeypatch.setattr(order, "SKETCH_ACCURACY", 20)
+
+
+CASES = {
+    "uniform": [random.Random(1).random() for _ in range(3000)],
+    "one_value": [4.0] * 500,
+    "hot_value": [1.0] * 1000 + [random.Random(2).gauss(0, 5) for _ in range(2000)],
+    "two_values": [0.0] * 700 + [1.0] * 301,
+    "far_apart": [10.0**i for i in range(-30, 30)] * 7,
+    "hot_next_to_rare": [5.0] * 3000 + [5.0 + i * 1e-12 for i in range(40)],
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_order_statistics(spark, tiny_brackets, case):
+    values = CASES[case]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(7)
+    ranks = sorted({0, 1, len(values) // 4, len(values) // 2, len(values) - 2, len(values) - 1})
+    found = order.order_statistics(df, "x", ranks)
+    assert found == {rank: sorted(values)[rank] for rank in ranks}
+
+
+def test_order_statistics_with_guess(spark, tiny_brackets):
+    values = CASES["uniform"]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for guess in [(0.4, 0.6), (0.9, 0.95), (2.0, 3.0)]:
+        assert order.order_statistics(df, "x", [1500], guess) == {1500: sorted(values)[1500]}
+
+
+def test_order_statistics_rejects_unknown_rank(spark):
+    with pytest.raises(ValueError, match="do not fit 3"):
+        order.order_statistics(spark.range(3).select(F.col("id").cast("double").alias("x")), "x", [3])
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_quantiles(spark, case):
+    values = CASES[case]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    assert np.allclose(order.quantiles(df, "x", shares), np.quantile(values, shares), rtol=1e-12)
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_global_rank(spark, case):
+    values = CASES[case]
+    df = spark.createDataFrame(list(enumerate(values)), "key int, x double").repartition(5)
+    found = order.global_rank(df, "x", "key", buckets=16).orderBy("rank").collect()
+    assert [row["rank"] for row in found] == list(range(1, len(values) + 1))
+    assert [row.x for row in found] == sorted(values)
+
+
+def test_global_rank_splits_a_hot_value(spark):
+    df = spark.createDataFrame(list(enumerate(CASES["hot_value"])), "key int, x double")
+    plan = order.global_rank(df, "x", "key", buckets=16)
+    hot = plan.where("x = 1.0").select(F.shiftright(F.xxhash64("key"), 54)).distinct().count()
+    assert hot > 500
+
+
+def test_global_rank_keeps_unknown_values(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, None), (3, 1.0)], "key int, x double")
+    found = {row.key: row["rank"] for row in order.global_rank(df, "x", "key").collect()}
+    assert found == {1: 2, 2: None, 3: 1}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 40, 999])
+def test_exact_split(spark, n):
+    df = spark.range(n).withColumnRenamed("id", "key")
+    train, test = sampling.split_rows(df, "key", 0.75, seed=3, exact=True)
+    chosen, rest = {r.key for r in train.collect()}, {r.key for r in test.collect()}
+    assert len(chosen) == int(n * 0.75) and chosen | rest == set(range(n)) and not chosen & rest
+
+
+def test_exact_split_with_equal_draws(spark, monkeypatch):
+    # Draws of four values: the boundary runs through rows with the same draw.
+    monkeypatch.setattr(sampling, "row_draw", lambda key, seed: (F.col("key") % 4).cast("long"))
+    df = spark.range(50).withColumnRenamed("id", "key")
+    train, test = sampling.split_rows(df, "key", 0.7, exact=True)
+    assert (train.count(), test.count()) == (35, 15)
+    assert {r.key % 4 for r in train.collect()} == {0, 1, 2}
+
+
+def test_exact_split_needs_unique_keys(spark):
+    df = spark.range(100).select(F.lit(1).alias("key"))
+    with pytest.raises(ValueError, match="not unique"):
+        sampling.split_rows(df, "key", 0.5, exact=True)
+
+
+def test_split_is_repeatable_and_complete(spark):
+    df = spark.range(4000).withColumnRenamed("id", "key")
+    train, test = sampling.split_rows(df, "key", 0.75, seed=1)
+    again, _ = sampling.split_rows(df.repartition(9), "key", 0.75, seed=1)
+    chosen = {r.key for r in train.collect()}
+    assert chosen == {r.key for r in again.collect()}
+    assert len(chosen) + test.count() == 4000 and 2900 < len(chosen) < 3100
+
+
+def test_sample_depends_on_seed(spark):
+    df = spark.range(1000).withColumnRenamed("id", "key")
+    one = {r.key for r in sampling.sample_rows(df, "key", 20, seed=1).collect()}
+    two = {r.key for r in sampling.sample_rows(df, "key", 20, seed=2).collect()}
+    assert len(one) == len(two) == 20 and one != two

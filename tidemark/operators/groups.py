@@ -79,12 +79,14 @@ def tukey_pairs(
     found by an equi-join, and the p-values are computed where the pairs are.
     """
     stats = cut_lineage(group_stats(df, value, group, by))
+    # Beyond the broadcast size both joins shuffle, on keys that are all alike in size.
+    sized = F.broadcast if fits_broadcast(stats) else lambda side: side
     keys = [*by, "_all"]
     ranked = stats.withColumn("_all", F.lit(0)).withColumn(
         "rank", F.row_number().over(Window.partitionBy(*keys).orderBy(group))
     )
     error = anova_from_stats(stats, by).select(*by, F.lit(0).alias("_all"), "k", "df_within", "ms_within")
-    left = join_dimension(ranked, error, keys).where(F.col("rank") < F.col("k"))
+    left = ranked.join(sized(error), keys).where(F.col("rank") < F.col("k"))
     left = left.withColumn("partner", F.explode(F.sequence(F.col("rank") + 1, F.col("k").cast("int"))))
     left = left.select(
         *keys,
@@ -103,7 +105,7 @@ def tukey_pairs(
         F.col("n").alias("n_b"),
         F.col("mean").alias("mean_b"),
     )
-    pairs = join_dimension(left, right, [*keys, "partner"])
+    pairs = left.join(sized(right), [*keys, "partner"])
     se = F.sqrt(F.col("ms_within") / 2 * (1 / F.col("n_a") + 1 / F.col("n_b")))
     apart = F.abs("diff")
     pairs = (
@@ -230,15 +232,13 @@ def complete_linkage(
     keys = [*by, "_all"]
     tagged = distances.withColumn("_all", F.lit(0))
     limit = local_members * (local_members - 1) // 2
-    segments = cut_lineage(
-        tagged.groupBy(*keys).agg((F.count("*") > limit).alias("_large"))
-    )
-    sizes = {row[0] for row in segments.select("_large").distinct().collect()}
-    if sizes <= {False}:
+    segments = tagged.groupBy(*keys).agg((F.count("*") > limit).alias("_large"))
+    some, every = segments.agg(F.bool_or("_large"), F.bool_and("_large")).first()
+    if not some:
         return _merge_in_tasks(tagged, by).drop("_all")
-    if sizes == {True}:
+    if every:
         return _merge_in_rounds(tagged, by).drop("_all")
-    split = join_dimension(tagged, segments, keys)
+    split = join_dimension(tagged, cut_lineage(segments), keys)
     small = split.where(~F.col("_large")).drop("_large")
     large = split.where("_large").drop("_large")
     return _merge_in_tasks(small, by).unionByName(_merge_in_rounds(large, by)).drop("_all")
@@ -346,40 +346,66 @@ def _renamed(df: DataFrame, column: str, moves: DataFrame, keys: list[str]) -> D
 
 
 def cut_clusters(
-    merges: DataFrame, height: float, by: Sequence[str] = (), members: DataFrame | None = None
+    merges: DataFrame,
+    height: float,
+    by: Sequence[str] = (),
+    members: DataFrame | None = None,
+    local_members: int = LOCAL_MEMBERS,
 ) -> DataFrame:
     """``(member, cluster)`` after keeping the merges up to ``height``.
 
-    Clusters are numbered from 1 by their smallest member. Every member points to
-    the cluster it was merged into; the pointers double until all reach the top.
-    A table of all ``members`` also covers a segment of just one, which has no merge.
+    Clusters are numbered from 1 by their smallest member. A table of all
+    ``members`` also covers a segment of just one, which has no merge. A tree of
+    at most ``local_members`` is followed to its tops in one task, larger ones by
+    joins.
     """
     keys = [*by, "_all"]
     tagged = cut_lineage(merges.withColumn("_all", F.lit(0)))
+    largest = tagged.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    tops = _tops_in_tasks if largest < local_members else _tops_in_rounds
+    found = tops(tagged, height, keys)
+    if members is not None:
+        alone = members.select(*by, F.lit(0).alias("_all"), "member", F.col("member").alias("top"))
+        found = found.unionByName(alone).groupBy(*keys, "member").agg(F.min("top").alias("top"))
+    found = cut_lineage(found)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("top"))
+    numbered = found.select(*keys, "top").distinct().withColumn("cluster", number)
+    return join_dimension(found, numbered, [*keys, "top"]).select(*by, "member", "cluster")
+
+
+def _tops_in_tasks(tagged: DataFrame, height: float, keys: list[str]) -> DataFrame:
+    kind = tagged.schema["left"].dataType
+    schema = StructType(
+        [*[tagged.schema[name] for name in keys], StructField("member", kind), StructField("top", kind)]
+    )
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        top = {pdf["left"].min(): pdf["left"].min()}
+        # From the root down, so that the left side is known before the right.
+        for merge in pdf.sort_values("step", ascending=False).itertuples():
+            top[merge.right] = top[merge.left] if merge.height <= height else merge.right
+        out = pd.DataFrame({"member": list(top), "top": list(top.values())})
+        for name in keys:
+            out[name] = pdf[name].iloc[0]
+        return out[schema.names]
+
+    return tagged.groupBy(*keys).applyInPandas(follow, schema)
+
+
+def _tops_in_rounds(tagged: DataFrame, height: float, keys: list[str]) -> DataFrame:
+    """Every member points to where it was merged; pointers double until all reach a top."""
     up = F.when(F.col("height") <= height, F.col("left")).otherwise(F.col("right"))
-    first = tagged.groupBy(*keys).agg(F.min("left").alias("member"))
+    root = tagged.groupBy(*keys).agg(F.min("left").alias("member"))
     tops = tagged.select(*keys, F.col("right").alias("member"), up.alias("top")).unionByName(
-        first.withColumn("top", F.col("member"))
+        root.withColumn("top", F.col("member"))
     )
-    if members is not None:
-        alone = members.select(*by, F.lit(0).alias("_all"), "member", F.col("member").alias("top"))
-        tops = tops.unionByName(alone).groupBy(*keys, "member").agg(F.min("top").alias("top"))
     tops = cut_lineage(tops)
     while True:
         jump = tops.select(*keys, F.col("member").alias("top"), F.col("top").alias("_next"))
-        tops = cut_lineage(
-            join_dimension(tops, jump, [*keys, "top"])
-            .withColumn("_moved", F.col("top") != F.col("_next"))
-            .withColumn("top", F.col("_next"))
-            .drop("_next")
-        )
-        moved = tops.where("_moved").isEmpty()
-        tops = tops.drop("_moved")
-        if moved:
-            break
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("top"))
-    numbered = tops.select(*keys, "top").distinct().withColumn("cluster", number)
-    return join_dimension(tops, numbered, [*keys, "top"]).select(*by, "member", "cluster")
+        moved = cut_lineage(join_dimension(tops, jump, [*keys, "top"]))
+        tops = moved.select(*keys, "member", F.col("_next").alias("top"))
+        if moved.where(F.col("top") != F.col("_next")).isEmpty():
+            return tops
 
 
 def upper_merges(merges: DataFrame, height: float) -> DataFrame:
