@@ -38,19 +38,23 @@ def group_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -
     )
 
 
+def _with_segment(df: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the columns of each row's segment; without segments the only row becomes constants."""
+    if by:
+        return df.join(facts, list(by))
+    row = facts.first()
+    return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in facts.schema.fields})
+
+
 def anova_from_stats(stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One-way analysis of variance, one row by segment, from :func:`group_stats`.
 
     Deviations are taken from the grand mean, so large means do not cancel.
     """
-    keys = [*by, "_all"]
-    stats = stats.withColumn("_all", F.lit(0))
-    grand = stats.groupBy(*keys).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
-    if not by:
-        grand = F.broadcast(grand)  # one row
+    grand = stats.groupBy(*by).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"))
     sums = (
-        stats.join(grand, keys)
-        .groupBy(*keys)
+        _with_segment(stats, grand, by)
+        .groupBy(*by)
         .agg(
             F.count("*").alias("k"),
             (F.count("*") - 1).alias("df_between"),
@@ -61,12 +65,12 @@ def anova_from_stats(stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
     ms_within = F.try_divide("ss_within", "df_within")
     f = F.try_divide(F.try_divide("ss_between", "df_between"), ms_within)
-    return sums.drop("_all").withColumns({"ms_within": ms_within, "f": f})
+    return sums.withColumns({"ms_within": ms_within, "f": f})
 
 
 def anova_oneway(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -> DataFrame:
     """One-way analysis of variance of ``value`` by ``group``; unknown values are left out."""
-    return anova_from_stats(group_stats(df, value, group, by), by)
+    return anova_from_stats(cut_lineage(group_stats(df, value, group, by)), by)
 
 
 def tukey_pairs(
@@ -79,17 +83,13 @@ def tukey_pairs(
     found by an equi-join, and the p-values are computed where the pairs are.
     """
     stats = cut_lineage(group_stats(df, value, group, by))
-    # Beyond the broadcast size both joins shuffle, on keys that are all alike in size.
-    sized = F.broadcast if fits_broadcast(stats) else lambda side: side
-    keys = [*by, "_all"]
-    ranked = stats.withColumn("_all", F.lit(0)).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(*keys).orderBy(group))
-    )
-    error = anova_from_stats(stats, by).select(*by, F.lit(0).alias("_all"), "k", "df_within", "ms_within")
-    left = ranked.join(sized(error), keys).where(F.col("rank") < F.col("k"))
+    position = F.row_number().over(Window.partitionBy(*by).orderBy(group))
+    ranked = stats.withColumn("rank", position)
+    error = anova_from_stats(stats, by).select(*by, "k", "df_within", "ms_within")
+    left = _with_segment(ranked, error, by).where(F.col("rank") < F.col("k"))
     left = left.withColumn("partner", F.explode(F.sequence(F.col("rank") + 1, F.col("k").cast("int"))))
     left = left.select(
-        *keys,
+        *by,
         F.col(group).alias("a"),
         F.col("n").alias("n_a"),
         F.col("mean").alias("mean_a"),
@@ -99,13 +99,14 @@ def tukey_pairs(
         "ms_within",
     )
     right = ranked.select(
-        *keys,
+        *by,
         F.col("rank").alias("partner"),
         F.col(group).alias("b"),
         F.col("n").alias("n_b"),
         F.col("mean").alias("mean_b"),
     )
-    pairs = left.join(sized(right), [*keys, "partner"])
+    # Beyond the broadcast size this shuffles, on partner numbers that are all alike.
+    pairs = left.join(F.broadcast(right) if fits_broadcast(stats) else right, [*by, "partner"])
     se = F.sqrt(F.col("ms_within") / 2 * (1 / F.col("n_a") + 1 / F.col("n_b")))
     apart = F.abs("diff")
     pairs = (
