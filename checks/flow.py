@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from checks.base import DEV, DIM, LST, check, dev, dim, lst, plain_time, table
 from tidemark.functions.scalar import with_date_parts
 from tidemark.operators import joins, metrics
-from tidemark.plans.batch import BatchConfig, run_batch_layer
+from tidemark.plans.batch import BatchConfig, batch_metrics, run_batch_layer
 from tidemark.plans.speed import SpeedConfig, run_speed_layer, speed_metrics
 from tidemark.schemas import DEVICE_MESSAGE, LANDED_MESSAGE, METRIC, QUOTA_ALERT
 from tidemark.session import scratch_path
@@ -65,6 +65,13 @@ def metrics_by_dims(spark: SparkSession, sf: str) -> DataFrame:
     return plain_time(metrics.metrics_by_dims(known, ["antenna_id", "email", "app"]))
 
 
+@check("metrics_beyond_broadcast", f"WITH {DEV}, {DIM}, {KNOWN} {METRICS_SQL}")
+def metrics_beyond_broadcast(spark: SparkSession, sf: str) -> DataFrame:
+    # The way taken when there are too many users to broadcast: sums before the join.
+    config = BatchConfig("", "", FileTable(""), FileTable(""), broadcast_rows=100)
+    return plain_time(batch_metrics(dev(spark, sf), dim(spark, sf), config))
+
+
 @check(
     "enrich_inner",
     f"WITH {DEV}, {DIM} SELECT dev.*, name, email, quota FROM dev JOIN dim USING (id)",

@@ -22,6 +22,7 @@ from tidemark.operators.joins import fits_broadcast, join_dimension
 from tidemark.session import cut_lineage
 
 BLOCK_ROWS = 256
+BLOCK_CELLS = 4_000_000
 LOCAL_MEMBERS = 512
 
 
@@ -182,7 +183,9 @@ def row_distances(
         .select(*by, "row", F.col(f"cells.{value}").alias("vector"))
     )
     largest = packed.groupBy(*by).count().agg(F.max("count")).first()[0] or 1
-    blocks = math.ceil(largest / BLOCK_ROWS)
+    # A row has as many cells as the matrix has columns; blocks are bounded in both.
+    width = packed.agg(F.max(F.size("vector"))).first()[0] or 1
+    blocks = math.ceil(largest / max(1, min(BLOCK_ROWS, BLOCK_CELLS // width)))
     dealt = (
         packed.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))

@@ -127,36 +127,38 @@ def global_rank(
     inside their range. Rows without a value keep a null rank.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
-    unknown = df.where(F.col(order).isNull()).withColumn(name, F.lit(None).cast("long"))
-    df = df.where(F.col(order).isNotNull())
     shares = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * buckets)).first()[0]
     edges = sorted(set(cuts or [0.0]))
     ranges = Bucketizer(
         splits=[float("-inf"), *edges, float("inf")], inputCol=order, outputCol="_range"
     ).transform(df)
-    # Range 0 lies below the first edge; range i starts at edge i.
+    # Range 0 lies below the first edge, range i starts at edge i, -1 is unknown.
+    place = F.coalesce(F.col("_range").cast("int"), F.lit(-1))
     at_edge = (F.col("_range") > 0) & (
-        F.get(F.array(*map(F.lit, edges)), (F.col("_range") - 1).cast("int")) == F.col(order)
+        F.get(F.array(*map(F.lit, edges)), F.col("_range") - 1) == F.col(order)
     )
+    spread = F.shiftright("_hash", 54)
     marked = (
-        ranges.withColumn("_hash", F.xxhash64(*ties))
-        .withColumn("_inner", ~at_edge)
-        .withColumn("_slot", F.when(at_edge, F.shiftright("_hash", 54)).otherwise(0))
+        ranges.withColumn("_range", place)
+        .withColumn("_hash", F.xxhash64(*ties))
+        .withColumn("_inner", (F.col("_range") >= 0) & ~F.coalesce(at_edge, F.lit(False)))
+        .withColumn("_slot", F.when(F.col("_inner"), F.lit(0).cast("long")).otherwise(spread))
     )
     parts = ["_range", "_inner", "_slot"]
-    before = F.sum("_n").over(Window.orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1))
+    known = F.when(F.col("_range") >= 0, F.col("_n"))
+    before = F.sum(known).over(Window.orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1))
     # At most 1024 slots for each edge: the size of this table has a fixed bound.
     offsets = (
         marked.groupBy(*parts)
         .agg(F.count("*").alias("_n"))
         .select(*parts, F.coalesce(before, F.lit(0)).alias("_before"))
     )
-    place = F.row_number().over(Window.partitionBy(*parts).orderBy(order, "_hash", *ties))
-    ranked = (
-        marked.withColumn("_place", place)
+    inside = F.row_number().over(Window.partitionBy(*parts).orderBy(order, "_hash", *ties))
+    rank = F.when(F.col("_range") >= 0, F.col("_before") + F.col("_place"))
+    return (
+        marked.withColumn("_place", inside)
         .join(F.broadcast(offsets), parts)
-        .withColumn(name, F.col("_before") + F.col("_place"))
+        .withColumn(name, rank)
         .drop(*parts, "_hash", "_before", "_place")
     )
-    return ranked.unionByName(unknown)

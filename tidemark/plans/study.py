@@ -25,6 +25,25 @@ from tidemark.operators.sampling import split_rows
 from tidemark.session import cut_lineage
 
 
+# The listing columns the study keeps, as read in snake case.
+LISTING_COLUMNS = (
+    "city",
+    "room_type",
+    "neighbourhood",
+    "accommodates",
+    "bathrooms",
+    "bedrooms",
+    "beds",
+    "price",
+    "square_feet",
+    "guests_included",
+    "extra_people",
+    "review_scores_rating",
+    "latitude",
+    "longitude",
+)
+
+
 @dataclass(frozen=True)
 class StudyConfig:
     key: str
