@@ -67,7 +67,7 @@ def metrics_by_dims(spark: SparkSession, sf: str) -> DataFrame:
 
 @check("metrics_beyond_broadcast", f"WITH {DEV}, {DIM}, {KNOWN} {METRICS_SQL}")
 def metrics_beyond_broadcast(spark: SparkSession, sf: str) -> DataFrame:
-    # The way taken when there are too many users to broadcast: sums before the join.
+    # The way taken when there are too many users to broadcast.
     config = BatchConfig("", "", FileTable(""), FileTable(""), broadcast_rows=100)
     return plain_time(batch_metrics(dev(spark, sf), dim(spark, sf), config))
 

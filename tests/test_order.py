@@ -86,7 +86,7 @@ def test_exact_split(spark, n):
 
 def test_exact_split_with_equal_draws(spark, monkeypatch):
     # Draws of four values: the boundary runs through rows with the same draw.
-    monkeypatch.setattr(sampling, "row_draw", lambda key, seed: (F.col("key") % 4).cast("long"))
+    monkeypatch.setattr(sampling, "row_digest", lambda key, seed: F.lpad((F.col("key") % 4).cast("string"), 13, "0"))
     df = spark.range(50).withColumnRenamed("id", "key")
     train, test = sampling.split_rows(df, "key", 0.7, exact=True)
     assert (train.count(), test.count()) == (35, 15)

@@ -7,6 +7,7 @@ broadcast, and only the rest is shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -53,12 +54,15 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows.
 
-    Fewer than ``1 / share`` keys can, so the list is bounded. Counting combines
-    before the shuffle and reads only the key columns.
+    Fewer than ``1 / share`` keys can, so the list is bounded. A frequent-items
+    sketch finds them in one aggregate over the key columns; keys are not
+    shuffled. Which keys count as hot only decides the way they are joined.
     """
-    counts = df.dropna("any", subset=list(keys)).groupBy(_key_hash(keys).alias("h")).count()
-    total = df.count()
-    return [row.h for row in counts.where(F.col("count") > total * share).select("h").collect()]
+    most = math.ceil(1 / share)
+    top = F.expr(f"approx_top_k(h, {most}, {10 * most})")
+    hashes = df.dropna("any", subset=list(keys)).select(_key_hash(keys).alias("h"))
+    total, items = hashes.agg(F.count("*"), top).first()
+    return [item["item"] for item in items or [] if item["count"] > total * share]
 
 
 def _salted_stream_join(stream: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -77,11 +81,14 @@ def join_dimension(
     keys: str | Sequence[str],
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
+    split_hot: bool = True,
 ) -> DataFrame:
     """Equi-join ``fact`` to ``dim``; the key columns appear once in the result.
 
     ``how`` is one of inner, left, left_semi, left_anti: every row of ``fact``
     may be handled apart from the others, which the split by hot key relies on.
+    Without ``split_hot`` a large ``dim`` means one plain shuffle, for a ``fact``
+    that is already summed by key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -90,6 +97,8 @@ def join_dimension(
         return fact.join(F.broadcast(dim), keys, how)
     if fact.isStreaming:
         return _salted_stream_join(fact, dim, keys, how)
+    if not split_hot:
+        return fact.join(dim, keys, how)
     for key in keys:
         left, right = fact.schema[key].dataType, dim.schema[key].dataType
         if left != right:
@@ -140,13 +149,14 @@ def over_quota(
 ) -> DataFrame:
     """``(email, usage, quota, timestamp)`` of every usage row above its user's quota.
 
-    Each window is compared to the quota by itself. The comparison runs inside
-    the equi-join as a residual condition.
+    ``usage`` has one row for each user and window. Each window is compared to the
+    quota by itself, inside the equi-join as a residual condition.
     """
     joined = join_dimension(
         usage.select(key, F.col(value).alias("usage"), F.col(ts).alias("timestamp")),
         dim.select(key, F.col(email).alias("email"), F.col(quota).alias("quota")),
         key,
+        split_hot=False,
     )
     return joined.where(F.col("usage") > F.col("quota")).select("email", "usage", "quota", "timestamp")
 

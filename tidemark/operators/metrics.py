@@ -70,26 +70,6 @@ def metrics_by_dims(
     )
 
 
-def presum(
-    df: DataFrame,
-    keys: Sequence[str],
-    length: str = "1 hour",
-    ts: str = "timestamp",
-    value: str = "bytes",
-) -> DataFrame:
-    """Sum ``value`` by ``keys`` and window, in the shape of the input.
-
-    The start of the window stands for the time, so metrics over the same
-    windows come out the same, from fewer rows. Meant for a join that shuffles.
-    """
-    timed = _timed(df, ts, [*[F.col(key) for key in keys], F.col(value).alias("amount")], None)
-    return (
-        timed.groupBy(*keys, F.window("timestamp", length))
-        .agg(F.sum("amount").alias(value))
-        .select(F.col("window.start").alias(ts), *keys, value)
-    )
-
-
 def distinct_by_window(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 SMALL_BRACKET = 50_000
 SKETCH_ACCURACY = 10_000
@@ -18,19 +19,21 @@ def order_statistics(
     ranks: Sequence[int],
     guess: tuple[float, float] | None = None,
 ) -> dict[int, float]:
-    """Exact values at the given 0-based ``ranks`` of the non-null ``column``.
+    """Exact values at the given 0-based ``ranks`` of the known numbers in ``column``.
 
     Every rank has a bracket ``(low, high, rows below low, rows up to high)``. A
-    quantile sketch proposes cuts inside the bracket, exact counts decide on
-    which side of them the rank lies, and this repeats until the bracket is
-    small enough to sort. A pass is one partial aggregate for all ranks and
+    quantile sketch proposes cuts inside the brackets, exact counts decide
+    between which cuts each rank lies, and this repeats until the brackets are
+    small enough to sort. A round is two partial aggregates for all ranks and
     shrinks the brackets by about the sketch accuracy; a value that fills many
-    rows is settled or left behind in one pass. A good ``guess`` of the bracket
-    saves passes and a bad one does no harm.
+    rows is settled or left behind in one round. A good ``guess`` of the bracket
+    saves rounds and a bad one does no harm. Values are compared as doubles.
     """
     value = F.col("v")
-    known = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
-    first = [F.count("*"), F.min("v"), F.max("v")]
+    known = df.select(F.col(column).cast("double").alias("v"))
+    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
+        known = known.where(~F.isnan("v"))
+    first = [F.count("v"), F.min("v"), F.max("v")]
     if guess:
         first += [F.count_if(value < guess[0]), F.count_if(value <= guess[1])]
     n, low, high, *around = known.agg(*first).first()
@@ -38,6 +41,7 @@ def order_statistics(
     if wanted and not 0 <= wanted[0] <= wanted[-1] < n:
         raise ValueError(f"ranks {wanted} do not fit {n} values")
     brackets = {rank: (low, high, 0, n) for rank in wanted}
+    brackets |= {rank: (edge, edge, rank, rank + 1) for rank, edge in ((0, low), (n - 1, high)) if rank in brackets}
     if guess:
         below, upto = around
         brackets |= {rank: (*guess, below, upto) for rank in wanted if below <= rank < upto}
@@ -67,38 +71,43 @@ def order_statistics(
 def _narrow(known: DataFrame, brackets: dict[int, tuple]) -> dict[int, tuple]:
     """One sketch pass and one counting pass for all open brackets."""
     value = F.col("v")
-    sketches = []
+    step = 2.0 / SKETCH_ACCURACY
+    points: dict[tuple, set[float]] = {}
     for rank, (lo, hi, below, end) in brackets.items():
         at = (rank - below) / (end - below)
-        step = 2.0 / SKETCH_ACCURACY
-        points = [max(0.0, at - step), at, min(1.0, at + step)]
-        within = F.when(value.between(lo, hi), value)
-        sketches.append(F.percentile_approx(within, points, SKETCH_ACCURACY).alias(str(rank)))
-    cuts = {int(rank): sorted(set(found)) for rank, found in known.agg(*sketches).first().asDict().items()}
-    every_cut = sorted({cut for found in cuts.values() for cut in found})
-    checks = []
-    for cut in every_cut:
-        checks += [
-            F.count_if(value < cut),
-            F.count_if(value <= cut),
-            F.max(F.when(value < cut, value)),
-            F.min(F.when(value > cut, value)),
-        ]
-    row = list(known.agg(*checks).first())
-    facts = {cut: row[4 * i : 4 * i + 4] for i, cut in enumerate(every_cut)}
+        points.setdefault((lo, hi), set()).update((max(0.0, at - step), at, min(1.0, at + step)))
+    sketches = [
+        F.percentile_approx(F.when(value.between(lo, hi), value), sorted(shares), SKETCH_ACCURACY)
+        for (lo, hi), shares in points.items()
+    ]
+    cuts = sorted({cut for found in known.agg(*sketches).first() for cut in found})
+    # Counts on and between the cuts; range 0 lies below the first, range i starts at cut i.
+    ranges = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")], inputCol="v", outputCol="range"
+    ).transform(known)
+    at_cut = (F.col("range") > 0) & (
+        F.get(F.array(*map(F.lit, cuts)), F.col("range").cast("int") - 1) == value
+    )
+    parts = (
+        ranges.groupBy("range", (~at_cut).alias("inner"))
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .where("n > 0")
+        .orderBy("range", "inner")
+        .collect()
+    )
+    below, pieces = 0, []
+    for part in parts:
+        pieces.append((part.low, part.high, below, below + part.n))
+        below += part.n
     narrowed = {}
     for rank, (lo, hi, below, end) in brackets.items():
-        for cut in cuts[rank]:
-            less, upto, before, after = facts[cut]
-            if upto <= rank:
-                lo, below = after, upto
-            elif less <= rank:
-                lo, hi, below, end = cut, cut, less, upto
-                break
-            else:
-                hi, end = before, less
-                break
-        narrowed[rank] = (lo, hi, below, end)
+        low, high, before, upto = next(piece for piece in pieces if piece[2] <= rank < piece[3])
+        # A piece may reach beyond the bracket where no cut lies at its edge.
+        if low < lo:
+            low, before = lo, below
+        if high > hi:
+            high, upto = hi, end
+        narrowed[rank] = (low, high, before, upto)
     return narrowed
 
 

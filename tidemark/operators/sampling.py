@@ -27,8 +27,12 @@ def row_digest(key: str | Sequence[str], seed: int) -> Column:
 
 
 def row_draw(key: str | Sequence[str], seed: int) -> Column:
-    """A whole number, uniform below ``DRAWS``, fixed for a key and a seed."""
-    return F.conv(F.substring(row_digest(key, seed), 1, HASH_DIGITS), 16, 10).cast("long")
+    """The leading digits of the digest: text in the order of the numbers it stands for."""
+    return F.substring(row_digest(key, seed), 1, HASH_DIGITS)
+
+
+def _as_text(number: int) -> Column:
+    return F.lit(f"{number:0{HASH_DIGITS}x}")
 
 
 def sample_rows(df: DataFrame, key: str | Sequence[str], n: int = 1, seed: int = 0) -> DataFrame:
@@ -53,21 +57,22 @@ def split_rows(
     """
     draw = row_draw(key, seed)
     if not exact:
-        chosen = draw < F.lit(int(fraction * DRAWS))
+        chosen = draw < _as_text(int(fraction * DRAWS)) if fraction < 1 else F.lit(True)
         return df.where(chosen), df.where(~chosen)
     total = df.count()
     size = int(total * fraction)
     if size <= 0:
-        return df.limit(0), df
+        return df.where(F.lit(False)), df
     # Draws are uniform, so the one at this rank lies close to its share of the range.
     reach = 6 * math.sqrt(fraction * (1 - fraction) / total) + 1 / total
     guess = (int((fraction - reach) * DRAWS), int((fraction + reach) * DRAWS))
-    last = order_statistics(df.select(draw.alias("draw")), "draw", [size - 1], guess)[size - 1]
+    draws = df.select(F.conv(draw, 16, 10).cast("long").alias("draw"))
+    last = _as_text(int(order_statistics(draws, "draw", [size - 1], guess)[size - 1]))
     # Rows that share the last draw are told apart by their key; there are hardly any.
     keys = _keys(key)
-    tied = draw == last
-    below, ties, tied_keys = df.agg(
-        F.count_if(draw < last),
+    tied = F.col("_draw") == last
+    below, ties, tied_keys = df.select(*keys, draw.alias("_draw")).agg(
+        F.count_if(F.col("_draw") < last),
         F.count_if(tied),
         F.sort_array(F.collect_set(F.when(tied, F.struct(*keys)))),
     ).first()

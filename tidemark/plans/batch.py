@@ -8,8 +8,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.joins import MAX_BROADCAST_ROWS, enrich, fits_broadcast, over_quota
-from tidemark.operators.metrics import metric_by_window, metrics_by_dims, presum
+from tidemark.operators.joins import MAX_BROADCAST_ROWS, enrich, over_quota
+from tidemark.operators.metrics import metric_by_window, metrics_by_dims
 from tidemark.schemas import LANDED_MESSAGE
 from tidemark.sources.readers import read_hours
 from tidemark.sources.sinks import Table, compact_partitions, write_table
@@ -29,14 +29,10 @@ class BatchConfig:
 def batch_metrics(messages: DataFrame, dim: DataFrame, config: BatchConfig) -> DataFrame:
     """Metrics of the messages whose user is known, all dimensions in one pass.
 
-    Users that fit into a broadcast meet the messages where these are read, and
-    the only shuffle carries sums. Otherwise the messages are summed by user and
-    message dimension first, so that the join shuffles sums as well.
+    Only the user columns that name a dimension travel to the join.
     """
-    if not fits_broadcast(dim, config.broadcast_rows):
-        kept = [name for name in config.dims if name in messages.columns]
-        messages = presum(messages, list(dict.fromkeys(["id", *kept])), config.window)
-    known = enrich(messages, dim, max_rows=config.broadcast_rows)
+    wanted = [name for name in config.dims if name in dim.columns and name != "id"]
+    known = enrich(messages, dim.select("id", *wanted), max_rows=config.broadcast_rows)
     return metrics_by_dims(known, config.dims, config.window)
 
 

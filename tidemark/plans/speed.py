@@ -30,9 +30,9 @@ class SpeedConfig:
 
 def speed_metrics(messages: DataFrame, dim: DataFrame, config: SpeedConfig) -> DataFrame:
     """Metrics of the messages whose user is known, all dimensions in one query."""
-    return metrics_by_dims(
-        enrich(messages, dim), config.dims, config.window, watermark=config.watermark
-    )
+    wanted = [name for name in config.dims if name in dim.columns and name != "id"]
+    known = enrich(messages, dim.select("id", *wanted))
+    return metrics_by_dims(known, config.dims, config.window, watermark=config.watermark)
 
 
 def run_speed_layer(
