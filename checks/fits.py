@@ -376,6 +376,26 @@ def listing_study_error(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_study(spark, sf).errors[0], 5, "rmse")
 
 
+@check(
+    "listing_study_residuals",
+    histogram_sql("SELECT m - p AS v FROM guess WHERE NOT train AND m IS NOT NULL", f"{STUDY},"),
+)
+def listing_study_residuals(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_study(spark, sf).residuals(), 6, "low", "high")
+
+
+@check(
+    "listing_study_scenarios",
+    f"""WITH {STUDY}, asked AS (SELECT neigh, max(price) + 10 AS price FROM lst GROUP BY 1)
+    SELECT neigh, price, cluster AS neighb_id, round(my + bx * (price - mx) + bt * (cluster - mt), 5) AS predicted
+    FROM asked LEFT JOIN cut ON neigh = member, b""",
+)
+def listing_study_scenarios(spark: SparkSession, sf: str) -> DataFrame:
+    # A neighbourhood without a known area has no cluster and so no prediction.
+    asked = lst(spark, sf).groupBy("neigh").agg((F.max("price") + 10).alias("price"))
+    return rounded(_study(spark, sf).score(asked), 5, "predicted")
+
+
 SIMILAR_ON = ["size", "price", "area"]
 SIMILAR_GAP = " + ".join(f"pow((f.{c} - o.{c}) / w.d_{c}, 2)" for c in SIMILAR_ON)
 
@@ -390,4 +410,4 @@ SIMILAR_GAP = " + ".join(f"pow((f.{c} - o.{c}) / w.d_{c}, 2)" for c in SIMILAR_O
 def listing_study_similar(spark: SparkSession, sf: str) -> DataFrame:
     study = _study(spark, sf)
     one = sample_rows(study.listings, "key").first().asDict()
-    return rounded(study.similar(one, "key").select("key", "distance"), 5, "distance")
+    return rounded(study.similar(one).select("key", "distance"), 5, "distance")

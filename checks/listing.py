@@ -207,19 +207,19 @@ def distinct_sorted(spark: SparkSession, sf: str) -> DataFrame:
 def histogram_sql(values: str, ctes: str = "", bins: int = 20) -> str:
     """Counts over about ``bins`` round bins of the column ``v`` of ``values``."""
     return f"""WITH {ctes} vals AS ({values}),
-  e AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / {bins} AS cell FROM vals),
-  u AS (SELECT *, pow(10, floor(log10(cell))) AS unit FROM e),
-  s AS (SELECT *, CASE
+  ends AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / {bins} AS cell FROM vals),
+  units AS (SELECT *, pow(10, floor(log10(cell))) AS unit FROM ends),
+  steps AS (SELECT *, CASE
       WHEN NOT 2 * unit - cell < 1.5 * (cell - unit) THEN unit
       WHEN NOT 5 * unit - cell < 2.75 * (cell - 2 * unit) THEN 2 * unit
       WHEN NOT 10 * unit - cell < 1.5 * (cell - 5 * unit) THEN 5 * unit
-      ELSE 10 * unit END AS step FROM u),
-  f AS (SELECT step, floor(lo / step) AS first, ceil(hi / step) AS last FROM s),
-  b AS (SELECT greatest(1, CAST(ceil(round(v / step, 7) - first) AS BIGINT)) AS bin, count(*) AS n
-        FROM vals, f GROUP BY 1),
-  every AS (SELECT unnest(range(1, CAST(last - first AS BIGINT) + 1)) AS bin, step, first FROM f)
+      ELSE 10 * unit END AS step FROM units),
+  frame AS (SELECT step, floor(lo / step) AS first, ceil(hi / step) AS last FROM steps),
+  bins AS (SELECT greatest(1, CAST(ceil(round(v / step, 7) - first) AS BIGINT)) AS bin, count(*) AS n
+        FROM vals, frame GROUP BY 1),
+  every AS (SELECT unnest(range(1, CAST(last - first AS BIGINT) + 1)) AS bin, step, first FROM frame)
 SELECT every.bin, round((every.bin - 1 + first) * step, 6) AS low, round((every.bin + first) * step, 6) AS high,
-       coalesce(b.n, 0) AS n FROM every LEFT JOIN b ON every.bin = b.bin"""
+       coalesce(bins.n, 0) AS n FROM every LEFT JOIN bins ON every.bin = bins.bin"""
 
 
 @check("histogram", histogram_sql("SELECT l_extendedprice AS v FROM lineitem"))

@@ -182,10 +182,10 @@ def row_distances(
         .agg(cells.alias("cells"))
         .select(*by, "row", F.col(f"cells.{value}").alias("vector"))
     )
-    largest = packed.groupBy(*by).count().agg(F.max("count")).first()[0] or 1
     # A row has as many cells as the matrix has columns; blocks are bounded in both.
-    width = packed.agg(F.max(F.size("vector"))).first()[0] or 1
-    blocks = math.ceil(largest / max(1, min(BLOCK_ROWS, BLOCK_CELLS // width)))
+    lengths = packed.groupBy(*by).agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("cells"))
+    rows, cells_by_row = lengths.agg(F.max("rows"), F.max("cells")).first()
+    blocks = math.ceil((rows or 1) / max(1, min(BLOCK_ROWS, BLOCK_CELLS // (cells_by_row or 1))))
     dealt = (
         packed.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
@@ -371,10 +371,8 @@ def cut_clusters(
     if members is not None:
         alone = members.select(*by, F.lit(0).alias("_all"), "member", F.col("member").alias("top"))
         found = found.unionByName(alone).groupBy(*keys, "member").agg(F.min("top").alias("top"))
-    found = cut_lineage(found)
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("top"))
-    numbered = found.select(*keys, "top").distinct().withColumn("cluster", number)
-    return join_dimension(found, numbered, [*keys, "top"]).select(*by, "member", "cluster")
+    number = F.dense_rank().over(Window.partitionBy(*keys).orderBy("top"))
+    return found.withColumn("cluster", number).select(*by, "member", "cluster")
 
 
 def _tops_in_tasks(tagged: DataFrame, height: float, keys: list[str]) -> DataFrame:

@@ -13,13 +13,22 @@ from tidemark.operators.groups import (
     attach_cluster,
     complete_linkage,
     cut_clusters,
+    rank_components,
     row_distances,
     symmetric_pairs,
     tukey_pairs,
 )
 from tidemark.operators.joins import drop_groups_without
-from tidemark.operators.reduce import Components, fit_pca, nearest_similar
-from tidemark.operators.regress import LinearFit, fit_ols, impute_ols, predict_ols, rmse
+from tidemark.operators.reduce import Components, fit_pca, nearest_similar, pca_scores
+from tidemark.operators.regress import (
+    LinearFit,
+    fit_ols,
+    impute_ols,
+    predict_ols,
+    residual_histogram,
+    rmse,
+    score_scenarios,
+)
 from tidemark.operators.rows import drop_incomplete, keep_equal, keep_nonempty
 from tidemark.operators.sampling import split_rows
 from tidemark.session import cut_lineage
@@ -76,7 +85,10 @@ class StudyConfig:
 
 @dataclass(frozen=True)
 class Study:
+    config: StudyConfig
     listings: DataFrame  # cleaned, with cluster number, area imputed where unknown
+    train: DataFrame
+    test: DataFrame
     pairs: DataFrame
     merges: DataFrame
     clusters: DataFrame
@@ -84,10 +96,24 @@ class Study:
     errors: Sequence[DataFrame]  # hold-out error of each fit
     components: Components
 
-    def similar(self, query: Mapping[str, float], key: str, k: int = 5) -> DataFrame:
+    def residuals(self, fit: int = 0, bins: int = 20) -> DataFrame:
+        """Histogram of the hold-out residuals of one fit."""
+        scored = predict_ols(self.test, self.fits[fit])
+        return residual_histogram(scored, self.config.area, "predicted", bins)
+
+    def score(self, scenarios: DataFrame, fit: int = 0) -> DataFrame:
+        """Areas of made-up listings, each in a named group."""
+        return score_scenarios(scenarios, self.fits[fit], self.clusters, self.config.group)
+
+    def separating_components(self) -> DataFrame:
+        """Components by how well they tell the clusters apart."""
+        scores = pca_scores(self.listings, self.components)
+        return rank_components(scores, self.components.names(), "neighb_id")
+
+    def similar(self, query: Mapping[str, float], k: int = 5) -> DataFrame:
         """The listings most similar to one described by the study's columns."""
         complete = drop_incomplete(self.listings, self.components.columns)
-        return nearest_similar(complete, self.components, query, key, k)
+        return nearest_similar(complete, self.components, query, self.config.key, k)
 
 
 def clean_listings(df: DataFrame, config: StudyConfig) -> DataFrame:
@@ -108,7 +134,7 @@ def cluster_groups(
     pairs = cut_lineage(tukey_pairs(df, value, group))
     alike = symmetric_pairs(pairs, "p")
     unlike = alike.withColumn("value", 1 - F.col("value"))
-    merges = cut_lineage(complete_linkage(row_distances(unlike)))
+    merges = complete_linkage(row_distances(unlike))
     members = df.where(F.col(value).isNotNull()).select(F.col(group).alias("member")).distinct()
     return pairs, merges, cut_lineage(cut_clusters(merges, height, members=members))
 
@@ -124,4 +150,4 @@ def run_listing_study(df: DataFrame, config: StudyConfig) -> Study:
     errors = [rmse(predict_ols(test, fit), config.area, "predicted") for fit in fits]
     filled = impute_ols(rows, fits[0])
     components = fit_pca(filled, config.similar_on)
-    return Study(filled, pairs, merges, clusters, fits, errors, components)
+    return Study(config, filled, train, test, pairs, merges, clusters, fits, errors, components)

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.joins import join_dimension
 from tidemark.schemas import DATE_PARTS
+from tidemark.session import cut_lineage
+from tidemark.sources.readers import read_dimension
 
 
 @dataclass(frozen=True)
@@ -79,11 +81,10 @@ def ensure_tables(spark: SparkSession, tables: Mapping[str, StructType], root: s
 
 
 def ensure_jdbc_tables(spark: SparkSession, tables: Mapping[str, StructType], jdbc: Mapping[str, str]) -> None:
-    """Create each missing table, empty, in a database; text columns become ``TEXT``."""
+    """Create each missing table, empty, in a database, with the column types of its dialect."""
     for name, schema in tables.items():
-        text = ", ".join(f"{f.name} TEXT" for f in schema.fields if f.dataType.simpleString() == "string")
         writer = spark.createDataFrame([], schema).write.format("jdbc").options(**jdbc)
-        writer.option("dbtable", name).option("createTableColumnTypes", text).mode("ignore").save()
+        writer.option("dbtable", name).mode("ignore").save()
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
@@ -94,6 +95,17 @@ def _readable(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _replaced(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """``old`` with the rows of ``new`` in place of those with the same key."""
+    return join_dimension(old, new.select(key), key, "left_anti").unionByName(new)
+
+
+def _refuse_double_keys(df: DataFrame, key: str) -> None:
+    twice = df.groupBy(key).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"key {key}={twice[0][key]!r} occurs {twice[0]['count']} times")
+
+
 def load_dimension(spark: SparkSession, df: DataFrame, path: str, key: str = "id") -> DataFrame:
     """Add rows to a dimension by key: a known key is replaced, a new one added.
 
@@ -101,19 +113,26 @@ def load_dimension(spark: SparkSession, df: DataFrame, path: str, key: str = "id
     half-written table and a repeated load changes nothing. Returns the table.
     Several rows with one key in ``df`` are refused.
     """
-    twice = df.groupBy(key).count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"key {key}={twice[0][key]!r} occurs {twice[0]['count']} times")
+    _refuse_double_keys(df, key)
     version = 0
     merged = df
     if _readable(spark, path):
         version = _latest(spark, path)
-        old = read_dimension_table(spark, path)
-        merged = join_dimension(old, df.select(key), key, "left_anti").unionByName(df)
+        merged = _replaced(read_dimension_table(spark, path), df, key)
     merged.write.mode("overwrite").parquet(f"{path}/version={version + 1}")
     return read_dimension_table(spark, path)
 
 
+def load_jdbc_dimension(
+    spark: SparkSession, df: DataFrame, jdbc: Mapping[str, str], table: str, key: str = "id"
+) -> None:
+    """:func:`load_dimension` for a table in a database, which is emptied and filled again."""
+    _refuse_double_keys(df, key)
+    merged = cut_lineage(_replaced(read_dimension(spark, jdbc, table), df, key))
+    writer = merged.write.format("jdbc").options(**jdbc, dbtable=table, truncate="true")
+    writer.mode("overwrite").save()
+
+
 def _latest(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).agg(F.max("version")).first()[0]
 
