@@ -72,7 +72,7 @@ def test_moments_are_one_aggregate(spark, sf, monkeypatch):
     real = type(spark.range(1)).first
     monkeypatch.setattr(type(spark.range(1)), "first", lambda df: (seen.append(plan(df)), real(df))[1])
     moments.moments(pts(spark, sf), ["price", "tax", "line"])
-    assert len(seen) == 1 and seen[0].count("Exchange") == 1 and "partial_covar" in seen[0]
+    assert len(seen) == 1 and seen[0].count("Exchange") == 1 and "partial_sum" in seen[0]
 
 
 def test_neighbours_of_many_do_not_shuffle_the_rows(spark, sf):
