@@ -11,7 +11,6 @@ from tidemark.operators import groups, reduce, regress
 from tidemark.operators.joins import join_dimension
 from tidemark.operators.sampling import sample_rows
 from tidemark.plans.study import Study, StudyConfig, run_listing_study
-from tidemark.session import cut_lineage
 
 # --- regression -------------------------------------------------------------
 
@@ -311,7 +310,7 @@ def _many(spark: SparkSession, sf: str, **options: int) -> DataFrame:
     scaled = reduce.standardize(pts(spark, sf), MEASURES)
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("part"), F.col("p_brand").alias("brand"))
     average = join_dimension(scaled, parts, "part").groupBy("brand").agg(*[F.avg(c).alias(c) for c in names])
-    near = reduce.nearest_many(scaled, cut_lineage(average), names, "key", "brand", **options)
+    near = reduce.nearest_many(scaled, average, names, "key", "brand", **options)
     return rounded(near, 6, "distance")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from checks.base import dev, dim, lst, pts, table
 from tidemark.operators import joins, metrics, moments, profile, reduce, rows, sampling
+from tidemark.sources.readers import parse_json
 
 
 def plan(df) -> str:
@@ -97,3 +98,9 @@ def test_null_share_reads_once(spark, sf):
     df = table(spark, sf, "labels").withColumn("quality", F.nullif("quality", F.lit(0)))
     text = plan(profile.null_share(df, ["quality", "toxic"]))
     assert text.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("bad", ["keep", "drop"])
+def test_json_is_parsed_once(spark, bad):
+    payloads = spark.range(3).select(F.concat(F.lit('{"timestamp": 1, "id": "'), "id", F.lit('"}')).alias("value"))
+    assert plan(parse_json(payloads, bad=bad)).count("from_json") == 1

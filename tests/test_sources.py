@@ -42,7 +42,8 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:9092",
         "subscribe": "devices",
     }
-    options = readers.kafka_options("h:9092", "devices", "earliest", 1000)
+    options = readers.kafka_options("h:9092", "devices", "earliest", 1000, 64)
+    assert options["minPartitions"] == "64"
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "1000"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.operators.moments import moments
+from tidemark.session import cut_lineage
 
 QUERY_BLOCK = 4096
 DATA_BLOCK_ROWS = 200_000
@@ -190,8 +191,11 @@ def nearest_many(
     columns = list(columns)
     rows = df.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns])
     rows = rows.dropna("any")
-    asked = queries.select(F.col(query_key).alias("_query"), *[F.col(c).cast("double").alias(c) for c in columns])
-    if asked.where(_sum([F.col(c) for c in columns]).isNull()).limit(1).count():
+    asked = cut_lineage(
+        queries.select(F.col(query_key).alias("_query"), *[F.col(c).cast("double").alias(c) for c in columns])
+    )
+    total, complete = asked.agg(F.count("*"), F.count(_sum([F.col(c) for c in columns]))).first()
+    if complete < total:
         raise ValueError("a query row has a missing value")
     schema = StructType(
         [
@@ -218,7 +222,6 @@ def nearest_many(
             parts.append(pd.DataFrame({"_query": name, "_key": keys[near], "distance": gap[near]}))
         return pd.concat(parts) if parts else pd.DataFrame({f.name: [] for f in schema})
 
-    total = asked.count()
     if total <= query_block:
         sent = asked.toPandas()
         points, names = sent[columns].to_numpy(float), sent["_query"].to_numpy()

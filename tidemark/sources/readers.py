@@ -18,7 +18,8 @@ def read_stream(spark: SparkSession, kind: str, **options: object) -> DataFrame:
 
     ``kind='kafka'`` takes ``servers`` and ``topic``, and optionally
     ``starting_offsets`` (a new query starts at the latest message by default)
-    and ``max_per_trigger`` messages. ``kind='files'`` takes ``path``, and
+    ``max_per_trigger`` messages and ``min_partitions``, which lets several tasks
+    share a crowded topic partition. ``kind='files'`` takes ``path``, and
     optionally ``format``, ``schema`` and ``max_per_trigger`` files.
     """
     if kind == "kafka":
@@ -34,12 +35,15 @@ def kafka_options(
     topic: str,
     starting_offsets: str | None = None,
     max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if starting_offsets:
         options["startingOffsets"] = starting_offsets
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -68,19 +72,21 @@ def parse_json(
     the text is no JSON. ``bad='keep'`` leaves the unknown fields null,
     ``'drop'`` removes such rows, ``'split'`` returns (good rows, bad payloads).
     """
-    payload = F.col(column).cast("string")
-    parsed = df.select(payload.alias("payload"), F.from_json(payload, schema).alias("json"))
-    required = [field.name for field in schema.fields if not field.nullable]
+    # A generator, unlike a projection, lets no filter slip below it: Spark would
+    # parse the text again for every field the filter looks at.
+    parsed = F.inline(F.array(F.from_json("_payload", schema)))
+    rows = df.select(F.col(column).cast("string").alias("_payload")).select("_payload", parsed)
+    fields = schema.fieldNames()
     good = F.lit(True)
-    for name in required:
-        good = good & F.col(f"json.{name}").isNotNull()
-    good = F.coalesce(good, F.lit(False))
+    for field in schema.fields:
+        if not field.nullable:
+            good = good & F.col(field.name).isNotNull()
     if bad == "keep":
-        return parsed.select("json.*")
+        return rows.select(*fields)
     if bad == "drop":
-        return parsed.where(good).select("json.*")
+        return rows.where(good).select(*fields)
     if bad == "split":
-        return parsed.where(good).select("json.*"), parsed.where(~good).select("payload")
+        return rows.where(good).select(*fields), rows.where(~good).select(F.col("_payload").alias("payload"))
     raise ValueError(f"unknown treatment of bad payloads: {bad}")
 
 
