@@ -35,6 +35,14 @@ def test_join_dimension_equals_plain_join(fact, dim, how, max_rows):
     assert rows(joins.join_dimension(fact, dim, "id", how, max_rows)) == rows(fact.join(dim, "id", how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_hot_key_on_both_sides_is_salted(spark, fact, dim, how):
+    more = dim.unionByName(spark.range(50).select(F.lit("hot").alias("id"), F.col("id").alias("quota")))
+    joined = joins.join_dimension(fact, more, "id", how, max_rows=10)
+    assert rows(joined) == rows(fact.join(more, "id", how))
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hot_keys_are_found_and_bounded(fact):
     hashes = joins.hot_key_hashes(fact, ["id"], 0.05)
     named = fact.select("id", F.xxhash64("id").alias("h")).where(F.col("h").isin(hashes)).distinct()

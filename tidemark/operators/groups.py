@@ -23,7 +23,7 @@ from tidemark.session import cut_lineage
 
 BLOCK_ROWS = 256
 BLOCK_CELLS = 4_000_000
-LOCAL_MEMBERS = 512
+LOCAL_MEMBERS = 1000
 
 
 def group_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -> DataFrame:

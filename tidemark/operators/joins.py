@@ -21,7 +21,7 @@ from tidemark.session import cut_lineage
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.001
-STREAM_SALTS = 32
+SALTS = 32
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -65,11 +65,12 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE)
     return [item["item"] for item in items or [] if item["count"] > total * share]
 
 
-def _salted_stream_join(stream: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
-    salt = F.pmod(F.xxhash64(F.struct("*")), F.lit(STREAM_SALTS)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1)))
+def _salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Shuffle join that spreads every key of ``fact`` over several tasks."""
+    salt = F.pmod(F.xxhash64(F.struct("*")), F.lit(SALTS)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return (
-        stream.withColumn("_salt", salt)
+        fact.withColumn("_salt", salt)
         .join(dim.withColumn("_salt", copies), keys + ["_salt"], how)
         .drop("_salt")
     )
@@ -96,7 +97,7 @@ def join_dimension(
     if fits_broadcast(dim, max_rows):
         return fact.join(F.broadcast(dim), keys, how)
     if fact.isStreaming:
-        return _salted_stream_join(fact, dim, keys, how)
+        return _salted_join(fact, dim, keys, how)
     if not split_hot:
         return fact.join(dim, keys, how)
     for key in keys:
@@ -107,14 +108,12 @@ def join_dimension(
     if not hot:
         return fact.join(dim, keys, how)
     is_hot = fill_from(_key_hash(keys).isin(hot), F.lit(False))
-    hot_dim = dim.where(is_hot)
-    if not fits_broadcast(hot_dim, max_rows):
-        return fact.join(dim, keys, how)
-    return (
-        fact.where(is_hot)
-        .join(F.broadcast(hot_dim), keys, how)
-        .unionByName(fact.where(~is_hot).join(dim.where(~is_hot), keys, how))
-    )
+    hot_fact, hot_dim = fact.where(is_hot), dim.where(is_hot)
+    if fits_broadcast(hot_dim, max_rows):
+        apart = hot_fact.join(F.broadcast(hot_dim), keys, how)
+    else:
+        apart = _salted_join(hot_fact, hot_dim, keys, how)
+    return apart.unionByName(fact.where(~is_hot).join(dim.where(~is_hot), keys, how))
 
 
 def enrich(
