@@ -185,3 +185,27 @@ def test_ensure_tables_keeps_what_is_there(spark, tmp_path):
         sinks.write_table(metric_by_window(messages, "id"), target, "by_id", 0)
     sinks.ensure_tables(spark, tables, str(tmp_path))
     assert target.read(spark, METRIC).collect() == [(datetime(1970, 1, 1, 1), "u", 11, "id_total_bytes")]
+
+
+JDBC = {"url": "jdbc:postgresql://nowhere/db", "user": "u", "password": "p", "driver": "org.postgresql.Driver"}
+
+
+@pytest.mark.parametrize(
+    "use",
+    [
+        lambda spark, df: readers.read_dimension(spark, JDBC, "user_metadata"),
+        lambda spark, df: sinks.write_table(df, sinks.JdbcTable(JDBC, "bytes"), "q", 0),
+        lambda spark, df: sinks.ensure_jdbc_tables(spark, {"bytes": METRIC}, JDBC),
+        lambda spark, df: sinks.load_jdbc_dimension(spark, df, JDBC, "user_metadata"),
+    ],
+)
+def test_jdbc_asks_for_its_driver(spark, use):
+    # As far as a database can be approached without one.
+    df = spark.createDataFrame([("1", "a", "a@x", 5)], USER_METADATA)
+    with pytest.raises(Exception, match="org.postgresql.Driver"):
+        use(spark, df)
+
+
+def test_kafka_asks_for_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        readers.read_stream(spark, "kafka", servers="nowhere:9092", topic="devices")
