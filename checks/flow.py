@@ -316,14 +316,14 @@ def stream_metric_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @check(
-    "stream_pipeline",
+    "speed_layer",
     f"""WITH {DEV}, {DIM}, {KNOWN}, {PARTED}, m AS ({SPEED_SQL}),
     closed AS (SELECT * FROM m {CLOSED_KNOWN})
     SELECT type AS kind, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM closed GROUP BY 1
     UNION ALL
     SELECT 'landed ' || CAST(day AS VARCHAR), count(*), CAST(sum(bytes) AS BIGINT) FROM parted GROUP BY 1""",
 )
-def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def speed_layer(spark: SparkSession, sf: str) -> DataFrame:
     landing, out = scratch_path(spark, "landing"), FileTable(scratch_path(spark, "metrics"))
     config = SpeedConfig(landing, scratch_path(spark, "checkpoints"), out, available_now=True)
     run_speed_layer(messages(spark, sf), dim(spark, sf), config)
@@ -336,13 +336,13 @@ def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @check(
-    "batch_pipeline",
+    "batch_layer",
     f"""WITH {DEV}, {DIM}, {KNOWN}, {PARTED}, {ALERTS}, m AS ({METRICS_SQL})
     SELECT type AS kind, id, timestamp, value FROM m
     UNION ALL SELECT 'alert', email, timestamp, usage FROM alerts
     UNION ALL SELECT 'archived', NULL, NULL, count(*) FROM parted""",
 )
-def batch_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def batch_layer(spark: SparkSession, sf: str) -> DataFrame:
     landing, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
     _land(spark, sf, landing)
     config = BatchConfig(

@@ -113,3 +113,10 @@ def test_sample_depends_on_seed(spark):
     one = {r.key for r in sampling.sample_rows(df, "key", 20, seed=1).collect()}
     two = {r.key for r in sampling.sample_rows(df, "key", 20, seed=2).collect()}
     assert len(one) == len(two) == 20 and one != two
+
+
+def test_quantiles_leave_unknown_values_out(spark):
+    df = spark.createDataFrame([(v,) for v in (3.0, float("nan"), None, 1.0, 2.0)], "x double")
+    assert order.quantiles(df, "x", [0.0, 0.5, 1.0]) == [1.0, 2.0, 3.0]
+    with pytest.raises(ValueError, match="no known values"):
+        order.quantiles(df.where("x IS NULL"), "x", [0.5])

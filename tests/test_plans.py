@@ -16,7 +16,7 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in driver.queries() if not n.startswith(("stream", "batch", "listing_study", "linkage_in"))]
+    "name", [n for n in driver.queries() if not n.startswith(("stream", "speed", "batch", "listing_study", "linkage_in"))]
 )
 def test_no_cross_join(spark, sf, name):
     text = plan(driver.queries()[name](spark, sf))

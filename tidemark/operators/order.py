@@ -112,8 +112,11 @@ def _narrow(known: DataFrame, brackets: dict[int, tuple]) -> dict[int, tuple]:
 
 
 def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
-    """Exact quantiles, interpolated between neighbouring values."""
-    n = df.where(F.col(column).isNotNull()).count()
+    """Exact quantiles of the known numbers, interpolated between neighbouring values."""
+    number = F.col(column).cast("double")
+    n = df.agg(F.count_if(number.isNotNull() & ~F.isnan(number))).first()[0]
+    if not n:
+        raise ValueError(f"no known values in {column}")
     spots = [share * (n - 1) for share in shares]
     ranks = {int(spot) for spot in spots} | {min(int(spot) + 1, n - 1) for spot in spots}
     values = order_statistics(df, column, sorted(ranks))
