@@ -63,11 +63,17 @@ def test_global_rank(spark, case):
     assert [row.x for row in found] == sorted(values)
 
 
-def test_global_rank_splits_a_hot_value(spark):
-    df = spark.createDataFrame(list(enumerate(CASES["hot_value"])), "key int, x double")
-    plan = order.global_rank(df, "x", "key", buckets=16)
-    hot = plan.where("x = 1.0").select(F.shiftright(F.xxhash64("key"), 54)).distinct().count()
-    assert hot > 500
+def test_global_rank_ranks_in_small_parts(spark):
+    values = CASES["hot_value"]
+    df = spark.createDataFrame(list(enumerate(values)), "key int, x double")
+    plan = order.global_rank(df, "x", "key", buckets=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [row_number() windowspecdefinition(_range" in plan and "_slot" in plan
+    # Equal values follow their hash, whichever slot they fall into.
+    hashed = df.withColumn("h", F.xxhash64("key"))
+    found = order.global_rank(hashed, "x", "key", buckets=16).where("x = 1.0").orderBy("rank").collect()
+    unsigned = [row.h % 2**64 for row in found]
+    assert len(found) == 1000 and [h >> 54 for h in unsigned] == sorted(h >> 54 for h in unsigned)
+    assert len({h >> 54 for h in unsigned}) > 500
 
 
 def test_global_rank_keeps_unknown_values(spark):

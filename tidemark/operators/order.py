@@ -11,6 +11,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 SMALL_BRACKET = 50_000
 SKETCH_ACCURACY = 10_000
+SLOT_BITS = 10
+SLOTS = 1 << SLOT_BITS
 
 
 def order_statistics(
@@ -133,13 +135,14 @@ def global_rank(
     """Add the 1-based rank by the number ``order``; equal values follow the hash of ``tie``.
 
     Value ranges come from a quantile sketch and are fixed in the plan, so a
-    recomputed task sees the same ranges. A value that is itself an edge gets a
-    range of its own, split further by hash, because one value may hold any
-    share of the rows. Only counts by range reach a single task; rows are ranked
-    inside their range. Rows without a value keep a null rank.
+    recomputed task sees the same ranges. Each is cut into ``SLOTS`` even slots. A
+    value that is itself an edge gets a range of its own, whose slots follow the
+    hash, because one value may hold any share of the rows. Only counts by slot
+    reach a single task; rows are ranked inside their slot. Rows without a value
+    keep a null rank.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
-    shares = [i / buckets for i in range(1, buckets)]
+    shares = [i / buckets for i in range(buckets + 1)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * buckets)).first()[0]
     edges = sorted(set(cuts or [0.0]))
     ranges = Bucketizer(
@@ -147,25 +150,35 @@ def global_rank(
     ).transform(df)
     # Range 0 lies below the first edge, range i starts at edge i, -1 is unknown.
     place = F.coalesce(F.col("_range").cast("int"), F.lit(-1))
-    at_edge = (F.col("_range") > 0) & (
-        F.get(F.array(*map(F.lit, edges)), F.col("_range") - 1) == F.col(order)
-    )
-    spread = F.shiftright("_hash", 54)
+    listed = F.array(*map(F.lit, edges))
+    low, high = F.col("_low"), F.col("_high")
+    # The share of the way from edge to edge never falls as the value grows.
+    way = F.floor((F.col(order) - low) / (high - low) * SLOTS)
+    by_value = F.coalesce(F.least(way, F.lit(SLOTS - 1)), F.lit(0))
+    by_hash = F.shiftrightunsigned("_hash", 64 - SLOT_BITS)
     marked = (
         ranges.withColumn("_range", place)
-        .withColumn("_hash", F.xxhash64(*ties))
-        .withColumn("_inner", (F.col("_range") >= 0) & ~F.coalesce(at_edge, F.lit(False)))
-        .withColumn("_slot", F.when(F.col("_inner"), F.lit(0).cast("long")).otherwise(spread))
+        .withColumns(
+            {
+                "_hash": F.xxhash64(*ties),
+                "_low": F.when(F.col("_range") > 0, F.get(listed, F.col("_range") - 1)),
+                "_high": F.when(F.col("_range") >= 0, F.get(listed, "_range")),
+            }
+        )
+        .withColumn("_inner", (F.col("_range") >= 0) & ~F.coalesce(low == F.col(order), F.lit(False)))
+        .withColumn("_slot", F.when(F.col("_inner"), by_value).otherwise(by_hash))
+        .drop("_low", "_high")
     )
     parts = ["_range", "_inner", "_slot"]
     known = F.when(F.col("_range") >= 0, F.col("_n"))
     before = F.sum(known).over(Window.orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1))
-    # At most 1024 slots for each edge: the size of this table has a fixed bound.
+    # Two times SLOTS for each edge at most: the size of this table has a fixed bound.
     offsets = (
         marked.groupBy(*parts)
         .agg(F.count("*").alias("_n"))
         .select(*parts, F.coalesce(before, F.lit(0)).alias("_before"))
     )
+    # Inside a slot of a single value the hash gives the order, inside the others the value does.
     inside = F.row_number().over(Window.partitionBy(*parts).orderBy(order, "_hash", *ties))
     rank = F.when(F.col("_range") >= 0, F.col("_before") + F.col("_place"))
     return (
