@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import as_timestamp
-from tidemark.operators.joins import join_dimension
-from tidemark.session import cut_lineage
 
 
 def _timed(df: DataFrame, ts: str, columns: Sequence[Column], watermark: str | None) -> DataFrame:
@@ -109,16 +107,17 @@ def count_where_by_window(
 def category_percent(df: DataFrame, key: str, category: str) -> DataFrame:
     """Share in percent of each ``category`` among the rows of its ``key``.
 
-    Counts are written once and meet their totals in a join, which also copes
-    with a key that has most of the categories. A null key is a key of its own.
+    Counts meet their totals in a join: both come from the same shuffle of counts,
+    and adaptive execution splits a key that has most of the categories. A null
+    key is a key of its own.
     """
     named = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    cells = cut_lineage(
+    cells = (
         df.groupBy(key, category)
         .agg(F.count("*").alias("n"))
         .withColumns({"_key": named, "_unknown": F.col(key).isNull()})
     )
     totals = cells.groupBy("_key", "_unknown").agg(F.sum("n").alias("_total"))
-    return join_dimension(cells, totals, ["_key", "_unknown"]).select(
+    return cells.join(totals, ["_key", "_unknown"]).select(
         key, category, "n", (F.col("n") * 100.0 / F.col("_total")).alias("percent")
     )
