@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact, packing, simhash, toxicity
+from tidemark.llm import decontaminate, exact, language, licences, packing, simhash, substring, suffixes, toxicity
+from tidemark.llm import pages as web
 from tidemark.llm.base import held_out, query, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +18,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
 
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op2_decontaminate")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -38,6 +44,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(docs).select("doc_id", *["keep_id", "group_size", "kept", "text_sha256"])
 
 
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~held_out("doc_id")))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("op5_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -54,6 +69,17 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, *tokenizer()).select(*columns)
 
 
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_html_text")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return web.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op9_toxicity")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,3 +90,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
     open_ids = ~held_out("doc_id")
     return toxicity.train(docs.where(open_ids), table(spark, sf_dir, "labels").where(open_ids))
+
+
+@query("op10_licences")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
