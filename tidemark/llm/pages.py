@@ -9,6 +9,7 @@ come from labelled pages by gradient ascent on the likelihood, with the same mes
 from __future__ import annotations
 
 import html
+import random
 import re
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -49,6 +50,9 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
+Edges = list[list[list[float]]]
+
+
 @dataclass
 class Node:
     parent: int
@@ -170,34 +174,42 @@ def _soft(x: float) -> float:
     return x + log1p(exp(-x)) if x > 0 else log1p(exp(x))
 
 
+def kinds(nodes: list[Node]) -> list[int]:
+    """The kind of the edge above each node: to a run of text, to a plain block, to one that may start a part."""
+    starts = ("div", "section", "article", "main", "nav", "aside", "header", "footer", "form", "dialog", "menu", "body", "html")
+    return [0 if n.tag == "#text" else 2 if n.tag in starts or n.names else 1 for n in nodes]
+
+
 def messages(
-    parents: list[int], bias: list[float], edge: list[list[float]]
+    parents: list[int], bias: list[float], edges: Edges, kind: list[int]
 ) -> tuple[list[float], list[float], list[float]]:
     """Sum-product on a tree whose parents stand before their children.
 
-    ``bias`` is the log odds of state 1 by a node's own potential, ``edge`` the log potentials of (parent state, child
-    state). Returns the log odds of each node's marginal, those of its subtree alone, and the message to its parent; all
+    ``bias`` is the log odds of state 1 by a node's own potential, ``edges`` has the log potentials of (parent state, child
+    state) for each kind of edge. Returns the log odds of each node's marginal, those of its subtree alone, and the message to its parent; all
     relative to state 0, so a message is one number.
     """
-    (e00, e01), (e10, e11) = edge
     n = len(parents)
     up, sent = list(bias), [0.0] * n
     for i in range(n - 1, 0, -1):
+        (e00, e01), (e10, e11) = edges[kind[i]]
         sent[i] = e10 - e00 + _soft(e11 - e10 + up[i]) - _soft(e01 - e00 + up[i])
         up[parents[i]] += sent[i]
     belief = list(up)
     for i in range(1, n):
+        (e00, e01), (e10, e11) = edges[kind[i]]
         rest = belief[parents[i]] - sent[i]
         belief[i] = up[i] + (e01 - e00) + _soft(rest + e11 - e01) - _soft(rest + e10 - e00)
     return belief, up, sent
 
 
 def pair_marginals(
-    parents: list[int], edge: list[list[float]], belief: list[float], up: list[float], sent: list[float]
-) -> list[list[float]]:
-    """Sums over all edges of the marginals of (parent state, child state)."""
-    total = [[0.0, 0.0], [0.0, 0.0]]
+    parents: list[int], edges: Edges, kind: list[int], belief: list[float], up: list[float], sent: list[float]
+) -> list[list[list[float]]]:
+    """For each kind of edge the sums of the marginals of (parent state, child state)."""
+    total = [[[0.0, 0.0], [0.0, 0.0]] for _ in edges]
     for i in range(1, len(parents)):
+        edge = edges[kind[i]]
         rest = belief[parents[i]] - sent[i]
         logs = [[edge[s][t] + s * rest + t * up[i] for t in (0, 1)] for s in (0, 1)]
         top = max(map(max, logs))
@@ -205,14 +217,14 @@ def pair_marginals(
         whole = sum(map(sum, weights))
         for s in (0, 1):
             for t in (0, 1):
-                total[s][t] += weights[s][t] / whole
+                total[kind[i]][s][t] += weights[s][t] / whole
     return total
 
 
 @dataclass(frozen=True)
 class Model:
     weights: tuple[tuple[str, float], ...]
-    edge: tuple[tuple[float, float], tuple[float, float]]
+    edges: tuple
 
 
 def labels(nodes: list[Node]) -> list[int]:
@@ -223,34 +235,34 @@ def labels(nodes: list[Node]) -> list[int]:
     return states
 
 
-def train(pages: list[str], rounds: int = 300, rate: float = 0.5, ridge: float = 0.002) -> Model:
+def train(pages: list[str], rounds: int = 100, rate: float = 0.7, ridge: float = 0.0002) -> Model:
     """Fit the model to pages whose elements carry ``data-content`` 0 or 1 where the state changes."""
     trees = []
     index: dict[str, int] = {}
     for page in pages:
         nodes = parse(page)
         rows = [[index.setdefault(f, len(index)) for f in found] for found in features(nodes)]
-        trees.append(([n.parent for n in nodes], rows, labels(nodes)))
-    w, edge = np.zeros(len(index)), np.zeros((2, 2))
-    seen_w, seen_edge = np.zeros(len(index)), np.zeros((2, 2))
+        trees.append(([n.parent for n in nodes], kinds(nodes), rows, labels(nodes)))
+    w, edge = np.zeros(len(index)), np.zeros((3, 2, 2))
+    seen_w, seen_edge = np.zeros(len(index)), np.zeros((3, 2, 2))
     for _ in range(rounds):
         grad_w, grad_edge = -ridge * len(trees) * w, -ridge * len(trees) * edge
         known, joint = w.tolist(), edge.tolist()
-        for parents, rows, states in trees:
-            belief, up, sent = messages(parents, [sum(known[f] for f in r) for r in rows], joint)
+        for parents, kind, rows, states in trees:
+            belief, up, sent = messages(parents, [sum(known[f] for f in r) for r in rows], joint, kind)
             for r, state, odds in zip(rows, states, belief, strict=True):
                 gap = state - 1 / (1 + exp(-min(max(odds, -500.0), 500.0)))
                 for f in r:
                     grad_w[f] += gap
             for i in range(1, len(parents)):
-                grad_edge[states[parents[i]], states[i]] += 1
-            grad_edge -= pair_marginals(parents, joint, belief, up, sent)
+                grad_edge[kind[i], states[parents[i]], states[i]] += 1
+            grad_edge -= pair_marginals(parents, joint, kind, belief, up, sent)
         # Steps scaled by each weight's own past gradients.
         seen_w += grad_w**2
         seen_edge += grad_edge**2
         w += rate * grad_w / np.sqrt(seen_w + 1e-8)
         edge += rate * grad_edge / np.sqrt(seen_edge + 1e-8)
-    return Model(tuple(zip(index, w.tolist(), strict=True)), tuple(map(tuple, edge.tolist())))
+    return Model(tuple(zip(index, w.tolist(), strict=True)), tuple(tuple(map(tuple, e)) for e in edge.tolist()))
 
 
 _TEXT = (
@@ -262,6 +274,15 @@ _HEAD = "Council asks for a second opinion"
 _LINKS = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("Home", "News", "Sport", "Culture", "Contact", "Weather"))
 
 
+# Words of class and id attributes that name parts other than the article.
+_PART_NAMES = (
+    "ad ads advert advertisement sponsored sponsor promo banner cookie cookies consent notice gdpr alert popup modal overlay "
+    "privacy newsletter subscribe signup login search comment comments reply discussion responses disqus related recommended "
+    "share social sharing toolbar nav navigation navbar menu breadcrumb breadcrumbs pagination tags footer header masthead logo "
+    "copyright legal sidebar widget rail topbar disclaimer paywall feedback rating author-box skip"
+)
+
+
 def labelled_pages() -> list[str]:
     """Labelled pages: every way to hold an article, with every kind of part that isn't one around or within it."""
     bodies = [
@@ -277,44 +298,47 @@ def labelled_pages() -> list[str]:
         '<article data-content="1">{}</article>',
         '<main><article data-content="1">{}</article></main>',
         '<div id="content" data-content="1">{}</div>',
-        '<div class="post"><div class="entry-content article-body" data-content="1">{}</div></div>',
+        '<div class="post" data-content="1"><div class="entry-content article-body">{}</div></div>',
         '<section class="story text" data-content="1">{}</section>',
         '<main data-content="1">{}</main>',
         '<div class="page wrapper container"><div data-content="1">{}</div></div>',
     ]
-    outer = [
-        f"<nav><ul>{_LINKS}</ul></nav>",
-        f'<div class="menu"><ul>{_LINKS}</ul></div>',
-        f'<ul class="breadcrumb breadcrumbs">{_LINKS}</ul>',
-        f"<header><h1>Daily Paper</h1><p>{_LINE}</p></header>",
-        f'<div id="header" class="masthead logo">{_LINE}</div>',
+    # Parts that are no content, each around several kinds of inside, so that only the part itself tells.
+    insides = [
+        f"<p>{_TEXT}</p>",
+        f"<h3>{_HEAD}</h3><p>{_LINE}</p>",
+        _LINE,
+        f"<div><p>{_LINE}</p><p>{_TEXT}</p></div>",
+        f"<ul>{_LINKS}</ul>",
+        f"<h2>{_HEAD}</h2><ul><li>{_LINE}</li><li>{_TEXT}</li></ul>",
+        f'{_LINE} <a href="/more">{_LINE}</a>',
+    ]
+    parts = [
+        "<nav>{}</nav>",
+        "<header>{}</header>",
+        "<footer>{}</footer>",
+        "<aside>{}</aside>",
+        "<form>{}</form>",
+        "<dialog>{}</dialog>",
+        "<menu>{}</menu>",
+        *(f'<div class="{w}">{{}}</div>' for w in _PART_NAMES.split()),
+        *(f'<section id="{w}">{{}}</section>' for w in _PART_NAMES.split()[::2]),
         f"<footer>&copy; Daily Paper &middot; {_LINE}</footer>",
-        f'<div class="footer copyright legal"><p>{_TEXT}</p></div>',
-        f"<aside><h3>{_HEAD}</h3><p>{_TEXT}</p></aside>",
-        f'<div class="sidebar widget rail"><p>{_TEXT}</p><ul>{_LINKS}</ul></div>',
-        f'<div class="ad">{_LINE}</div>',
-        f'<div class="ads advert advertisement sponsored sponsor promo banner"><p>{_TEXT}</p></div>',
-        f'<div class="cookie cookies consent notice gdpr" role="dialog"><p>{_TEXT}</p></div>',
-        f'<div class="alert popup modal overlay privacy"><p>{_LINE}</p></div>',
-        f"<dialog><p>{_TEXT}</p></dialog>",
-        f'<form action="/s"><p>{_LINE}</p><label>Name <input></label></form>',
-        f'<div class="newsletter subscribe signup login search"><p>{_LINE}</p></div>',
-        f'<section id="comments" class="comments"><h3>Comments</h3><div class="comment reply"><p>{_TEXT}</p></div></section>',
-        f'<div class="discussion responses disqus"><ul><li><p>{_TEXT}</p></li><li>{_LINE}</li></ul></div>',
-        f'<div class="related recommended more"><h3>{_HEAD}</h3><ul>{_LINKS}</ul></div>',
-        f'<div class="share social sharing toolbar"><p>{_LINE}</p></div>',
-        f'<div class="nav navigation navbar pagination pager tags">{_LINE}</div>',
+        f"<div>&copy; {_LINE} <a href='/'>{_LINE}</a></div>",
     ]
+    outer = [part.format(insides[(i + k) % len(insides)]) for k in (0, 2, 5) for i, part in enumerate(parts)]
+    random.Random(0).shuffle(outer)
     pages = []
-    for i, (holder, body) in enumerate(product(holders, bodies)):
-        around = [outer[(i + k) % len(outer)] for k in range(0, 12, 2)]
+    for i, (holder, body) in enumerate(product(holders, bodies * 2)):
+        around = [outer[(6 * i + k) % len(outer)] for k in range(6)]
         inside = "".join(
-            part.replace(">", ' data-content="0">', 1) for part in (outer[(3 * i) % len(outer)], outer[(5 * i + 7) % len(outer)])
+            part.replace(">", ' data-content="0">', 1)
+            for part in (outer[(3 * i) % len(outer)], outer[(5 * i + 7) % len(outer)])
         )
-        whole = holder.format(body + inside if i % 3 else body)
+        whole = holder.format(inside + body + inside if i % 4 == 0 else body + inside if i % 4 == 1 else body)
         pages.append(f"<html><body>{''.join(around[:3])}{whole}{''.join(around[3:])}</body></html>")
-    pages += [f"<html><body>{part}{holders[0].format(bodies[0])}</body></html>" for part in outer]
     pages.append(f'<body data-content="1">{bodies[0]}</body>')
+    pages.append(f'<html><body data-content="1">{bodies[1]}</body></html>')
     return pages
 
 
@@ -326,12 +350,12 @@ def default_model() -> Model:
 class Extractor:
     def __init__(self, model: Model):
         self.weights = dict(model.weights)
-        self.edge = [list(row) for row in model.edge]
+        self.edges = [[list(row) for row in edge] for edge in model.edges]
 
     def text(self, page: str) -> str:
         nodes = parse(page)
         bias = [sum(self.weights.get(f, 0.0) for f in found) for found in features(nodes)]
-        odds, _, _ = messages([n.parent for n in nodes], bias, self.edge)
+        odds, _, _ = messages([n.parent for n in nodes], bias, self.edges, kinds(nodes))
         runs = (clean(n.text) for n, x in zip(nodes, odds, strict=True) if n.tag == "#text" and x >= 0)
         return "\n\n".join(run for run in runs if run)
 
