@@ -137,6 +137,26 @@ def ols_normal_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, 6, "std_residual", "normal_quantile")
 
 
+# Areas by size and an indicator for each neighbourhood, solved by centring within neighbourhoods.
+LEVELS = f"""{LST}, {GAP}, k AS (SELECT neigh, CAST(size AS DOUBLE) AS x, price AS y FROM gap),
+  g AS (SELECT neigh, avg(x) AS mx, avg(y) AS my FROM k GROUP BY 1),
+  b AS (SELECT sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) AS slope FROM k JOIN g USING (neigh)),
+  base AS (SELECT my - slope * mx AS a FROM g, b ORDER BY neigh LIMIT 1)"""
+
+
+@check(
+    "ols_categorical",
+    f"""WITH {LEVELS}
+    SELECT 'intercept' AS term, round(a, 5) AS estimate FROM base
+    UNION ALL SELECT 'size', round(slope, 5) FROM b
+    UNION ALL SELECT 'neigh=' || neigh, round(my - slope * mx - a, 5) FROM g, b, base
+      WHERE neigh > (SELECT min(neigh) FROM g)""",
+)
+def ols_categorical(spark: SparkSession, sf: str) -> DataFrame:
+    fit = regress.fit_ols(gap(spark, sf), "price", ["size"], categorical=["neigh"])
+    return rounded(regress.ols_table(spark, fit).select("term", "estimate"), 5, "estimate")
+
+
 @check(
     "rmse",
     f"""WITH {ONE} SELECT round(sqrt(avg(pow(a + b * price - area, 2))), 6) AS rmse, count(area) AS n FROM gap, one""",
@@ -246,6 +266,28 @@ def pca_loadings(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("column", "component", F.round(F.abs("loading"), 6).alias("size"))
 
 
+# Three columns: the eigenvalues of the correlation matrix by the cubic formula, a vector as the cross product of two rows.
+THREE = f"""{PTS}, c AS (SELECT corr(quantity, price) AS r, corr(quantity, discount) AS s, corr(price, discount) AS t FROM pts),
+  q AS (SELECT *, sqrt((r * r + s * s + t * t) / 3) AS p FROM c),
+  h AS (SELECT *, acos(least(1, greatest(-1, r * s * t / (p * p * p)))) / 3 AS phi FROM q),
+  e AS (SELECT k AS component, r, s, t, 1 + 2 * p * cos(phi + 2 * pi() * CASE k WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 1 END / 3) AS l
+    FROM h, range(1, 4) AS u(k)),
+  v AS (SELECT component, r * t - s * (1 - l) AS a, s * r - (1 - l) * t AS b, (1 - l) * (1 - l) - r * r AS c FROM e),
+  n AS (SELECT component, sqrt(a * a + b * b + c * c) AS size, a, b, c,
+    CASE WHEN abs(a) >= abs(b) AND abs(a) >= abs(c) THEN sign(a) WHEN abs(b) >= abs(c) THEN sign(b) ELSE sign(c) END AS way FROM v)"""
+
+
+@check(
+    "pca_loadings_three",
+    f"""WITH {THREE} SELECT 'quantity' AS "column", CAST(component AS INTEGER) AS component, round(way * a / size, 5) AS loading FROM n
+    UNION ALL SELECT 'price', CAST(component AS INTEGER), round(way * b / size, 5) FROM n
+    UNION ALL SELECT 'discount', CAST(component AS INTEGER), round(way * c / size, 5) FROM n""",
+)
+def pca_loadings_three(spark: SparkSession, sf: str) -> DataFrame:
+    pca = reduce.fit_pca(pts(spark, sf), ["quantity", "price", "discount"])
+    return rounded(reduce.pca_loadings(spark, pca), 5, "loading")
+
+
 @check("pca_scores", f"WITH {TWO} SELECT key, round(abs(pc1), 6) AS pc1, round(abs(pc2), 6) AS pc2 FROM pc")
 def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
     listings, pca = _two(spark, sf)
@@ -367,6 +409,26 @@ def listing_study(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found.select("key", "neigh", "neighb_id", "size", "price", "square_meters"), 5, "square_meters")
 
 
+@check(
+    "listing_study_null_shares",
+    f"""WITH {STUDY} SELECT 'square_feet' AS "column",
+      (SELECT round(avg(CASE WHEN neigh = 'N1' THEN 100.0 ELSE 0 END), 6) FROM lst) AS before,
+      (SELECT round(avg(CASE WHEN neigh = 'N1' THEN 100.0 ELSE 0 END), 6) FROM clean) AS after
+    UNION ALL SELECT 'square_meters', NULL,
+      (SELECT round(avg(CASE WHEN m IS NULL THEN 100.0 ELSE 0 END), 6) FROM clean)""",
+)
+def listing_study_null_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_study(spark, sf).null_shares(["square_feet", "square_meters"]), 6, "before", "after")
+
+
+@check(
+    "listing_study_clusters",
+    f"WITH {STUDY} SELECT neigh, cluster AS neighb_id, count(*) AS n FROM listed GROUP BY 1, 2",
+)
+def listing_study_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return _study(spark, sf).clusters_by_group()
+
+
 @check(
     "listing_study_error",
     f"WITH {STUDY} SELECT round(sqrt(avg((p - m) * (p - m))), 5) AS rmse, count(m) AS n FROM guess WHERE NOT train",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from tidemark.operators import joins, metrics
 from tidemark.plans.batch import BatchConfig, batch_metrics, run_batch_layer
 from tidemark.plans.speed import SpeedConfig, run_speed_layer, speed_metrics
 from tidemark.schemas import DEVICE_MESSAGE, LANDED_MESSAGE, METRIC, QUOTA_ALERT
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources.readers import parse_json, read_delimited, read_hour, read_stream
 from tidemark.sources.sinks import (
     FileTable,
@@ -183,13 +183,41 @@ def csv_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     docs.write.option("sep", ";").option("header", True).option("quoteAll", True).option(
         "escape", '"'
     ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return read_delimited(spark, path, "doc_id BIGINT, text STRING, lang STRING")
+    return read_delimited(spark, path, "doc_id BIGINT, text STRING, lang STRING", multi_line=True)
 
 
 def _land(spark: SparkSession, sf: str, path: str) -> None:
     compact_partitions(with_date_parts(dev(spark, sf)), path)
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf: str) -> str:
+    """Where the messages lie by hour; made once for each session."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _LANDED:
+        path = scratch_path(spark, "landing")
+        _land(spark, sf, path)
+        _LANDED[at] = path
+    return _LANDED[at]
+
+
+# The hour of a landed message as a time.
+PARTED_HOUR = "make_timestamp(year, month, day, hour, 0, 0)"
+
+
+def _landed_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Landed messages in the columns of a metric."""
+    hour = F.expr("make_timestamp(year, month, day, hour, 0, 0)")
+    return spark.read.schema(LANDED_MESSAGE).parquet(path).select(
+        F.lit(kind).alias("kind"),
+        F.concat_ws("/", "id", "antenna_id", "app").alias("id"),
+        hour.alias("timestamp"),
+        F.col("bytes").alias("value"),
+    )
+
+
 HOUR = datetime(2024, 1, 1, 16)
 PARTED = """parted AS (SELECT timestamp, id, antenna_id, bytes, app,
   CAST(date_part('year', make_timestamp(timestamp * 1000000)) AS INTEGER) AS year,
@@ -208,6 +236,22 @@ def read_one_hour(spark: SparkSession, sf: str) -> DataFrame:
     return read_hour(spark, path, HOUR, LANDED_MESSAGE)
 
 
+@check(
+    "read_hour_elsewhere",
+    f"WITH {DEV}, {PARTED} SELECT * FROM parted WHERE year = 2024 AND month = 1 AND day = 1 AND hour = 16",
+)
+def read_hour_elsewhere(spark: SparkSession, sf: str) -> DataFrame:
+    # Landing and reading go by UTC in a session of any zone.
+    sent = cut_lineage(dev(spark, sf))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        path = scratch_path(spark, "landing")
+        compact_partitions(with_date_parts(sent), path)
+        return cut_lineage(read_hour(spark, path, HOUR, LANDED_MESSAGE))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @check("compact_hour", f"WITH {DEV}, {PARTED} SELECT * FROM parted")
 def compact_hour(spark: SparkSession, sf: str) -> DataFrame:
     landing, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
@@ -319,20 +363,15 @@ def stream_metric_sink(spark: SparkSession, sf: str) -> DataFrame:
     "speed_layer",
     f"""WITH {DEV}, {DIM}, {KNOWN}, {PARTED}, m AS ({SPEED_SQL}),
     closed AS (SELECT * FROM m {CLOSED_KNOWN})
-    SELECT type AS kind, count(*) AS n, CAST(sum(value) AS BIGINT) AS total FROM closed GROUP BY 1
-    UNION ALL
-    SELECT 'landed ' || CAST(day AS VARCHAR), count(*), CAST(sum(bytes) AS BIGINT) FROM parted GROUP BY 1""",
+    SELECT type AS kind, id, timestamp, value FROM closed
+    UNION ALL SELECT 'landed', id || '/' || antenna_id || '/' || app, {PARTED_HOUR}, bytes FROM parted""",
 )
 def speed_layer(spark: SparkSession, sf: str) -> DataFrame:
     landing, out = scratch_path(spark, "landing"), FileTable(scratch_path(spark, "metrics"))
     config = SpeedConfig(landing, scratch_path(spark, "checkpoints"), out, available_now=True)
     run_speed_layer(messages(spark, sf), dim(spark, sf), config)
-    landed = spark.read.schema(LANDED_MESSAGE).parquet(landing)
-    by_day = landed.groupBy(F.concat(F.lit("landed "), F.col("day").cast("string")).alias("kind"))
-    by_type = out.read(spark, METRIC).groupBy(F.col("type").alias("kind"))
-    return by_type.agg(F.count("*").alias("n"), F.sum("value").alias("total")).unionByName(
-        by_day.agg(F.count("*").alias("n"), F.sum("bytes").alias("total"))
-    )
+    metric = out.read(spark, METRIC).select(F.col("type").alias("kind"), "id", "timestamp", "value")
+    return plain_time(metric.unionByName(_landed_rows(spark, landing, "landed")))
 
 
 @check(
@@ -340,25 +379,60 @@ def speed_layer(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {DEV}, {DIM}, {KNOWN}, {PARTED}, {ALERTS}, m AS ({METRICS_SQL})
     SELECT type AS kind, id, timestamp, value FROM m
     UNION ALL SELECT 'alert', email, timestamp, usage FROM alerts
-    UNION ALL SELECT 'archived', NULL, NULL, count(*) FROM parted""",
+    UNION ALL SELECT 'archived', id || '/' || antenna_id || '/' || app, {PARTED_HOUR}, bytes FROM parted""",
 )
 def batch_layer(spark: SparkSession, sf: str) -> DataFrame:
-    landing, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
-    _land(spark, sf, landing)
+    landing, archive = landed(spark, sf), scratch_path(spark, "archive")
     config = BatchConfig(
         landing, archive, FileTable(scratch_path(spark, "bytes_hourly")), FileTable(scratch_path(spark, "alerts"))
     )
     times = plain_time(dev(spark, sf).select(F.timestamp_seconds("timestamp").alias("timestamp")))
     first, last = times.agg(F.min("timestamp"), F.max("timestamp")).first()
+    first, last = (when.replace(minute=0, second=0, microsecond=0) for when in (first, last))
     run_batch_layer(spark, dim(spark, sf), config, first, last + timedelta(hours=1))
     metric = config.metrics.read(spark, METRIC).select(F.col("type").alias("kind"), "id", "timestamp", "value")
     alert = config.alerts.read(spark, QUOTA_ALERT).select(
         F.lit("alert").alias("kind"), F.col("email").alias("id"), "timestamp", F.col("usage").alias("value")
     )
-    kept = spark.read.schema(LANDED_MESSAGE).parquet(archive).agg(
-        F.lit("archived").alias("kind"),
-        F.lit(None).cast("string").alias("id"),
-        F.lit(None).cast("timestamp").alias("timestamp"),
-        F.count("*").alias("value"),
-    )
+    kept = _landed_rows(spark, archive, "archived")
     return plain_time(metric.unionByName(alert).unionByName(kept))
+
+
+# Three hours; the first is run again alone, then once more in another time zone.
+SOME_HOURS = "timestamp >= TIMESTAMP '2024-01-01 16:00:00' AND timestamp < TIMESTAMP '2024-01-01 19:00:00'"
+
+
+@check(
+    "batch_rerun_overlap",
+    f"""WITH {DEV}, {DIM}, {KNOWN}, {ALERTS}, m AS ({METRICS_SQL})
+    SELECT type AS kind, id, timestamp, value FROM m WHERE {SOME_HOURS}
+    UNION ALL SELECT 'alert', email, timestamp, usage FROM alerts WHERE {SOME_HOURS}""",
+)
+def batch_rerun_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    landing = landed(spark, sf)
+    config = BatchConfig(
+        landing,
+        scratch_path(spark, "archive"),
+        FileTable(scratch_path(spark, "bytes_hourly")),
+        FileTable(scratch_path(spark, "alerts")),
+    )
+    users = dim(spark, sf)
+    run_batch_layer(spark, users, config, HOUR, HOUR + timedelta(hours=3))
+    run_batch_layer(spark, users, config, HOUR)
+    elsewhere = (HOUR + timedelta(hours=1)).replace(tzinfo=timezone(timedelta(hours=1)))
+    run_batch_layer(spark, users, config, elsewhere)
+    metric = config.metrics.read(spark, METRIC).select(F.col("type").alias("kind"), "id", "timestamp", "value")
+    alert = config.alerts.read(spark, QUOTA_ALERT).select(
+        F.lit("alert").alias("kind"), F.col("email").alias("id"), "timestamp", F.col("usage").alias("value")
+    )
+    return plain_time(metric.unionByName(alert))
+
+
+@check("stream_new_checkpoint", f"WITH {DEV} SELECT * FROM dev UNION ALL SELECT * FROM dev")
+def stream_new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    # Two queries of one name, each with a checkpoint of its own, add to one table.
+    out = FileTable(scratch_path(spark, "parsed"))
+    for _ in range(2):
+        parsed = parse_json(messages(spark, sf), bad="drop")
+        run_queries([sink_table(parsed, out, scratch_path(spark, "checkpoint"), "parsed", available_now=True)])
+    return out.read(spark, DEVICE_MESSAGE)

@@ -199,6 +199,17 @@ def contingency(spark: SparkSession, sf: str) -> DataFrame:
     return profile.contingency(lst(spark, sf), "neigh", "city")
 
 
+@check(
+    "contingency_wide",
+    """WITH r AS (SELECT DISTINCT o_orderstatus FROM orders), c AS (SELECT DISTINCT o_orderkey FROM orders),
+    n AS (SELECT o_orderstatus, o_orderkey, count(*) AS n FROM orders GROUP BY 1, 2)
+    SELECT o_orderstatus, o_orderkey, coalesce(n, 0) AS n FROM r CROSS JOIN c LEFT JOIN n USING (o_orderstatus, o_orderkey)""",
+)
+def contingency_wide(spark: SparkSession, sf: str) -> DataFrame:
+    # More than ten thousand column values.
+    return profile.contingency(table(spark, sf, "orders"), "o_orderstatus", "o_orderkey")
+
+
 @check("distinct_sorted", f"WITH {LST} SELECT DISTINCT neigh FROM lst ORDER BY 1")
 def distinct_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return profile.distinct_sorted(lst(spark, sf), "neigh")
@@ -359,6 +370,24 @@ def row_distances(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_gaps(spark, sf), 6, "distance")
 
 
+# A long matrix most of whose cells are missing.
+SPARSE = f"""{LST}, cells AS (SELECT city, key % 211 AS col, sum(price) AS v FROM lst GROUP BY 1, 2),
+  w AS (SELECT count(DISTINCT col) AS width FROM cells), r AS (SELECT DISTINCT city FROM cells)"""
+
+
+@check(
+    "row_distances_sparse",
+    f"""WITH {SPARSE},
+    met AS (SELECT x.city AS a, y.city AS b, sum((x.v - y.v) * (x.v - y.v)) AS s, count(*) AS n
+      FROM cells AS x JOIN cells AS y ON x.col = y.col AND x.city < y.city GROUP BY 1, 2)
+    SELECT p.city AS a, q.city AS b, round(sqrt(s * width / n), 4) AS distance
+    FROM r AS p JOIN r AS q ON p.city < q.city CROSS JOIN w LEFT JOIN met ON a = p.city AND b = q.city""",
+)
+def row_distances_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    cells = lst(spark, sf).groupBy("city", (F.col("key") % 211).alias("col")).agg(F.sum("price").alias("v"))
+    return rounded(groups.row_distances(cells, "city", "col", "v"), 4, "distance")
+
+
 def linkage_sql(gaps: str, members: str, most: int) -> str:
     """Complete linkage, one merge after the other, for at most ``most`` members."""
     text = f"""g0 AS MATERIALIZED (SELECT a, b, distance AS d FROM {gaps}),

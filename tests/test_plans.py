@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from checks.base import dev, dim, lst, pts, table
+from checks.base import QUERIES, dev, dim, lst, pts, table
 from tidemark.operators import joins, metrics, moments, profile, reduce, rows, sampling
 from tidemark.sources.readers import parse_json
 
@@ -16,7 +16,7 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in driver.queries() if not n.startswith(("stream", "speed", "batch", "listing_study", "linkage_in"))]
+    "name", [n for n in QUERIES if not n.startswith(("stream", "speed", "batch", "listing_study", "linkage_in"))]
 )
 def test_no_cross_join(spark, sf, name):
     text = plan(driver.queries()[name](spark, sf))

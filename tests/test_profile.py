@@ -30,13 +30,22 @@ def test_frequencies(df):
     assert [r.g for r in profile.distinct_sorted(df, "g").collect()] == ["a", "b"]
 
 
-def test_contingency(df, monkeypatch):
+def test_contingency(df):
     cells = {tuple(r) for r in profile.contingency(df, "g", "h").collect()}
     assert cells == {("a", "x", 1), ("a", "y", 1), ("b", "x", 1), ("b", "y", 0)}
     assert ("b", "y", 0) not in {tuple(r) for r in profile.contingency(df, "g", "h", zeros=False).collect()}
-    monkeypatch.setattr(profile, "MAX_CONTINGENCY_COLUMNS", 1)
-    with pytest.raises(ValueError, match="zeros=False"):
-        profile.contingency(df, "g", "h")
+
+
+def test_contingency_of_very_many_values(spark):
+    wide = spark.range(12_000).select((F.col("id") % 2).alias("g"), "id")
+    cells = profile.contingency(wide, "g", "id")
+    assert cells.agg(F.count("*"), F.sum("n")).first() == (24_000, 12_000)
+    assert "Literal" not in cells._jdf.queryExecution().toString()
+
+
+def test_share_of_a_column_without_values(spark):
+    nothing = spark.createDataFrame([(None,), (None,)], "v double")
+    assert profile.value_share(nothing, "v", 0).first()[0] is None
 
 
 @pytest.mark.parametrize(

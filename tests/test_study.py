@@ -36,7 +36,7 @@ def study(spark, tmp_path_factory):
         )
     path = tmp_path_factory.mktemp("listings")
     (path / "listings.csv").write_text("\n".join(lines) + "\n")
-    raw = read_delimited(spark, str(path), columns=("id", *LISTING_COLUMNS))
+    raw = read_delimited(spark, str(path), columns=("id", *LISTING_COLUMNS), multi_line=True)
     assert raw.count() == 1600
     config = StudyConfig(key="id", keep={"city": "Lisbon", "room_type": "Entire home/apt"})
     return run_listing_study(raw, config)

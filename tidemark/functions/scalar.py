@@ -25,19 +25,32 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp")
 
 
+def utc_date(when: Column) -> Column:
+    """The UTC date of a timestamp, whatever the session time zone."""
+    day = F.floor(F.unix_micros(when) / F.lit(86_400_000_000)).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), day)
+
+
+def utc_hour(when: Column) -> Column:
+    """The UTC hour of the day of a timestamp, whatever the session time zone."""
+    return F.pmod(F.floor(F.unix_micros(when) / F.lit(3_600_000_000)), F.lit(24)).cast("int")
+
+
 def with_date_parts(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Add ``year, month, day, hour`` of ``ts`` in the session time zone."""
+    """Add ``year, month, day, hour`` of ``ts`` in UTC, whatever the session time zone."""
     when = as_timestamp(df, ts)
+    day = utc_date(when)
     return df.withColumns(
-        {
-            "year": F.year(when),
-            "month": F.month(when),
-            "day": F.dayofmonth(when),
-            "hour": F.hour(when),
-        }
+        {"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day), "hour": utc_hour(when)}
     )
 
 
+def hour_label(when: Column) -> Column:
+    """The UTC hour of a timestamp as ``yyyymmddThh``."""
+    day = F.replace(utc_date(when).cast("string"), F.lit("-"), F.lit(""))
+    return F.concat(day, F.lit("T"), F.lpad(utc_hour(when).cast("string"), 2, "0"))
+
+
 def convert_units(value: Column, factor: float, digits: int = 2) -> Column:
     """``value * factor`` rounded half up."""
     return F.round(value * F.lit(factor), digits)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,11 +20,12 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tidemark.functions.distributions import studentized_range
 from tidemark.operators.joins import fits_broadcast, join_dimension
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, scratch_path
 
 BLOCK_ROWS = 256
 BLOCK_CELLS = 4_000_000
-LOCAL_MEMBERS = 1000
+# Members up to which one task merges a segment: its matrix has 72 MB.
+LOCAL_MEMBERS = 3000
 
 
 def group_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -> DataFrame:
@@ -39,10 +41,17 @@ def group_stats(df: DataFrame, value: str, group: str, by: Sequence[str] = ()) -
     )
 
 
+def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key is a key like any other; the keys appear once."""
+    named = right.withColumnsRenamed({name: f"_right_{name}" for name in keys})
+    alike = [left[name].eqNullSafe(named[f"_right_{name}"]) for name in keys]
+    return left.join(named, reduce(lambda a, b: a & b, alike), how).drop(*[f"_right_{name}" for name in keys])
+
+
 def _with_segment(df: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add the columns of each row's segment; without segments the only row becomes constants."""
+    """Add the columns of each row's segment, also of the null one; without segments the only row becomes constants."""
     if by:
-        return df.join(facts, list(by))
+        return _join_same(df, facts, by)
     row = facts.first()
     return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in facts.schema.fields})
 
@@ -80,34 +89,39 @@ def tukey_pairs(
     """Tukey-Kramer comparison of every pair of groups ``a < b``.
 
     ``diff`` is mean of b minus mean of a, with simultaneous bounds and the
-    adjusted p-value. Partners are generated from the group's own position and
-    found by an equi-join, and the p-values are computed where the pairs are.
+    adjusted p-value; k groups give k(k-1)/2 rows. Where no group has two rows, nothing is known about the
+    error: se, q, p and bounds are null. Groups are dealt into blocks and every two blocks meet in an
+    equi-join, so no task ranks all groups. The p-values are computed where the pairs are.
     """
     stats = cut_lineage(group_stats(df, value, group, by))
-    position = F.row_number().over(Window.partitionBy(*by).orderBy(group))
-    ranked = stats.withColumn("rank", position)
     error = anova_from_stats(stats, by).select(*by, "k", "df_within", "ms_within")
-    left = _with_segment(ranked, error, by).where(F.col("rank") < F.col("k"))
-    left = left.withColumn("partner", F.explode(F.sequence(F.col("rank") + 1, F.col("k").cast("int"))))
-    left = left.select(
+    blocks = max(1, math.ceil(stats.count() / BLOCK_ROWS))
+    own = F.pmod(F.xxhash64(group), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    dealt = stats.withColumn("_own", own).withColumn("_other", every)
+    dealt = dealt.withColumns({"_low": F.least("_own", "_other"), "_high": F.greatest("_own", "_other")})
+    facts = F.struct(F.col(group).alias("name"), "n", "mean")
+    left = dealt.where("_own = _low").select(*by, "_low", "_high", facts.alias("x"))
+    right = dealt.where("_own = _high").select(*by, "_low", "_high", facts.alias("y"))
+    met = _join_same(left, right, [*by, "_low", "_high"])
+    met = met.where(
+        F.when(F.col("_low") == F.col("_high"), F.col("x.name") < F.col("y.name")).otherwise(F.lit(True))
+    )
+    turned = F.col("x.name") > F.col("y.name")
+    first, second = F.when(turned, F.col("y")).otherwise(F.col("x")), F.when(turned, F.col("x")).otherwise(F.col("y"))
+    met = met.select(*by, first.alias("x"), second.alias("y"))
+    pairs = _with_segment(met, error, by).select(
         *by,
-        F.col(group).alias("a"),
-        F.col("n").alias("n_a"),
-        F.col("mean").alias("mean_a"),
-        "partner",
+        F.col("x.name").alias("a"),
+        F.col("x.n").alias("n_a"),
+        F.col("x.mean").alias("mean_a"),
+        F.col("y.name").alias("b"),
+        F.col("y.n").alias("n_b"),
+        F.col("y.mean").alias("mean_b"),
         "k",
         "df_within",
         "ms_within",
     )
-    right = ranked.select(
-        *by,
-        F.col("rank").alias("partner"),
-        F.col(group).alias("b"),
-        F.col("n").alias("n_b"),
-        F.col("mean").alias("mean_b"),
-    )
-    # Beyond the broadcast size this shuffles, on partner numbers that are all alike.
-    pairs = left.join(F.broadcast(right) if fits_broadcast(stats) else right, [*by, "partner"])
     se = F.sqrt(F.col("ms_within") / 2 * (1 / F.col("n_a") + 1 / F.col("n_b")))
     apart = F.abs("diff")
     pairs = (
@@ -115,7 +129,8 @@ def tukey_pairs(
         .withColumn("se", se)
         .withColumn(
             "q",
-            F.when(F.col("se") > 0, apart / F.col("se"))
+            F.when(F.col("se").isNull(), F.lit(None))
+            .when(F.col("se") > 0, apart / F.col("se"))
             .when(apart == 0, F.lit(0.0))
             .otherwise(F.lit(float("inf"))),
         )
@@ -174,13 +189,18 @@ def row_distances(
 
     Matrix rows are packed into arrays and dealt into blocks; every task compares
     two blocks of bounded size. Each row travels once for each block, not once
-    for each other row.
+    for each other row; k rows give k(k-1)/2 distances. Cells meet by their column. A column that only one of two rows knows
+    is left out of their sum, which is scaled up to the number of all columns; rows without a common column
+    have a null distance.
     """
-    cells = F.sort_array(F.collect_list(F.struct(column, value)))
+    known = matrix.where(F.col(value).isNotNull())
+    cells = F.sort_array(F.collect_list(F.struct(F.xxhash64(column).alias("at"), F.col(value).cast("double").alias("v"))))
+    width = known.groupBy(*by).agg(F.count_distinct(F.col(column)).alias("width"))
+    packed = known.groupBy(*by, F.col(row).alias("row")).agg(cells.alias("cells"))
     packed = cut_lineage(
-        matrix.groupBy(*by, F.col(row).alias("row"))
-        .agg(cells.alias("cells"))
-        .select(*by, "row", F.col(f"cells.{value}").alias("vector"))
+        _with_segment(packed, width, by).select(
+            *by, "row", "width", F.col("cells.at").alias("at"), F.col("cells.v").alias("vector")
+        )
     )
     # A row has as many cells as the matrix has columns; blocks are bounded in both.
     lengths = packed.groupBy(*by).agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("cells"))
@@ -201,7 +221,8 @@ def row_distances(
     segment = list(by)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.vstack(pdf["vector"].to_numpy()).astype(float)
+        vectors = _aligned(pdf["at"].to_numpy(), pdf["vector"].to_numpy())
+        width = int(pdf["width"].iloc[0])
         names_here = pdf["row"].to_numpy()
         low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
         first = np.flatnonzero(pdf["block"].to_numpy() == low)
@@ -209,7 +230,10 @@ def row_distances(
         parts = []
         for at, i in enumerate(first):
             rest = second[at + 1 :] if low == high else second
-            gap = np.sqrt(((vectors[rest] - vectors[i]) ** 2).sum(axis=1))
+            square = (vectors[rest] - vectors[i]) ** 2
+            shared = (~np.isnan(square)).sum(axis=1)
+            total = np.nansum(square, axis=1) * width / np.maximum(shared, 1)
+            gap = np.sqrt(np.where(shared > 0, total, np.nan))
             parts.append(pd.DataFrame({"a": names_here[i], "b": names_here[rest], "distance": gap}))
         out = pd.concat(parts) if parts else pd.DataFrame({"a": [], "b": [], "distance": []})
         for name in segment:
@@ -217,9 +241,20 @@ def row_distances(
         return out[[*segment, "a", "b", "distance"]]
 
     found = dealt.groupBy(*by, "low", "high").applyInPandas(compare, schema)
-    return found.select(
-        *by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance"
-    )
+    distance = F.when(~F.isnan("distance"), F.col("distance")).alias("distance")
+    return found.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), distance)
+
+
+def _aligned(places: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Rows of cells as one matrix with a column for each place; a missing cell is not a number."""
+    first = places[0]
+    if all(len(p) == len(first) and np.array_equal(p, first) for p in places):
+        return np.vstack(values).astype(float)
+    columns = np.unique(np.concatenate(places))
+    matrix = np.full((len(places), len(columns)), np.nan)
+    for i, (place, value) in enumerate(zip(places, values)):
+        matrix[i, np.searchsorted(columns, place)] = value
+    return matrix
 
 
 def complete_linkage(
@@ -271,9 +306,14 @@ def _merge_in_tasks(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
         gaps[i, j] = gaps[j, i] = pdf["distance"].to_numpy(float)
         size = np.ones(k, dtype=int)
         merges = []
+        # The nearest of each row, the first of equal ones. Merging brings no clusters closer, so only rows whose
+        # nearest took part in a merge look again.
+        near = gaps.argmin(axis=1)
+        least = gaps[np.arange(k), near]
         for step in range(1, k):
-            # The first smallest entry in row order is the one with the smallest names.
-            left, right = divmod(int(gaps.argmin()), k)
+            # The first row of the smallest entry has the smallest names.
+            left = int(least.argmin())
+            right = int(near[left])
             height = gaps[left, right]
             size[left] += size[right]
             merges.append((step, names[left], names[right], height, size[left]))
@@ -281,6 +321,10 @@ def _merge_in_tasks(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
             joined[left] = np.inf
             gaps[left, :] = gaps[:, left] = joined
             gaps[right, :] = gaps[:, right] = np.inf
+            again = np.flatnonzero((near == left) | (near == right))
+            again = np.union1d(again, [left, right])
+            near[again] = gaps[again].argmin(axis=1)
+            least[again] = gaps[again, near[again]]
         out = pd.DataFrame(merges, columns=["step", "left", "right", "height", "size"])
         for name in keys:
             out[name] = pdf[name].iloc[0]
@@ -295,13 +339,16 @@ def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
     With complete linkage a merge never brings clusters closer to others, so two
     clusters that are each other's nearest stay so until they merge. Merging all
     such pairs in one round thus finds the merges of the one-at-a-time order,
-    which the heights restore.
+    which the heights restore. A round halves the clusters at best; where every merge
+    waits for the one before, there are as many rounds as merges. Each round writes its merges to one table, so the plan
+    does not grow.
     """
     keys = [*by, "_all"]
     gaps = tagged
     weights = tagged.select(*keys, F.explode(F.array("a", "b")).alias("name")).distinct()
     weights = cut_lineage(weights.withColumn("w", F.lit(1).cast("long")))
-    merges = None
+    spark = tagged.sparkSession
+    path, rounds, kinds = scratch_path(spark, "merges"), 0, None
     while not gaps.isEmpty():
         edge = F.struct("distance", "a", "b").alias("edge")
         ends = gaps.select(*keys, F.explode(F.array("a", "b")).alias("end"), edge)
@@ -312,13 +359,17 @@ def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
             .where("count = 2")
             .select(*keys, F.col("edge.a").alias("left"), F.col("edge.b").alias("right"), "edge.distance")
         )
-        mutual = cut_lineage(
+        rounds += 1
+        (
             mutual.join(weights.withColumnsRenamed({"name": "left", "w": "w_left"}), [*keys, "left"])
             .join(weights.withColumnsRenamed({"name": "right", "w": "w_right"}), [*keys, "right"])
             .withColumn("size", F.col("w_left") + F.col("w_right"))
             .drop("w_left", "w_right")
+            .select(*keys, "left", "right", "distance", "size")
+            .write.parquet(f"{path}/round={rounds}")
         )
-        merges = mutual if merges is None else merges.unionByName(mutual)
+        mutual = spark.read.parquet(f"{path}/round={rounds}")
+        kinds = mutual.schema
         moves = mutual.select(*keys, "left", "right")
         if fits_broadcast(moves):
             moves = F.broadcast(moves)
@@ -331,17 +382,37 @@ def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
             .agg(F.max("distance").alias("distance"))
             .withColumnsRenamed({"lo": "a", "hi": "b"})
         )
-    order = Window.partitionBy(*keys).orderBy("distance", "left", "right")
-    return merges.select(
-        *keys,
-        F.row_number().over(order).cast("long").alias("step"),
-        "left",
-        "right",
-        F.col("distance").alias("height"),
-        "size",
+    if kinds is None:
+        empty = tagged.select(*keys, F.col("a").alias("left"), F.col("b").alias("right"), "distance")
+        merges = empty.limit(0).withColumn("size", F.lit(0).cast("long"))
+    else:
+        merges = spark.read.schema(kinds).option("basePath", path).parquet(path)
+    return numbered(merges, ["distance", "left", "right"], "step", keys).select(
+        *keys, "step", "left", "right", F.col("distance").alias("height"), "size"
     )
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add the 1-based place in ``order`` within each segment; ``order`` decides between any two rows.
+
+    Rows are dealt by ranges and numbered within each; only counts by range reach a single task.
+    """
+    ranged = df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
+    ranged = cut_lineage(ranged)
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*by, *order))
+    placed = ranged.withColumn("_inside", inside).join(F.broadcast(counts), "_range")
+    placed = placed.withColumn(name, (F.col("_before") + F.col("_inside")).cast("long"))
+    placed = placed.drop("_range", "_before", "_inside")
+    if not by:
+        return placed
+    first = placed.groupBy(*by).agg(F.min(name).alias("_first"))
+    joined = _join_same(placed, first, by)
+    return joined.withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
+
+
 def _renamed(df: DataFrame, column: str, moves: DataFrame, keys: list[str]) -> DataFrame:
     """Clusters named in ``column`` under their name after the merges of this round."""
     names = moves.withColumnsRenamed({"right": column, "left": "_to"})
@@ -371,8 +442,13 @@ def cut_clusters(
     if members is not None:
         alone = members.select(*by, F.lit(0).alias("_all"), "member", F.col("member").alias("top"))
         found = found.unionByName(alone).groupBy(*keys, "member").agg(F.min("top").alias("top"))
-    number = F.dense_rank().over(Window.partitionBy(*keys).orderBy("top"))
-    return found.withColumn("cluster", number).select(*by, "member", "cluster")
+    if largest < local_members:
+        # At most ``local_members`` rows of a segment.
+        number = F.dense_rank().over(Window.partitionBy(*keys).orderBy("top"))
+        return found.withColumn("cluster", number).select(*by, "member", "cluster")
+    names = numbered(found.select(*keys, "top").distinct(), ["top"], "cluster", keys)
+    names = names.withColumn("cluster", F.col("cluster").cast("int"))
+    return _join_same(found, names, [*keys, "top"]).select(*by, "member", "cluster")
 
 
 def _tops_in_tasks(tagged: DataFrame, height: float, keys: list[str]) -> DataFrame:

@@ -1,8 +1,7 @@
 """Joins of a large table to a smaller one.
 
-A side is broadcast only after its size was checked. Beyond that size the hot
-keys of the large side, whose number has a proven bound, are joined by
-broadcast, and only the rest is shuffled.
+A side is broadcast only after its size was checked. Beyond that size both sides are shuffled once; the hot
+keys of the large side, whose number has a proven bound, are spread over several tasks.
 """
 
 from __future__ import annotations
@@ -65,13 +64,17 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE)
     return [item["item"] for item in items or [] if item["count"] > total * share]
 
 
-def _salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Shuffle join that spreads every key of ``fact`` over several tasks."""
-    salt = F.pmod(F.xxhash64(F.struct("*")), F.lit(SALTS)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+def _salted_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str, hot: list[int]) -> DataFrame:
+    """One shuffle join that spreads the hot keys of ``fact`` over several tasks.
+
+    Only the rows of ``dim`` with a hot key are copied, once for each salt.
+    """
+    is_hot = fill_from(_key_hash(keys).isin(hot), F.lit(False))
+    salt = F.when(is_hot, F.pmod(F.xxhash64(F.struct("*")), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return (
         fact.withColumn("_salt", salt)
-        .join(dim.withColumn("_salt", copies), keys + ["_salt"], how)
+        .join(dim.withColumn("_salt", F.explode(copies)), keys + ["_salt"], how)
         .drop("_salt")
     )
 
@@ -83,37 +86,34 @@ def join_dimension(
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
     split_hot: bool = True,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` to ``dim``; the key columns appear once in the result.
 
     ``how`` is one of inner, left, left_semi, left_anti: every row of ``fact``
     may be handled apart from the others, which the split by hot key relies on.
     Without ``split_hot`` a large ``dim`` means one plain shuffle, for a ``fact``
-    that is already summed by key.
+    that is already summed by key. ``hot`` are key hashes from :func:`hot_key_hashes`; without them
+    a batch looks for its own, in one pass over the key columns.
+
+    A stream gets no hint: every micro-batch is planned anew, and Spark broadcasts ``dim`` as long as its files
+    are small enough by then. Keys that are known to be hot, say from landed messages, are split there, too.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if fact.isStreaming:
+        return _salted_join(fact, dim, keys, how, list(hot)) if hot else fact.join(dim, keys, how)
     if fits_broadcast(dim, max_rows):
         return fact.join(F.broadcast(dim), keys, how)
-    if fact.isStreaming:
-        return _salted_join(fact, dim, keys, how)
     if not split_hot:
         return fact.join(dim, keys, how)
     for key in keys:
         left, right = fact.schema[key].dataType, dim.schema[key].dataType
         if left != right:
             raise ValueError(f"key {key} is {left.simpleString()} here and {right.simpleString()} there")
-    hot = hot_key_hashes(fact, keys)
-    if not hot:
-        return fact.join(dim, keys, how)
-    is_hot = fill_from(_key_hash(keys).isin(hot), F.lit(False))
-    hot_fact, hot_dim = fact.where(is_hot), dim.where(is_hot)
-    if fits_broadcast(hot_dim, max_rows):
-        apart = hot_fact.join(F.broadcast(hot_dim), keys, how)
-    else:
-        apart = _salted_join(hot_fact, hot_dim, keys, how)
-    return apart.unionByName(fact.where(~is_hot).join(dim.where(~is_hot), keys, how))
+    found = list(hot) if hot is not None else hot_key_hashes(fact, keys)
+    return _salted_join(fact, dim, keys, how, found) if found else fact.join(dim, keys, how)
 
 
 def enrich(

@@ -138,22 +138,25 @@ def global_rank(
     recomputed task sees the same ranges. Each is cut into ``SLOTS`` even slots. A
     value that is itself an edge gets a range of its own, whose slots follow the
     hash, because one value may hold any share of the rows. Only counts by slot
-    reach a single task; rows are ranked inside their slot. Rows without a value
-    keep a null rank.
+    reach a single task; rows are ranked inside their slot. Infinities lie beyond all edges. Rows without a value
+    or with not-a-number keep a null rank.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
     shares = [i / buckets for i in range(buckets + 1)]
-    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), shares, 10 * buckets)).first()[0]
+    number = F.col(order).cast("double")
+    number = F.when(~F.isnan(number), number)
+    finite = F.when(F.abs(number) < float("inf"), number)
+    cuts = df.agg(F.percentile_approx(finite, shares, 10 * buckets)).first()[0]
     edges = sorted(set(cuts or [0.0]))
     ranges = Bucketizer(
-        splits=[float("-inf"), *edges, float("inf")], inputCol=order, outputCol="_range"
-    ).transform(df)
+        splits=[float("-inf"), *edges, float("inf")], inputCol="_number", outputCol="_range"
+    ).transform(df.withColumn("_number", number)).drop("_number")
     # Range 0 lies below the first edge, range i starts at edge i, -1 is unknown.
     place = F.coalesce(F.col("_range").cast("int"), F.lit(-1))
     listed = F.array(*map(F.lit, edges))
     low, high = F.col("_low"), F.col("_high")
     # The share of the way from edge to edge never falls as the value grows.
-    way = F.floor((F.col(order) - low) / (high - low) * SLOTS)
+    way = F.when(F.abs(F.col(order)) < float("inf"), F.floor((F.col(order) - low) / (high - low) * SLOTS))
     by_value = F.coalesce(F.least(way, F.lit(SLOTS - 1)), F.lit(0))
     by_hash = F.shiftrightunsigned("_hash", 64 - SLOT_BITS)
     marked = (

@@ -8,7 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CONTINGENCY_COLUMNS = 10_000
+from tidemark.session import cut_lineage
+
+# Parts into which the column values of a table with empty cells are dealt.
+CONTINGENCY_PARTS = 64
 
 
 def null_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -20,8 +23,8 @@ def null_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_share(df: DataFrame, column: str, value: object, percent: bool = False) -> DataFrame:
-    """Share of ``value`` among the known values of ``column``, as a fraction or in percent."""
-    share = F.count_if(F.col(column) == F.lit(value)) / F.count(column)
+    """Share of ``value`` among the known values of ``column``, as a fraction or in percent; null if none is known."""
+    share = F.try_divide(F.count_if(F.col(column) == F.lit(value)), F.count(column))
     return df.agg((share * 100 if percent else share).alias("share"))
 
 
@@ -38,9 +41,8 @@ def freq(df: DataFrame, column: str) -> DataFrame:
 def contingency(df: DataFrame, row: str, column: str, zeros: bool = True) -> DataFrame:
     """``(row, column, n)`` for pairs of known values, with ``zeros`` also the empty cells.
 
-    Empty cells multiply the rows by the distinct column values, whose list is
-    then part of the plan and must be short. Without ``zeros`` nothing is
-    limited.
+    With ``zeros`` the result is by definition as long as the distinct rows times the distinct columns. Both come as
+    tables: every row value is copied to each part of the column values and meets it in an equi-join.
     """
     cells = (
         df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
@@ -49,23 +51,15 @@ def contingency(df: DataFrame, row: str, column: str, zeros: bool = True) -> Dat
     )
     if not zeros:
         return cells
-    names = [
-        found[0]
-        for found in df.where(F.col(column).isNotNull())
-        .select(column)
-        .distinct()
-        .orderBy(column)
-        .limit(MAX_CONTINGENCY_COLUMNS + 1)
-        .collect()
-    ]
-    if len(names) > MAX_CONTINGENCY_COLUMNS:
-        raise ValueError(f"more than {MAX_CONTINGENCY_COLUMNS} values in {column}: use zeros=False")
-    known = F.map_from_entries(F.collect_list(F.struct(column, "n")))
+    cells = cut_lineage(cells, "cells")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(CONTINGENCY_PARTS - 1)))
+    rows = cells.select(row).distinct().withColumn("_part", parts)
+    names = df.where(F.col(column).isNotNull()).select(column).distinct()
+    names = names.withColumn("_part", F.pmod(F.xxhash64(column), F.lit(CONTINGENCY_PARTS)).cast("int"))
     return (
-        cells.groupBy(row)
-        .agg(known.alias("known"))
-        .select(row, F.explode(F.array(*map(F.lit, names))).alias(column), "known")
-        .select(row, column, F.coalesce(F.try_element_at("known", F.col(column)), F.lit(0)).alias("n"))
+        rows.join(names, "_part")
+        .join(cells, [row, column], "left")
+        .select(row, column, F.coalesce("n", F.lit(0)).alias("n"))
     )
 
 

@@ -15,8 +15,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tidemark.operators.moments import moments
 from tidemark.session import cut_lineage
 
-QUERY_BLOCK = 4096
-DATA_BLOCK_ROWS = 200_000
+# Queries sent to the tasks in one pass, and cells of the matrix compared at a time.
+QUERY_BLOCK = 50_000
+SCAN_CELLS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -183,10 +184,10 @@ def nearest_many(
 ) -> DataFrame:
     """``(query_key, key, distance, place)``: the ``k`` nearest rows of every query row.
 
-    Up to ``query_block`` queries are sent to the tasks, each of which keeps the
-    best ``k`` by query while it reads its rows; the rows themselves are never
-    shuffled. More queries are dealt into blocks that meet blocks of rows of
-    bounded size. Both ways give all queries their exact answer.
+    The rows are never shuffled: ``query_block`` queries at a time are sent to the tasks, each of which
+    keeps the best ``k`` by query while it reads its rows; more queries take further passes over the rows. Every
+    query gets its exact answer. A query with a missing value, null or not-a-number, is refused;
+    such rows are left out.
     """
     columns = list(columns)
     rows = df.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns])
@@ -194,7 +195,8 @@ def nearest_many(
     asked = cut_lineage(
         queries.select(F.col(query_key).alias("_query"), *[F.col(c).cast("double").alias(c) for c in columns])
     )
-    total, complete = asked.agg(F.count("*"), F.count(_sum([F.col(c) for c in columns]))).first()
+    whole = _sum([F.col(c) for c in columns])
+    total, complete = asked.agg(F.count("*"), F.count(F.when(~F.isnan(whole), whole))).first()
     if complete < total:
         raise ValueError("a query row has a missing value")
     schema = StructType(
@@ -212,18 +214,23 @@ def nearest_many(
     def scan(points: np.ndarray, names: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
         values, keys = pdf[columns].to_numpy(float), pdf["_key"].to_numpy()
         parts = []
-        for point, name in zip(points, names):
-            gap = ((values - point) ** 2).sum(axis=1)
-            if len(gap) > k:
-                near = np.flatnonzero(gap <= np.partition(gap, k - 1)[k - 1])
-            else:
-                near = np.arange(len(gap))
-            near = near[np.lexsort((keys[near], gap[near]))[:k]]
-            parts.append(pd.DataFrame({"_query": name, "_key": keys[near], "distance": gap[near]}))
+        # One product for many queries finds the rows that can be among the best; their distances are then exact.
+        some = max(1, SCAN_CELLS // max(1, len(values)))
+        lengths = (values**2).sum(axis=1)
+        for at in range(0, len(points), some):
+            block = points[at : at + some]
+            own = (block**2).sum(axis=1)
+            rough = lengths[:, None] + own[None, :] - 2 * (values @ block.T)
+            slack = 1e-9 * (own + (lengths.max() if len(lengths) else 0.0))
+            limit = np.partition(rough, k - 1, axis=0)[k - 1] if len(values) > k else np.full(len(block), np.inf)
+            for i, near in enumerate((rough <= limit + slack).T):
+                near = np.flatnonzero(near)
+                gap = ((values[near] - block[i]) ** 2).sum(axis=1)
+                best_ = np.lexsort((keys[near], gap))[:k]
+                parts.append(pd.DataFrame({"_query": names[at + i], "_key": keys[near[best_]], "distance": gap[best_]}))
         return pd.concat(parts) if parts else pd.DataFrame({f.name: [] for f in schema})
 
-    if total <= query_block:
-        sent = asked.toPandas()
+    def nearby(sent: pd.DataFrame) -> DataFrame:
         points, names = sent[columns].to_numpy(float), sent["_query"].to_numpy()
 
         def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,27 +241,12 @@ def nearest_many(
             if kept is not None:
                 yield kept
 
-        candidates = rows.mapInPandas(read, schema)
-    else:
-        query_blocks = -(-total // query_block)
-        data_blocks = max(1, -(-rows.count() // DATA_BLOCK_ROWS))
+        return rows.mapInPandas(read, schema)
 
-        def every(blocks: int) -> Column:
-            return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-
-        dealt_rows = rows.withColumn("_part", F.pmod(F.xxhash64("_key"), F.lit(data_blocks)))
-        dealt_rows = dealt_rows.withColumn("_block", every(query_blocks))
-        dealt_asked = asked.withColumn("_block", F.pmod(F.xxhash64("_query"), F.lit(query_blocks)))
-        dealt_asked = dealt_asked.withColumn("_part", every(data_blocks))
-
-        def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            return scan(right[columns].to_numpy(float), right["_query"].to_numpy(), left)
-
-        candidates = (
-            dealt_rows.groupBy("_block", "_part")
-            .cogroup(dealt_asked.groupBy("_block", "_part"))
-            .applyInPandas(meet, schema)
-        )
+    passes = max(1, -(-total // query_block))
+    part = F.pmod(F.xxhash64("_query"), F.lit(passes))
+    blocks = (asked.where(part == i).toPandas() for i in range(passes))
+    candidates = reduce(DataFrame.unionByName, map(nearby, blocks))
     place = F.row_number().over(Window.partitionBy("_query").orderBy("distance", "_key"))
     return (
         candidates.withColumn("place", place)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,8 @@ from tidemark.operators.profile import histogram
 
 # A predictor this close to a combination of the earlier ones adds nothing.
 ALIAS_TOLERANCE = 1e-7
+# A leverage this close to 1 is 1 but for rounding.
+LEVERAGE_TOLERANCE = 1e-10
 
 
 @dataclass(frozen=True)
@@ -42,6 +45,7 @@ class LinearFit:
     inverse: np.ndarray  # of the scatter of the predictors
     ss_total: float
     ss_residual: float = float("nan")
+    levels: tuple[tuple[str, tuple], ...] = ()  # categorical predictors and their values, the base first
 
     @property
     def df_residual(self) -> int:
@@ -55,16 +59,30 @@ class LinearFit:
     def r2(self) -> float:
         return 1.0 - self.ss_residual / self.ss_total if self.ss_total > 0 else float("nan")
 
+    @property
+    def sources(self) -> list[str]:
+        """The columns of a table that the predictors are made of."""
+        made = set(_indicators(self.levels))
+        return [x for x in (*self.xs, *self.aliased) if x not in made] + [name for name, _ in self.levels]
+
+    def term(self, x: str) -> Column:
+        """One predictor as a number: a column, or the indicator of a category."""
+        return _indicators(self.levels).get(x, F.col(x).cast("double"))
+
     def prediction(self) -> Column:
+        """The fitted value; null unless every predictor is known, and a category one of the fit."""
         total = F.lit(self.intercept)
         for slope, x in zip(self.slopes, self.xs):
-            total = total + F.lit(slope) * F.col(x).cast("double")
-        for x in self.aliased:
-            total = F.when(F.col(x).isNotNull(), total)
-        return total
+            total = total + F.lit(slope) * self.term(x)
+        known = F.lit(True)
+        for x in self.sources:
+            known = known & _known(x)
+        for name, values in self.levels:
+            known = known & F.col(name).isin(list(values))
+        return F.when(known, total)
 
     def leverage(self) -> Column:
-        off = [F.col(x).cast("double") - F.lit(m) for x, m in zip(self.xs, self.center)]
+        off = [self.term(x) - F.lit(m) for x, m in zip(self.xs, self.center)]
         total = F.lit(1.0 / self.n)
         for i in range(len(off)):
             for j in range(len(off)):
@@ -72,6 +90,21 @@ class LinearFit:
         return total
 
 
+def _known(name: str) -> Column:
+    """Whether a column holds a value; not-a-number is none."""
+    number = F.col(name).try_cast("double")
+    return F.col(name).isNotNull() & ~F.coalesce(F.isnan(number), F.lit(False))
+
+
+def _indicators(levels: Sequence[tuple[str, tuple]]) -> dict[str, Column]:
+    """A 0/1 column for each value but the first of each categorical predictor."""
+    return {
+        f"{name}={value}": (F.col(name) == F.lit(value)).cast("double")
+        for name, values in levels
+        for value in values[1:]
+    }
+
+
 def _independent(scatter: np.ndarray) -> list[int]:
     """Positions of the predictors that are no combination of the ones before them."""
     kept: list[int] = []
@@ -85,15 +118,25 @@ def _independent(scatter: np.ndarray) -> list[int]:
     return kept
 
 
-def fit_ols(df: DataFrame, y: str, xs: Sequence[str]) -> LinearFit:
+def fit_ols(df: DataFrame, y: str, xs: Sequence[str], categorical: Sequence[str] = ()) -> LinearFit:
     """Least squares of ``y`` on the numbers ``xs`` with intercept, over complete rows.
 
-    A predictor that is constant or a combination of earlier ones is left out of
-    the equation and listed in ``aliased``.
+    A null or not-a-number anywhere makes a row incomplete. A predictor that is constant or a combination of
+    earlier ones is left out of the equation and listed in ``aliased``. Each column in ``categorical`` enters as
+    one indicator ``column=value`` for each of its values but the first in order, the base; every value is
+    a coefficient, so their number must suit a matrix on the driver.
     """
-    m = moments(df, [*xs, y])
+    whole = reduce(lambda a, b: a & b, map(_known, [y, *xs, *categorical]))
+    rows = df.where(whole)
+    levels = []
+    for name in categorical:
+        values = tuple(row[0] for row in rows.select(name).distinct().orderBy(name).collect())
+        levels.append((name, values))
+    made = _indicators(levels)
+    predictors = [*xs, *made]
+    m = moments(rows.select(*[F.col(x) for x in xs], *[c.alias(x) for x, c in made.items()], y), [*predictors, y])
     kept = _independent(m.scatter[:-1, :-1])
-    names = tuple(xs[i] for i in kept)
+    names = tuple(predictors[i] for i in kept)
     center, scatter = m.part(names)
     size = np.sqrt(np.diag(scatter))
     inverse = np.linalg.inv(scatter / np.outer(size, size)) / np.outer(size, size)
@@ -101,16 +144,17 @@ def fit_ols(df: DataFrame, y: str, xs: Sequence[str]) -> LinearFit:
     fit = LinearFit(
         y=y,
         xs=names,
-        aliased=tuple(x for x in xs if x not in names),
+        aliased=tuple(x for x in predictors if x not in names),
         n=m.n,
         intercept=float(m.mean[-1] - slopes @ center),
         slopes=tuple(map(float, slopes)),
         center=tuple(map(float, center)),
         inverse=inverse,
         ss_total=float(m.scatter[-1, -1]),
+        levels=tuple(levels),
     )
     residual = F.col(y).cast("double") - fit.prediction()
-    return replace(fit, ss_residual=df.agg(F.sum(residual * residual)).first()[0])
+    return replace(fit, ss_residual=rows.agg(F.sum(residual * residual)).first()[0])
 
 
 def ols_table(spark: SparkSession, fit: LinearFit) -> DataFrame:
@@ -153,7 +197,7 @@ def residual_histogram(df: DataFrame, y: str, predicted: str, bins: int = 20) ->
 
 def residual_quartiles(df: DataFrame, fit: LinearFit) -> DataFrame:
     """One row with minimum, quartiles and maximum of the residuals, exact."""
-    scored = with_residual(predict_ols(df.select(fit.y, *fit.xs, *fit.aliased), fit, "_fitted"), fit.y, "_fitted")
+    scored = with_residual(predict_ols(df.select(fit.y, *fit.sources), fit, "_fitted"), fit.y, "_fitted")
     values = quantiles(scored, "residual", [0.0, 0.25, 0.5, 0.75, 1.0])
     return df.sparkSession.createDataFrame(
         [tuple(map(float, values))],
@@ -171,11 +215,14 @@ def ols_diagnostics(df: DataFrame, fit: LinearFit, key: str | Sequence[str] | No
 
     Rows that were not part of the fit for a missing value are left out. With a
     row ``key`` the theoretical normal quantile of each standardised residual is
-    added, which needs its rank in the whole table.
+    added, which needs its rank in the whole table. A row of leverage 1 has no
+    standardised residual, distance or quantile.
     """
     p = len(fit.xs) + 1
-    rows = df.dropna("any", subset=[fit.y, *fit.xs, *fit.aliased])
-    spread = F.sqrt(1 - F.col("leverage"))
+    rows = df.where(reduce(lambda a, b: a & b, map(_known, [fit.y, *fit.sources])))
+    # A row that alone decides a coefficient has leverage 1 and a residual of 0 over 0.
+    left = F.when(1 - F.col("leverage") > LEVERAGE_TOLERANCE, 1 - F.col("leverage"))
+    spread = F.sqrt(left)
     rows = (
         rows.withColumn("fitted", fit.prediction())
         .withColumn("residual", F.col(fit.y) - F.col("fitted"))
@@ -185,7 +232,7 @@ def ols_diagnostics(df: DataFrame, fit: LinearFit, key: str | Sequence[str] | No
         .withColumn(
             "cooks",
             F.try_divide(
-                F.pow("std_residual", F.lit(2)) * F.col("leverage"), (1 - F.col("leverage")) * p
+                F.pow("std_residual", F.lit(2)) * F.col("leverage"), left * p
             ),
         )
     )
@@ -199,7 +246,7 @@ def ols_diagnostics(df: DataFrame, fit: LinearFit, key: str | Sequence[str] | No
 
 
 def rmse(df: DataFrame, y: str, predicted: str, link: str | None = None) -> DataFrame:
-    """One row: root mean squared error over the rows where both values are known.
+    """One row: root mean squared error over the rows where both values are known numbers.
 
     ``link='exp'`` compares the exponential of the prediction, for models of a logarithm.
     """
@@ -207,6 +254,7 @@ def rmse(df: DataFrame, y: str, predicted: str, link: str | None = None) -> Data
         raise ValueError(f"unknown link: {link}")
     guess = F.exp(predicted) if link else F.col(predicted)
     gap = guess - F.col(y)
+    gap = F.when(~F.isnan(gap), gap)
     return df.agg(F.sqrt(F.avg(gap * gap)).alias("rmse"), F.count(gap).alias("n"))
 
 
@@ -228,4 +276,5 @@ def score_scenarios(
 def impute_ols(df: DataFrame, fit: LinearFit, column: str | None = None) -> DataFrame:
     """Replace the unknown values of the response by their prediction."""
     column = column or fit.y
-    return df.withColumn(column, fill_from(F.col(column).cast("double"), fit.prediction()))
+    known = F.when(_known(column), F.col(column).cast("double"))
+    return df.withColumn(column, fill_from(known, fit.prediction()))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import as_timestamp
 from tidemark.operators.joins import MAX_BROADCAST_ROWS, enrich, over_quota
 from tidemark.operators.metrics import metric_by_window, metrics_by_dims
 from tidemark.schemas import LANDED_MESSAGE
+from tidemark.session import cut_lineage
 from tidemark.sources.readers import read_hours
-from tidemark.sources.sinks import Table, compact_partitions, write_table
+from tidemark.sources.sinks import Table, compact_partitions
 
 
 @dataclass(frozen=True)
@@ -26,6 +30,20 @@ class BatchConfig:
     broadcast_rows: int = MAX_BROADCAST_ROWS
 
 
+def usage_by_window(messages: DataFrame, config: BatchConfig) -> DataFrame:
+    """Bytes by user, the message's own dimensions and window: what both outputs are summed from.
+
+    The columns are those of a message, with the start of the window as its time.
+    """
+    own = list(dict.fromkeys(["id", *(name for name in config.dims if name in messages.columns)]))
+    timed = messages.select(as_timestamp(messages, "timestamp").alias("timestamp"), *own, "bytes")
+    return (
+        timed.groupBy(*own, F.window("timestamp", config.window))
+        .agg(F.sum("bytes").alias("bytes"))
+        .select(F.col("window.start").alias("timestamp"), *own, "bytes")
+    )
+
+
 def batch_metrics(messages: DataFrame, dim: DataFrame, config: BatchConfig) -> DataFrame:
     """Metrics of the messages whose user is known, all dimensions in one pass.
 
@@ -45,6 +63,24 @@ def quota_alerts(messages: DataFrame, dim: DataFrame, window: str = "1 hour") ->
     return over_quota(metric_by_window(messages, "id", window), dim)
 
 
+def hours_between(start: datetime, end: datetime) -> list[str]:
+    """The UTC hours from ``start`` up to ``end`` as ``yyyymmddThh``; a time without a zone is UTC."""
+    first, last = (t.astimezone(timezone.utc) if t.tzinfo else t.replace(tzinfo=timezone.utc) for t in (start, end))
+    for when in (first, last):
+        if when.minute or when.second or when.microsecond:
+            raise ValueError(f"{when} is not the start of an hour")
+    count = int((last - first).total_seconds()) // 3600
+    return [f"{first + timedelta(hours=i):%Y%m%dT%H}" for i in range(count)]
+
+
+def _refuse_uneven(window: str) -> None:
+    """Refuse windows that do not divide an hour: they would cross the hours that are replaced."""
+    found = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour)s?\s*", window)
+    seconds = int(found[1]) * {"second": 1, "minute": 60, "hour": 3600}[found[2]] if found else 0
+    if not seconds or 3600 % seconds:
+        raise ValueError(f"a window of {window!r} does not divide an hour")
+
+
 def run_batch_layer(
     spark: SparkSession,
     dim: DataFrame,
@@ -54,11 +90,15 @@ def run_batch_layer(
 ) -> None:
     """Process the hours from ``start`` up to ``end``, by default one hour.
 
-    Running the same hours again replaces what they wrote.
+    Every hour is replaced by itself: running some of the same hours again, alone, within another range or given in another
+    time zone, leaves each with its rows once. Messages are scanned once for their sums, from which
+    metrics and alerts come, and once for the archive.
     """
+    _refuse_uneven(config.window)
     end = end or start + timedelta(hours=1)
+    hours = hours_between(start, end)
     messages = read_hours(spark, config.landing, start, end, LANDED_MESSAGE)
-    batch = f"{start:%Y%m%dT%H}-{end:%Y%m%dT%H}"
-    write_table(batch_metrics(messages, dim, config), config.metrics, "batch_metrics", batch)
-    write_table(quota_alerts(messages, dim, config.window), config.alerts, "batch_alerts", batch)
+    usage = cut_lineage(usage_by_window(messages, config), "usage")
+    config.metrics.write_hours(batch_metrics(usage, dim, config), "batch_metrics", hours)
+    config.alerts.write_hours(quota_alerts(usage, dim, config.window), "batch_alerts", hours)
     compact_partitions(messages, config.archive)

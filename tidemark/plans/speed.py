@@ -42,6 +42,9 @@ def run_speed_layer(
 
     ``source`` has the payload in ``value``. Malformed payloads go to
     ``config.rejected`` where one is given.
+
+    Each output is a query of its own with its own checkpoint, so one can fail, restart or be added without the others; the price
+    is that the source is read and parsed once for each of the two or three.
     """
     messages, rejected = parse_json(source, bad="split")
     timing = {"available_now": config.available_now, "every": config.every}

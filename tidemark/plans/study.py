@@ -19,6 +19,7 @@ from tidemark.operators.groups import (
     tukey_pairs,
 )
 from tidemark.operators.joins import drop_groups_without
+from tidemark.operators.profile import contingency, freq, histogram, null_share, value_share
 from tidemark.operators.reduce import Components, fit_pca, nearest_similar, pca_scores
 from tidemark.operators.regress import (
     LinearFit,
@@ -95,6 +96,41 @@ class Study:
     fits: Sequence[LinearFit]
     errors: Sequence[DataFrame]  # hold-out error of each fit
     components: Components
+    raw: DataFrame  # the listings as they came
+    cleaned: DataFrame  # the cleaned rows, areas still unknown where they were
+
+    def null_shares(self, columns: Sequence[str]) -> DataFrame:
+        """``(column, before, after)``: percent of nulls as the listings came and after cleaning."""
+        before = null_share(self.raw, [c for c in columns if c in self.raw.columns])
+        after = null_share(self.cleaned, columns).withColumnRenamed("percent", "after")
+        return after.join(before.withColumnRenamed("percent", "before"), "column", "left").select(
+            "column", "before", "after"
+        )
+
+    def zero_share(self, column: str) -> DataFrame:
+        """Percent of zeros among the known values of a column as the listings came."""
+        return value_share(self.raw, column, 0, percent=True)
+
+    def histogram(self, column: str, bins: int = 20) -> DataFrame:
+        """Histogram of a column of the cleaned rows."""
+        return histogram(self.cleaned, column, bins)
+
+    def frequency(self, column: str) -> DataFrame:
+        """Cleaned rows by value of a column."""
+        return freq(self.cleaned, column)
+
+    def clusters_by_group(self) -> DataFrame:
+        """Cleaned rows by group and cluster."""
+        return contingency(self.cleaned, self.config.group, "neighb_id", zeros=False)
+
+    def summaries(self) -> DataFrame:
+        """``(model, r2, sigma, rmse, n)``: every fit with its hold-out error."""
+        rows = []
+        for i, (fit, error) in enumerate(zip(self.fits, self.errors)):
+            found = error.first()
+            rows.append((i, fit.r2, fit.sigma, found["rmse"], found["n"]))
+        kinds = "model int, r2 double, sigma double, rmse double, n long"
+        return self.listings.sparkSession.createDataFrame(rows, kinds)
 
     def residuals(self, fit: int = 0, bins: int = 20) -> DataFrame:
         """Histogram of the hold-out residuals of one fit."""
@@ -150,4 +186,4 @@ def run_listing_study(df: DataFrame, config: StudyConfig) -> Study:
     errors = [rmse(predict_ols(test, fit), config.area, "predicted") for fit in fits]
     filled = impute_ols(rows, fits[0])
     components = fit_pca(filled, config.similar_on)
-    return Study(config, filled, train, test, pairs, merges, clusters, fits, errors, components)
+    return Study(config, filled, train, test, pairs, merges, clusters, fits, errors, components, df, rows)

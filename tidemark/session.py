@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# The same for a local session that is running already, where that setting is fixed.
+LOCAL_CONF = "tidemark.local.root"
 
 
 def local_session(app: str = "tidemark", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -22,6 +24,9 @@ def local_session(app: str = "tidemark", cores: int | str = "*", **conf: str) ->
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if CHECKPOINT_CONF not in conf:
+        # One machine: any folder of it is shared by all tasks.
+        builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="tidemark-"))
     for name, value in conf.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
@@ -30,20 +35,15 @@ def local_session(app: str = "tidemark", cores: int | str = "*", **conf: str) ->
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    A local session that names none gets a folder of its machine, set once for the session.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.conf.get(LOCAL_CONF, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    # Remembered under a name of our own: the checkpoint setting itself is
-    # fixed once the session runs.
-    root = spark.conf.get("tidemark.local.root", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("tidemark.local.root", root)
-    return root
+    spark.conf.set(LOCAL_CONF, tempfile.mkdtemp(prefix="tidemark-"))
+    return spark.conf.get(LOCAL_CONF)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tidemark.schemas import DEVICE_MESSAGE
+from tidemark.schemas import DATE_PARTS, DEVICE_MESSAGE
+
+# Hours of a range that are opened by name; a longer range lists the tree.
+LISTED_HOURS = 1_000
 
 
 def read_stream(spark: SparkSession, kind: str, **options: object) -> DataFrame:
@@ -126,7 +130,8 @@ def jdbc_read_options(
 
 
 def _as_utc(when: datetime) -> datetime:
-    return when.astimezone(timezone.utc) if when.tzinfo else when
+    """A time in UTC; one without a zone is taken as such."""
+    return when.astimezone(timezone.utc) if when.tzinfo else when.replace(tzinfo=timezone.utc)
 
 
 def read_hour(spark: SparkSession, path: str, when: datetime, schema: StructType | None = None) -> DataFrame:
@@ -134,25 +139,45 @@ def read_hour(spark: SparkSession, path: str, when: datetime, schema: StructType
 
     Only that directory is read. Giving the ``schema`` saves discovering it.
     """
-    when = _as_utc(when)
-    return _landed(spark, path, schema).where(
-        (F.col("year") == when.year)
-        & (F.col("month") == when.month)
-        & (F.col("day") == when.day)
-        & (F.col("hour") == when.hour)
-    )
+    floor = _as_utc(when).replace(minute=0, second=0, microsecond=0)
+    return read_hours(spark, path, floor, floor + timedelta(hours=1), schema)
 
 
 def read_hours(
     spark: SparkSession, path: str, start: datetime, end: datetime, schema: StructType | None = None
 ) -> DataFrame:
-    """The hours from ``start`` up to, not including, ``end``; only their directories are read."""
+    """The hours from ``start`` up to, not including, ``end``; only their directories are read.
+
+    Up to ``LISTED_HOURS`` hours of a table with a schema are opened by name, so the rest of the tree isn't even listed. A table that
+    a stream writes has a log that names the files that count; it is read as a whole and pruned.
+    """
+    if schema is not None and not _exists(spark, f"{path}/_spark_metadata"):
+        first = _as_utc(start).replace(minute=0, second=0, microsecond=0)
+        count = max(0, math.ceil((_as_utc(end) - first).total_seconds() / 3600))
+        if count <= LISTED_HOURS:
+            hours = [first + timedelta(hours=i) for i in range(count)]
+            folders = [f"{path}/year={h.year}/month={h.month}/day={h.day}/hour={h.hour}" for h in hours]
+            found = [folder for folder in folders if _exists(spark, folder)]
+            if not found:
+                return spark.createDataFrame([], _with_parts(schema))
+            return spark.read.schema(_with_parts(schema)).option("basePath", path).parquet(*found)
     number = ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
     return _landed(spark, path, schema).where(
         (number >= _hour_number(start)) & (number < _hour_number(end, round_up=True))
     )
 
 
+def _with_parts(schema: StructType) -> StructType:
+    """``schema`` with the partition columns at its end, as a read of the whole table has it."""
+    fields = [f for f in schema.fields if f.name not in DATE_PARTS]
+    return StructType([*fields, *(StructField(name, IntegerType()) for name in DATE_PARTS)])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def _hour_number(when: datetime, round_up: bool = False) -> int:
     when = _as_utc(when)
     floor = when.replace(minute=0, second=0, microsecond=0)
@@ -177,23 +202,36 @@ def read_delimited(
     schema: StructType | str | None = None,
     columns: Sequence[str] | None = None,
     separator: str = ";",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Separated text with a header; ``NA`` and empty numbers are null, names become snake case.
 
-    With a ``schema`` the file is read once; without one Spark infers types in an
-    extra pass. ``multi_line`` allows line breaks inside quotes but makes a
-    file unsplittable; turn it off for large files that have none.
+    A ``schema`` gives the types of columns by their name in snake case, in any order; the columns it does not name are left out
+    and one that is missing in the header is refused. Without a schema Spark infers types in an extra pass.
+    ``multi_line`` allows line breaks inside quotes but makes a file unsplittable: one task reads it all.
     """
-    reader = (
-        spark.read.option("sep", separator)
-        .option("header", True)
-        .option("nullValue", "NA")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(path)
-    df = df.toDF(*[snake_case(name) for name in df.columns])
+    options = {
+        "sep": separator,
+        "header": True,
+        "nullValue": "NA",
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multi_line,
+    }
+    # Without inference this reads the header alone.
+    header = [snake_case(name) for name in spark.read.options(**options).csv(path).columns]
+    if schema is None:
+        df = spark.read.options(**options, inferSchema=True).csv(path).toDF(*header)
+        return df.select(*columns) if columns else df
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {snake_case(field.name): field for field in wanted.fields}
+    missing = [name for name in kinds if name not in header]
+    if missing:
+        raise ValueError(f"no column {missing} in {header}")
+    # Columns of the file in its own order; the reader then drops what is not wanted.
+    fields = [
+        StructField(name, kinds[name].dataType if name in kinds else StringType()) for name in header
+    ]
+    df = spark.read.options(**options, enforceSchema=True).schema(StructType(fields)).csv(path)
+    df = df.select(*[F.col(name).alias(field.name) for name, field in kinds.items()])
     return df.select(*columns) if columns else df

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.scalar import hour_label
 from tidemark.operators.joins import join_dimension
 from tidemark.schemas import DATE_PARTS
 from tidemark.session import cut_lineage
@@ -30,6 +31,27 @@ class FileTable:
     def write(self, df: DataFrame, source: str, batch: int | str) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/source={source}/batch={batch}")
 
+    def write_hours(self, df: DataFrame, source: str, hours: Sequence[str], ts: str = "timestamp") -> None:
+        """Replace the rows of ``source`` in these UTC hours by ``df``, each hour as a batch of its own.
+
+        An hour that has no rows any more is emptied, too.
+        """
+        spark, root = df.sparkSession, f"{self.path}/source={source}"
+        known = _batches(spark, root)
+        labelled = cut_lineage(df.withColumn("batch", hour_label(F.col(ts))), "hours")
+        (
+            labelled.hint("rebalance", "batch")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(root)
+        )
+        stale = known.intersection(hours)
+        if stale:
+            stale -= {row[0] for row in labelled.select("batch").distinct().collect()}
+        for hour in sorted(stale):
+            df.limit(0).write.mode("overwrite").parquet(f"{root}/batch={hour}")
+
     def read(self, spark: SparkSession, schema: StructType | None = None) -> DataFrame:
         reader = spark.read.option("basePath", self.path)
         if schema is not None:
@@ -58,6 +80,13 @@ class JdbcTable:
             return df
         return df.withColumns({"source": F.lit(source), "batch": F.lit(str(batch))})
 
+    def write_hours(self, df: DataFrame, source: str, hours: Sequence[str], ts: str = "timestamp") -> None:
+        """Append rows; with ``tag`` their batch is the UTC hour, so that a repeated hour can be told."""
+        rows = self.rows(df, source, "")
+        if self.tag:
+            rows = rows.withColumn("batch", hour_label(F.col(ts)))
+        rows.write.format("jdbc").options(**self.options()).mode("append").save()
+
     def write(self, df: DataFrame, source: str, batch: int | str) -> None:
         rows = self.rows(df, source, batch)
         rows.write.format("jdbc").options(**self.options()).mode("append").save()
@@ -66,6 +95,15 @@ class JdbcTable:
 Table = FileTable | JdbcTable
 
 
+def _batches(spark: SparkSession, root: str) -> set[str]:
+    """The batches a source has written so far, from the names of its folders alone."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return set()
+    return {status.getPath().getName().partition("=")[2] for status in files.listStatus(path) if status.isDirectory()}
+
+
 def write_table(df: DataFrame, target: Table, source: str, batch: int | str) -> None:
     """Append the rows of one batch of one job to a table."""
     target.write(df, source, batch)
@@ -114,10 +152,9 @@ def load_dimension(spark: SparkSession, df: DataFrame, path: str, key: str = "id
     Several rows with one key in ``df`` are refused.
     """
     _refuse_double_keys(df, key)
-    version = 0
     merged = df
-    if _readable(spark, path):
-        version = _latest(spark, path)
+    version = _latest(spark, path)
+    if version:
         merged = _replaced(read_dimension_table(spark, path), df, key)
     merged.write.mode("overwrite").parquet(f"{path}/version={version + 1}")
     return read_dimension_table(spark, path)
@@ -134,7 +171,12 @@ def load_jdbc_dimension(
 
 
 def _latest(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).agg(F.max("version")).first()[0]
+    """The latest complete version of a dimension, 0 without any, from folder names alone."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = [int(name) for name in _batches(spark, path) if name.isdigit()]
+    complete = [v for v in versions if files.exists(hadoop(f"{path}/version={v}/_SUCCESS"))]
+    return max(complete, default=0)
 
 
 def read_dimension_table(spark: SparkSession, path: str) -> DataFrame:

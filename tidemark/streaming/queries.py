@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalar import with_date_parts
@@ -46,6 +46,11 @@ def sink_landing(
     return _triggered(writer, available_now, every).start
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a checkpoint: the same after every restart, new with a new checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def sink_table(
     df: DataFrame,
     target: Table,
@@ -54,17 +59,20 @@ def sink_table(
     available_now: bool = False,
     every: str | None = None,
 ) -> Callable[[], StreamingQuery]:
-    """Append each micro-batch to a table, keyed by query name and batch number.
+    """Append each micro-batch to a table, keyed by the checkpoint's query and the batch number.
 
     Returns a function that starts the query. The checkpoint is required: it holds
     the open windows and makes a restart repeat the batch in doubt under the
-    same number.
+    same number. A new checkpoint counts from 0 again; it is another query with rows of its own.
     """
     if not checkpoint:
         raise ValueError(f"query {name} needs a checkpoint")
+    known: list[str] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        target.write(batch, name, number)
+        if not known:
+            known.append(_query_id(batch.sparkSession, checkpoint))
+        target.write(batch, f"{name}-{known[0]}", number)
 
     writer = (
         df.writeStream.queryName(name)
