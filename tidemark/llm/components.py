@@ -30,14 +30,16 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        # Written, so that the join below shuffles plainly and a node with very many edges can be split.
+        least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")), "least")
         large = (
             both.join(least, "a")
             .where("b > a")
             .select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
             .distinct()
         )
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = cut_lineage(large, "large")
+        least = cut_lineage(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         joined = large.join(least, "a")
         star = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))

@@ -55,7 +55,7 @@ class _Codes(dict):
             kind = NAME
         else:
             kind = LITERAL
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         code = self[token] = (xxh64_intdigest(token.lower().encode(), 0) & ~7 | kind) & (1 << 64) - 1
         return code
@@ -64,19 +64,19 @@ class _Codes(dict):
 _CODES = _Codes()
 
 
-def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The tokens of a text, the code of each template token, and which of them are slots.
+def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of a text, the code of each template token, which of them are slots, and their place among the tokens.
 
     A capitalised word is a name unless a sentence starts with it; a unit is one behind a number.
     """
     tokens = TOKEN.findall(text)
-    codes = np.fromiter((_CODES[t] for t in tokens), np.uint64, len(tokens))
+    codes = np.fromiter(map(_CODES.__getitem__, tokens), np.uint64, len(tokens))
     kinds = (codes & np.uint64(7)).astype(np.int8)
     before = np.concatenate([[END], kinds[:-1]]) if len(kinds) else kinds
     slot = (kinds == NUMBER) | (kinds == NAME) & (before != END) | (kinds == UNIT) & (before == NUMBER)
     codes = np.where(slot, kinds.astype(np.uint64) + np.uint64(1), codes >> np.uint64(3) << np.uint64(3))
-    real = kinds != END
-    return [t for t, k in zip(tokens, real, strict=True) if k], codes[real], slot[real]
+    real = np.flatnonzero(kinds != END)
+    return tokens, codes[real], slot[real], real
 
 
 def windows(codes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,19 +96,26 @@ def windows(codes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray
 def _found(width: int, wanted: np.ndarray | None, every: bool):
     """Windows of (id, text) rows: all of them, or those whose hash is wanted."""
 
+    # The first bits of the wanted hashes tell nearly all others apart without a search.
+    bits = np.zeros(1 << 20, bool)
+    if wanted is not None:
+        bits[(wanted >> np.uint64(44)).astype(np.int64)] = True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column("id"), batch.column("text")
             at, rows = [], []
             for i in range(batch.num_rows):
-                tokens, codes, slot = template(texts[i].as_py())
-                own = min(width, len(tokens)) if every else width
+                tokens, codes, slot, real = template(texts[i].as_py())
+                own = min(width, len(codes)) if every else width
                 hashes, good = windows(codes, slot, own)
-                if wanted is not None and len(hashes):
-                    near = np.searchsorted(wanted, hashes)
-                    good &= wanted[np.minimum(near, len(wanted) - 1)] == hashes
-                for p in np.flatnonzero(good).tolist():
-                    values = [tokens[p + k].lower() for k in range(own) if slot[p + k]]
+                places = np.flatnonzero(good)
+                if wanted is not None and len(places):
+                    places = places[bits[(hashes[places] >> np.uint64(44)).astype(np.int64)]]
+                    near = np.minimum(np.searchsorted(wanted, hashes[places]), len(wanted) - 1)
+                    places = places[wanted[near] == hashes[places]]
+                for p in places.tolist():
+                    values = [tokens[real[p + k]].lower() for k in range(own) if slot[p + k]]
                     at.append(i)
                     rows.append((int(hashes[p].view(np.int64)), p, own, values))
             if rows:

@@ -75,7 +75,7 @@ def exact_dedup(
     result are replaced. An empty table gives an empty result.
 
     Groups are counted before the shuffle, so a group of any size sends one row per task; bringing the result
-    back to its rows is a plain equi-join, which adaptive execution splits where a group is hot.
+    back to its rows is a plain equi-join of two tables, which adaptive execution splits where a group is hot.
     """
     docs = without(docs, *RESULT)
     bits = 1 << 16
@@ -99,6 +99,7 @@ def exact_dedup(
     groups = maybe.groupBy("text_sha256").agg(
         F.min(order).alias("_first"), F.count(F.lit(1)).alias("group_size")
     )
+    groups = cut_lineage(groups, "groups")
     grouped = maybe.join(groups, "text_sha256").select(
         *[quoted(c) for c in docs.columns],
         F.col("_first.id").alias("keep_id"),

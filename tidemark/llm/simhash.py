@@ -18,6 +18,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm.base import quoted, small, text_of, without
 from tidemark.llm.components import components
+from tidemark.session import cut_lineage
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -128,13 +129,12 @@ def near_duplicates(
     are kept each; rows without an id belong to a class but never name it. Only distinct fingerprints are indexed,
     so copies add no pairs. An empty table gives no rows.
     """
-    from tidemark.session import cut_lineage
-
     prints = docs.select(
         F.col(quoted(id_col)).alias("id"), fingerprint_column(text_of(text_col), shingle).alias("fp")
     )
     prints = cut_lineage(prints, "simhash")
-    found = prints.join(classes(prints, max_bits), "fp")
+    # Written, so that a fingerprint with very many documents can be split in the join.
+    found = prints.join(cut_lineage(classes(prints, max_bits), "classes"), "fp")
     return found.select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),

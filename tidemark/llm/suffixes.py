@@ -24,11 +24,11 @@ LENGTH = 100
 GRAM = 24
 #: Bytes of a text handled at a time, and contexts gathered before repeats among them are settled.
 BLOCK = 1 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Contexts of one bucket up to which it is sorted in a task.
 BUCKET = 4_096
 #: Bytes of buckets sorted together.
-SORT_BYTES = 1 << 23
+SORT_BYTES = 1 << 21
 #: A difference cover of period 32: every residue is a difference of two of these.
 PERIOD = 32
 COVER = (0, 1, 2, 3, 7, 11, 19)

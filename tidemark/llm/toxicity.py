@@ -10,7 +10,6 @@ the calibration dictionaries have not seen.
 from __future__ import annotations
 
 import random
-from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,11 +24,12 @@ from tidemark.llm.base import quoted, text_of
 
 #: Bounds of the training sample: documents of either label, and the length beyond which one isn't drawn.
 TOXIC_SAMPLE = 2_000
-ORDINARY_SAMPLE = 8_000
+ORDINARY_SAMPLE = 6_000
 SAMPLE_CHARS = 100_000
 
 LEVEL = 9
 BACKGROUND_BYTES = 32_768
+BACKGROUND_LINES = 100_000
 CLASS_BYTES = 8_192
 WORD_BYTES = 48
 #: A word counts as typical of a label when it stands in so many different contexts there and in none on the other side.
@@ -39,7 +39,7 @@ MARK = bytes(range(1, 25))
 #: Lower-case ASCII letters, other ASCII characters as spaces, the rest as it is.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Differences remembered by a worker, to save time only.
-MEMORY = 1_000_000
+MEMORY = 250_000
 
 
 def words(text: str) -> list[bytes]:
@@ -47,13 +47,19 @@ def words(text: str) -> list[bytes]:
 
 
 def _contexts(texts: Iterable[str]) -> dict[bytes, int]:
-    """In how many different triples of words each word stands."""
-    found: dict[bytes, set] = defaultdict(set)
+    """In how many different pairs of neighbours each word stands."""
+    numbers: dict[bytes, int] = {}
+    found = []
     for text in texts:
-        w = words(text)
-        for i, word in enumerate(w):
-            found[word].add(hash((w[i - 1] if i else b"", w[i + 1] if i + 1 < len(w) else b"")))
-    return {word: len(around) for word, around in found.items()}
+        ids = np.array([numbers.setdefault(w, len(numbers) + 1) for w in words(text)], np.uint64)
+        if len(ids):
+            before, after = np.concatenate([[0], ids[:-1]]), np.concatenate([ids[1:], [0]])
+            around = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ after.astype(np.uint64)
+            around *= np.uint64(0xD6E8FEB86659FD93)
+            found.append(np.unique(ids << np.uint64(32) | around >> np.uint64(32)))
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+    counts = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(numbers) + 1)
+    return {word: int(counts[i]) for word, i in numbers.items()}
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
@@ -77,12 +83,13 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     near, far = _contexts(toxic), _contexts(ordinary)
     typical = {w: n for w, n in near.items() if n >= CONTEXTS and w not in far and len(w) >= 3}
     usual = {w: n for w, n in far.items() if n >= CONTEXTS and w not in near and len(w) >= 3}
-    lines = []
+    # Lines of eight words, about as many of each text as of any other.
+    lines, each = [], max(1, BACKGROUND_LINES // max(1, len(ordinary)))
     for text in ordinary:
         w = words(text)
-        lines += [b" " + b" ".join(w[i : i + 8]) + b" " for i in range(0, len(w), 8)]
-    random.Random(1).shuffle(lines)
-    background = _trained(BACKGROUND_BYTES, lines[:200_000]) + MARK
+        starts = range(0, len(w), 8 * max(1, -(-len(w) // (8 * each))))
+        lines += [b" " + b" ".join(w[i : i + 8]) + b" " for i in starts]
+    background = _trained(BACKGROUND_BYTES, lines) + MARK
     first, second = _trained(CLASS_BYTES, _samples(typical, 2)), _trained(CLASS_BYTES, _samples(usual, 3))
     size = max(len(first), len(second))
     return tuple(background + part.rjust(size, b"\0") for part in (first, second))
@@ -210,7 +217,7 @@ def train(
     return fit([(r["_text"], r["_y"]) for r in rows], float(share or 0.0))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _windows(toxic: bytes, ordinary: bytes) -> Windows:
     return Windows(toxic, ordinary)
 
