@@ -274,6 +274,30 @@ def test_planted_passages_are_found(spark):
         assert abs(r["start_word"] - start) <= 12 and abs(r["end_word"] - start - n) <= 12
 
 
+def test_runs_inside_an_edited_copy_are_found(spark):
+    rng = random.Random(11)
+    text = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(400)]
+    edited = [w if i % 14 or 150 <= i < 230 else "x" + w for i, w in enumerate(text)]
+    rows = [(1, " ".join(text)), (2, " ".join(edited))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert any(r["start_word"] <= 155 and r["end_word"] >= 225 and r["similarity"] >= 0.8 for r in found)
+
+
+def test_passages_of_real_documents_by_brute_force(spark):
+    words = 51
+    docs = rows_of(spark.read.parquet(f"{SOME}/documents.parquet"), "doc_id", "text")
+    where: dict[bytes, set[int]] = {}
+    for key, text in docs:
+        w = (text or "").lower().encode().split()
+        for i in range(len(w) - words + 1):
+            where.setdefault(b" ".join(w[i : i + words]), set()).add(key)
+    found = base.QUERIES["op1_substring_dedup"](spark, SOME).collect()
+    root = {k: r["class_id"] for r in found for k in (r["doc_id"], r["other_id"])}
+    shared = [s for s in where.values() if len(s) > 1]
+    met = [s for s in shared if len({root.get(k, -k - 1) for k in s}) == 1]
+    assert len(met) / len(shared) > 0.99 and len(shared) > 1_000
+
+
 def test_clean_documents_have_no_passages(spark):
     rng = random.Random(8)
     rows = [(k, " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(300))) for k in range(30)]
