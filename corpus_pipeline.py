@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, exact, simhash, toxicity
 from tidemark.llm import queries as llm_queries
@@ -21,12 +20,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression distance doesn't place with the toxic ones."""
     model = llm_queries.toxicity_model(spark, sf_dir, docs)
-    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+    return toxicity.drop_toxic(docs, model)
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text."""
-    return exact.exact_dedup(docs).where("kept").select(docs.columns)
+    return exact.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,61 @@
+"""The pipeline stage by stage against plain versions."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import base, packing, queries
+
+from . import brute
+from .conftest import SOME
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def documents_read(spark):
+    return spark.read.parquet(f"{SOME}/documents.parquet")
+
+
+def kept(spark, docs, name):
+    return STAGES[name](spark, docs, SOME)
+
+
+def test_stages_are_the_dealt_ones_in_order():
+    names = ["toxicity", "exact_dedup", "simhash_near_dedup", "benchmark_decontamination", "packing"]
+    assert [name for name, _ in corpus_pipeline.STAGES] == names
+
+
+def test_every_stage_against_a_plain_version(spark, documents_read):
+    rows = {r["doc_id"]: r["text"] for r in documents_read.collect()}
+    docs = documents_read
+    clean = {r["doc_id"] for r in base.QUERIES["op9_toxicity"](spark, SOME).where("predicted = 0").collect()}
+    first = {k for k, found in brute.exact([(k, rows[k]) for k in clean]).items() if found[2]}
+    single = {k for k, (_, root) in brute.near([(k, rows[k]) for k in first]).items() if k == root}
+    leaked = {r["doc_id"] for r in base.QUERIES["op2_decontaminate"](spark, SOME).collect()}
+    for name, want in zip(STAGES, (clean, first, single, single - leaked), strict=False):
+        docs = kept(spark, docs, name)
+        assert docs.columns == documents_read.columns
+        docs = spark.createDataFrame(docs.collect(), documents_read.schema)
+        assert {r["doc_id"] for r in docs.collect()} == want, name
+        assert docs.exceptAll(documents_read).isEmpty()
+    assert 0 < len(single - leaked) < len(single) <= len(first) < len(clean) < len(rows)
+    encode = packing.encoder(*queries.tokenizer()).encode_ordinary
+    pieces = [(r["doc_id"], r["length"]) for r in kept(spark, docs, "packing").collect()]
+    want = [(k, n) for k in single - leaked for n in packing.lengths(len(encode(rows[k] or "")) + 1)]
+    assert sorted(pieces) == sorted(want)
+    run = corpus_pipeline.run(spark, SOME)
+    assert sorted((r["doc_id"], r["length"]) for r in run.collect()) == sorted(want)
+
+
+def test_stages_keep_odd_rows_and_columns(spark, odd, empty):
+    odd = odd.withColumns({"predicted": F.lit(7), "kept": F.lit("k"), "source": F.lit("s"), "_mark": F.lit("m")})
+    for name in list(STAGES)[:-1]:
+        left = kept(spark, odd, name)
+        assert left.columns == odd.columns, name
+        assert left.exceptAll(odd).isEmpty() and not left.isEmpty(), name
+        assert kept(spark, odd.limit(0), name).count() == 0
+    assert kept(spark, odd, "packing").select("doc_id").distinct().count() == 11
+    assert kept(spark, odd, "exact_dedup").count() == 8

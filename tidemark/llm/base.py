@@ -47,6 +47,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[quoted(c) for c in df.columns if c.lower() not in mine])
 
 
+def sheltered(docs: DataFrame, names: list[str], keep: Callable[..., DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that ``keep`` leaves, with all their columns as they were.
+
+    ``keep`` gets the table under plain numbered names, which clash with none that it adds, and the new ones of ``names``.
+    """
+    plain = {name: f"column_{i}" for i, name in enumerate(docs.columns)}
+    left = keep(docs.toDF(*plain.values()), *[plain[name] for name in names])
+    return left.select(*plain.values()).toDF(*docs.columns)
+
+
 def held_out(key: str) -> Column:
     """Whether a document is kept from training: crc32 of its key as text leaves 0 by 5."""
     return F.coalesce(F.crc32(F.col(quoted(key)).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import quoted, text_of, without
+from tidemark.llm.base import quoted, sheltered, text_of, without
 from tidemark.session import cut_lineage
 
 #: Runs of white space other than one plain space; replacing them leaves single spaces as they are.
@@ -108,3 +108,8 @@ def exact_dedup(
         "text_sha256",
     )
     return alone.unionByName(grouped)
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, with the columns they had."""
+    return sheltered(docs, [id_col, text_col], lambda rows, key, text: exact_dedup(rows, key, text).where("kept"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.base import quoted, small, text_of, without
+from tidemark.llm.base import quoted, sheltered, small, text_of
 from tidemark.llm.components import components
 from tidemark.session import cut_lineage
 
@@ -62,6 +62,10 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     return run(text)
 
 
+def _digits(mark: Column) -> Column:
+    return F.lpad(F.lower(F.hex(mark)), 16, "0")
+
+
 def _byte(mark: str, position: int) -> Column:
     return F.shiftrightunsigned(F.col(mark), 56 - 8 * position).bitwiseAND(F.lit(255).cast("long"))
 
@@ -137,7 +141,7 @@ def near_duplicates(
     found = prints.join(cut_lineage(classes(prints, max_bits), "classes"), "fp")
     return found.select(
         F.col("id").alias(id_col),
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        _digits(F.col("fp")).alias("fingerprint"),
         "component_id",
         "links",
     )
@@ -154,11 +158,12 @@ def keep_one(
 
     Rows alike in both id and fingerprint stand or fall together; exact copies go before this stage.
     """
-    members = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    key = F.col(quoted(id_col))
-    first = key.eqNullSafe(F.col("component_id"))
-    dropped = members.where(~first).select(key.alias("_id"), F.col("fingerprint").alias("_fp")).distinct()
-    mark = F.lpad(F.lower(F.hex(fingerprint_column(text_of(text_col), shingle))), 16, "0")
-    marked = without(docs, "_mark").withColumn("_mark", mark)
-    gone = small(dropped)
-    return marked.join(gone, key.eqNullSafe(gone["_id"]) & (F.col("_mark") == gone["_fp"]), "left_anti").drop("_mark")
+    def keep(rows: DataFrame, id_name: str, text_name: str) -> DataFrame:
+        members = near_duplicates(rows, id_name, text_name, shingle, max_bits)
+        key = F.col(id_name)
+        gone = members.where(~key.eqNullSafe(F.col("component_id"))).select(key.alias("_id"), F.col("fingerprint").alias("_fp"))
+        gone = small(gone.distinct())
+        marked = rows.withColumn("_mark", _digits(fingerprint_column(text_of(text_name), shingle)))
+        return marked.join(gone, key.eqNullSafe(gone["_id"]) & (F.col("_mark") == gone["_fp"]), "left_anti")
+
+    return sheltered(docs, [id_col, text_col], keep)

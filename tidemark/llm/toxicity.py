@@ -246,3 +246,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     scored = without(docs, "score", "predicted").withColumn("score", score_column(model, text_of(text_col)))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`score` does not predict as toxic, with the columns they had."""
+    return docs.where(score_column(model, text_of(text_col)) < 0.5)
