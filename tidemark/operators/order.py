@@ -11,15 +11,33 @@ from pyspark.sql.types import DoubleType, FloatType
 
 SMALL_BRACKET = 50_000
 SKETCH_ACCURACY = 10_000
-SLOT_BITS = 10
+# Even slots of a range; the ranges themselves are quantiles.
+SLOT_BITS = 8
 SLOTS = 1 << SLOT_BITS
 
 
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    """The column as doubles ``v`` without what is no number."""
+    known = df.select(F.col(column).cast("double").alias("v"))
+    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
+        known = known.where(~F.isnan("v"))
+    return known
+
+
+def _edges(known: DataFrame, guess: tuple[float, float] | None = None) -> tuple:
+    """Count, least and greatest value, with a guess also the rows below it and up to its end."""
+    first = [F.count("v"), F.min("v"), F.max("v")]
+    if guess:
+        first += [F.count_if(F.col("v") < guess[0]), F.count_if(F.col("v") <= guess[1])]
+    return tuple(known.agg(*first).first())
+
+
 def order_statistics(
     df: DataFrame,
     column: str,
     ranks: Sequence[int],
     guess: tuple[float, float] | None = None,
+    edges: tuple | None = None,
 ) -> dict[int, float]:
     """Exact values at the given 0-based ``ranks`` of the known numbers in ``column``.
 
@@ -29,16 +47,12 @@ def order_statistics(
     small enough to sort. A round is two partial aggregates for all ranks and
     shrinks the brackets by about the sketch accuracy; a value that fills many
     rows is settled or left behind in one round. A good ``guess`` of the bracket
-    saves rounds and a bad one does no harm. Values are compared as doubles.
+    saves rounds and a bad one does no harm. Values are compared as doubles. ``edges`` is what
+    :func:`_edges` found, if it was asked before.
     """
     value = F.col("v")
-    known = df.select(F.col(column).cast("double").alias("v"))
-    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
-        known = known.where(~F.isnan("v"))
-    first = [F.count("v"), F.min("v"), F.max("v")]
-    if guess:
-        first += [F.count_if(value < guess[0]), F.count_if(value <= guess[1])]
-    n, low, high, *around = known.agg(*first).first()
+    known = _numbers(df, column)
+    n, low, high, *around = edges or _edges(known, guess)
     wanted = sorted(set(ranks))
     if wanted and not 0 <= wanted[0] <= wanted[-1] < n:
         raise ValueError(f"ranks {wanted} do not fit {n} values")
@@ -115,13 +129,13 @@ def _narrow(known: DataFrame, brackets: dict[int, tuple]) -> dict[int, tuple]:
 
 def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
     """Exact quantiles of the known numbers, interpolated between neighbouring values."""
-    number = F.col(column).cast("double")
-    n = df.agg(F.count_if(number.isNotNull() & ~F.isnan(number))).first()[0]
+    edges = _edges(_numbers(df, column))
+    n = edges[0]
     if not n:
         raise ValueError(f"no known values in {column}")
     spots = [share * (n - 1) for share in shares]
     ranks = {int(spot) for spot in spots} | {min(int(spot) + 1, n - 1) for spot in spots}
-    values = order_statistics(df, column, sorted(ranks))
+    values = order_statistics(df, column, sorted(ranks), edges=edges)
     result = []
     for spot in spots:
         low, high = values[int(spot)], values[min(int(spot) + 1, n - 1)]
@@ -130,7 +144,7 @@ def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float
 
 
 def global_rank(
-    df: DataFrame, order: str, tie: str | Sequence[str], name: str = "rank", buckets: int = 1024
+    df: DataFrame, order: str, tie: str | Sequence[str], name: str = "rank", buckets: int = 4096
 ) -> DataFrame:
     """Add the 1-based rank by the number ``order``; equal values follow the hash of ``tie``.
 
