@@ -323,6 +323,10 @@ def labelled_pages() -> list[str]:
         "<menu>{}</menu>",
         *(f'<div class="{w}">{{}}</div>' for w in _PART_NAMES.split()),
         *(f'<section id="{w}">{{}}</section>' for w in _PART_NAMES.split()[::2]),
+        *(f'<div class="{w}-content">{{}}</div>' for w in _PART_NAMES.split()[1::4]),
+        *(f'<table class="{w}"><tr><td>{{}}</td></tr></table>' for w in _PART_NAMES.split()[::5]),
+        *(f'<ul class="{w}"><li>{{}}</li></ul>' for w in _PART_NAMES.split()[3::5]),
+        *(f'<p class="{w}">{_LINE}</p>' for w in _PART_NAMES.split()[2::4]),
         f"<footer>&copy; Daily Paper &middot; {_LINE}</footer>",
         f"<div>&copy; {_LINE} <a href='/'>{_LINE}</a></div>",
     ]

@@ -102,21 +102,18 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     The class id is the smallest id reachable; null if no member has an id.
     """
     marks = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    edges = links(marks.select("fp"), max_bits).persist()
-    try:
-        roots = components(edges)
-        ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node")))
-        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-        linked = (
-            marks.join(roots, marks["fp"] == roots["node"], "left")
-            .drop("node")
-            .withColumn("root", F.coalesce("root", "fp"))
-        )
-        least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-        linked = linked.join(least, "root").join(degree, F.col("fp") == degree["node"], "left")
-        return linked.select("fp", "component_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
-    finally:
-        edges.unpersist()
+    edges = cut_lineage(links(marks.select("fp"), max_bits), "links")
+    roots = components(edges)
+    ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    linked = (
+        marks.join(roots, marks["fp"] == roots["node"], "left")
+        .drop("node")
+        .withColumn("root", F.coalesce("root", "fp"))
+    )
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = linked.join(least, "root").join(degree, F.col("fp") == degree["node"], "left")
+    return linked.select("fp", "component_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
 def near_duplicates(
