@@ -447,6 +447,15 @@ def test_parts_that_are_no_content(part):
     assert got == ["A & B\n\n" + LONG.strip() + "\n\nShort one"] * 2
 
 
+@pytest.mark.parametrize("n", [1, 30, 1_000])
+def test_many_paragraphs_stay_with_what_holds_them(n):
+    article = f"<article><h1>A</h1>{'<p>A short line.</p>' * n}</article>"
+    got = web.Extractor(web.default_model()).text(
+        f"<body><nav><a href='/'>Home</a></nav>{article}<div class='comments'>{'<p>I do not agree.</p>' * n}</div></body>"
+    )
+    assert got == "\n\n".join(["A", *["A short line."] * n])
+
+
 def test_pages_on_odd_rows(spark, empty):
     rows = [(1, None, "t"), (2, "", "t"), (3, "<p>unclosed &am", "t"), (4, "<<<>>> </p></div>", None), (5, "x" * 200_000, "")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")

@@ -303,6 +303,12 @@ def labelled_pages() -> list[str]:
         '<main data-content="1">{}</main>',
         '<div class="page wrapper container"><div data-content="1">{}</div></div>',
     ]
+    # Long articles and long parts around them: what many children say must not outweigh what holds them.
+    many = [
+        f"<h1>{_HEAD}</h1>" + f"<p>{_LINE}</p>" * 100,
+        f"<h1>{_HEAD}</h1>" + f"<p>{_TEXT}</p>" * 80,
+        f"<h2>{_HEAD}</h2>" + f"<p>{_TEXT}</p><p>Of.</p><ul><li>{_LINE}</li></ul>" * 40,
+    ]
     # Parts that are no content, each around several kinds of inside, so that only the part itself tells.
     insides = [
         f"<p>{_TEXT}</p>",
@@ -341,6 +347,15 @@ def labelled_pages() -> list[str]:
         )
         whole = holder.format(inside + body + inside if i % 4 == 0 else body + inside if i % 4 == 1 else body)
         pages.append(f"<html><body>{''.join(around[:3])}{whole}{''.join(around[3:])}</body></html>")
+    for i, body in enumerate(many):
+        for holder in holders[:6]:
+            long = "".join(part.format(f"<p>{_LINE}</p>" * 100) for part in parts[i * 9 : i * 9 + 2])
+            pages.append(f"<html><body>{outer[i]}{holder.format(body)}{outer[i + 5]}</body></html>")
+            pages.append(f"<html><body>{long}{holder.format(bodies[i])}</body></html>")
+    for i, body in enumerate(bodies):
+        inside = outer[7 * i].replace(">", ' data-content="0">', 1)
+        pages.append(f'<body data-content="1">{inside}{body}</body>')
+        pages.append(f'<body data-content="1">{body}{inside}</body>')
     pages.append(f'<body data-content="1">{bodies[0]}</body>')
     pages.append(f'<html><body data-content="1">{bodies[1]}</body></html>')
     return pages
