@@ -87,6 +87,7 @@ def join_dimension(
     max_rows: int = MAX_BROADCAST_ROWS,
     split_hot: bool = True,
     hot: Sequence[int] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` to ``dim``; the key columns appear once in the result.
 
@@ -94,7 +95,8 @@ def join_dimension(
     may be handled apart from the others, which the split by hot key relies on.
     Without ``split_hot`` a large ``dim`` means one plain shuffle, for a ``fact``
     that is already summed by key. ``hot`` are key hashes from :func:`hot_key_hashes`; without them
-    a batch looks for its own, in one pass over the key columns.
+    a batch looks for its own, in one pass over the key columns. A caller that joins one ``dim`` several times may ask
+    :func:`fits_broadcast` once and pass the answer as ``small``.
 
     A stream gets no hint: every micro-batch is planned anew, and Spark broadcasts ``dim`` as long as its files
     are small enough by then. Keys that are known to be hot, say from landed messages, are split there, too.
@@ -104,7 +106,7 @@ def join_dimension(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if fact.isStreaming:
         return _salted_join(fact, dim, keys, how, list(hot)) if hot else fact.join(dim, keys, how)
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim, max_rows) if small is None else small:
         return fact.join(F.broadcast(dim), keys, how)
     if not split_hot:
         return fact.join(dim, keys, how)
@@ -123,6 +125,7 @@ def enrich(
     how: str = "inner",
     require_unique: bool = False,
     max_rows: int = MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add the columns of a static dimension to messages, batch or streaming.
 
@@ -134,7 +137,7 @@ def enrich(
         twice = dim.groupBy(key).count().where("count > 1").limit(1).collect()
         if twice:
             raise ValueError(f"dimension key {key}={twice[0][key]!r} occurs {twice[0]['count']} times")
-    return join_dimension(df, dim, key, how, max_rows)
+    return join_dimension(df, dim, key, how, max_rows, small=small)
 
 
 def over_quota(
@@ -145,6 +148,7 @@ def over_quota(
     quota: str = "quota",
     email: str = "email",
     ts: str = "timestamp",
+    small: bool | None = None,
 ) -> DataFrame:
     """``(email, usage, quota, timestamp)`` of every usage row above its user's quota.
 
@@ -156,6 +160,7 @@ def over_quota(
         dim.select(key, F.col(email).alias("email"), F.col(quota).alias("quota")),
         key,
         split_hot=False,
+        small=small,
     )
     return joined.where(F.col("usage") > F.col("quota")).select("email", "usage", "quota", "timestamp")
 

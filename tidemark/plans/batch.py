@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import as_timestamp
-from tidemark.operators.joins import MAX_BROADCAST_ROWS, enrich, over_quota
+from tidemark.operators.joins import MAX_BROADCAST_ROWS, enrich, fits_broadcast, over_quota
 from tidemark.operators.metrics import metric_by_window, metrics_by_dims
 from tidemark.schemas import LANDED_MESSAGE
 from tidemark.session import cut_lineage
@@ -44,23 +44,27 @@ def usage_by_window(messages: DataFrame, config: BatchConfig) -> DataFrame:
     )
 
 
-def batch_metrics(messages: DataFrame, dim: DataFrame, config: BatchConfig) -> DataFrame:
+def batch_metrics(
+    messages: DataFrame, dim: DataFrame, config: BatchConfig, small: bool | None = None
+) -> DataFrame:
     """Metrics of the messages whose user is known, all dimensions in one pass.
 
     Only the user columns that name a dimension travel to the join.
     """
     wanted = [name for name in config.dims if name in dim.columns and name != "id"]
-    known = enrich(messages, dim.select("id", *wanted), max_rows=config.broadcast_rows)
+    known = enrich(messages, dim.select("id", *wanted), max_rows=config.broadcast_rows, small=small)
     return metrics_by_dims(known, config.dims, config.window)
 
 
-def quota_alerts(messages: DataFrame, dim: DataFrame, window: str = "1 hour") -> DataFrame:
+def quota_alerts(
+    messages: DataFrame, dim: DataFrame, window: str = "1 hour", small: bool | None = None
+) -> DataFrame:
     """Users above their quota within one window.
 
     Messages are summed by user before the join: it meets one row for each user
     and window however many messages a user sent.
     """
-    return over_quota(metric_by_window(messages, "id", window), dim)
+    return over_quota(metric_by_window(messages, "id", window), dim, small=small)
 
 
 def hours_between(start: datetime, end: datetime) -> list[str]:
@@ -99,6 +103,7 @@ def run_batch_layer(
     hours = hours_between(start, end)
     messages = read_hours(spark, config.landing, start, end, LANDED_MESSAGE)
     usage = cut_lineage(usage_by_window(messages, config), "usage")
-    config.metrics.write_hours(batch_metrics(usage, dim, config), "batch_metrics", hours)
-    config.alerts.write_hours(quota_alerts(usage, dim, config.window), "batch_alerts", hours)
+    small = fits_broadcast(dim, config.broadcast_rows)
+    config.metrics.write_hours(batch_metrics(usage, dim, config, small), "batch_metrics", hours)
+    config.alerts.write_hours(quota_alerts(usage, dim, config.window, small), "batch_alerts", hours)
     compact_partitions(messages, config.archive)
