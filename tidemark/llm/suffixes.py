@@ -26,7 +26,7 @@ GRAM = 24
 BLOCK = 1 << 20
 CHUNK = 1 << 18
 #: Contexts of one bucket up to which it is sorted in a task.
-BUCKET = 1_024
+BUCKET = 4_096
 #: Bytes of buckets sorted together.
 SORT_BYTES = 1 << 21
 #: A difference cover of period 32: every residue is a difference of two of these.
