@@ -16,13 +16,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.base import quoted, text_of, without
+from tidemark.llm.base import quoted, small, text_of, without
 
 #: Bounds of the training sample: documents of each language, and the length beyond which one isn't drawn.
 SAMPLE = 1_500
 SAMPLE_CHARS = 100_000
-#: Parts of a language that are ranked apart before the sample is drawn from their first rows.
-DRAW_PARTS = 256
 SIZES = (2, 3, 4)
 #: N-grams kept for each language, the most frequent first.
 GRAMS = 20_000
@@ -134,12 +132,13 @@ def train(
     usable = docs.where(key.isNotNull() & lang.isNotNull() & F.col(quoted(text_col)).isNotNull())
     usable = usable.select(key.alias("id"), lang.alias("lang"), text_of(text_col).alias("text"))
     usable = usable.where(F.length("text").between(1, SAMPLE_CHARS))
-    # The first of each language by hash: of every part first, so that no task ranks a whole language.
-    drawn = usable.select("id", "lang", F.xxhash64("id", F.lit("sample")).alias("draw"))
-    drawn = drawn.withColumn("part", F.pmod("draw", F.lit(DRAW_PARTS)))
-    for parts in (["lang", "part"], ["lang"]):
-        order = Window.partitionBy(*parts).orderBy("draw", "id")
-        drawn = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    # The first of each language by hash. What a language's size makes unlikely to be among them is left out before, so
+    # that the ranking sees about half as many rows again as the sample, however many the language has.
+    drawn = usable.select("id", "lang", F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 31)).alias("draw"))
+    sizes = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    drawn = drawn.join(small(sizes), "lang").where(F.col("draw") / (1 << 31) * F.col("size") <= 1.5 * sample)
+    order = Window.partitionBy("lang").orderBy("draw", "id")
+    drawn = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     drawn = drawn.select("id", F.col("lang").alias("_lang"))
     rows = usable.join(F.broadcast(drawn), "id").where("lang = _lang").select("lang", "text")
 
