@@ -447,6 +447,25 @@ def test_parts_that_are_no_content(part):
     assert got == ["A & B\n\n" + LONG.strip() + "\n\nShort one"] * 2
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        "<script>for(i=0;i<n;i++){f(i)}</script>",
+        "<script>if(a<b){s=\"it's\"}</script>",
+        "<script>x='</scripts>';y=1<z</script >",
+        "<style>a::after{content:'<b'}</style>",
+        "<textarea><p class=</textarea>",
+        "<noscript><img alt='</noscript>",
+        "<head><title>1<two</title><script>s=\"</head><body>\";i<n</script></head>",
+    ],
+)
+def test_markup_inside_raw_elements_is_none(raw):
+    body = f"<article><h1>A</h1><p>{LONG}</p><p>Short one</p></article>"
+    pages = [f"<html>{raw}{body}</html>", f"<html>{body}{raw}</html>", f"<html>{raw}{body}{raw}</html>"]
+    got = list(map(web.Extractor(web.default_model()).text, pages))
+    assert got == ["A\n\n" + LONG.strip() + "\n\nShort one"] * 3
+
+
 @pytest.mark.parametrize("n", [1, 30, 1_000])
 def test_many_paragraphs_stay_with_what_holds_them(n):
     article = f"<article><h1>A</h1>{'<p>A short line.</p>' * n}</article>"

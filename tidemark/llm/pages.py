@@ -32,6 +32,8 @@ BLOCKS = frozenset(
 #: Elements whose content is no text of the page.
 HIDDEN = frozenset("script style noscript template title head svg math iframe object select textarea button option".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
+#: What ends each of them.
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW}
 VOID = frozenset("br hr img input meta link source wbr area base col embed track param".split())
 #: A new element of the first kind ends an open one of the second, up to an element of the third.
 CLOSES = {
@@ -91,15 +93,20 @@ def parse(page: str) -> list[Node]:
                 del names[depth:], stack[depth:]
                 return
 
-    for m in MARKUP.finditer(page):
-        if m.start() < position:
-            continue
+    while m := MARKUP.search(page, position):
         if not skip:
             add_text(page[position : m.start()])
         position = m.end()
         if m.group(2) is None:
             continue
         tag, closing = m.group(2).lower(), bool(m.group(1))
+        if tag in RAW and not closing and not (skip and m.group(0).endswith("/>")):
+            # Nothing inside is markup; the scan goes on behind the closing tag. Without one the text of the page ends
+            # here, unless a hidden element is open anyway.
+            end = RAW_END[tag].search(page, position)
+            if end or not skip:
+                position = end.end() if end else len(page)
+                continue
         if skip:
             if closing and tag == skip:
                 skip = ""
@@ -110,9 +117,6 @@ def parse(page: str) -> list[Node]:
             if tag != "body":
                 continue
         if tag in HIDDEN and not closing:
-            if tag in RAW:
-                end = re.compile(rf"</{tag}\b", re.I).search(page, position)
-                position = end.start() if end else len(page)
             if not m.group(0).endswith("/>"):
                 skip = tag
             continue
