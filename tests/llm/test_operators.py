@@ -466,6 +466,17 @@ def test_markup_inside_raw_elements_is_none(raw):
     assert got == ["A\n\n" + LONG.strip() + "\n\nShort one"] * 3
 
 
+@pytest.mark.parametrize(
+    "attribute", ['data-content="Popover text"', "data-content", 'data-content-id="7"', "data-content=''", 'Data-Content="0"']
+)
+def test_labels_are_read_from_labelled_pages_only(spark, attribute):
+    plain = f"<body><article><h1>A</h1><p>{LONG}</p></article></body>"
+    rows = [(1, plain.replace("<p>", f"<p {attribute}>")), (2, plain)]
+    got = {r["page_id"]: r["text"] for r in web.extract(spark.createDataFrame(rows, "page_id long, html string")).collect()}
+    assert got == {1: "A\n\n" + LONG.strip(), 2: "A\n\n" + LONG.strip()}
+    assert [n.label for n in web.parse("<p data-content='1' data-content-id=7><p class=x data-content=0>", True)] == [None, 1, 0]
+
+
 @pytest.mark.parametrize("n", [1, 30, 1_000])
 def test_many_paragraphs_stay_with_what_holds_them(n):
     article = f"<article><h1>A</h1>{'<p>A short line.</p>' * n}</article>"

@@ -48,6 +48,8 @@ MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|data-content)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: The label of an element of a labelled page; other pages may use the attribute for anything.
+LABEL = re.compile(r"(?:^|\s)data-content\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
@@ -65,8 +67,11 @@ class Node:
     label: int | None = None
 
 
-def parse(page: str) -> list[Node]:
-    """The blocks and runs of text of a page in document order; a parent stands before its children."""
+def parse(page: str, labelled: bool = False) -> list[Node]:
+    """The blocks and runs of text of a page in document order; a parent stands before its children.
+
+    Only with ``labelled`` are ``data-content`` attributes read, as labels 0 or 1.
+    """
     nodes = [Node(-1, "#page")]
     stack = [0]
     names: list[str] = ["#page"]
@@ -140,13 +145,15 @@ def parse(page: str) -> list[Node]:
                 found: list[str] = []
                 for name, *values in ATTRIBUTE.findall(m.group(3)):
                     value = next(filter(None, values), "")
-                    if name == "data-content":
-                        node.label = int(value)
-                    elif name.lower() == "hidden":
+                    if name.lower() == "data-content":
+                        continue
+                    if name.lower() == "hidden":
                         found.append("hidden")
                     else:
                         found += [part.lower() for part in NAME_PART.findall(value)]
                 node.names = tuple(dict.fromkeys(found))
+                if labelled and (label := LABEL.search(m.group(3))):
+                    node.label = int(label[label.lastindex])
             nodes.append(node)
             stack.append(len(nodes) - 1)
             names.append(tag)
@@ -244,7 +251,7 @@ def train(pages: list[str], rounds: int = 100, rate: float = 0.7, ridge: float =
     trees = []
     index: dict[str, int] = {}
     for page in pages:
-        nodes = parse(page)
+        nodes = parse(page, labelled=True)
         rows = [[index.setdefault(f, len(index)) for f in found] for found in features(nodes)]
         trees.append(([n.parent for n in nodes], kinds(nodes), rows, labels(nodes)))
     w, edge = np.zeros(len(index)), np.zeros((3, 2, 2))
