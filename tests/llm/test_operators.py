@@ -354,6 +354,24 @@ def test_changed_values_are_caught_and_must_agree(spark, odd, empty):
     assert decontaminate.matches(odd, items.limit(0)).count() == 0
 
 
+def test_every_variant_of_a_question_is_judged_on_its_own(spark):
+    item = "If 3 boys and 4 girls buy 5 pens"
+    variants = [item.replace("3", a).replace("4", b).replace("5", c) for a, b, c in ("729", "816", "648")]
+    added = item.replace("girls", "more girls")
+    rows = [
+        (1, f"{item}. {variants[0]}."),
+        (2, ". ".join([*variants, item, *variants])),
+        (3, f"{variants[0]} or {variants[1]}"),
+        (4, f"{variants[0]}. {added}. {variants[1]}"),
+        (5, "If 3 boys run. And 4 girls buy 6"),
+    ]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    got = {r["doc_id"]: (r["coverage"], r["changed"]) for r in found}
+    assert set(got) == {1, 2, 3, 4} and len(found) == 4
+    assert got[1] == got[2] == (1.0, 0) and got[3] == (1.0, 3) and got[4][0] >= 0.5
+
+
 def test_short_items_are_one_window(spark):
     items = spark.createDataFrame([(1, "zig zag zug")], "item_id long, text string")
     rows = spark.createDataFrame([(1, "and zig zag zug too"), (2, "zig zag and zug")], "doc_id long, text string")

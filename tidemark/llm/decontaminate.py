@@ -2,7 +2,7 @@
 
 Numbers, names and units become typed placeholders, so a question asked again with other values keeps its template.
 Windows of five template tokens are joined by hash; the values that fill the slots of joined windows must map one to
-one throughout, and the share of a question's windows that a document holds in this way decides.
+one throughout an occurrence, and the share of a question's windows that a document holds in this way decides.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import quoted, small, text_of
@@ -24,6 +24,7 @@ MIN_COVERAGE = 0.5
 MIN_LITERALS = 2
 #: Hashes of item windows sent to the tasks in one pass; larger benchmarks take several passes.
 PASS_HASHES = 2_000_000
+OCCURRENCE = ["id", "item", "place"]
 
 # Units that follow a number.
 UNITS = frozenset(
@@ -142,6 +143,21 @@ def _windows_of(df: DataFrame, id_col: str, text_col: str, width: int, wanted=No
     )
 
 
+def _places(shift: Column, windows: Column) -> Column:
+    """The places a matched window is counted at: its alignment, two blocks of alignments, and the whole document.
+
+    Blocks are as wide as the item and overlap by half, so an occurrence with words put in or left out is in one block, while
+    two occurrences in a row are not. The document as one place holds what stands in distant parts.
+    """
+    half = F.floor(shift * 2 / windows)
+    return F.array(
+        F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("at")),
+        F.struct(F.lit(1).alias("kind"), shift.cast("long").alias("at")),
+        F.struct(F.lit(2).alias("kind"), F.floor(half / 2).alias("at")),
+        F.struct(F.lit(3).alias("kind"), F.floor((half + 1) / 2).alias("at")),
+    )
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -156,8 +172,8 @@ def matches(
 
     ``windows`` counts an item's windows, ``matched`` those that the document holds with consistent slots, ``coverage``
     is their ratio, at least ``min_coverage``; ``changed`` counts slot values that differ. Slots are consistent where
-    an item's value always meets the same value of the document; windows that deviate from its most frequent partner don't
-    count. An item with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows
+    an item's value always meets the same value in one occurrence; windows that deviate from its most frequent partner don't
+    count. A document may hold several variants of an item: each occurrence is judged on its own, the best one is reported. An item with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows
     without an id; rows that share an id are taken together.
 
     Documents are scanned once for each pass over the benchmark; only windows whose hash an item has leave the scan.
@@ -183,36 +199,39 @@ def matches(
     if met is None:
         met = _windows_of(present.limit(0), id_col, text_col, width)
     met = cut_lineage(met, "met").select("id", "hash", "pos", "slots")
-    joined = met.join(small(items.drop("width")), "hash").withColumn(
-        "pairs", F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d"))
+    joined = (
+        met.join(small(items.drop("width")), "hash")
+        .withColumn("pairs", F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")))
+        .join(small(totals), "item")
+        .withColumn("place", F.explode(_places(F.col("pos") - F.col("ipos"), F.col("windows"))))
     )
-    # Each value of an item and its most frequent partner in a document.
+    # Each value of an item and its most frequent partner in an occurrence.
     votes = (
-        joined.select("id", "item", F.explode(F.array_distinct("pairs")).alias("p"))
-        .groupBy("id", "item", F.col("p.i").alias("value"), F.col("p.d").alias("partner"))
+        joined.select(*OCCURRENCE, F.explode(F.array_distinct("pairs")).alias("p"))
+        .groupBy(*OCCURRENCE, F.col("p.i").alias("value"), F.col("p.d").alias("partner"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    chosen = votes.groupBy("id", "item", "value").agg(
-        F.max_by("partner", F.struct("n", "partner")).alias("partner")
-    )
-    meaning = chosen.groupBy("id", "item").agg(
+    chosen = votes.groupBy(*OCCURRENCE, "value").agg(F.max_by("partner", F.struct("n", "partner")).alias("partner"))
+    meaning = chosen.groupBy(*OCCURRENCE).agg(
         F.map_from_entries(F.collect_list(F.struct("value", "partner"))).alias("meaning"),
         F.count_if(F.col("value") != F.col("partner")).alias("changed"),
     )
-    agreed = joined.join(meaning, ["id", "item"], "left").where(
-        F.expr("forall(pairs, p -> meaning[p.i] = p.d)")
-    )
-    held = agreed.groupBy("id", "item").agg(
-        F.countDistinct("ipos").alias("matched"), F.max(F.coalesce("changed", F.lit(0))).alias("changed")
-    )
-    return (
-        held.join(small(totals), "item")
+    agreed = joined.join(meaning, OCCURRENCE, "left").where(F.expr("forall(pairs, p -> meaning[p.i] = p.d)"))
+    held = (
+        agreed.groupBy(*OCCURRENCE)
+        .agg(
+            F.first("windows").alias("windows"),
+            F.countDistinct("ipos").alias("matched"),
+            F.max(F.coalesce("changed", F.lit(0))).alias("changed"),
+        )
         .withColumn("coverage", F.col("matched") / F.col("windows"))
         .where(F.col("coverage") >= min_coverage)
-        .select(
-            F.col("id").alias(id_col), F.col("item").alias(item_col), "windows", "matched", "coverage", "changed"
-        )
     )
+    order = F.struct("coverage", (-F.col("changed")).alias("same"))
+    best = held.groupBy("id", "item").agg(
+        F.max_by(F.struct("windows", "matched", "coverage", "changed"), order).alias("best")
+    )
+    return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.*")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
