@@ -372,6 +372,22 @@ def test_every_variant_of_a_question_is_judged_on_its_own(spark):
     assert got[1] == got[2] == (1.0, 0) and got[3] == (1.0, 3) and got[4][0] >= 0.5
 
 
+def test_names_that_start_sentences_are_slots_too(spark):
+    item = "Tom has 3 apples. Tom eats 2. How many are left?"
+    rows = [
+        (1, item.replace("Tom", "Sam")),
+        (2, item.replace("Tom", "Sam").replace("2", "1") + " " + item.replace("Tom", "Ann")),
+        (3, "Yesterday Sam has 3 apples, Sam eats 2, how many are left?"),
+        (4, item.lower()),
+        (5, "Sam has 3 pears. Ann reads 2 books. Nobody knows how few are here."),
+    ]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    got = {r["doc_id"]: (r["coverage"], r["changed"]) for r in found}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[1] == got[2] == (1.0, 1) and got[3] == (1.0, 1) and got[4] == (1.0, 0)
+
+
 def test_short_items_are_one_window(spark):
     items = spark.createDataFrame([(1, "zig zag zug")], "item_id long, text string")
     rows = spark.createDataFrame([(1, "and zig zag zug too"), (2, "zig zag and zug")], "doc_id long, text string")

@@ -1,14 +1,15 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so a question asked again with other values keeps its template.
-Windows of five template tokens are joined by hash; the values that fill the slots of joined windows must map one to
-one throughout an occurrence, and the share of a question's windows that a document holds in this way decides.
+A capitalised word that starts a sentence is read as a literal and as a name. Windows of five template tokens are joined
+by hash; the values that fill the slots of joined windows must map one to one throughout an occurrence, and the share of a question's windows that a document holds in this way decides.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ MIN_COVERAGE = 0.5
 MIN_LITERALS = 2
 #: Hashes of item windows sent to the tasks in one pass; larger benchmarks take several passes.
 PASS_HASHES = 2_000_000
+#: Tokens of short texts that are read together.
+TOGETHER = 1 << 16
 OCCURRENCE = ["id", "item", "place"]
 
 # Units that follow a number.
@@ -65,33 +68,69 @@ class _Codes(dict):
 _CODES = _Codes()
 
 
-def template(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The tokens of a text, the code of each template token, which of them are slots, and their place among the tokens.
+class Template(NamedTuple):
+    """The template tokens of some texts, one text after the other; all arrays have an entry for each of them."""
 
-    A capitalised word is a name unless a sentence starts with it; a unit is one behind a number.
+    words: np.ndarray  #: place among the tokens
+    owner: np.ndarray  #: number of the text
+    codes: np.ndarray
+    slot: np.ndarray
+    unsure: np.ndarray  #: whether a literal may be a name as well
+    values: np.ndarray  #: codes of the values themselves
+
+
+def template(tokens: list[str], sizes: list[int]) -> Template:
+    """The template of texts whose tokens, ``sizes`` of each, stand one after the other.
+
+    A capitalised word is a name; one that starts a sentence is a literal that may be a name. A unit is one behind a number.
     """
-    tokens = TOKEN.findall(text)
     codes = np.fromiter(map(_CODES.__getitem__, tokens), np.uint64, len(tokens))
     kinds = (codes & np.uint64(7)).astype(np.int8)
-    before = np.concatenate([[END], kinds[:-1]]) if len(kinds) else kinds
+    ends = np.cumsum(sizes)
+    before = np.concatenate([[END], kinds])[:-1]
+    starts = ends[:-1]
+    before[starts[starts < len(kinds)]] = END
     slot = (kinds == NUMBER) | (kinds == NAME) & (before != END) | (kinds == UNIT) & (before == NUMBER)
-    codes = np.where(slot, kinds.astype(np.uint64) + np.uint64(1), codes >> np.uint64(3) << np.uint64(3))
+    unsure = (kinds == NAME) & (before == END)
+    values = codes >> np.uint64(3) << np.uint64(3)
+    codes = np.where(slot, kinds.astype(np.uint64) + np.uint64(1), values)
     real = np.flatnonzero(kinds != END)
-    return tokens, codes[real], slot[real], real
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return Template(real, owner[real], codes[real], slot[real], unsure[real], values[real])
 
 
-def windows(codes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each window of ``width`` template tokens, and which windows have enough literals."""
-    n = len(codes) - width + 1
+def windows(t: Template, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The windows of ``width`` template tokens under every reading: (names, places, hashes).
+
+    The bits of ``names`` tell which unsure words of a window are read as names, the others are literals. Windows with too few
+    literals are left out.
+    """
+    n = len(t.codes) - width + 1
     if n <= 0 or width <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    hashes = np.full(n, np.uint64(width))
-    literals = np.zeros(n, np.int16)
+        return
+    inside = t.owner[:n] == t.owner[width - 1 :]
+    pattern = np.zeros(n, np.int64)
     for k in range(width):
-        hashes = (hashes ^ codes[k : k + n]) * _STEP
-        hashes ^= hashes >> np.uint64(29)
-        literals += ~slot[k : k + n]
-    return hashes, literals >= min(MIN_LITERALS, width)
+        pattern |= t.unsure[k : k + n].astype(np.int64) << k
+    readings = {0}
+    for unsure in np.unique(pattern[inside]).tolist():
+        names = unsure
+        while names:
+            readings.add(names)
+            names = names - 1 & unsure
+    for names in sorted(readings):
+        places = np.flatnonzero(inside & (pattern & names == names))
+        hashes = np.full(len(places), np.uint64(width))
+        literals = np.zeros(len(places), np.int16)
+        for k in range(width):
+            if names >> k & 1:
+                hashes = (hashes ^ np.uint64(NAME + 1)) * _STEP
+            else:
+                hashes = (hashes ^ t.codes[places + k]) * _STEP
+                literals += ~t.slot[places + k]
+            hashes ^= hashes >> np.uint64(29)
+        good = literals >= min(MIN_LITERALS, width)
+        yield names, places[good], hashes[good]
 
 
 def _found(width: int, wanted: np.ndarray | None, every: bool):
@@ -102,25 +141,41 @@ def _found(width: int, wanted: np.ndarray | None, every: bool):
     if wanted is not None:
         bits[(wanted >> np.uint64(44)).astype(np.int64)] = True
 
+    def rows_of(tokens: list[str], sizes: list[int], first: int) -> list[tuple]:
+        """(row, hash, place in the text, width, slots) for texts of the rows from ``first`` on."""
+        t = template(tokens, sizes)
+        own = min(width, len(t.codes)) if every else width
+        starts = np.searchsorted(t.owner, np.arange(len(sizes)))
+        rows = []
+        for names, places, hashes in windows(t, own):
+            if wanted is not None and len(places):
+                near = np.flatnonzero(bits[(hashes >> np.uint64(44)).astype(np.int64)])
+                at = np.minimum(np.searchsorted(wanted, hashes[near]), len(wanted) - 1)
+                near = near[wanted[at] == hashes[near]]
+                places, hashes = places[near], hashes[near]
+            owners = t.owner[places]
+            pos = places - starts[owners]
+            for p, h, i, at in zip(places.tolist(), hashes.view(np.int64).tolist(), owners.tolist(), pos.tolist(), strict=True):
+                values = [tokens[t.words[p + k]].lower() for k in range(own) if t.slot[p + k] or names >> k & 1]
+                rows.append((first + i, h, at, own, values))
+        return rows
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, texts = batch.column("id"), batch.column("text")
-            at, rows = [], []
+            rows: list[tuple] = []
+            tokens: list[str] = []
+            sizes: list[int] = []
             for i in range(batch.num_rows):
-                tokens, codes, slot, real = template(texts[i].as_py())
-                own = min(width, len(codes)) if every else width
-                hashes, good = windows(codes, slot, own)
-                places = np.flatnonzero(good)
-                if wanted is not None and len(places):
-                    places = places[bits[(hashes[places] >> np.uint64(44)).astype(np.int64)]]
-                    near = np.minimum(np.searchsorted(wanted, hashes[places]), len(wanted) - 1)
-                    places = places[wanted[near] == hashes[places]]
-                for p in places.tolist():
-                    values = [tokens[real[p + k]].lower() for k in range(own) if slot[p + k]]
-                    at.append(i)
-                    rows.append((int(hashes[p].view(np.int64)), p, own, values))
+                found = TOKEN.findall(texts[i].as_py())
+                tokens += found
+                sizes.append(len(found))
+                # Short texts are read together; an item has a width of its own.
+                if every or len(tokens) >= TOGETHER or i + 1 == batch.num_rows:
+                    rows += rows_of(tokens, sizes, i + 1 - len(sizes))
+                    tokens, sizes = [], []
             if rows:
-                cut, pos, size, values = zip(*rows, strict=True)
+                at, cut, pos, size, values = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.take(pa.array(at)),
@@ -173,7 +228,8 @@ def matches(
     ``windows`` counts an item's windows, ``matched`` those that the document holds with consistent slots, ``coverage``
     is their ratio, at least ``min_coverage``; ``changed`` counts slot values that differ. Slots are consistent where
     an item's value always meets the same value in one occurrence; windows that deviate from its most frequent partner don't
-    count. A document may hold several variants of an item: each occurrence is judged on its own, the best one is reported. An item with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows
+    count. A document may hold several variants of an item: each occurrence is judged on its own, the best one is reported.
+    An item with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows
     without an id; rows that share an id are taken together.
 
     Documents are scanned once for each pass over the benchmark; only windows whose hash an item has leave the scan.
@@ -199,15 +255,18 @@ def matches(
     if met is None:
         met = _windows_of(present.limit(0), id_col, text_col, width)
     met = cut_lineage(met, "met").select("id", "hash", "pos", "slots")
+    # A window is matched under one reading or several.
     joined = (
         met.join(small(items.drop("width")), "hash")
         .withColumn("pairs", F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")))
+        .groupBy("id", "item", "pos", "ipos")
+        .agg(F.collect_set("pairs").alias("readings"))
         .join(small(totals), "item")
         .withColumn("place", F.explode(_places(F.col("pos") - F.col("ipos"), F.col("windows"))))
     )
     # Each value of an item and its most frequent partner in an occurrence.
     votes = (
-        joined.select(*OCCURRENCE, F.explode(F.array_distinct("pairs")).alias("p"))
+        joined.select(*OCCURRENCE, F.explode(F.array_distinct(F.flatten("readings"))).alias("p"))
         .groupBy(*OCCURRENCE, F.col("p.i").alias("value"), F.col("p.d").alias("partner"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -216,7 +275,7 @@ def matches(
         F.map_from_entries(F.collect_list(F.struct("value", "partner"))).alias("meaning"),
         F.count_if(F.col("value") != F.col("partner")).alias("changed"),
     )
-    agreed = joined.join(meaning, OCCURRENCE, "left").where(F.expr("forall(pairs, p -> meaning[p.i] = p.d)"))
+    agreed = joined.join(meaning, OCCURRENCE, "left").where(F.expr("exists(readings, r -> forall(r, p -> meaning[p.i] = p.d))"))
     held = (
         agreed.groupBy(*OCCURRENCE)
         .agg(
