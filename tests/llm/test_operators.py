@@ -388,6 +388,23 @@ def test_names_that_start_sentences_are_slots_too(spark):
     assert got[1] == got[2] == (1.0, 1) and got[3] == (1.0, 1) and got[4] == (1.0, 0)
 
 
+def test_windows_of_numbers_are_met_by_value(spark):
+    items = [(1, "Compute 12 + 7 * 3 - 9."), (2, "Add 1, 2, 3, 4, 5, 6 and 7 and then halve the sum")]
+    rows = [
+        (1, "It says: compute 12 + 7 * 3 - 9, and nothing more."),
+        (2, "Compute 12 + 7 * 3 - 8."),
+        (3, items[1][1]),
+        (4, items[1][1].replace("6", "9").replace("7", "8")),
+        (5, "1, 2, 3, 4, 5, 6 and 7"),
+    ]
+    found = decontaminate.matches(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    got = {(r["doc_id"], r["item_id"]): (r["windows"], r["coverage"], r["changed"]) for r in found.collect()}
+    assert got[1, 1] == (1, 1.0, 0) and got[3, 2] == (10, 1.0, 0) and (2, 1) not in got
+    assert got[4, 2][1] == 1.0 and got[4, 2][2] == 2
+
+
 def test_short_items_are_one_window(spark):
     items = spark.createDataFrame([(1, "zig zag zug")], "item_id long, text string")
     rows = spark.createDataFrame([(1, "and zig zag zug too"), (2, "zig zag and zug")], "doc_id long, text string")

@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question asked again with other values keeps its template.
 A capitalised word that starts a sentence is read as a literal and as a name. Windows of five template tokens are joined
-by hash; the values that fill the slots of joined windows must map one to one throughout an occurrence, and the share of a question's windows that a document holds in this way decides.
+by hash; the values that fill the slots of joined windows must map one to one throughout an occurrence, and the share
+of a question's windows that a document holds in this way decides.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from tidemark.llm.base import quoted, small, text_of
 WINDOW = 5
 #: Share of an item's windows that a document must hold.
 MIN_COVERAGE = 0.5
-#: Windows with fewer literal tokens say nothing and are left out on both sides.
+#: Windows with fewer literal tokens say nothing by their template and are met by the values in their slots.
 MIN_LITERALS = 2
+#: Added to the width in hashes of windows met by value.
+_BY_VALUE = 1 << 32
 #: Hashes of item windows sent to the tasks in one pass; larger benchmarks take several passes.
 PASS_HASHES = 2_000_000
 #: Tokens of short texts that are read together.
@@ -99,11 +102,19 @@ def template(tokens: list[str], sizes: list[int]) -> Template:
     return Template(real, owner[real], codes[real], slot[real], unsure[real], values[real])
 
 
-def windows(t: Template, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The windows of ``width`` template tokens under every reading: (names, places, hashes).
+def _hashed(columns: Iterator[np.ndarray], seed: int, n: int) -> np.ndarray:
+    hashes = np.full(n, np.uint64(seed))
+    for codes in columns:
+        hashes = (hashes ^ codes) * _STEP
+        hashes ^= hashes >> np.uint64(29)
+    return hashes
 
-    The bits of ``names`` tell which unsure words of a window are read as names, the others are literals. Windows with too few
-    literals are left out.
+
+def windows(t: Template, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The windows of ``width`` template tokens under every reading: (names, places, hashes, whether by template).
+
+    The bits of ``names`` tell which unsure words of a window are read as names, the others are literals. With too few
+    literals the hash is one of the values instead, whatever the reading.
     """
     n = len(t.codes) - width + 1
     if n <= 0 or width <= 0:
@@ -120,17 +131,14 @@ def windows(t: Template, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarr
             names = names - 1 & unsure
     for names in sorted(readings):
         places = np.flatnonzero(inside & (pattern & names == names))
-        hashes = np.full(len(places), np.uint64(width))
-        literals = np.zeros(len(places), np.int16)
-        for k in range(width):
-            if names >> k & 1:
-                hashes = (hashes ^ np.uint64(NAME + 1)) * _STEP
-            else:
-                hashes = (hashes ^ t.codes[places + k]) * _STEP
-                literals += ~t.slot[places + k]
-            hashes ^= hashes >> np.uint64(29)
+        literals = sum(~t.slot[places + k] for k in range(width) if not names >> k & 1) + np.zeros(len(places), np.int16)
         good = literals >= min(MIN_LITERALS, width)
-        yield names, places[good], hashes[good]
+        codes = (np.uint64(NAME + 1) if names >> k & 1 else t.codes[places + k] for k in range(width))
+        hashes = _hashed(codes, width, len(places))
+        poor = places[~good]
+        if len(poor):
+            hashes[~good] = _hashed((t.values[poor + k] for k in range(width)), width + _BY_VALUE, len(poor))
+        yield names, places, hashes, good
 
 
 def _found(width: int, wanted: np.ndarray | None, every: bool):
@@ -142,22 +150,25 @@ def _found(width: int, wanted: np.ndarray | None, every: bool):
         bits[(wanted >> np.uint64(44)).astype(np.int64)] = True
 
     def rows_of(tokens: list[str], sizes: list[int], first: int) -> list[tuple]:
-        """(row, hash, place in the text, width, slots) for texts of the rows from ``first`` on."""
+        """(row, hash, place in the text, width, slots, by template) for texts of the rows from ``first`` on."""
         t = template(tokens, sizes)
         own = min(width, len(t.codes)) if every else width
         starts = np.searchsorted(t.owner, np.arange(len(sizes)))
         rows = []
-        for names, places, hashes in windows(t, own):
+        for names, places, hashes, good in windows(t, own):
             if wanted is not None and len(places):
                 near = np.flatnonzero(bits[(hashes >> np.uint64(44)).astype(np.int64)])
                 at = np.minimum(np.searchsorted(wanted, hashes[near]), len(wanted) - 1)
                 near = near[wanted[at] == hashes[near]]
-                places, hashes = places[near], hashes[near]
+                places, hashes, good = places[near], hashes[near], good[near]
             owners = t.owner[places]
-            pos = places - starts[owners]
-            for p, h, i, at in zip(places.tolist(), hashes.view(np.int64).tolist(), owners.tolist(), pos.tolist(), strict=True):
-                values = [tokens[t.words[p + k]].lower() for k in range(own) if t.slot[p + k] or names >> k & 1]
-                rows.append((first + i, h, at, own, values))
+            columns = (places, hashes.view(np.int64), owners, places - starts[owners], good)
+            for p, h, i, at, free in zip(*(c.tolist() for c in columns), strict=True):
+                # By value all tokens are the same on both sides.
+                values = [
+                    tokens[t.words[p + k]].lower() for k in range(own) if not free or t.slot[p + k] or names >> k & 1
+                ]
+                rows.append((first + i, h, at, own, values, free))
         return rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +186,7 @@ def _found(width: int, wanted: np.ndarray | None, every: bool):
                     rows += rows_of(tokens, sizes, i + 1 - len(sizes))
                     tokens, sizes = [], []
             if rows:
-                at, cut, pos, size, values = zip(*rows, strict=True)
+                at, cut, pos, size, values, free = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.take(pa.array(at)),
@@ -183,8 +194,9 @@ def _found(width: int, wanted: np.ndarray | None, every: bool):
                         pa.array(pos, pa.int64()),
                         pa.array(size, pa.int32()),
                         pa.array(values, pa.list_(pa.string())),
+                        pa.array(free, pa.bool_()),
                     ],
-                    ["id", "hash", "pos", "width", "slots"],
+                    ["id", "hash", "pos", "width", "slots", "free"],
                 )
 
     return run
@@ -194,7 +206,7 @@ def _windows_of(df: DataFrame, id_col: str, text_col: str, width: int, wanted=No
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(quoted(id_col)).alias("id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(
-        _found(width, wanted, every), f"id {kind}, hash long, pos long, width int, slots array<string>"
+        _found(width, wanted, every), f"id {kind}, hash long, pos long, width int, slots array<string>, free boolean"
     )
 
 
@@ -229,8 +241,10 @@ def matches(
     is their ratio, at least ``min_coverage``; ``changed`` counts slot values that differ. Slots are consistent where
     an item's value always meets the same value in one occurrence; windows that deviate from its most frequent partner don't
     count. A document may hold several variants of an item: each occurrence is judged on its own, the best one is reported.
-    An item with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows
-    without an id; rows that share an id are taken together.
+    Windows with fewer than two literals are met by the values in their slots. A question with other values can't hold these, so
+    the share of the other windows counts where it is greater; ``windows`` and ``matched`` are then of those. An item
+    with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows without an id; rows
+    that share an id are taken together.
 
     Documents are scanned once for each pass over the benchmark; only windows whose hash an item has leave the scan.
     """
@@ -238,10 +252,12 @@ def matches(
 
     known = benchmark.where(F.col(quoted(item_col)).isNotNull())
     items = _windows_of(known, item_col, item_text_col, width, every=True).select(
-        F.col("id").alias("item"), "hash", F.col("pos").alias("ipos"), "width", F.col("slots").alias("islots")
+        F.col("id").alias("item"), "hash", F.col("pos").alias("ipos"), "width", F.col("slots").alias("islots"), "free"
     )
     items = cut_lineage(items.distinct(), "items")
-    totals = items.groupBy("item").agg(F.countDistinct("ipos").alias("windows"))
+    # Of each window whether it has a template under some reading; a question with other values can hold those only.
+    each = items.groupBy("item", "ipos").agg(F.bool_or("free").alias("free"))
+    totals = each.groupBy("item").agg(F.count(F.lit(1)).alias("windows"), F.count_if("free").alias("frees"))
     present = docs.where(F.col(quoted(id_col)).isNotNull())
     met = None
     for own in sorted(r[0] for r in items.select("width").distinct().collect()):
@@ -261,6 +277,7 @@ def matches(
         .withColumn("pairs", F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")))
         .groupBy("id", "item", "pos", "ipos")
         .agg(F.collect_set("pairs").alias("readings"))
+        .join(small(each), ["item", "ipos"])
         .join(small(totals), "item")
         .withColumn("place", F.explode(_places(F.col("pos") - F.col("ipos"), F.col("windows"))))
     )
@@ -280,9 +297,14 @@ def matches(
         agreed.groupBy(*OCCURRENCE)
         .agg(
             F.first("windows").alias("windows"),
+            F.first("frees").alias("frees"),
             F.countDistinct("ipos").alias("matched"),
+            F.countDistinct(F.when(F.col("free"), F.col("ipos"))).alias("freely"),
             F.max(F.coalesce("changed", F.lit(0))).alias("changed"),
         )
+        .withColumn("by_template", F.coalesce(F.expr("freely / nullif(frees, 0) > matched / windows"), F.lit(False)))
+        .withColumn("windows", F.when(F.col("by_template"), F.col("frees")).otherwise(F.col("windows")))
+        .withColumn("matched", F.when(F.col("by_template"), F.col("freely")).otherwise(F.col("matched")))
         .withColumn("coverage", F.col("matched") / F.col("windows"))
         .where(F.col("coverage") >= min_coverage)
     )
