@@ -95,6 +95,20 @@ def test_simhash_on_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_one_document_of_each_class_stays_whatever_the_ids(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(400))
+    lone, twice, both, other = text(), text(), text(), text()
+    rows = [(None, lone), (None, lone + " "), (None, lone.replace(" ", "  ")), (1, twice), (1, twice + "\n")]
+    rows += [(None, both), (2, both + " "), (2, both.upper()), (5, both), (3, other), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = simhash.keep_one(docs)
+    assert sorted((r["doc_id"] or 0, (r["text"] or "").lower().split()[:1]) for r in kept.collect()) == sorted(
+        (k, t.split()[:1]) for k, t in ((0, lone), (1, twice), (2, both), (3, other), (4, ""))
+    )
+    assert kept.exceptAll(docs).isEmpty()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)]

@@ -97,9 +97,9 @@ def links(marks: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """From (id, fp): one row per fingerprint with ``component_id``, and ``links``, its number of links.
+    """From (id, fp): one row per fingerprint with ``component_id``, ``links``, its number of links, and ``root``.
 
-    The class id is the smallest id reachable; null if no member has an id.
+    ``root`` is a fingerprint that names the class. The class id is the smallest id reachable; null if no member has an id.
     """
     marks = prints.groupBy("fp").agg(F.min("id").alias("least"))
     edges = cut_lineage(links(marks.select("fp"), max_bits), "links")
@@ -113,7 +113,17 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = linked.join(least, "root").join(degree, F.col("fp") == degree["node"], "left")
-    return linked.select("fp", "component_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    return linked.select("fp", "component_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "root")
+
+
+def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, fp) of every document with its class."""
+    prints = docs.select(
+        F.col(quoted(id_col)).alias("id"), fingerprint_column(text_of(text_col), shingle).alias("fp")
+    )
+    prints = cut_lineage(prints, "simhash")
+    # Written, so that a fingerprint with very many documents can be split in the join.
+    return prints.join(cut_lineage(classes(prints, max_bits), "classes"), "fp")
 
 
 def near_duplicates(
@@ -130,12 +140,7 @@ def near_duplicates(
     are kept each; rows without an id belong to a class but never name it. Only distinct fingerprints are indexed,
     so copies add no pairs. An empty table gives no rows.
     """
-    prints = docs.select(
-        F.col(quoted(id_col)).alias("id"), fingerprint_column(text_of(text_col), shingle).alias("fp")
-    )
-    prints = cut_lineage(prints, "simhash")
-    # Written, so that a fingerprint with very many documents can be split in the join.
-    found = prints.join(cut_lineage(classes(prints, max_bits), "classes"), "fp")
+    found = _members(docs, id_col, text_col, shingle, max_bits)
     return found.select(
         F.col("id").alias(id_col),
         _digits(F.col("fp")).alias("fingerprint"),
@@ -153,14 +158,35 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id, rows without an id last.
 
-    Rows alike in both id and fingerprint stand or fall together; exact copies go before this stage.
+    Of rows of a class that share its smallest id, or have none, exactly one stays.
     """
     def keep(rows: DataFrame, id_name: str, text_name: str) -> DataFrame:
-        members = near_duplicates(rows, id_name, text_name, shingle, max_bits)
+        members = _members(rows, id_name, text_name, shingle, max_bits)
         key = F.col(id_name)
-        gone = members.where(~key.eqNullSafe(F.col("component_id"))).select(key.alias("_id"), F.col("fingerprint").alias("_fp"))
+        stays = F.col("id").eqNullSafe(F.col("component_id"))
+        gone = members.where(~stays).select(F.col("id").alias("_id"), F.col("fp").alias("_fp"))
         gone = small(gone.distinct())
-        marked = rows.withColumn("_mark", _digits(fingerprint_column(text_of(text_name), shingle)))
-        return marked.join(gone, key.eqNullSafe(gone["_id"]) & (F.col("_mark") == gone["_fp"]), "left_anti")
+        mark = fingerprint_column(text_of(text_name), shingle)
+        marked = rows.withColumn("_mark", mark)
+        left = marked.join(gone, key.eqNullSafe(gone["_id"]) & (F.col("_mark") == gone["_fp"]), "left_anti")
+        # Classes of which several rows are left.
+        several = members.where(stays).groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
+        tied = members.where(stays).join(several, "root").select(
+            F.col("id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_class")
+        )
+        tied = cut_lineage(tied.distinct(), "tied")
+        if tied.isEmpty():
+            return left
+        tied = small(tied)
+        same = key.eqNullSafe(tied["_id"]) & (F.col("_mark") == tied["_fp"])
+        # Ids are compared first, so that few texts have their fingerprint made again; written once, so that the number that
+        # breaks ties is the same wherever it is read.
+        ids = small(tied.select(F.col("_id").alias("_tied")).distinct())
+        again = rows.join(ids, key.eqNullSafe(ids["_tied"]), "left_semi").withColumn("_mark", mark)
+        again = again.join(tied, same).drop("_id", "_fp").withColumn("_tie", F.monotonically_increasing_id())
+        again = cut_lineage(again, "ties")
+        first = cut_lineage(again.groupBy("_class").agg(F.min("_tie").alias("_first")), "firsts")
+        one = again.join(first.select("_first"), F.col("_tie") == F.col("_first"), "left_semi")
+        return left.join(tied, same, "left_anti").unionByName(one.select(*left.columns))
 
     return sheltered(docs, [id_col, text_col], keep)
