@@ -6,11 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact, language, licences, packing, simhash, substring, suffixes, toxicity
+from tidemark.llm import (
+    decontaminate,
+    exact,
+    language,
+    licences,
+    packing,
+    pieces,
+    simhash,
+    substring,
+    suffixes,
+    toxicity,
+)
 from tidemark.llm import pages as web
 from tidemark.llm.base import held_out, query, table
 
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer() -> tuple[str, str]:
@@ -95,3 +107,15 @@ def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicit
 @query("op10_licences")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.crc32(F.concat("starts", "stops")).alias("spans_crc32"),
+    )
