@@ -14,6 +14,7 @@ from tidemark.llm import (
     packing,
     pieces,
     simhash,
+    spelling,
     substring,
     suffixes,
     toxicity,
@@ -119,3 +120,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.crc32(F.concat("starts", "stops")).alias("spans_crc32"),
     )
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
