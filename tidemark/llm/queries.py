@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    conversations,
     decontaminate,
     exact,
     language,
@@ -125,3 +126,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_spelling_variants")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.trie(table(spark, sf_dir, "conversations"))
