@@ -23,7 +23,7 @@ from tidemark.session import cut_lineage
 #: Conversations of one hundred share the first turns of the one that begins it; h is below six.
 FAMILY, HEADS = 100, 6
 #: Turns at or below a shard root, at most, in the first round; later rounds have fewer nodes and may hold more.
-SHARD_TURNS, GROWTH = 4096, 8
+SHARD_TURNS, GROWTH = 1024, 8
 #: Turns of one conversation that are summed in one group, and ids of conversations that are joined in one.
 BLOCK, ID_BITS = 4096, 12
 #: Nodes that a task takes, about.
