@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.base import GAP, LST, MEASURES, PTS, check, gap, lst, pts, rounded, table
 from checks.listing import PAIRS, TAIL, cut_sql, distances_sql, histogram_sql, linkage_sql, normal_cdf_sql, stats_sql
-from tidemark.operators import groups, reduce, regress
+from tidemark.operators import groups, neighbours, reduce, regress
 from tidemark.operators.joins import join_dimension
 from tidemark.operators.sampling import sample_rows
 from tidemark.plans.study import Study, StudyConfig, run_listing_study
@@ -367,6 +367,67 @@ def nearest_many_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return _many(spark, sf, query_block=8)
 
 
+# For every supplier, the order lines nearest to the average line, both sides as tables.
+JOIN_SQL = f"""WITH {PTS}, {Z_SQL},
+  q AS (SELECT l.l_suppkey AS supplier, {", ".join(f"avg(z_{c}) AS z_{c}" for c in MEASURES)}
+    FROM z JOIN (SELECT DISTINCT l_suppkey, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
+         || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS key FROM lineitem) AS l USING (key) GROUP BY 1),
+  d AS (SELECT supplier, z.key, {DISTANCE} AS distance FROM z, q)
+  SELECT supplier, key, round(distance, 6) AS distance,
+    CAST(row_number() OVER (PARTITION BY supplier ORDER BY distance, key) AS INTEGER) AS place
+  FROM d QUALIFY place <= 5"""
+
+
+def _suppliers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    names = [f"z_{c}" for c in MEASURES]
+    scaled = reduce.standardize(pts(spark, sf), MEASURES)
+    supplier = F.substring_index("key", "-", -1).cast("long").alias("supplier")
+    return scaled, scaled.groupBy(supplier).agg(*[F.avg(c).alias(c) for c in names]), names
+
+
+@check("nearest_join", JOIN_SQL)
+def nearest_join(spark: SparkSession, sf: str) -> DataFrame:
+    scaled, average, names = _suppliers(spark, sf)
+    return rounded(neighbours.nearest_join(scaled, average, names, "key", "supplier"), 6, "distance")
+
+
+# The index's answer as bounds of the exact one.
+@check("nearest_index_exact", JOIN_SQL)
+def nearest_index_exact(spark: SparkSession, sf: str) -> DataFrame:
+    scaled, average, names = _suppliers(spark, sf)
+    index = neighbours.build_index(scaled, names, "key")
+    near = neighbours.nearest_index(index, average, names, "key", "supplier", exact=True)
+    return rounded(near, 6, "distance")
+
+
+# Every twentieth vector against all vectors.
+@check(
+    "nearest_vectors",
+    """WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
+  d AS (SELECT query_id, vec_id, pow(list_distance(CAST(embedding AS DOUBLE[]), CAST(e AS DOUBLE[])), 2) AS distance
+    FROM embeddings, q)
+  SELECT query_id, vec_id, round(distance, 6) AS distance,
+    CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS place
+  FROM d QUALIFY place <= 10""",
+)
+def nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    vectors, some = _vectors(spark, sf)
+    return rounded(neighbours.nearest_join(vectors, some, "embedding", "vec_id", "query_id", k=10), 6, "distance")
+
+
+def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return vectors, vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+
+
+# Approximate, so SQL can't give its rows; a test measures its recall.
+@check("nearest_index")
+def nearest_index(spark: SparkSession, sf: str) -> DataFrame:
+    vectors, some = _vectors(spark, sf)
+    index = neighbours.build_index(vectors, "embedding", "vec_id")
+    return neighbours.nearest_index(index, some, "embedding", "vec_id", "query_id", k=10)
+
+
 # --- the study --------------------------------------------------------------
 
 
