@@ -349,7 +349,7 @@ def build_index(
     df: DataFrame,
     columns: Sequence[str] | str,
     key: str,
-    tables: int = 4,
+    tables: int = 6,
     directions: int = 3,
     bucket: int = 1000,
     seed: int = 0,
@@ -390,7 +390,7 @@ def nearest_index(
     key: str,
     query_key: str,
     k: int = 5,
-    probes: int = 6,
+    probes: int = 8,
     exact: bool = False,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
