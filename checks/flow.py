@@ -12,9 +12,10 @@ from checks.base import DEV, DIM, LST, check, dev, dim, lst, plain_time, table
 from tidemark.functions.scalar import with_date_parts
 from tidemark.operators import joins, metrics
 from tidemark.plans.batch import BatchConfig, batch_metrics, run_batch_layer
-from tidemark.plans.speed import SpeedConfig, run_speed_layer, speed_metrics
+from tidemark.plans.speed import SpeedConfig, landing_table, run_speed_layer, run_speed_layer_once, speed_metrics
 from tidemark.schemas import DEVICE_MESSAGE, LANDED_MESSAGE, METRIC, QUOTA_ALERT
 from tidemark.session import cut_lineage, scratch_path
+from tidemark.sources.logged import LoggedTable, compact_stream_table
 from tidemark.sources.readers import parse_json, read_delimited, read_hour, read_stream
 from tidemark.sources.sinks import (
     FileTable,
@@ -24,6 +25,7 @@ from tidemark.sources.sinks import (
     write_table,
 )
 from tidemark.streaming.queries import run_queries, sink_landing, sink_table
+from tidemark.streaming.state import open_windows
 
 
 def hourly(dim_column: str, source: str, length: str = "1 hour") -> str:
@@ -208,9 +210,13 @@ PARTED_HOUR = "make_timestamp(year, month, day, hour, 0, 0)"
 
 
 def _landed_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return _as_metric(spark.read.schema(LANDED_MESSAGE).parquet(path), kind)
+
+
+def _as_metric(landed_rows: DataFrame, kind: str) -> DataFrame:
     """Landed messages in the columns of a metric."""
     hour = F.expr("make_timestamp(year, month, day, hour, 0, 0)")
-    return spark.read.schema(LANDED_MESSAGE).parquet(path).select(
+    return landed_rows.select(
         F.lit(kind).alias("kind"),
         F.concat_ws("/", "id", "antenna_id", "app").alias("id"),
         hour.alias("timestamp"),
@@ -272,6 +278,33 @@ def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return plain_time(target.read(spark, METRIC))
 
 
+# Corrections of some hours: values double, and a row of a new type comes for each.
+
+
+@check(
+    "table_corrections",
+    f"""WITH {DEV}, h AS ({hourly('app', 'devt')}),
+    fixed AS (SELECT timestamp, id, value * 2 AS value, type FROM h
+      WHERE date_part('hour', timestamp) % 3 = 0 AND id <> 'error')
+    SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM fixed WHERE fixed.timestamp = h.timestamp AND fixed.id = h.id)
+    UNION ALL SELECT * FROM fixed UNION ALL SELECT timestamp, id, value, 'corrected' FROM fixed""",
+)
+def table_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    # Batches of a stream, one of them replayed with other rows; then corrections by key, sent twice.
+    out = LoggedTable(scratch_path(spark, "hourly"))
+    hourly_rows = cut_lineage(metrics.metric_by_window(dev(spark, sf), "app"), "hourly")
+    day = F.floor(F.unix_micros("timestamp") / 86_400_000_000) % 4
+    for batch in range(4):
+        out.write(hourly_rows.where(day == batch), "by_app", batch)
+    out.write(hourly_rows, "by_app", 1)
+    wrong = (F.hour("timestamp") % 3 == 0) & (F.col("id") != "error")
+    doubled = hourly_rows.where(wrong).withColumn("value", F.col("value") * 2)
+    corrected = doubled.unionByName(doubled.withColumn("type", F.lit("corrected")))
+    for _ in range(2):
+        out.replace_keys(corrected, ["type", "id", "timestamp"], "corrections", 0)
+    return plain_time(out.read(spark, METRIC))
+
+
 @check(
     "load_dimension",
     f"""WITH {DIM} SELECT id, name, email, quota FROM dim
@@ -302,6 +335,18 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     return read_stream(spark, "files", path=path)
 
 
+def messages_in_turn(spark: SparkSession, sf: str, batches: int = 4) -> DataFrame:
+    """The same, in files that lie one after the other in time and are read one by one."""
+    path = scratch_path(spark, "messages")
+    payload = F.to_json(F.struct(*DEVICE_MESSAGE.fieldNames()))
+    whole = cut_lineage(dev(spark, sf), "messages")
+    first, last = whole.agg(F.min("timestamp"), F.max("timestamp")).first()
+    part = F.least(F.floor((F.col("timestamp") - first) * batches / (last - first + 1)), F.lit(batches - 1))
+    for i in range(batches):
+        whole.where(part == i).select(payload.alias("value")).coalesce(1).write.mode("append").parquet(path)
+    return read_stream(spark, "files", path=path, max_per_trigger=1)
+
+
 @check("stream_file_source", f"WITH {DEV} SELECT * FROM dev")
 def stream_file_source(spark: SparkSession, sf: str) -> DataFrame:
     out = FileTable(scratch_path(spark, "parsed"))
@@ -374,6 +419,55 @@ def speed_layer(spark: SparkSession, sf: str) -> DataFrame:
     return plain_time(metric.unionByName(_landed_rows(spark, landing, "landed")))
 
 
+@check(
+    "speed_layer_single_read",
+    f"""WITH {DEV}, {DIM}, {KNOWN}, {PARTED}, m AS ({SPEED_SQL}),
+    closed AS (SELECT * FROM m {CLOSED_KNOWN})
+    SELECT type AS kind, id, timestamp, value FROM closed
+    UNION ALL SELECT 'landed', id || '/' || antenna_id || '/' || app, {PARTED_HOUR}, bytes FROM parted""",
+)
+def speed_layer_single_read(spark: SparkSession, sf: str) -> DataFrame:
+    out = LoggedTable(scratch_path(spark, "metrics"))
+    config = SpeedConfig(
+        scratch_path(spark, "landing"), scratch_path(spark, "checkpoints"), out, available_now=True
+    )
+    run_speed_layer_once(messages_in_turn(spark, sf), dim(spark, sf), config)
+    metric = out.read(spark, METRIC).select(F.col("type").alias("kind"), "id", "timestamp", "value")
+    landed_rows = landing_table(config).read(spark, LANDED_MESSAGE)
+    return plain_time(metric.unionByName(_as_metric(landed_rows, "landed")))
+
+
+@check(
+    "compact_stream_table",
+    f"WITH {DEV}, m AS ({hourly('app', 'devt', '2 minutes')}) SELECT * FROM m {CLOSED}",
+)
+def stream_table_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    # Micro-batches of two runs are rewritten as one folder; the last one is then replayed.
+    out, checkpoint = LoggedTable(scratch_path(spark, "metric")), scratch_path(spark, "checkpoint")
+    parsed = parse_json(messages_in_turn(spark, sf), bad="drop")
+    metric = metrics.metric_by_window(parsed, "app", "2 minutes", watermark="1 minute")
+    run_queries([sink_table(metric, out, checkpoint, "by_app", available_now=True)])
+    source, last = next(iter(out.snapshot(spark).last.items()))
+    compact_stream_table(spark, out, METRIC)
+    for batch in range(last + 1):
+        out.write(out.read(spark, METRIC), source, batch)
+    return plain_time(out.read(spark, METRIC))
+
+
+@check(
+    "stream_open_windows",
+    f"""WITH {DEV}, m AS ({hourly('app', 'devt')}) SELECT timestamp, id, value FROM m
+    WHERE timestamp + INTERVAL 1 HOUR > (SELECT max(make_timestamp(timestamp * 1000000)) FROM dev) - INTERVAL 2 DAY""",
+)
+def stream_open_windows(spark: SparkSession, sf: str) -> DataFrame:
+    # What the finished stream still holds, from its checkpoint.
+    out, checkpoint = FileTable(scratch_path(spark, "metric")), scratch_path(spark, "checkpoint")
+    parsed = parse_json(messages_in_turn(spark, sf), bad="drop")
+    metric = metrics.metric_by_window(parsed, "app", "1 hour", watermark="2 days")
+    run_queries([sink_table(metric, out, checkpoint, "by_app", available_now=True)])
+    return plain_time(open_windows(spark, checkpoint).select("timestamp", "id", F.col("sum").alias("value")))
+
+
 @check(
     "batch_layer",
     f"""WITH {DEV}, {DIM}, {KNOWN}, {PARTED}, {ALERTS}, m AS ({METRICS_SQL})

@@ -74,7 +74,8 @@ def parse_json(
 
     A payload is bad when a field declared non-nullable is missing, mistyped or
     the text is no JSON. ``bad='keep'`` leaves the unknown fields null,
-    ``'drop'`` removes such rows, ``'split'`` returns (good rows, bad payloads).
+    ``'drop'`` removes such rows, ``'split'`` returns (good rows, bad payloads) and ``'mark'`` all
+    rows with ``good`` and, where that is false, the ``payload``.
     """
     # A generator, unlike a projection, lets no filter slip below it: Spark would
     # parse the text again for every field the filter looks at.
@@ -89,6 +90,8 @@ def parse_json(
         return rows.select(*fields)
     if bad == "drop":
         return rows.where(good).select(*fields)
+    if bad == "mark":
+        return rows.select(*fields, good.alias("good"), F.when(~good, F.col("_payload")).alias("payload"))
     if bad == "split":
         return rows.where(good).select(*fields), rows.where(~good).select(F.col("_payload").alias("payload"))
     raise ValueError(f"unknown treatment of bad payloads: {bad}")

@@ -14,6 +14,7 @@ from tidemark.functions.scalar import hour_label
 from tidemark.operators.joins import join_dimension
 from tidemark.schemas import DATE_PARTS
 from tidemark.session import cut_lineage
+from tidemark.sources.logged import LoggedTable
 from tidemark.sources.readers import read_dimension
 
 
@@ -92,7 +93,7 @@ class JdbcTable:
         rows.write.format("jdbc").options(**self.options()).mode("append").save()
 
 
-Table = FileTable | JdbcTable
+Table = FileTable | JdbcTable | LoggedTable
 
 
 def _batches(spark: SparkSession, root: str) -> set[str]:

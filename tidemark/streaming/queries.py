@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalar import with_date_parts
 from tidemark.schemas import DATE_PARTS
+from tidemark.session import scratch_path
 from tidemark.sources.sinks import Table
 
 
@@ -46,7 +47,7 @@ def sink_landing(
     return _triggered(writer, available_now, every).start
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark keeps in a checkpoint: the same after every restart, new with a new checkpoint."""
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
@@ -71,7 +72,7 @@ def sink_table(
 
     def write(batch: DataFrame, number: int) -> None:
         if not known:
-            known.append(_query_id(batch.sparkSession, checkpoint))
+            known.append(query_id(batch.sparkSession, checkpoint))
         target.write(batch, f"{name}-{known[0]}", number)
 
     writer = (
@@ -83,6 +84,45 @@ def sink_table(
     return _triggered(writer, available_now, every).start
 
 
+Step = Callable[[DataFrame, str, int], None]
+
+
+def sink_fanout(
+    df: DataFrame,
+    steps: Sequence[Step],
+    checkpoint: str,
+    name: str,
+    available_now: bool = False,
+    every: str | None = None,
+) -> Callable[[], StreamingQuery]:
+    """Give each micro-batch to several outputs in turn, reading and parsing the source once.
+
+    A micro-batch is written to the shared folder; every step gets its rows, the name of the source (with the query's id)
+    and the batch number. When a step fails, the query stops and its restart repeats the batch for all of them, so
+    each must remember what it has committed: tables written under (source, batch) do.
+    """
+    if not checkpoint:
+        raise ValueError(f"query {name} needs a checkpoint")
+    known: list[str] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if not known:
+            known.append(query_id(spark, checkpoint))
+        path = scratch_path(spark, name)
+        batch.write.parquet(path)
+        staged = spark.read.schema(batch.schema).parquet(path)
+        for step in steps:
+            step(staged, f"{name}-{known[0]}", number)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    writer = (
+        df.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    )
+    return _triggered(writer, available_now, every).start
+
+
 def run_queries(starts: Sequence[Callable[[], StreamingQuery]], wait: bool = True) -> list[StreamingQuery]:
     """Start all queries together and, with ``wait``, stay until all have ended.
 
