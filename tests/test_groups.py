@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import math
 import random
 
 import numpy as np
@@ -172,6 +173,40 @@ def test_linkage_with_ties_and_segments(segmented, local_members):
     assert found == linked(rows)
 
 
+@pytest.mark.parametrize("chain_members", [1, 2, 4, 100])
+def test_linkage_along_chains_of_any_part(segmented, chain_members):
+    df, rows = segmented
+    merges = groups.complete_linkage(df, ["city"], 1, chain_members)
+    found = sorted(tuple(r) for r in merges.select("city", "step", "left", "right", "height", "size").collect())
+    assert found == linked(rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_linkage_along_chains_equals_one_task(spark, seed):
+    """Points on a line, in the plane and with equal gaps; parts much smaller than the chains."""
+    draw = random.Random(seed)
+    places = {f"p{i:02d}": (draw.choice([0, 0, draw.random()]), draw.randint(0, 12) if seed else draw.random()) for i in range(45)}
+    rows = [(p, q, math.dist(places[p], places[q])) for p, q in itertools.combinations(sorted(places), 2)]
+    df = spark.createDataFrame(rows, "a string, b string, distance double")
+    want = [tuple(r) for r in groups.complete_linkage(df).orderBy("step").collect()]
+    for most in (5, 1000):
+        assert [tuple(r) for r in groups.complete_linkage(df, (), 1, most).orderBy("step").collect()] == want
+
+
+def test_a_chain_is_merged_in_one_round(spark, monkeypatch):
+    """Every merge waits for the one before: gaps that grow along a line of 300 groups."""
+    counted = []
+    final = groups._final_names
+    monkeypatch.setattr(groups, "_final_names", lambda merges, keys: counted.append(1) or final(merges, keys))
+    at = np.cumsum(1 + np.arange(300) * 0.01)
+    i, j = np.triu_indices(300, 1)
+    pairs = pd.DataFrame({"a": i, "b": j, "distance": at[j] - at[i]})
+    df = spark.createDataFrame(pairs, "a long, b long, distance double")
+    want = [tuple(r) for r in groups.complete_linkage(df).orderBy("step").collect()]
+    assert [tuple(r) for r in groups.complete_linkage(df, local_members=1).orderBy("step").collect()] == want
+    assert len(counted) == 1 and len(want) == 299
+
+
 @pytest.mark.parametrize("height", [0.0, 3.0, 4.0, 6.0])
 def test_cut_in_tasks_equals_cut_in_rounds(segmented, height):
     merges = groups.complete_linkage(segmented[0], ["city"])

@@ -258,14 +258,17 @@ def _aligned(places: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def complete_linkage(
-    distances: DataFrame, by: Sequence[str] = (), local_members: int = LOCAL_MEMBERS
+    distances: DataFrame,
+    by: Sequence[str] = (),
+    local_members: int = LOCAL_MEMBERS,
+    chain_members: int = LOCAL_MEMBERS,
 ) -> DataFrame:
     """Merge table ``(step, left, right, height, size)`` of complete-linkage clustering.
 
     A cluster goes by its smallest member; ``left < right``, and the merged
     cluster keeps the name ``left``. Equal heights merge in the order of
     (left, right). Segments of at most ``local_members`` members are merged in one
-    task each; larger ones by rounds of joins over the distance table.
+    task each; larger ones by rounds over the distance table, in each of which tasks merge parts of at most ``chain_members`` clusters.
     """
     distances = cut_lineage(distances.select(*by, "a", "b", "distance"))
     keys = [*by, "_all"]
@@ -276,11 +279,11 @@ def complete_linkage(
     if not some:
         return _merge_in_tasks(tagged, by).drop("_all")
     if every:
-        return _merge_in_rounds(tagged, by).drop("_all")
+        return _merge_in_rounds(tagged, by, chain_members).drop("_all")
     split = join_dimension(tagged, cut_lineage(segments), keys)
     small = split.where(~F.col("_large")).drop("_large")
     large = split.where("_large").drop("_large")
-    return _merge_in_tasks(small, by).unionByName(_merge_in_rounds(large, by)).drop("_all")
+    return _merge_in_tasks(small, by).unionByName(_merge_in_rounds(large, by, chain_members)).drop("_all")
 
 
 def _merge_in_tasks(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -333,44 +336,57 @@ def _merge_in_tasks(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
     return tagged.groupBy(*keys).applyInPandas(link, schema)
 
 
-def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Merge all mutually nearest clusters at once, until one is left.
+def _merge_in_rounds(tagged: DataFrame, by: Sequence[str], chain_members: int = LOCAL_MEMBERS) -> DataFrame:
+    """Merge along chains of nearest clusters, many merges a round, until one cluster is left.
 
-    With complete linkage a merge never brings clusters closer to others, so two
-    clusters that are each other's nearest stay so until they merge. Merging all
-    such pairs in one round thus finds the merges of the one-at-a-time order,
-    which the heights restore. A round halves the clusters at best; where every merge
-    waits for the one before, there are as many rounds as merges. Each round writes its merges to one table, so the plan
-    does not grow.
+    Every cluster points to its nearest; clusters that point to each other in a chain or a tree of chains are a part. A
+    task merges the nearest pairs of its part as long as no cluster outside can be nearer: with complete linkage a merge never brings
+    clusters closer, so the distance to the nearest outside holds from below whatever the other parts do meanwhile. That
+    gives the merges of the one-at-a-time order, which the heights restore. Parts have at most
+    ``chain_members`` clusters; a chain in which every merge waits for the one before is one part. Each round writes its merges to one
+    table, so the plan does not grow.
     """
     keys = [*by, "_all"]
     gaps = tagged
     weights = tagged.select(*keys, F.explode(F.array("a", "b")).alias("name")).distinct()
     weights = cut_lineage(weights.withColumn("w", F.lit(1).cast("long")))
     spark = tagged.sparkSession
-    path, rounds, kinds = scratch_path(spark, "merges"), 0, None
+    path, rounds = scratch_path(spark, "merges"), 0
+    kind = tagged.schema["a"].dataType
+    named = [tagged.schema[name] for name in keys]
+    found = StructType(
+        [
+            *named,
+            StructField("left", kind),
+            StructField("right", kind),
+            StructField("distance", DoubleType()),
+            StructField("size", LongType()),
+        ]
+    )
     while not gaps.isEmpty():
         edge = F.struct("distance", "a", "b").alias("edge")
         ends = gaps.select(*keys, F.explode(F.array("a", "b")).alias("end"), edge)
         nearest = ends.groupBy(*keys, "end").agg(F.min("edge").alias("edge"))
-        mutual = (
-            nearest.groupBy(*keys, "edge")
-            .count()
-            .where("count = 2")
-            .select(*keys, F.col("edge.a").alias("left"), F.col("edge.b").alias("right"), "edge.distance")
-        )
+        nearest = nearest.select(*keys, F.col("end").alias("name"), F.col("edge.a").alias("a"), F.col("edge.b").alias("b"), "edge.distance")
+        # One row for each cluster, of as many pairs as their square.
+        shape = StructType([*named, StructField("name", kind), StructField("_part", LongType()), StructField("_to", kind)])
+        parts = nearest.groupBy(*keys).applyInPandas(_chains(keys, chain_members), shape)
+        parts = cut_lineage(parts.join(weights, [*keys, "name"]), "parts")
+        label = parts.select(*keys, "name", "_part")
+        if fits_broadcast(label):
+            label = F.broadcast(label)
+        inside = gaps
+        for end in ("a", "b"):
+            inside = inside.join(label.withColumnsRenamed({"name": end, "_part": f"_part_{end}"}), [*keys, end])
+        apart = inside.where("_part_a <> _part_b").select(*keys, F.explode(F.array("a", "b")).alias("name"), "distance")
+        apart = apart.groupBy(*keys, "name").agg(F.min("distance").alias("out"))
+        members = parts.join(apart, [*keys, "name"], "left")
+        inside = inside.where("_part_a = _part_b").withColumn("_part", F.col("_part_a")).drop("_part_a", "_part_b")
         rounds += 1
-        (
-            mutual.join(weights.withColumnsRenamed({"name": "left", "w": "w_left"}), [*keys, "left"])
-            .join(weights.withColumnsRenamed({"name": "right", "w": "w_right"}), [*keys, "right"])
-            .withColumn("size", F.col("w_left") + F.col("w_right"))
-            .drop("w_left", "w_right")
-            .select(*keys, "left", "right", "distance", "size")
-            .write.parquet(f"{path}/round={rounds}")
-        )
-        mutual = spark.read.parquet(f"{path}/round={rounds}")
-        kinds = mutual.schema
-        moves = mutual.select(*keys, "left", "right")
+        together = inside.groupBy(*keys, "_part").cogroup(members.groupBy(*keys, "_part"))
+        together.applyInPandas(_merged_parts(keys), found).write.parquet(f"{path}/round={rounds}")
+        merges = spark.read.schema(found).parquet(f"{path}/round={rounds}")
+        moves = _final_names(merges, keys)
         if fits_broadcast(moves):
             moves = F.broadcast(moves)
         weights = _renamed(weights, "name", moves, keys).groupBy(*keys, "name").agg(F.sum("w").alias("w"))
@@ -382,16 +398,108 @@ def _merge_in_rounds(tagged: DataFrame, by: Sequence[str]) -> DataFrame:
             .agg(F.max("distance").alias("distance"))
             .withColumnsRenamed({"lo": "a", "hi": "b"})
         )
-    if kinds is None:
-        empty = tagged.select(*keys, F.col("a").alias("left"), F.col("b").alias("right"), "distance")
-        merges = empty.limit(0).withColumn("size", F.lit(0).cast("long"))
+    if not rounds:
+        merges = spark.createDataFrame([], found)
     else:
-        merges = spark.read.schema(kinds).option("basePath", path).parquet(path)
+        merges = spark.read.schema(found).option("basePath", path).parquet(path)
     return numbered(merges, ["distance", "left", "right"], "step", keys).select(
         *keys, "step", "left", "right", F.col("distance").alias("height"), "size"
     )
 
 
+def _chains(keys: list[str], most: int):
+    """Parts of the graph in which every cluster points to its nearest, from rows (name, a, b, distance)."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["distance", "a", "b"], kind="stable").reset_index(drop=True)
+        at = {name: i for i, name in enumerate(pdf["name"])}
+        to = np.where(pdf["name"] == pdf["a"], pdf["b"], pdf["a"])
+        ahead = np.array([at[name] for name in to])
+        # Edges get smaller along a chain, so each cluster comes after the one it points to, but for mutual pairs, which stay
+        # together.
+        part = np.full(len(pdf), -1)
+        count: list[int] = []
+        for i in range(len(pdf)):
+            if part[i] >= 0:
+                continue
+            known = part[ahead[i]]
+            if known < 0 or count[known] >= most:
+                known = len(count)
+                count.append(0)
+            part[i] = known
+            count[known] += 1
+            if part[ahead[i]] < 0:
+                part[ahead[i]] = known
+                count[known] += 1
+        out = pd.DataFrame({"name": pdf["name"], "_part": part, "_to": to})
+        for name in keys:
+            out[name] = pdf[name].iloc[0]
+        return out[[*keys, "name", "_part", "_to"]]
+
+    return run
+
+
+def _merged_parts(keys: list[str]):
+    """Merges of one part: rows (a, b, distance) inside it and its clusters (name, _to, w, out)."""
+
+    def run(inside: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        members = members.sort_values("name").reset_index(drop=True)
+        names = members["name"].tolist()
+        at = {name: i for i, name in enumerate(names)}
+        k = len(names)
+        gaps = np.full((k, k), np.inf)
+        i, j = inside["a"].map(at).to_numpy(int), inside["b"].map(at).to_numpy(int)
+        gaps[i, j] = gaps[j, i] = inside["distance"].to_numpy(float)
+        size = members["w"].to_numpy(int)
+        out = members["out"].fillna(np.inf).to_numpy(float)
+        first = np.array([at.get(name, -1) for name in members["_to"]])
+        places = np.arange(k)
+        # Nearest among all clusters, by distance and names, as long as neither has merged.
+        sure = (first >= 0) & (first[np.maximum(first, 0)] == places)
+        near = gaps.argmin(axis=1)
+        least = gaps[places, near]
+        merges = []
+        while True:
+            free = (near[near] == places) & np.isfinite(least) & ((least < out) & (least < out[near]) | sure & (near == first))
+            if not free.any():
+                break
+            left = int(np.where(free, least, np.inf).argmin())
+            right = int(near[left])
+            height = gaps[left, right]
+            size[left] += size[right]
+            merges.append((names[left], names[right], height, size[left]))
+            joined = np.maximum(gaps[left], gaps[right])
+            joined[left] = np.inf
+            gaps[left, :] = gaps[:, left] = joined
+            gaps[right, :] = gaps[:, right] = np.inf
+            out[left] = max(out[left], out[right])
+            sure[left] = sure[right] = False
+            again = np.union1d(np.flatnonzero((near == left) | (near == right)), [left, right])
+            near[again] = gaps[again].argmin(axis=1)
+            least[again] = gaps[again, near[again]]
+        found = pd.DataFrame(merges, columns=["left", "right", "distance", "size"])
+        for name in keys:
+            found[name] = members[name].iloc[0]
+        return found[[*keys, "left", "right", "distance", "size"]]
+
+    return run
+
+
+def _final_names(merges: DataFrame, keys: list[str]) -> DataFrame:
+    """(left, right): every cluster that went in a round, and the name of the one it is in now, by doubling the steps."""
+    moves = cut_lineage(merges.select(*keys, "left", "right"), "moves")
+    while True:
+        far = moves.select(*keys, F.col("right").alias("left"), F.col("left").alias("_further"))
+        ahead = moves.join(far, [*keys, "left"], "left")
+        ahead = ahead.select(
+            *keys, F.coalesce("_further", "left").alias("left"), "right", F.col("_further").isNotNull().alias("_moved")
+        )
+        ahead = cut_lineage(ahead, "moves")
+        moves = ahead.drop("_moved")
+        if ahead.where("_moved").isEmpty():
+            return moves
+
+
 def numbered(df: DataFrame, order: Sequence[str], name: str, by: Sequence[str] = ()) -> DataFrame:
     """Add the 1-based place in ``order`` within each segment; ``order`` decides between any two rows.
 
