@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.base import GAP, LST, MEASURES, PTS, check, gap, lst, pts, rounded, table
 from checks.listing import PAIRS, TAIL, cut_sql, distances_sql, histogram_sql, linkage_sql, normal_cdf_sql, stats_sql
-from tidemark.operators import groups, neighbours, reduce, regress
+from tidemark.operators import groups, neighbours, reduce, regress, within
 from tidemark.operators.joins import join_dimension
 from tidemark.operators.sampling import sample_rows
 from tidemark.plans.study import Study, StudyConfig, run_listing_study
@@ -157,6 +157,37 @@ def ols_categorical(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(regress.ols_table(spark, fit).select("term", "estimate"), 5, "estimate")
 
 
+@check(
+    "ols_within",
+    f"""WITH {LEVELS}
+    SELECT 'intercept' AS term, round(a, 5) AS estimate FROM base
+    UNION ALL SELECT 'size', round(slope, 5) FROM b
+    UNION ALL SELECT 'neigh=' || neigh, round(my - slope * mx - a, 5) FROM g, b, base
+      WHERE neigh > (SELECT min(neigh) FROM g)""",
+)
+def ols_within(spark: SparkSession, sf: str) -> DataFrame:
+    # The same by elimination within the levels, which never come to the driver.
+    listings = gap(spark, sf)
+    fit = within.fit_within(listings, "price", ["size"], "neigh")
+    return rounded(within.within_table(listings, fit).select("term", "estimate"), 5, "estimate")
+
+
+# A factor of as many levels as there are orders.
+@check(
+    "ols_within_orders",
+    """WITH g AS (SELECT l_orderkey AS o, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM lineitem GROUP BY 1),
+    b AS (SELECT sum((l_quantity - mx) * (l_extendedprice - my)) / sum((l_quantity - mx) * (l_quantity - mx)) AS slope
+      FROM lineitem JOIN g ON l_orderkey = o)
+    SELECT l_orderkey, l_linenumber, l_partkey, round(my + slope * (l_quantity - mx), 4) AS predicted
+    FROM lineitem JOIN g ON l_orderkey = o, b""",
+)
+def ols_within_orders(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    fit = within.fit_within(lines, "l_extendedprice", ["l_quantity"], "l_orderkey")
+    found = within.predict_within(lines, fit).select("l_orderkey", "l_linenumber", "l_partkey", "predicted")
+    return rounded(found, 4, "predicted")
+
+
 @check(
     "rmse",
     f"""WITH {ONE} SELECT round(sqrt(avg(pow(a + b * price - area, 2))), 6) AS rmse, count(area) AS n FROM gap, one""",

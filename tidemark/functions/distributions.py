@@ -178,6 +178,16 @@ def t_two_sided(t: float, freedom: float) -> float:
     return beta_tail(freedom / (freedom + t * t), freedom / 2.0, 0.5)
 
 
+def t_two_sided_column(t: Column, freedom: float) -> Column:
+    """:func:`t_two_sided` of a column; null stays null."""
+
+    @F.pandas_udf(DoubleType())
+    def tail(values: pd.Series) -> pd.Series:
+        return pd.Series([None if math.isnan(v) else t_two_sided(v, freedom) for v in values.astype(float)], dtype="float64")
+
+    return F.when(t.isNotNull(), tail(t))
+
+
 def f_upper(f: float, df1: float, df2: float) -> float:
     """Upper tail of an F statistic."""
     return beta_tail(df2 / (df2 + df1 * f), df2 / 2.0, df1 / 2.0)
