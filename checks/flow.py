@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from checks.base import DEV, DIM, LST, check, dev, dim, lst, plain_time, table
 from tidemark.functions.scalar import with_date_parts
@@ -28,6 +28,16 @@ from tidemark.streaming.queries import run_queries, sink_landing, sink_table
 from tidemark.streaming.state import open_windows
 
 
+SKETCHES = StructType(
+    [
+        StructField("timestamp", TimestampType()),
+        StructField("app", StringType()),
+        StructField("antenna_id", StringType()),
+        StructField("sketch", BinaryType()),
+    ]
+)
+
+
 def hourly(dim_column: str, source: str, length: str = "1 hour") -> str:
     return f"""SELECT time_bucket(INTERVAL '{length}', ts) AS timestamp, {dim_column} AS id,
        CAST(sum(bytes) AS BIGINT) AS value, '{dim_column}_total_bytes' AS type
@@ -122,6 +132,24 @@ def distinct_by_window(spark: SparkSession, sf: str) -> DataFrame:
     return plain_time(metrics.distinct_by_window(dev(spark, sf), ["app"], "id"))
 
 
+# Exact counts, each with whether the estimate's bounds hold it: days by app, from sketches stored by hour and antenna.
+@check(
+    "distinct_rollup",
+    f"""WITH {DEV} SELECT time_bucket(INTERVAL '1 day', ts) AS timestamp, app, count(DISTINCT id) AS value,
+        true AS within FROM devt GROUP BY 1, 2""",
+)
+def distinct_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    stored = LoggedTable(scratch_path(spark, "sketches"))
+    for day in range(2):
+        part = dev(spark, sf).where(F.floor(F.col("timestamp") / 86400) % 2 == day)
+        stored.write(metrics.distinct_sketches(part, ["app", "antenna_id"], "id"), "sketches", day)
+    rolled = metrics.roll_up_distinct(stored.read(spark, SKETCHES), ["app"])
+    exact = metrics.distinct_by_window(dev(spark, sf), ["app"], "id", "1 day")
+    met = exact.join(rolled.withColumnRenamed("value", "estimate"), ["timestamp", "app"])
+    within = F.col("value").between(F.col("low"), F.col("high"))
+    return plain_time(met.select("timestamp", "app", "value", within.alias("within")))
+
+
 @check(
     "errors_by_window",
     f"""WITH {DEV} SELECT time_bucket(INTERVAL '1 hour', ts) AS timestamp, antenna_id,

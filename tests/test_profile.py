@@ -103,3 +103,25 @@ def test_distinct_exact_and_approximate(spark):
     df = spark.range(2000).select(F.lit(0).cast("long").alias("timestamp"), F.lit("k").alias("k"), (F.col("id") % 500).alias("u"))
     assert metrics.distinct_by_window(df, ["k"], "u").first().value == 500
     assert math.isclose(metrics.distinct_by_window(df, ["k"], "u", approx=True).first().value, 500, rel_tol=0.15)
+
+
+def test_distinct_counts_roll_up(spark):
+    """Sketches by hour and key merge to days and over keys; shared values count once, unknown ones not at all."""
+    hour = 3600
+    rows = [(h * hour, k, f"v{(h * 500 + i) % 9000}" if i % 10 else None) for h in range(30) for k in "ab" for i in range(600)]
+    df = spark.createDataFrame(rows, "timestamp long, k string, v string")
+    sketches = metrics.distinct_sketches(df, ["k"], "v")
+    assert sketches.count() == 60
+    exact = {}
+    for t, _, v in rows:
+        if v is not None:
+            exact.setdefault(t // 86400, set()).add(v)
+    found = metrics.roll_up_distinct(sketches, []).orderBy("timestamp").collect()
+    assert len(found) == 2
+    for day, row in enumerate(found):
+        assert row.low <= len(exact[day]) <= row.high and row.high < 1.2 * row.low
+    by_key = metrics.roll_up_distinct(sketches, ["k"]).collect()
+    assert len(by_key) == 4 and all(r.value == by_key[0].value for r in by_key if r.timestamp == by_key[0].timestamp)
+    small = metrics.distinct_sketches(df.where("timestamp = 0").limit(20), ["k"], "v")
+    few = df.where("timestamp = 0").limit(20).select("v").distinct().dropna().count()
+    assert [r.value for r in metrics.roll_up_distinct(small, []).collect()] == [few]

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import as_timestamp
 
 
+#: Size of a distinct-count sketch, and the standard error that goes with it.
+SKETCH_LG_K = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LG_K / 2)
+
+
 def _timed(df: DataFrame, ts: str, columns: Sequence[Column], watermark: str | None) -> DataFrame:
     timed = df.select(as_timestamp(df, ts).alias("timestamp"), *columns)
     return timed.withWatermark("timestamp", watermark) if watermark else timed
@@ -88,6 +93,44 @@ def distinct_by_window(
     )
 
 
+def distinct_sketches(
+    df: DataFrame,
+    keys: Sequence[str],
+    counted: str,
+    length: str = "1 hour",
+    ts: str = "timestamp",
+    lg_k: int = SKETCH_LG_K,
+) -> DataFrame:
+    """A sketch of the distinct ``counted`` values by ``keys`` and window, to be stored and merged later.
+
+    ``(timestamp, keys, sketch)``, one row of at most ``2**lg_k`` bytes and some more for each window, however many rows it has. A table of
+    them rolls up to longer windows, and over keys, without reading the rows again; a window that is computed anew
+    replaces its row. Unknown values aren't counted.
+    """
+    timed = _timed(df, ts, [F.col(name) for name in dict.fromkeys([*keys, counted])], None)
+    value = F.col(counted).cast("string")
+    return (
+        timed.groupBy(*keys, F.window("timestamp", length))
+        .agg(F.hll_sketch_agg(value, lg_k).alias("sketch"))
+        .select(F.col("window.start").alias("timestamp"), *keys, "sketch")
+    )
+
+
+def roll_up_distinct(sketches: DataFrame, keys: Sequence[str], length: str = "1 day") -> DataFrame:
+    """Estimated distinct values by ``keys`` and window from :func:`distinct_sketches` of shorter windows.
+
+    ``(timestamp, keys, value, low, high)``: the estimate and three standard errors around it. ``keys`` may be fewer than those of the sketches;
+    values that several of them share are counted once.
+    """
+    error = 3 * SKETCH_ERROR
+    rolled = sketches.groupBy(*keys, F.window("timestamp", length)).agg(F.hll_union_agg("sketch").alias("sketch"))
+    value = F.hll_sketch_estimate("sketch")
+    found = rolled.select(F.col("window.start").alias("timestamp"), *keys, value.alias("value"))
+    return found.withColumns(
+        {"low": F.floor(F.col("value") / (1 + error)), "high": F.ceil(F.col("value") / (1 - error))}
+    )
+
+
 def count_where_by_window(
     df: DataFrame,
     keys: Sequence[str],
