@@ -11,10 +11,9 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm.base import quoted, sheltered, small, text_of
 from tidemark.llm.components import components
@@ -54,10 +53,10 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     """The SimHash of a text column as a signed long."""
 
-    @pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        marks = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-        return pd.Series(marks.view(np.int64))
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        marks = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
+        return pa.array(marks.view(np.int64))
 
     return run(text)
 
@@ -161,32 +160,16 @@ def keep_one(
     Of rows of a class that share its smallest id, or have none, exactly one stays.
     """
     def keep(rows: DataFrame, id_name: str, text_name: str) -> DataFrame:
-        members = _members(rows, id_name, text_name, shingle, max_bits)
-        key = F.col(id_name)
-        stays = F.col("id").eqNullSafe(F.col("component_id"))
-        gone = members.where(~stays).select(F.col("id").alias("_id"), F.col("fp").alias("_fp"))
-        gone = small(gone.distinct())
+        # Written once with a number for each row: texts are fingerprinted once, and the number is the same wherever it is read.
         mark = fingerprint_column(text_of(text_name), shingle)
-        marked = rows.withColumn("_mark", mark)
-        left = marked.join(gone, key.eqNullSafe(gone["_id"]) & (F.col("_mark") == gone["_fp"]), "left_anti")
-        # Classes of which several rows are left.
-        several = members.where(stays).groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
-        tied = members.where(stays).join(several, "root").select(
-            F.col("id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_class")
-        )
-        tied = cut_lineage(tied.distinct(), "tied")
-        if tied.isEmpty():
-            return left
-        tied = small(tied)
-        same = key.eqNullSafe(tied["_id"]) & (F.col("_mark") == tied["_fp"])
-        # Ids are compared first, so that few texts have their fingerprint made again; written once, so that the number that
-        # breaks ties is the same wherever it is read.
-        ids = small(tied.select(F.col("_id").alias("_tied")).distinct())
-        again = rows.join(ids, key.eqNullSafe(ids["_tied"]), "left_semi").withColumn("_mark", mark)
-        again = again.join(tied, same).drop("_id", "_fp").withColumn("_tie", F.monotonically_increasing_id())
-        again = cut_lineage(again, "ties")
-        first = cut_lineage(again.groupBy("_class").agg(F.min("_tie").alias("_first")), "firsts")
-        one = again.join(first.select("_first"), F.col("_tie") == F.col("_first"), "left_semi")
-        return left.join(tied, same, "left_anti").unionByName(one.select(*left.columns))
+        marked = cut_lineage(rows.withColumns({"_fp": mark, "_row": F.monotonically_increasing_id()}), "marked")
+        prints = marked.select(F.col(id_name).alias("id"), F.col("_fp").alias("fp"), F.col("_row").alias("row"))
+        members = prints.join(cut_lineage(classes(prints, max_bits).select("fp", "root"), "classes"), "fp")
+        order = F.struct(F.col("id").isNull().alias("without"), "id", "row")
+        firsts = members.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+        firsts = cut_lineage(firsts.where("n > 1").select("root", F.col("first.row").alias("stays")), "firsts")
+        gone = members.join(small(firsts), "root").where("row <> stays").select(F.col("row").alias("_gone"))
+        gone = small(cut_lineage(gone, "gone"))
+        return marked.join(gone, F.col("_row") == F.col("_gone"), "left_anti")
 
     return sheltered(docs, [id_col, text_col], keep)

@@ -15,10 +15,9 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm.base import quoted, text_of
 
@@ -39,7 +38,7 @@ MARK = bytes(range(1, 25))
 #: Lower-case ASCII letters, other ASCII characters as spaces, the rest as it is.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Differences remembered by a worker, to save time only.
-MEMORY = 250_000
+MEMORY = 100_000
 
 
 def words(text: str) -> list[bytes]:
@@ -229,9 +228,10 @@ def score_text(model: Model, text: str) -> float:
 
 
 def score_column(model: Model, text: Column) -> Column:
-    @pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([score_text(model, t) for t in texts], dtype="float64")
+    # One text at a time is taken out of the batch, so a worker holds no second copy of it.
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array((score_text(model, t.as_py()) for t in texts), pa.float64())
 
     return run(text)
 
