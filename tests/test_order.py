@@ -126,3 +126,41 @@ def test_quantiles_leave_unknown_values_out(spark):
     assert order.quantiles(df, "x", [0.0, 0.5, 1.0]) == [1.0, 2.0, 3.0]
     with pytest.raises(ValueError, match="no known values"):
         order.quantiles(df.where("x IS NULL"), "x", [0.5])
+
+
+CROWDED = {
+    "one_end": [random.Random(3).random() ** 60 for _ in range(4000)],
+    "far_apart": [10.0 ** random.Random(i).uniform(-300, 300) for i in range(2000)] + [-1e300, 1e300],
+    "hot_and_near": [7.0] * 2500 + [7.0 + i * 1e-14 for i in range(900)] + [random.Random(6).random() for _ in range(900)],
+    "whole": [float(i % 13) for i in range(3000)],
+    "signs": [-0.0, 0.0] * 400 + [random.Random(4).gauss(0, 1e-300) for _ in range(900)],
+}
+
+
+@pytest.mark.parametrize("case", CROWDED)
+def test_crowded_ranges_are_split_until_bounded(spark, case):
+    """Few ranges to start with and small parts: no range of several values holds more rows than a part."""
+    values = CROWDED[case]
+    known = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    edges = order.bounded_edges(known, [0.0], 150)
+    assert edges == sorted(set(edges)) and len(edges) < len(values)
+    held = {}
+    for v in values:
+        held.setdefault(np.searchsorted(edges, v, side="right"), []).append(v)
+    parts = [len(some) for some in held.values() if len(set(some)) > 1]
+    assert max(parts, default=0) <= 150
+    df = spark.createDataFrame(list(enumerate(values)), "key int, x double").repartition(5)
+    ranked = order.global_rank(df, "x", "key", "r", buckets=4, part_rows=150).collect()
+    found = sorted(ranked, key=lambda r: r["r"])
+    assert [r["r"] for r in found] == list(range(1, len(values) + 1))
+    assert [r["x"] for r in found] == sorted(values)
+
+
+def test_parts_of_a_skewed_column_are_even(spark):
+    """Ranges of a column that crowds at one end, without any even slots: the largest is close to the median."""
+    values = [random.Random(i).random() ** 40 for i in range(6000)]
+    known = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    edges = order.bounded_edges(known, [min(values)], 200)
+    counts = np.bincount(np.searchsorted(edges, values, side="right"))
+    counts = counts[counts > 0]
+    assert counts.max() <= 200 and counts.max() <= 2 * np.median(counts)

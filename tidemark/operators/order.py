@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -14,6 +15,9 @@ SKETCH_ACCURACY = 10_000
 # Even slots of a range; the ranges themselves are quantiles.
 SLOT_BITS = 8
 SLOTS = 1 << SLOT_BITS
+# Rows of a range beyond which it is split again, and cuts that one pass puts into a range.
+PART_ROWS = 1_000_000
+RANGE_CUTS = 1_000
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:
@@ -143,13 +147,47 @@ def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float
     return result
 
 
+def bounded_edges(known: DataFrame, edges: Sequence[float], part_rows: int) -> list[float]:
+    """``edges`` with more of them, until each range holds at most ``part_rows`` of the numbers ``v``, or a single value.
+
+    A range starts at its edge and ends before the next. Exact counts tell the crowded ones; each is cut at quantiles of its own
+    rows, and a value that fills several of them is cut off from those above it. A pass counts the ranges that were
+    crowded before, so the rest of the rows drops out. Every pass parts the values of a crowded range, wherever they lie.
+    """
+    edges = sorted(set(edges))
+    open_rows = known
+    while True:
+        splits = [float("-inf"), *edges, float("inf")]
+        ranges = Bucketizer(splits=splits, inputCol="v", outputCol="range").transform(open_rows)
+        counts = ranges.groupBy("range").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        crowded = counts.where((F.col("n") > part_rows) & (F.col("low") < F.col("high"))).collect()
+        if not crowded:
+            return edges
+        most = max(row.n for row in crowded)
+        cuts = min(RANGE_CUTS, 2 * -(-most // part_rows) + 1)
+        shares = [i / cuts for i in range(cuts + 1)]
+        open_rows = ranges.where(F.col("range").isin([row.range for row in crowded]))
+        found = open_rows.groupBy("range").agg(F.percentile_approx("v", shares, 10 * cuts).alias("cuts")).collect()
+        open_rows = open_rows.drop("range")
+        for row in found:
+            hot = {a for a, b in zip(row.cuts, row.cuts[1:]) if a == b}
+            edges += [*row.cuts, *(math.nextafter(v, math.inf) for v in hot)]
+        edges = sorted({edge for edge in edges if math.isfinite(edge)})
+
+
 def global_rank(
-    df: DataFrame, order: str, tie: str | Sequence[str], name: str = "rank", buckets: int = 4096
+    df: DataFrame,
+    order: str,
+    tie: str | Sequence[str],
+    name: str = "rank",
+    buckets: int = 4096,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Add the 1-based rank by the number ``order``; equal values follow the hash of ``tie``.
 
     Value ranges come from a quantile sketch and are fixed in the plan, so a
-    recomputed task sees the same ranges. Each is cut into ``SLOTS`` even slots. A
+    recomputed task sees the same ranges. Ranges that turn out to hold more than ``part_rows`` rows are
+    split again by their own counts, see :func:`bounded_edges`. Each is cut into ``SLOTS`` even slots. A
     value that is itself an edge gets a range of its own, whose slots follow the
     hash, because one value may hold any share of the rows. Only counts by slot
     reach a single task; rows are ranked inside their slot. Infinities lie beyond all edges. Rows without a value
@@ -160,8 +198,10 @@ def global_rank(
     number = F.col(order).cast("double")
     number = F.when(~F.isnan(number), number)
     finite = F.when(F.abs(number) < float("inf"), number)
-    cuts = df.agg(F.percentile_approx(finite, shares, 10 * buckets)).first()[0]
+    cuts, total = df.agg(F.percentile_approx(finite, shares, 10 * buckets), F.count(finite)).first()
     edges = sorted(set(cuts or [0.0]))
+    if total > part_rows:
+        edges = bounded_edges(df.select(finite.alias("v")).where("v IS NOT NULL"), edges, part_rows)
     ranges = Bucketizer(
         splits=[float("-inf"), *edges, float("inf")], inputCol="_number", outputCol="_range"
     ).transform(df.withColumn("_number", number)).drop("_number")
