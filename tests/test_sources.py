@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
@@ -210,3 +211,52 @@ def test_jdbc_asks_for_its_driver(spark, use):
 def test_kafka_asks_for_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         readers.read_stream(spark, "kafka", servers="nowhere:9092", topic="devices")
+
+
+@pytest.mark.parametrize("size", ["50", "400", "64m"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_of_one_file_are_read_by_many_tasks(spark, tmp_path, size, end):
+    """Blocks of any size: records and line breaks at their borders, records over many blocks, doubled quotes, empty lines."""
+    draw = random.Random(3)
+    words = ['say ""hi""', "a;b", "x", "", "é", "two\nlines", "three\n\nlines\n", '""', "\n" * 5, "long " * 60]
+    lines = ["Key;Some.Text;Number"]
+    for i in range(50):
+        text = draw.choice(words) + draw.choice(words)
+        lines.append(f'{i};"{text}";{draw.choice(["1.5", "NA", "2"])}' if draw.random() < 0.7 else f"{i};plain {i};{i}.25")
+        if draw.random() < 0.05:
+            lines.append("")
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    for name in ("a", "b"):
+        (folder / f"{name}.csv").write_bytes((end.join(lines) + (end if name == "a" else "")).encode())
+    (folder / "c.csv").write_bytes(b"Key;Some.Text;Number")
+    schema = "key int, some_text string, number double"
+    want = readers.read_delimited(spark, str(folder), schema, multi_line=True).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        records = readers.read_records(spark, str(folder))
+        found = readers.read_delimited(spark, str(folder), schema, multi_line=True, split=True).collect()
+        lines_read = readers._lines(spark, str(folder), '"')
+        if size != "64m":
+            assert lines_read.rdd.getNumPartitions() > 6
+        assert records.where("first").count() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    key = lambda r: (r.key, r.some_text or "", r.number or 0)
+    assert sorted(found, key=key) == sorted(want, key=key) and len(found) == 100
+
+
+def test_splitting_without_a_broadcast_and_without_a_schema(spark, tmp_path, monkeypatch):
+    path = tmp_path / "one.csv"
+    path.write_text("a;b\n" + "".join(f'{i};"x\n{i}"\n' for i in range(40)))
+    monkeypatch.setattr(readers, "fits_broadcast", lambda df: False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        found = readers.read_delimited(spark, str(path), "a int, b string", multi_line=True, split=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(tuple, found)) == [(i, f"x\n{i}") for i in range(40)]
+    with pytest.raises(ValueError, match="needs a schema"):
+        readers.read_delimited(spark, str(path), split=True)

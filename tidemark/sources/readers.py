@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tidemark.operators.joins import fits_broadcast
 from tidemark.schemas import DATE_PARTS, DEVICE_MESSAGE
+from tidemark.session import cut_lineage
 
 # Hours of a range that are opened by name; a longer range lists the tree.
 LISTED_HOURS = 1_000
@@ -206,12 +209,14 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     separator: str = ";",
     multi_line: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """Separated text with a header; ``NA`` and empty numbers are null, names become snake case.
 
     A ``schema`` gives the types of columns by their name in snake case, in any order; the columns it does not name are left out
     and one that is missing in the header is refused. Without a schema Spark infers types in an extra pass.
-    ``multi_line`` allows line breaks inside quotes but makes a file unsplittable: one task reads it all.
+    ``multi_line`` allows line breaks inside quotes but makes a file unsplittable: one task reads it all. With ``split``
+    and a schema several tasks share a file, see :func:`read_records`, if quotes stand around whole fields only.
     """
     options = {
         "sep": separator,
@@ -224,6 +229,8 @@ def read_delimited(
     # Without inference this reads the header alone.
     header = [snake_case(name) for name in spark.read.options(**options).csv(path).columns]
     if schema is None:
+        if split:
+            raise ValueError("splitting files needs a schema")
         df = spark.read.options(**options, inferSchema=True).csv(path).toDF(*header)
         return df.select(*columns) if columns else df
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -235,6 +242,103 @@ def read_delimited(
     fields = [
         StructField(name, kinds[name].dataType if name in kinds else StringType()) for name in header
     ]
-    df = spark.read.options(**options, enforceSchema=True).schema(StructType(fields)).csv(path)
+    if split:
+        df = parse_records(read_records(spark, path), StructType(fields), options)
+    else:
+        df = spark.read.options(**options, enforceSchema=True).schema(StructType(fields)).csv(path)
     df = df.select(*[F.col(name).alias(field.name) for name, field in kinds.items()])
     return df.select(*columns) if columns else df
+
+
+def _lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
+    """(file, block, line, odd): lines of text by the block of the file they start in, and whether their quotes are odd."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("line"),
+        (quotes % 2).cast("int").alias("odd"),
+    )
+
+
+def read_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+    """(file, record, first): the records of separated text, which may have line breaks inside quotes.
+
+    Files are read in blocks by many tasks. A line break ends a record if the quotes before it are even: a first pass counts the quotes
+    of each block, so that the second knows whether a block starts inside a record. Records within a block are put together
+    where they are read; only the pieces at the ends of blocks are shuffled and joined. ``first`` marks the first record of a file.
+    Quotes must enclose whole fields, with quotes inside doubled. Empty lines between records are left out.
+    """
+    lines = _lines(spark, path, quote)
+    blocks = cut_lineage(lines.groupBy("file", "block").agg(F.sum("odd").alias("odd")), "blocks")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = blocks.select("file", "block", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).cast("int").alias("open"))
+    inside = cut_lineage(inside, "blocks")
+    if fits_broadcast(inside):
+        lines = lines.join(F.broadcast(inside), ["file", "block"])
+    else:
+        numbered = lines.withColumn("at", F.monotonically_increasing_id())
+        met = numbered.join(inside, ["file", "block"]).repartition("file", "block")
+        lines = met.sortWithinPartitions("file", "block", "at").drop("at")
+    shape = "file string, block long, kind int, record string"
+    pieces = lines.select("file", "block", "line", "odd", "open").mapInArrow(_together, shape)
+    pieces = cut_lineage(pieces, "records")
+    whole = pieces.where(f"kind = {WHOLE}").select("file", "record", (F.col("block") < 0).alias("first"))
+    # A record that leaves its block: its start, whole blocks inside it, and its end, joined in the order of the blocks.
+    parts = pieces.where(f"kind <> {WHOLE}")
+    order = Window.partitionBy("file").orderBy("block", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("n", F.sum(F.when(F.col("kind") == START, 1).otherwise(0)).over(order))
+    listed = F.sort_array(F.collect_list(F.struct("block", "kind", "record")))
+    joined = parts.groupBy("file", "n").agg(listed.alias("pieces"))
+    joined = joined.select("file", F.array_join("pieces.record", "\n").alias("record"), (F.col("pieces")[0]["block"] < 0).alias("first"))
+    return whole.unionByName(joined).where("record NOT IN ('', '\r')")
+
+
+# What a piece is: the end of a record begun in an earlier block, a record, the start of one that goes on.
+END, WHOLE, START = 0, 1, 2
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records and their pieces from the lines of blocks, in order; -1 - block for the first record of a file."""
+    now, held, begun, first = None, [], False, False
+
+    def row(kind: int) -> tuple:
+        file, block = now
+        return file, -1 - block if first and kind != END else block, kind, "\n".join(held)
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("file", "block", "line", "odd", "open")]
+        out = []
+        for file, block, line, odd, inside in zip(*columns, strict=True):
+            if (file, block) != now:
+                if held:
+                    out.append(row(START if begun else END))
+                now, held, begun, open_, first = (file, block), [], not inside, inside, block == 0
+            held.append(line)
+            open_ ^= odd
+            if not open_:
+                out.append(row(WHOLE if begun else END))
+                held, begun, first = [], True, False
+        if out:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), PIECE, strict=True)], ["file", "block", "kind", "record"]
+            )
+    if held:
+        last = zip(row(START if begun else END), PIECE, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in last], ["file", "block", "kind", "record"])
+
+
+PIECE = (pa.string(), pa.int64(), pa.int32(), pa.string())
+
+
+def parse_records(records: DataFrame, schema: StructType, options: Mapping[str, object]) -> DataFrame:
+    """Records of separated text as columns; the first of every file is its header."""
+    text = F.regexp_replace("record", r"\r$", "")
+    kept = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items() if k not in ("header", "multiLine")}
+    parsed = F.from_csv(text, _ddl(schema), kept)
+    return records.where(~F.col("first")).select(parsed.alias("row")).select("row.*")
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
