@@ -14,10 +14,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import quoted, small, text_of
+from tidemark.llm.base import quoted, sheltered, small, text_of
+from tidemark.session import cut_lineage
 
 WINDOW = 5
 #: Share of an item's windows that a document must hold.
@@ -246,9 +247,10 @@ def matches(
     with fewer tokens than ``width`` is one window. Null and empty texts match nothing, nor do rows without an id; rows
     that share an id are taken together.
 
-    Documents are scanned once for each pass over the benchmark; only windows whose hash an item has leave the scan.
+    Documents are scanned once for each pass over the benchmark; only windows whose hash an item has leave the scan. A window that
+    many items share brings no pairs of its own: a document must hold so many of an item's windows that one of the rarest is
+    among them, so only those propose the item; what is proposed is then counted over all windows, see :func:`_rarest`.
     """
-    from tidemark.session import cut_lineage
 
     known = benchmark.where(F.col(quoted(item_col)).isNotNull())
     items = _windows_of(known, item_col, item_text_col, width, every=True).select(
@@ -271,9 +273,12 @@ def matches(
     if met is None:
         met = _windows_of(present.limit(0), id_col, text_col, width)
     met = cut_lineage(met, "met").select("id", "hash", "pos", "slots")
+    rare = small(cut_lineage(_rarest(items, each, totals, min_coverage), "rare"))
+    proposed = met.select("id", "hash").distinct().join(rare, "hash").select("id", "item").distinct()
+    asked = proposed.join(small(items.drop("width")), "item")
     # A window is matched under one reading or several.
     joined = (
-        met.join(small(items.drop("width")), "hash")
+        met.join(asked, ["id", "hash"])
         .withColumn("pairs", F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")))
         .groupBy("id", "item", "pos", "ipos")
         .agg(F.collect_set("pairs").alias("readings"))
@@ -315,8 +320,36 @@ def matches(
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.*")
 
 
+def _rarest(items: DataFrame, each: DataFrame, totals: DataFrame, min_coverage: float) -> DataFrame:
+    """(hash, item): the windows by which an item is proposed.
+
+    Of an item's n windows a document must hold m = ceil(``min_coverage`` * n), so of any n - m + 1 windows it holds one; those whose
+    hashes the fewest items have are taken, the same among the windows that hold a template, of which a share may count instead.
+    """
+    shared = items.groupBy("hash").agg(F.countDistinct("item").alias("shared"))
+    hashes = items.select("hash", "item", "ipos").distinct()
+    worst = hashes.join(shared, "hash").groupBy("item", "ipos").agg(F.max("shared").alias("shared"))
+    order = Window.partitionBy("item").orderBy("shared", "ipos")
+    free = Window.partitionBy("item", "free").orderBy("shared", "ipos")
+    need = lambda n: F.col(n) - F.ceil(F.col(n) * min_coverage - 1e-9) + 1
+    ranked = worst.join(each, ["item", "ipos"]).withColumns({"rank": F.row_number().over(order), "free_rank": F.row_number().over(free)})
+    taken = ranked.join(totals, "item").where(
+        (F.col("rank") <= need("windows")) | (F.col("free") & (F.col("free_rank") <= need("frees")))
+    )
+    return hashes.join(taken.select("item", "ipos"), ["item", "ipos"]).select("hash", "item").distinct()
+
+
 def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold an item; rows without an id stay."""
-    leaked = matches(docs, benchmark, id_col, text_col).select(F.col(quoted(id_col)).alias("_id")).distinct()
-    leaked = small(leaked)
-    return docs.join(leaked, F.col(quoted(id_col)) == leaked["_id"], "left_anti")
+    """``docs`` without the rows that hold an item.
+
+    Each row is judged by its own text, under a number that is written with it: rows without an id are dropped, too, and of rows
+    that share an id only those that hold an item.
+    """
+
+    def keep(rows: DataFrame, text_name: str) -> DataFrame:
+        marked = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()), "marked")
+        leaked = matches(marked, benchmark, "_row", text_name).select(F.col("_row").alias("_leak")).distinct()
+        leaked = small(cut_lineage(leaked, "leaked"))
+        return marked.join(leaked, F.col("_row") == F.col("_leak"), "left_anti")
+
+    return sheltered(docs, [text_col], keep)
