@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import product
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.base import text_of, without
+from tidemark.llm.base import quoted, text_of, without
 
 BLOCKS = frozenset(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
@@ -30,7 +31,13 @@ BLOCKS = frozenset(
     "dialog search hgroup legend".split()
 )
 #: Elements whose content is no text of the page.
-HIDDEN = frozenset("script style noscript template title head svg math iframe object select textarea button option".split())
+HIDDEN = frozenset(
+    "script style noscript template title head svg iframe object select textarea button option annotation annotation-xml".split()
+)
+#: What may stand in a head; any other tag ends it.
+IN_HEAD = frozenset("head base link meta noscript script style template title".split())
+#: Hidden elements that hold none of their kind: a second one ends the first.
+FLAT = frozenset("button option select".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 #: What ends each of them.
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag in RAW}
@@ -44,8 +51,13 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
+#: Attributes as a browser reads them: a name, and after an equals sign a value in quotes or up to a space. Each character is read once,
+#: so a tag that is never closed costs no more than its length.
+ATTRIBUTES = (
+    r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+)*+"
+)
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|data-content)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 #: The label of an element of a labelled page; other pages may use the attribute for anything.
@@ -76,6 +88,19 @@ def parse(page: str, labelled: bool = False) -> list[Node]:
     stack = [0]
     names: list[str] = ["#page"]
     run, links, skip, position = -1, 0, "", 0
+    deep, loose = 0, False
+    ends: dict[str, list[int]] = {}
+
+    def closed(tag: str, at: int) -> bool:
+        """Whether a hidden element that starts before ``at`` has an end tag of its own."""
+        for name in (f"</{tag}", f"<{tag}"):
+            if name not in ends:
+                ends[name] = [m.start() for m in re.finditer(rf"{name}(?=[\s/>])", page, re.I)]
+        end = bisect_left(ends[f"</{tag}"], at)
+        if end == len(ends[f"</{tag}"]):
+            return False
+        again = bisect_left(ends[f"<{tag}"], at)
+        return tag not in FLAT or again == len(ends[f"<{tag}"]) or ends[f"</{tag}"][end] < ends[f"<{tag}"][again]
 
     def add_text(raw: str) -> None:
         nonlocal run
@@ -112,18 +137,26 @@ def parse(page: str, labelled: bool = False) -> list[Node]:
             if end or not skip:
                 position = end.end() if end else len(page)
                 continue
+        if skip and tag == skip:
+            if closing:
+                deep -= 1
+                skip = skip if deep > 0 else ""
+            elif tag in FLAT:
+                loose = not closed(tag, position)
+            elif not m.group(0).endswith("/>"):
+                deep += 1
+            continue
+        if skip == "head" and (tag in ("html", "body") if closing else tag not in IN_HEAD):
+            skip = ""
+        elif loose and skip and tag in BLOCKS and (not closing or tag in names):
+            # Never closed: it ends with its parent, or at a block.
+            skip = ""
         if skip:
-            if closing and tag == skip:
-                skip = ""
-            elif tag == "body" and skip == "head":
-                skip = ""
-            else:
-                continue
-            if tag != "body":
-                continue
-        if tag in HIDDEN and not closing:
-            if not m.group(0).endswith("/>"):
-                skip = tag
+            continue
+        if tag in HIDDEN:
+            if not closing and not m.group(0).endswith("/>"):
+                skip, deep = tag, 1
+                loose = tag != "head" and not closed(tag, position)
             continue
         if tag == "br":
             add_text(" ")
@@ -176,7 +209,7 @@ def features(nodes: list[Node]) -> list[list[str]]:
             continue
         length = sum(map(len, node.text))
         share = node.linked / max(1, length)
-        size = "0" if length < 200 else "1"
+        size = "0" if length < 80 else "1" if length < 200 else "2"
         out.append(["text", f"size={size}", "links=" + ("0" if share < 0.2 else "1" if share < 0.6 else "2")])
     return out
 
@@ -363,6 +396,17 @@ def labelled_pages() -> list[str]:
             long = "".join(part.format(f"<p>{_LINE}</p>" * 100) for part in parts[i * 9 : i * 9 + 2])
             pages.append(f"<html><body>{outer[i]}{holder.format(body)}{outer[i + 5]}</body></html>")
             pages.append(f"<html><body>{long}{holder.format(bodies[i])}</body></html>")
+    # Layouts without any name, where length and links tell; and words of parts on an article's own paragraphs.
+    menu = "".join(f'<a href="/{w}">{w}</a> ' for w in ("Home", "News", "Sport", "Culture"))
+    sides = [f"<div>{menu}</div>", f"<p>{menu}</p>", f"<ul>{_LINKS}</ul>"]
+    plain = ["<div>{0}</div><div>{0}</div>", "<div>{0}</div><div>{1}</div><div>{0}</div>", "<p>{0}</p><p>{0}</p>", "<div>{0}<br><br>{0}</div>"]
+    for i in range(96):
+        side = sides[i % 3].replace(">", ' data-content="0">', 1)
+        body = plain[i % 4].format(_TEXT, _LINE)
+        pages.append(f'<body data-content="1">{side}{body}</body>' if i % 2 else f'<body data-content="1">{body}{side}</body>')
+    for word in _PART_NAMES.split()[::3]:
+        body = f'<h1>{_HEAD}</h1><p>{_TEXT}</p><p class="{word}-price">{_TEXT}</p><p>{_LINE}</p>'
+        pages.append(f'<html><body><article data-content="1">{body}</article></body></html>')
     for i, body in enumerate(bodies):
         inside = outer[7 * i].replace(">", ' data-content="0">', 1)
         pages.append(f'<body data-content="1">{inside}{body}</body>')
@@ -412,7 +456,13 @@ def extract(pages: DataFrame, html_col: str = "html", model: Model | None = None
     result. Unclosed and cut markup is read as far as it goes. Columns of these names are replaced.
     """
     model = default_model() if model is None else model
-    out = pages.withColumn("_text", text_column(text_of(html_col), model))
-    out = without(out, *({"text", "n_chars"} - {html_col.lower()}))
-    return out.withColumns({"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}).drop("_text")
+    kept = without(pages, *({"text", "n_chars"} - {html_col.lower()})).columns
+    plain = [f"column_{i}" for i in range(len(kept))]
+    rows = pages.select(*map(quoted, kept)).toDF(*plain)
+    html_name = next(p for p, c in zip(plain, kept, strict=True) if c.lower() == html_col.lower())
+    out = rows.withColumn("extracted", text_column(text_of(html_name), model))
+    stays = [(p, c) for p, c in zip(plain, kept, strict=True) if c.lower() not in ("text", "n_chars")]
+    return out.select(
+        *[F.col(p).alias(c) for p, c in stays], F.col("extracted").alias("text"), F.length("extracted").cast("long").alias("n_chars")
+    )
 
