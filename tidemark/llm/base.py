@@ -57,6 +57,14 @@ def sheltered(docs: DataFrame, names: list[str], keep: Callable[..., DataFrame])
     return left.select(*plain.values()).toDF(*docs.columns)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until ``df`` has no such column in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(key: str) -> Column:
     """Whether a document is kept from training: crc32 of its key as text leaves 0 by 5."""
     return F.coalesce(F.crc32(F.col(quoted(key)).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -78,6 +78,13 @@ def exact_dedup(
     back to its rows is a plain equi-join of two tables, which adaptive execution splits where a group is hot.
     """
     docs = without(docs, *RESULT)
+    # Under plain numbered names, which clash with none that the passes add.
+    plain = {name: f"column_{i}" for i, name in enumerate(docs.columns)}
+    found = _deduped(docs.toDF(*plain.values()), plain[id_col], plain[text_col], max_bits)
+    return found.select(*[F.col(new).alias(old) for old, new in plain.items()], *RESULT)
+
+
+def _deduped(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
     bits = 1 << 16
     rows = docs.count()
     while bits < min(max_bits, rows * BITS_PER_ROW):

@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.base import quoted, small, text_of, without
+from tidemark.llm.base import fresh, quoted, small, text_of, without
 
 #: Bounds of the training sample: documents of each language, and the length beyond which one isn't drawn.
 SAMPLE = 1_500
 SAMPLE_CHARS = 100_000
+#: N-grams that a task counts at a time.
+COUNTED = 8_000_000
 SIZES = (2, 3, 4)
 #: N-grams kept for each language, the most frequent first.
 GRAMS = 20_000
@@ -138,17 +140,23 @@ def train(
     sizes = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     drawn = drawn.join(small(sizes), "lang").where(F.col("draw") / (1 << 31) * F.col("size") <= 1.5 * sample)
     order = Window.partitionBy("lang").orderBy("draw", "id")
+    drawn = drawn.select("id", "lang", "draw").distinct()
     drawn = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     drawn = drawn.select("id", F.col("lang").alias("_lang"))
-    rows = usable.join(F.broadcast(drawn), "id").where("lang = _lang").select("lang", "text")
+    rows = usable.join(F.broadcast(drawn), "id").where("lang = _lang")
+    # Rows that share an id are one document, whatever their number.
+    rows = rows.groupBy("id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, texts in batch.groupby("lang")["text"]:
-                found = [h for text in texts for h in grams(letters(text))]
-                if found:
-                    values, n = np.unique(np.concatenate(found), return_counts=True)
-                    yield pd.DataFrame({"lang": name, "gram": values.view(np.int64), "n": n})
+                found: list[np.ndarray] = []
+                for i, text in enumerate(texts):
+                    found += grams(letters(text))
+                    if found and (i + 1 == len(texts) or sum(map(len, found)) > COUNTED):
+                        values, n = np.unique(np.concatenate(found), return_counts=True)
+                        yield pd.DataFrame({"lang": name, "gram": values.view(np.int64), "n": n})
+                        found = []
 
     counted = rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram")
     counted = counted.agg(F.sum("n").alias("n")).persist()
@@ -190,5 +198,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
 
-    guess = docs.withColumn("_guess", run(F.col(quoted(text_col)).cast("string")))
-    return guess.withColumns({"lang_pred": F.col("_guess.lang"), "score": F.col("_guess.score")}).drop("_guess")
+    name = fresh(docs, "_guess")
+    guess = docs.withColumn(name, run(F.col(quoted(text_col)).cast("string")))
+    return guess.withColumns({"lang_pred": F.col(f"{name}.lang"), "score": F.col(f"{name}.score")}).drop(name)

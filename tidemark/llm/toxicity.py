@@ -16,15 +16,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import quoted, text_of
 
-#: Bounds of the training sample: documents of either label, and the length beyond which one isn't drawn.
+#: Bounds of the training sample: documents of either label, the length beyond which one isn't drawn, and bytes of all.
 TOXIC_SAMPLE = 2_000
 ORDINARY_SAMPLE = 6_000
 SAMPLE_CHARS = 100_000
+SAMPLE_BYTES = 100 << 20
 
 LEVEL = 9
 BACKGROUND_BYTES = 32_768
@@ -211,8 +212,15 @@ def train(
     texts = docs.select(key.alias("_doc"), text_of(text_col).alias("_text")).where(
         F.length("_text") <= SAMPLE_CHARS
     )
-    rows = texts.join(F.broadcast(wanted), F.col("_doc") == F.col("_id")).select("_id", "_text", "_y").collect()
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
+    # One text for each id, however many rows share it; of the drawn ones so many as the bound of bytes allows.
+    one = texts.join(F.broadcast(wanted), F.col("_doc") == F.col("_id")).groupBy("_id").agg(
+        F.min("_text").alias("_text"), F.min("_y").alias("_y")
+    )
+    so_far = Window.orderBy(draw).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = one.select("_id", F.octet_length("_text").cast("long").alias("_size"))
+    some = sizes.withColumn("_sum", F.sum("_size").over(so_far)).where(F.col("_sum") <= SAMPLE_BYTES).select("_id")
+    rows = one.join(F.broadcast(some), "_id").select("_id", "_text", "_y").collect()
+    rows.sort(key=lambda r: r["_id"])
     return fit([(r["_text"], r["_y"]) for r in rows], float(share or 0.0))
 
 
