@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -57,6 +60,21 @@ def sheltered(docs: DataFrame, names: list[str], keep: Callable[..., DataFrame])
     return left.select(*plain.values()).toDF(*docs.columns)
 
 
+def numbered(docs: DataFrame, name: str, stored: bool = False) -> DataFrame:
+    """``docs`` with a column that tells its rows apart and is the same wherever it is read.
+
+    With ``stored`` the caller says that ``docs`` are rows of Parquet files, filtered and projected at most: a row's place in its
+    file is its number, and nothing is written. Otherwise, or if the files give no places, the rows are written once with a number.
+    """
+    if stored:
+        place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        try:
+            return docs.withColumn(name, place)
+        except AnalysisException:
+            pass
+    return cut_lineage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores until ``df`` has no such column in whatever case."""
     taken = {c.lower() for c in df.columns}

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import quoted, sheltered, small, text_of
+from tidemark.llm.base import numbered, quoted, sheltered, small, text_of
 from tidemark.session import cut_lineage
 
 WINDOW = 5
@@ -339,15 +339,15 @@ def _rarest(items: DataFrame, each: DataFrame, totals: DataFrame, min_coverage:
     return hashes.join(taken.select("item", "ipos"), ["item", "ipos"]).select("hash", "item").distinct()
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", stored: bool = False) -> DataFrame:
     """``docs`` without the rows that hold an item.
 
-    Each row is judged by its own text, under a number that is written with it: rows without an id are dropped, too, and of rows
+    Each row is judged by its own text, under a number, see :func:`~tidemark.llm.base.numbered` for it and ``stored``: rows without an id are dropped, too, and of rows
     that share an id only those that hold an item.
     """
 
     def keep(rows: DataFrame, text_name: str) -> DataFrame:
-        marked = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()), "marked")
+        marked = numbered(rows, "_row", stored)
         leaked = matches(marked, benchmark, "_row", text_name).select(F.col("_row").alias("_leak")).distinct()
         leaked = small(cut_lineage(leaked, "leaked"))
         return marked.join(leaked, F.col("_row") == F.col("_leak"), "left_anti")

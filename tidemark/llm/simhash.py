@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import quoted, sheltered, small, text_of
+from tidemark.llm.base import numbered, quoted, sheltered, small, text_of
 from tidemark.llm.components import components
 from tidemark.session import cut_lineage
 
@@ -154,16 +154,18 @@ def keep_one(
     text_col: str = "text",
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
+    stored: bool = False,
 ) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id, rows without an id last.
 
-    Of rows of a class that share its smallest id, or have none, exactly one stays.
+    Of rows of a class that share its smallest id, or have none, exactly one stays. With ``stored`` the rows of Parquet files are told
+    apart by their places, see :func:`~tidemark.llm.base.numbered`; without it they are written once.
     """
     def keep(rows: DataFrame, id_name: str, text_name: str) -> DataFrame:
-        # Written once with a number for each row: texts are fingerprinted once, and the number is the same wherever it is read.
+        marked = numbered(rows, "_row", stored)
         mark = fingerprint_column(text_of(text_name), shingle)
-        marked = cut_lineage(rows.withColumns({"_fp": mark, "_row": F.monotonically_increasing_id()}), "marked")
-        prints = marked.select(F.col(id_name).alias("id"), F.col("_fp").alias("fp"), F.col("_row").alias("row"))
+        prints = marked.select(F.col(id_name).alias("id"), mark.alias("fp"), F.col("_row").alias("row"))
+        prints = cut_lineage(prints, "simhash")
         members = prints.join(cut_lineage(classes(prints, max_bits).select("fp", "root"), "classes"), "fp")
         order = F.struct(F.col("id").isNull().alias("without"), "id", "row")
         firsts = members.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
