@@ -30,12 +30,12 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of linked fingerprints."""
-    return simhash.keep_one(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
+    return simhash.keep_one(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS, stored=True)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"), stored=True)
 
 
 def packs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
