@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.base import GAP, LST, MEASURES, PTS, check, gap, lst, pts, rounded, table
 from checks.listing import PAIRS, TAIL, cut_sql, distances_sql, histogram_sql, linkage_sql, normal_cdf_sql, stats_sql
-from tidemark.operators import groups, neighbours, reduce, regress, within
+from tidemark.operators import groups, neighbours, order, reduce, regress, within
 from tidemark.operators.joins import join_dimension
 from tidemark.operators.sampling import sample_rows
 from tidemark.plans.study import Study, StudyConfig, run_listing_study
@@ -459,6 +459,19 @@ def nearest_index(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest_index(index, some, "embedding", "vec_id", "query_id", k=10)
 
 
+# Ranks of a column that crowds at one end, in parts of 5000 rows; the ranks of equal values are taken together.
+@check(
+    "rank_crowded",
+    """SELECT l_extendedprice AS price, CAST(min(r) AS BIGINT) AS first, CAST(max(r) AS BIGINT) AS last
+    FROM (SELECT l_extendedprice, row_number() OVER (ORDER BY l_extendedprice) AS r FROM lineitem) AS ranked GROUP BY 1""",
+)
+def rank_crowded(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").withColumn("x", F.pow(F.col("l_extendedprice") / 100_000, F.lit(60)))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    ranked = order.global_rank(lines.select("l_extendedprice", "x", *keys), "x", keys, "r", buckets=8, part_rows=5_000)
+    return ranked.groupBy(F.col("l_extendedprice").alias("price")).agg(F.min("r").alias("first"), F.max("r").alias("last"))
+
+
 # --- the study --------------------------------------------------------------
 
 

@@ -520,7 +520,7 @@ def stream_open_windows(spark: SparkSession, sf: str) -> DataFrame:
 def batch_layer(spark: SparkSession, sf: str) -> DataFrame:
     landing, archive = landed(spark, sf), scratch_path(spark, "archive")
     config = BatchConfig(
-        landing, archive, FileTable(scratch_path(spark, "bytes_hourly")), FileTable(scratch_path(spark, "alerts"))
+        landing, archive, LoggedTable(scratch_path(spark, "bytes_hourly")), LoggedTable(scratch_path(spark, "alerts"))
     )
     times = plain_time(dev(spark, sf).select(F.timestamp_seconds("timestamp").alias("timestamp")))
     first, last = times.agg(F.min("timestamp"), F.max("timestamp")).first()

@@ -1,8 +1,7 @@
 """Ordinary least squares on a table, with diagnostics, scoring and imputation.
 
-A fit takes two aggregates: the moments give the coefficients, and the residual
-sum of squares is summed from actual residuals because differences of large sums
-would lose it for a good fit. Scoring is a column expression, so a null predictor
+A fit takes one aggregate: the moments give the coefficients and the residual sum of squares. For a very good
+fit differences of large sums would lose it, and a second one sums actual residuals. Scoring is a column expression, so a null predictor
 gives a null prediction and nothing leaves generated code.
 """
 
@@ -29,6 +28,8 @@ from tidemark.operators.profile import histogram
 ALIAS_TOLERANCE = 1e-7
 # A leverage this close to 1 is 1 but for rounding.
 LEVERAGE_TOLERANCE = 1e-10
+# A residual sum of squares above this share of the total is good to ten digits without a second pass.
+RESIDUAL_SHARE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -153,6 +154,11 @@ def fit_ols(df: DataFrame, y: str, xs: Sequence[str], categorical: Sequence[str]
         ss_total=float(m.scatter[-1, -1]),
         levels=tuple(levels),
     )
+    # What the sums of products leave; where that is little of the whole, differences of large sums have lost it, and the residuals
+    # themselves are summed.
+    left = float(fit.ss_total - slopes @ m.scatter[kept, -1])
+    if left > RESIDUAL_SHARE * fit.ss_total:
+        return replace(fit, ss_residual=left)
     residual = F.col(y).cast("double") - fit.prediction()
     return replace(fit, ss_residual=rows.agg(F.sum(residual * residual)).first()[0])
 
