@@ -221,10 +221,10 @@ def csv_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT doc_id, text, lang FROM documents",
 )
 def csv_multiline_split(spark: SparkSession, sf: str) -> DataFrame:
-    # The same in one file, which several tasks share.
+    # The same, with every large file shared by several tasks.
     path = scratch_path(spark, "documents")
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    docs.coalesce(1).write.option("sep", ";").option("header", True).option("quoteAll", True).option(
+    docs.write.option("sep", ";").option("header", True).option("quoteAll", True).option(
         "escape", '"'
     ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return read_delimited(spark, path, "doc_id BIGINT, text STRING, lang STRING", multi_line=True, split=True)

@@ -21,7 +21,8 @@ def test_query_equals_sql(spark, connection, sf, name):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(QUERIES)
+    # An approximate answer has none; its recall is measured in test_neighbours.
+    assert set(QUERIES) - set(ORACLES) == {"nearest_index"} and set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) <= set(driver.queries())
 
 

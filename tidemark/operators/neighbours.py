@@ -22,6 +22,8 @@ from tidemark.session import cut_lineage
 ROW_BLOCK, QUERY_BLOCK, TILE_CELLS = 4096, 1024, 4_000_000
 #: Cells of the exact join and rows they are fitted to. Both bound what the driver holds, not which rows are compared.
 MAX_CELLS, SAMPLE_ROWS = 1024, 8192
+#: Blocks of queries whose bounds one task works out.
+TASK_BLOCKS = 8
 #: Rounding of distances, relative to the values.
 SLACK = 1e-9
 
@@ -263,6 +265,7 @@ def nearest_join(
     ours = blocks(asked, _homes(centers), query_block)
     ours = ours.withColumnsRenamed({"names": "q_names", "data": "q_data", "block": "q_block", "low": "q_low", "high": "q_high"})
     ours = cut_lineage(ours.withColumnRenamed("n", "q_n"), "query-blocks")
+    queried = ours.count()
     rings = _rings(theirs, centers)
     if known is None:
         around = ours.join(theirs, "cell").where("high >= q_low AND low <= q_high")
@@ -298,7 +301,9 @@ def nearest_join(
                     )
 
     shape = f"cell long, least double, most double, q_names array<{query_kind}>, q_data binary"
-    reached = ours.select("cell", "bound", "q_names", "q_data").mapInArrow(reach, shape)
+    # Blocks are few rows; each is work for a matrix.
+    spread = max(1, queried // TASK_BLOCKS)
+    reached = ours.repartition(spread).select("cell", "bound", "q_names", "q_data").mapInArrow(reach, shape)
     met = reached.join(theirs, "cell").where("high >= least AND low <= most")
     return _result(_tiles(met, k, query_kind, kind), key, query_key, k)
 
