@@ -100,3 +100,18 @@ def test_held_out_accuracy(spark):
     scored = base.QUERIES["op9_toxicity"](spark, SOME).where("held_out").join(marks, "doc_id")
     clean = scored.where("toxic = 0")
     assert clean.where("predicted = 0").count() / clean.count() >= 0.97
+
+
+def test_rows_are_told_apart_by_their_place_in_files(spark, tmp_path, odd):
+    """Repeated rows of several files: the same number wherever it is read, and nothing written; other tables are written once."""
+    path = str(tmp_path / "docs")
+    odd.repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    first, again = (base.numbered(docs, "n", stored=True).where("doc_id = 4").select("n") for _ in range(2))
+    assert first.distinct().count() == 2 and first.exceptAll(again).isEmpty()
+    assert base.numbered(docs, "n", stored=True).select("n").distinct().count() == docs.count()
+    for table in (odd, docs):
+        assert base.numbered(table, "n").select("n").distinct().count() == odd.count()
+    stored, written = (simhash.keep_one(docs, stored=s) for s in (True, False))
+    assert stored.count() == written.count() == simhash.keep_one(odd).count()
+    assert stored.columns == docs.columns
