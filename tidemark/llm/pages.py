@@ -209,7 +209,7 @@ def features(nodes: list[Node]) -> list[list[str]]:
             continue
         length = sum(map(len, node.text))
         share = node.linked / max(1, length)
-        size = "0" if length < 80 else "1" if length < 200 else "2"
+        size = "0" if length < 200 else "1"
         out.append(["text", f"size={size}", "links=" + ("0" if share < 0.2 else "1" if share < 0.6 else "2")])
     return out
 
@@ -396,14 +396,7 @@ def labelled_pages() -> list[str]:
             long = "".join(part.format(f"<p>{_LINE}</p>" * 100) for part in parts[i * 9 : i * 9 + 2])
             pages.append(f"<html><body>{outer[i]}{holder.format(body)}{outer[i + 5]}</body></html>")
             pages.append(f"<html><body>{long}{holder.format(bodies[i])}</body></html>")
-    # Layouts without any name, where length and links tell; and words of parts on an article's own paragraphs.
-    menu = "".join(f'<a href="/{w}">{w}</a> ' for w in ("Home", "News", "Sport", "Culture"))
-    sides = [f"<div>{menu}</div>", f"<p>{menu}</p>", f"<ul>{_LINKS}</ul>"]
-    plain = ["<div>{0}</div><div>{0}</div>", "<div>{0}</div><div>{1}</div><div>{0}</div>", "<p>{0}</p><p>{0}</p>", "<div>{0}<br><br>{0}</div>"]
-    for i in range(96):
-        side = sides[i % 3].replace(">", ' data-content="0">', 1)
-        body = plain[i % 4].format(_TEXT, _LINE)
-        pages.append(f'<body data-content="1">{side}{body}</body>' if i % 2 else f'<body data-content="1">{body}{side}</body>')
+    # Words of parts on an article's own paragraphs.
     for word in _PART_NAMES.split()[::3]:
         body = f'<h1>{_HEAD}</h1><p>{_TEXT}</p><p class="{word}-price">{_TEXT}</p><p>{_LINE}</p>'
         pages.append(f'<html><body><article data-content="1">{body}</article></body></html>')
