@@ -3,6 +3,7 @@
     provision  create the tables and load the users from separated text
     speed      run the speed layer on a Kafka topic or on a folder of text files
     batch      run the batch layer for one hour or several
+    compact    rewrite the small folders of a logged table and delete what is long removed
 
 Tables live under ``--tables``, or in the database that TIDEMARK_JDBC_URL, _USER,
 _PASSWORD and _DRIVER describe.
@@ -18,8 +19,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.batch import BatchConfig, run_batch_layer
-from tidemark.plans.speed import SpeedConfig, run_speed_layer
-from tidemark.schemas import METRIC, QUOTA_ALERT, USER_METADATA
+from tidemark.plans.speed import SpeedConfig, run_speed_layer, run_speed_layer_once
+from tidemark.schemas import DATE_PARTS, LANDED_MESSAGE, METRIC, QUOTA_ALERT, USER_METADATA
+from tidemark.sources.logged import LoggedTable, compact_stream_table
 from tidemark.sources.readers import read_delimited, read_dimension, read_stream
 from tidemark.sources.sinks import (
     FileTable,
@@ -34,6 +36,7 @@ from tidemark.sources.sinks import (
 
 RESULTS = {"bytes": METRIC, "bytes_hourly": METRIC, "user_quota_limit": QUOTA_ALERT}
 USERS = "user_metadata"
+LOGGED = "bytes_logged"
 
 
 def jdbc_settings() -> dict[str, str]:
@@ -66,6 +69,8 @@ def provision(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def speed(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.single_read and not args.tables:
+        raise ValueError("--single-read needs --tables")
     if args.servers:
         source = read_stream(spark, "kafka", servers=args.servers, topic=args.topic)
     else:
@@ -73,13 +78,14 @@ def speed(spark: SparkSession, args: argparse.Namespace) -> None:
     config = SpeedConfig(
         landing=args.landing,
         checkpoints=args.checkpoints,
-        metrics=_table(args, "bytes"),
+        metrics=LoggedTable(f"{args.tables}/{LOGGED}") if args.single_read else _table(args, "bytes"),
         rejected=FileTable(args.rejected) if args.rejected else None,
         window=args.window,
         watermark=args.watermark,
         available_now=args.once,
     )
-    run_speed_layer(source, _users(spark, args), config)
+    run = run_speed_layer_once if args.single_read else run_speed_layer
+    run(source, _users(spark, args), config)
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -93,6 +99,16 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
     run_batch_layer(spark, _users(spark, args), config, args.hour, end)
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The landing of a single-read layer, and its metrics where the tables are named."""
+    tables = [(LoggedTable(args.landing, "timestamp", DATE_PARTS), LANDED_MESSAGE)] if args.landing else []
+    if args.tables:
+        tables.append((LoggedTable(f"{args.tables}/{LOGGED}"), METRIC))
+    for table, schema in tables:
+        compact_stream_table(spark, table, schema)
+        table.vacuum(spark, args.keep_days * 86400)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidemark")
     jobs = top.add_subparsers(required=True)
@@ -112,6 +128,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--rejected", help="folder for malformed payloads")
     job.add_argument("--window", default="2 minutes")
     job.add_argument("--watermark", default="1 minute")
+    job.add_argument("--single-read", action="store_true", help="one query; landing and metrics are logged tables")
     job.add_argument("--once", action="store_true", help="process what is there and end")
     job.set_defaults(run=speed)
 
@@ -122,6 +139,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--hours", type=int, default=1)
     job.set_defaults(run=batch)
 
+    job = jobs.add_parser("compact")
+    job.add_argument("--landing", help="landing of a single-read layer")
+    job.add_argument("--keep-days", type=float, default=7.0)
+    job.set_defaults(run=compact)
+
     for job in jobs.choices.values():
         job.add_argument("--tables", help="folder of the tables; a database otherwise")
     return top

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import as_timestamp
 from tidemark.operators.joins import MAX_BROADCAST_ROWS, enrich, fits_broadcast, over_quota
 from tidemark.operators.metrics import metric_by_window, metrics_by_dims
-from tidemark.schemas import LANDED_MESSAGE
+from tidemark.schemas import DATE_PARTS, LANDED_MESSAGE
 from tidemark.session import cut_lineage
+from tidemark.sources.logged import LoggedTable
 from tidemark.sources.readers import read_hours
 from tidemark.sources.sinks import Table, compact_partitions
 
@@ -85,6 +86,19 @@ def _refuse_uneven(window: str) -> None:
         raise ValueError(f"a window of {window!r} does not divide an hour")
 
 
+def landed_hours(spark: SparkSession, landing: str, start: datetime, end: datetime) -> DataFrame:
+    """The landed messages from ``start`` up to ``end``, of plain folders or of the logged table of a single-read layer."""
+    table = LoggedTable(landing, "timestamp", DATE_PARTS)
+    if table.snapshot(spark).version < 0:
+        return read_hours(spark, landing, start, end, LANDED_MESSAGE)
+    low, high = (int((t if t.tzinfo else t.replace(tzinfo=timezone.utc)).timestamp()) for t in (start, end))
+    rows = table.read(spark, LANDED_MESSAGE, low=low * 1_000_000, high=high * 1_000_000 - 1)
+    number = ((F.col("year") * 100 + F.col("month")) * 100 + F.col("day")) * 100 + F.col("hour")
+    wanted = [int(label.replace("T", "")) for label in hours_between(start, end)]
+    rows = rows.where((number >= min(wanted, default=0)) & (number <= max(wanted, default=-1)))
+    return rows.where((F.col("timestamp") >= low) & (F.col("timestamp") < high))
+
+
 def run_batch_layer(
     spark: SparkSession,
     dim: DataFrame,
@@ -101,7 +115,7 @@ def run_batch_layer(
     _refuse_uneven(config.window)
     end = end or start + timedelta(hours=1)
     hours = hours_between(start, end)
-    messages = read_hours(spark, config.landing, start, end, LANDED_MESSAGE)
+    messages = landed_hours(spark, config.landing, start, end)
     usage = cut_lineage(usage_by_window(messages, config), "usage")
     small = fits_broadcast(dim, config.broadcast_rows)
     config.metrics.write_hours(batch_metrics(usage, dim, config, small), "batch_metrics", hours)
