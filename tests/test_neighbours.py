@@ -77,6 +77,34 @@ def test_bounds_leave_most_tiles_out(spark):
     assert (need * rings.n).sum() / (500 * 8000) < 0.15
 
 
+def test_blocks_and_samples_do_not_pass_through_the_driver(spark, cloud):
+    """Repeated queries compress so well that Spark took their blocks for a small table."""
+    rows, queries = frames(spark, cloud)
+    index = neighbours.build_index(rows, COLUMNS, "key", bucket=60)
+    for found in (
+        neighbours.nearest_join(rows, queries, COLUMNS, "key", "query", cells=40),
+        neighbours.nearest_index(index, queries, COLUMNS, "key", "query"),
+    ):
+        found.collect()
+        assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("copies", [1, 400])
+def test_a_sample_is_the_rows_of_the_smallest_hashes(spark, copies):
+    some = spark.range(4000).select(F.col("id").alias("name"), F.array(F.col("id").cast("double")).alias("vec"))
+    some = some.where(f"name < {4000 // copies}").crossJoin(spark.range(copies)).drop("id")
+    wanted = some.orderBy(F.xxhash64("name", "vec")).limit(50).collect()
+    assert sorted(neighbours._sample(some, 50, 4000)[:, 0]) == sorted(r["vec"][0] for r in wanted)
+
+
+def test_an_empty_index_has_no_answers(spark):
+    empty = neighbours.build_index(spark.createDataFrame([], "key long, vec array<double>"), "vec", "key")
+    asked = spark.createDataFrame([(1, [1.0, 2.0])], "query long, vec array<double>")
+    for exact in (False, True):
+        found = neighbours.nearest_index(empty, asked, "vec", "key", "query", exact=exact)
+        assert found.columns == ["query", "key", "distance", "place"] and found.isEmpty()
+
+
 def test_equal_rows_travel_k_times_at_most(spark):
     rows = neighbours.points(spark.createDataFrame([(i, 1.0, 2.0, 3.0) for i in range(500)], SHAPE), COLUMNS, "key")
     assert sorted(r["name"] for r in neighbours._least_keys(rows, 4).collect()) == [0, 1, 2, 3]

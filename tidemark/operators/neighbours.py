@@ -20,6 +20,8 @@ from tidemark.session import cut_lineage
 
 #: Points in a block of rows and of queries, and cells of a matrix compared at a time.
 ROW_BLOCK, QUERY_BLOCK, TILE_CELLS = 4096, 1024, 4_000_000
+#: Distances to centres worked out at a time, in tasks and on the driver.
+CENTER_CELLS = 500_000
 #: Cells of the exact join and rows they are fitted to. Both bound what the driver holds, not which rows are compared.
 MAX_CELLS, SAMPLE_ROWS = 1024, 8192
 #: Blocks of queries whose bounds one task works out.
@@ -58,15 +60,40 @@ def _matrix(vec: pa.Array) -> np.ndarray:
     return np.asarray(vec.flatten(), float).reshape(len(vec), -1)
 
 
-def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    drawn = rows.orderBy(F.xxhash64("name", "vec")).limit(n).select("vec").toPandas()
-    return np.array(drawn["vec"].tolist(), float)
+def _sample(rows: DataFrame, n: int, total: int | None = None) -> np.ndarray:
+    """The ``n`` rows of ``total`` with the smallest hashes.
+
+    Hashes are spread evenly, so a bound on them leaves about twice as many to rank; a task does that, and the driver gets ``n`` rows.
+    """
+    mark = F.xxhash64("name", "vec")
+    share = 2 * n / max(1, rows.count() if total is None else total)
+    while True:
+        some = rows if share >= 1 else rows.where(mark < int(2**64 * share) - 2**63)
+        drawn = cut_lineage(some.orderBy(mark).limit(n).select("vec"), "sample").toArrow()
+        # Repeated rows share a hash, so there can be too few below the bound.
+        if share >= 1 or drawn.num_rows >= n:
+            return _matrix(drawn["vec"].combine_chunks()) if drawn.num_rows else np.zeros((0, 0))
+        share *= 8
 
 
 def _gaps(values: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Distance of every point to every centre."""
-    square = (values**2).sum(axis=1)[:, None] + (centers**2).sum(axis=1)[None, :] - 2 * values @ centers.T
-    return np.sqrt(np.maximum(square, 0.0))
+    square = values @ centers.T
+    square *= -2
+    square += (values**2).sum(axis=1)[:, None]
+    square += (centers**2).sum(axis=1)[None, :]
+    return np.sqrt(np.maximum(square, 0.0, out=square), out=square)
+
+
+def _nearest_centers(values: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The centre nearest to every point and its distance, worked out for some points at a time."""
+    home, gap = np.zeros(len(values), np.int64), np.zeros(len(values))
+    some = max(1, CENTER_CELLS // len(centers))
+    for first in range(0, len(values), some):
+        gaps = _gaps(values[first : first + some], centers)
+        best = home[first : first + some] = gaps.argmin(axis=1)
+        gap[first : first + some] = gaps[np.arange(len(gaps)), best]
+    return home, gap
 
 
 # Blocks.
@@ -121,6 +148,12 @@ def blocks(rows: DataFrame, cells: Cells, size: int) -> DataFrame:
     return dealt.mapInArrow(gather, shape).withColumn("block", F.monotonically_increasing_id())
 
 
+def _met(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Blocks of one cell. A query repeated for many cells is compressed to little, so Spark would take its blocks for a small table
+    and send them through the driver."""
+    return ours.hint("merge").join(theirs.hint("merge"), "cell")
+
+
 def best_of(asked: np.ndarray, values: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, places, squared distances) of the ``k`` nearest values of each query, ties by place.
 
@@ -181,7 +214,7 @@ def fit_centers(sample: np.ndarray, cells: int, rounds: int = 3) -> np.ndarray:
     centers = np.unique(sample, axis=0)
     centers = centers[:: max(1, len(centers) // cells)][:cells]
     for _ in range(rounds):
-        home = _gaps(sample, centers).argmin(axis=1)
+        home, _ = _nearest_centers(sample, centers)
         counts = np.bincount(home, minlength=len(centers))
         sums = np.zeros_like(centers)
         np.add.at(sums, home, sample)
@@ -191,9 +224,7 @@ def fit_centers(sample: np.ndarray, cells: int, rounds: int = 3) -> np.ndarray:
 
 def _homes(centers: np.ndarray) -> Cells:
     def cells(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        gaps = _gaps(values, centers)
-        home = gaps.argmin(axis=1)
-        return np.arange(len(values)), home, gaps[np.arange(len(values)), home]
+        return np.arange(len(values)), *_nearest_centers(values, centers)
 
     return cells
 
@@ -260,7 +291,7 @@ def nearest_join(
         none = rows.select(F.lit(None).cast(query_kind).alias("_query"), F.col("name").alias("_key"), F.lit(0.0).alias("distance"))
         return _result(none, key, query_key, k)
     wanted = cells or min(MAX_CELLS, max(1, int(total**0.5 / 2)))
-    centers = fit_centers(_sample(rows, SAMPLE_ROWS), wanted)
+    centers = fit_centers(_sample(rows, SAMPLE_ROWS, total), wanted)
     theirs = cut_lineage(blocks(rows, _homes(centers), row_block), "row-blocks")
     ours = blocks(asked, _homes(centers), query_block)
     ours = ours.withColumnsRenamed({"names": "q_names", "data": "q_data", "block": "q_block", "low": "q_low", "high": "q_high"})
@@ -268,12 +299,12 @@ def nearest_join(
     queried = ours.count()
     rings = _rings(theirs, centers)
     if known is None:
-        around = ours.join(theirs, "cell").where("high >= q_low AND low <= q_high")
+        around = _met(ours, theirs).where("high >= q_low AND low <= q_high")
         known = _tiles(around, k, query_kind, kind)
     kth = _placed(known.withColumn("_key", F.lit(0)), k).where(F.col("place") == k).select("_query", "distance")
     member = ours.select("q_block", F.explode("q_names").alias("_query"))
-    bound = member.join(kth, "_query").groupBy("q_block").agg(F.max("distance").alias("bound"), F.count("*").alias("bounded"))
-    ours = ours.join(bound, "q_block", "left").withColumn(
+    bound = member.hint("merge").join(kth.hint("merge"), "_query").groupBy("q_block").agg(F.max("distance").alias("bound"), F.count("*").alias("bounded"))
+    ours = ours.join(bound.hint("merge"), "q_block", "left").withColumn(
         "bound", F.when(F.col("bounded") == F.col("q_n"), F.sqrt("bound"))
     )
 
@@ -304,7 +335,7 @@ def nearest_join(
     # Blocks are few rows; each is work for a matrix.
     spread = max(1, queried // TASK_BLOCKS)
     reached = ours.repartition(spread).select("cell", "bound", "q_names", "q_data").mapInArrow(reach, shape)
-    met = reached.join(theirs, "cell").where("high >= least AND low <= most")
+    met = _met(reached, theirs).where("high >= least AND low <= most")
     return _result(_tiles(met, k, query_kind, kind), key, query_key, k)
 
 
@@ -365,8 +396,9 @@ def build_index(
     Borders come from a sample of ``SAMPLE_ROWS`` rows; all rows are indexed. A bucket has no greatest size: a full one is several blocks.
     """
     rows = cut_lineage(points(df, columns, key), "rows")
-    sample = _sample(rows, SAMPLE_ROWS)
-    total, wide = rows.count(), sample.shape[1] if len(sample) else 1
+    total = rows.count()
+    sample = _sample(rows, SAMPLE_ROWS, total)
+    wide = sample.shape[1] if len(sample) else 1
     directions = min(directions, wide)
     cuts = max(2, round((total / bucket) ** (1 / directions)))
     rng = np.random.default_rng(seed)
@@ -407,6 +439,10 @@ def nearest_index(
     """
     asked = _asked(queries, columns, query_key)
     query_kind = asked.schema["name"].dataType.simpleString()
+    if index.rows.isEmpty():
+        # Its directions are as wide as nothing.
+        none = index.rows.select(F.lit(None).cast(query_kind).alias("_query"), F.col("name").alias("_key"), F.lit(0.0).alias("distance"))
+        return _result(none, key, query_key, k)
     lines, edges = index.directions, index.edges
     free = NeighbourIndex(None, None, lines, edges, index.key_kind)
     steps = np.array(list(product((-1, 0, 1), repeat=lines.shape[1])))
@@ -429,7 +465,7 @@ def nearest_index(
         return at, np.concatenate(found), np.zeros(len(at))
 
     ours = blocks(asked, cells, query_block).select("cell", F.col("names").alias("q_names"), F.col("data").alias("q_data"))
-    met = ours.join(index.blocks.select("cell", "names", "data"), "cell")
+    met = _met(ours, index.blocks.select("cell", "names", "data"))
     found = _tiles(met, k, query_kind, index.key_kind).distinct()
     if not exact:
         return _result(found, key, query_key, k)
