@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from tidemark.llm import substring
 
 
@@ -49,3 +51,48 @@ def test_edited_passages_around_frequent_phrases_are_found(spark):
     share = sum(frozenset(p) in met for p in pairs) / len(pairs)
     assert share >= 0.95, share
     assert not any(k < 1000 for pair in met for k in pair)
+
+
+def test_passages_of_different_lengths_and_edited_ends_are_found(spark):
+    """Words put in, left out or changed anywhere, as long as the similarity stays at the limit: no pair is left out."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvw", k=rng.randint(3, 9)))
+    text = lambda n: [word() for _ in range(n)]
+    rows, pairs = [], []
+    while len(pairs) < 150:
+        passage = text(rng.choice([52, 55, 60, 80, 120]))
+        copy = list(passage)
+        for _ in range(40):
+            trial, at, kind = list(copy), rng.randrange(len(copy)), rng.random()
+            if kind < 0.4:
+                trial[at] = word()
+            elif kind < 0.7 and len(trial) > 50:
+                del trial[at]
+            else:
+                trial.insert(at, word())
+            if jaccard(passage, trial) >= 0.8:
+                copy = trial
+        first, second = 2 * len(pairs), 2 * len(pairs) + 1
+        rows.append((first, " ".join(text(50) + passage + text(40))))
+        rows.append((second, " ".join(text(20) + copy + text(70))))
+        pairs.append((first, second))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = substring.repeated_passages(df).collect()
+    words = {i: t.split() for i, t in rows}
+    for r in found:
+        one, two = words[r["doc_id"]][r["start_word"] : r["end_word"]], words[r["other_id"]][r["other_start"] : r["other_end"]]
+        assert min(len(one), len(two)) >= 50 and abs(jaccard(one, two) - r["similarity"]) < 1e-9 and r["similarity"] >= 0.8
+    met = {frozenset((r["doc_id"], r["other_id"])) for r in found}
+    assert not [p for p in pairs if frozenset(p) not in met]
+    assert met <= {frozenset(p) for p in pairs}
+
+
+def test_shingles_in_another_order_and_repeated_ones_are_aligned():
+    a = np.array([7, 1, 2, 3, 9, 9, 4, 5, 8], "<u4")
+    b = np.array([5, 1, 2, 3, 9, 4, 5, 9, 1], "<u4")
+    i, j = substring._chain(a, b)
+    assert list(i) == sorted(set(i)) and list(j) == sorted(set(j)) and list(a[i]) == list(b[j]) and len(i) == 5
+    assert substring._aligned(a, b, 10, 0.8) is None
+    p, q, u, v, alike = substring._aligned(a, b, 5, 0.8)
+    one, two = set(a[p:q].tolist()), set(b[u:v].tolist())
+    assert min(q - p, v - u) >= 5 and alike == len(one & two) / len(one | two) >= 0.8

@@ -12,6 +12,7 @@ right, so that two of them meet even if the first is like neither.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 #: Hash functions, at most 8, and how many must meet along one alignment.
 HASHES = 4
-ENOUGH = 2
+ENOUGH = 1
 #: Shingles by which two alignments of one passage may differ.
 DRIFT = 16
 #: Shingles on one side of a min-hash that make up its context.
@@ -38,6 +39,8 @@ CONTEXT = 16
 CHUNK = 1 << 19
 #: Bounds of fetched stretches are rounded to multiples of this, so that many candidates share one.
 GRID = 64
+#: Common shingles whose pairs of ends are tried at a time, and the longest of these that are compared.
+SPAN, TRIED = 512, 8
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -310,6 +313,92 @@ def _counterpart(
     return (p, q, u, v, alike) if alike >= similarity and min(q - p, v - u) >= least else None
 
 
+def _chain(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal shingles that rise in both: the n-th of a kind in ``a`` with the n-th in ``b``, as many as do."""
+
+    def numbered(marks: np.ndarray) -> np.ndarray:
+        order = np.argsort(marks, kind="stable")
+        ranked = marks[order]
+        new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        at = np.arange(len(marks))
+        number = np.empty(len(marks), np.uint64)
+        number[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+        return marks.astype(np.uint64) << np.uint64(32) | number
+
+    _, i, j = np.intersect1d(numbered(a), numbered(b), assume_unique=True, return_indices=True)
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    if np.all(j[1:] > j[:-1]):
+        return i, j
+    tails: list[int] = []
+    ends: list[int] = []
+    before = np.full(len(j), -1)
+    for n, place in enumerate(j.tolist()):
+        at = bisect_left(tails, place)
+        before[n] = ends[at - 1] if at else -1
+        tails[at : at + 1], ends[at : at + 1] = [place], [n]
+    kept, n = [], ends[-1]
+    while n >= 0:
+        kept.append(n)
+        n = before[n]
+    return i[kept[::-1]], j[kept[::-1]]
+
+
+def _padded(first: int, last: int, least: int, size: int) -> tuple[int, int]:
+    """The part from ``first`` to ``last``, widened to ``least`` places of ``size``."""
+    first = max(0, min(first, size - least))
+    return first, max(last + 1, first + least)
+
+
+def _aligned(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> tuple[int, int, int, int, float] | None:
+    """The longest similar parts (a0, a1, b0, b1, Jaccard) along one alignment, of any two lengths from ``least``.
+
+    Parts that are as similar as can be begin and end with shingles of both, but for those widened to ``least``; so all pairs of
+    such ends are tried. Where parts are similar, the first or second half of them is, too: of a long chain near ends do.
+    """
+    if min(len(a), len(b)) < least:
+        return None
+    i, j = _chain(a, b)
+    found: list[tuple[int, int, int]] = []
+    for low in range(0, len(i), SPAN):
+        begin, end = np.arange(low, min(low + SPAN, len(i)))[:, None], np.arange(low, min(low + 4 * SPAN, len(i)))[None, :]
+        both = end - begin + 1
+        wide = np.maximum(i[end] - i[begin] + 1, least) + np.maximum(j[end] - j[begin] + 1, least)
+        good = (both > 0) & (both >= similarity * (wide - both) - 1e-9)
+        for at in np.argsort(-np.where(good, both, 0), axis=None)[:TRIED]:
+            x, y = np.unravel_index(at, good.shape)
+            if good[x, y]:
+                found.append((int(both[x, y]), int(begin[x, 0]), int(end[0, y])))
+    for _, x, y in sorted(found, reverse=True):
+        (p, q), (u, v) = _padded(int(i[x]), int(i[y]), least, len(a)), _padded(int(j[x]), int(j[y]), least, len(b))
+        one, two = np.unique(a[p:q]), np.unique(b[u:v])
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        alike = both / (len(one) + len(two) - both)
+        if alike >= similarity:
+            return p, q, u, v, alike
+    return None
+
+
+def _rest(
+    a: np.ndarray, b: np.ndarray, taken: list[tuple[int, int, int, int, float]], least: int, similarity: float
+) -> list[tuple[int, int, int, int, float]]:
+    """Similar parts in what ``taken`` leaves of ``a``: parts of different lengths, and such as end in edited words."""
+    ends = sorted((x, y) for x, y, *_ in taken)
+    todo = list(zip([0, *(y for _, y in ends)], [*(x for x, _ in ends), len(a)], strict=True))
+    known = np.isin(a, b)
+    out = []
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo < least or known[lo:hi].sum() < least * similarity:
+            continue
+        found = _aligned(a[lo:hi], b, least, similarity)
+        if found:
+            p, q, u, v, alike = found
+            out.append((lo + p, lo + q, u, v, alike))
+            todo += [(lo, lo + p), (lo + q, hi)]
+    return out
+
+
 def _verify(least: int, similarity: float):
     kinds = (pa.int64(),) * 6 + (pa.float64(),)
     names = ["id", "start", "end", "rep", "rep_start", "rep_end", "similarity"]
@@ -319,11 +408,24 @@ def _verify(least: int, similarity: float):
             rows = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 key, rep, a0, a1, b0, b1, sa, sb, da, db = row
-                a = np.frombuffer(da, "<u4")[a0 - sa : a1 + 1 - sa]
-                b = np.frombuffer(db, "<u4")[b0 - sb : b1 + 1 - sb]
-                for x, y, u, v, alike in passages(a, b, least, similarity):
-                    words = SHINGLE - 1
+                whole, other = np.frombuffer(da, "<u4"), np.frombuffer(db, "<u4")
+                x0, u0, x1, u1 = max(sa, a0 - DRIFT), max(sb, b0 - DRIFT), a1 + DRIFT, b1 + DRIFT
+                wide, beside = whole[x0 - sa : x1 + 1 - sa], other[u0 - sb : u1 + 1 - sb]
+                # Most stretches share a phrase only.
+                if np.isin(wide, beside).sum() < least * similarity:
+                    continue
+                words = SHINGLE - 1
+                a, b = whole[a0 - sa : a1 + 1 - sa], other[b0 - sb : b1 + 1 - sb]
+                found = passages(a, b, least, similarity)
+                for x, y, u, v, alike in found:
                     rows.append((key, a0 + x, a0 + y + words, rep, b0 + u, b0 + v + words, alike))
+                # A passage with more words on one side of the min-hash than in the other document reaches beyond the stretch.
+                if found:
+                    x0, u0 = a0, b0
+                else:
+                    a, b = wide, beside
+                for x, y, u, v, alike in _rest(a, b, found, least, similarity):
+                    rows.append((key, x0 + x, x0 + y + words, rep, u0 + u, u0 + v + words, alike))
             if rows:
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -402,7 +504,10 @@ def repeated_passages(
     parts = cut_lineage(candidates(texts, least, hashes, enough), "passages")
     for side, s, e in (("a", "a0", "a1"), ("b", "b0", "b1")):
         parts = parts.withColumns(
-            {f"s{side}": F.floor(F.col(s) / GRID) * GRID, f"e{side}": (F.floor(F.col(e) / GRID) + 1) * GRID}
+            {
+                f"s{side}": F.floor(F.greatest(F.col(s) - DRIFT, F.lit(0)) / GRID) * GRID,
+                f"e{side}": (F.floor((F.col(e) + DRIFT) / GRID) + 1) * GRID,
+            }
         )
     needs = (
         parts.select("id", F.col("sa").alias("s"), F.col("ea").alias("e"))
