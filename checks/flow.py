@@ -377,16 +377,23 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     return read_stream(spark, "files", path=path)
 
 
-def messages_in_turn(spark: SparkSession, sf: str, batches: int = 4) -> DataFrame:
-    """The same, in files that lie one after the other in time and are read one by one."""
+def messages_in_turn(spark: SparkSession, sf: str, batches: int = 4, file_rows: int = 100_000) -> DataFrame:
+    """The same, in parts that lie one after the other in time and are read one by one.
+
+    All parts have the same number of files, of about ``file_rows`` rows in the smallest part, so that tasks share a part.
+    """
     path = scratch_path(spark, "messages")
     payload = F.to_json(F.struct(*DEVICE_MESSAGE.fieldNames()))
     whole = cut_lineage(dev(spark, sf), "messages")
     first, last = whole.agg(F.min("timestamp"), F.max("timestamp")).first()
     part = F.least(F.floor((F.col("timestamp") - first) * batches / (last - first + 1)), F.lit(batches - 1))
+    rows = {r["part"]: r["count"] for r in whole.groupBy(part.alias("part")).count().collect()}
+    files = max(1, min(rows.get(i, 0) for i in range(batches)) // file_rows)
     for i in range(batches):
-        whole.where(part == i).select(payload.alias("value")).coalesce(1).write.mode("append").parquet(path)
-    return read_stream(spark, "files", path=path, max_per_trigger=1)
+        some = whole.where(part == i).select(payload.alias("value"))
+        some = some.coalesce(1) if files == 1 else some.repartition(files)
+        some.write.mode("append").parquet(path)
+    return read_stream(spark, "files", path=path, max_per_trigger=files)
 
 
 @check("stream_file_source", f"WITH {DEV} SELECT * FROM dev")

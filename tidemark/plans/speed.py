@@ -102,7 +102,8 @@ def run_speed_layer_once(
         return batch.where("good").select(*fields)
 
     def land(batch: DataFrame, name: str, number: int) -> None:
-        landing.write(with_date_parts(good(batch)), name, number)
+        # An hour's rows go into few files, however many tasks read the batch.
+        landing.write(with_date_parts(good(batch)).hint("rebalance", *DATE_PARTS), name, number)
 
     def reject(batch: DataFrame, name: str, number: int) -> None:
         config.rejected.write(batch.where("NOT good").select("payload"), name, number)
