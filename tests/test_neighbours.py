@@ -110,6 +110,15 @@ def test_equal_rows_travel_k_times_at_most(spark):
     assert sorted(r["name"] for r in neighbours._least_keys(rows, 4).collect()) == [0, 1, 2, 3]
 
 
+def test_equal_points_are_told_by_their_hash_first_and_by_their_values(spark):
+    """Zeros of either sign are equal; the sort begins with a hash, as arrays have no prefix to sort by."""
+    shape = "key long, x double, y double, z double"
+    rows = spark.createDataFrame([(i, 0.0 if i % 2 else -0.0, 2.0, 3.0) for i in range(40)], shape)
+    least = neighbours._least_keys(neighbours.points(rows, COLUMNS, "key"), 3)
+    assert sorted(r["name"] for r in least.collect()) == [0, 1, 2]
+    assert "xxhash64" in least._jdf.queryExecution().executedPlan().toString()
+
+
 def test_names_of_any_kind_missing_values_and_few_rows(spark):
     rows = spark.createDataFrame(
         [("b", 0.0, 0.0, 0.0), ("a", 0.0, 0.0, 0.0), ("c", None, 0.0, 0.0), ("d", float("nan"), 0.0, 0.0)],

@@ -52,7 +52,8 @@ def _asked(queries: DataFrame, columns: Sequence[str] | str, query_key: str) ->
 
 def _least_keys(rows: DataFrame, k: int) -> DataFrame:
     """Of equal points only the ``k`` smallest names can be an answer; tasks leave out the others before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("vec").orderBy("name"))
+    # Hashes first: arrays have no prefix to sort by.
+    rank = F.row_number().over(Window.partitionBy(F.xxhash64("vec"), "vec").orderBy("name"))
     return rows.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
 
