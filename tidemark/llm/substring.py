@@ -35,6 +35,8 @@ ENOUGH = 2
 DRIFT = 16
 #: Shingles on one side of a min-hash that make up its context.
 CONTEXT = 16
+#: Words of the texts whose windows are found at a time.
+BLOCK = 1 << 16
 #: Windows gathered before those with equal min-hashes are linked to the first of them.
 CHUNK = 1 << 19
 #: Bounds of fetched stretches are rounded to multiples of this, so that many candidates share one.
@@ -45,35 +47,36 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Words(dict):
-    """Hashes of words; kept to save time only."""
+def _hashed(words: list[bytes]) -> np.ndarray:
+    from xxhash import xxh3_64_digest
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
+    digests = (b"".join(map(xxh3_64_digest, words[i : i + BLOCK])) for i in range(0, len(words), BLOCK))
+    return np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(d, ">u8").astype(np.uint64) for d in digests)])
 
-        if len(self) > 250_000:
-            self.clear()
-        value = self[word] = xxh3_64_intdigest(word)
-        return value
 
+def _words(text: str) -> list[bytes]:
+    """A-Z in lower case, words between ASCII white space."""
+    return text.encode().lower().split()
 
-_WORDS = _Words()
 
-
-def shingles(text: str) -> np.ndarray:
-    """A hash of each run of ``SHINGLE`` words; A-Z in lower case, words between ASCII white space."""
-    words = text.encode().lower().split()
-    n = len(words) - SHINGLE + 1
+def _rolled(each: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``SHINGLE`` hashes of words."""
+    n = len(each) - SHINGLE + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    each = np.fromiter((_WORDS[w] for w in words), np.uint64, len(words))
     total = np.zeros(n, np.uint64)
     for k in range(SHINGLE):
-        total = (total ^ each[k : k + n]) * _BASE
+        total ^= each[k : k + n]
+        total *= _BASE
         total ^= total >> np.uint64(32)
     return total
 
 
+def shingles(text: str) -> np.ndarray:
+    """A hash of each run of ``SHINGLE`` words of a text."""
+    return _rolled(_hashed(_words(text)))
+
+
 def permuted(marks: np.ndarray, function: int) -> np.ndarray:
     """The hashes of one function; its number fills the low three bits."""
     seed = np.uint64((0x1234567 * (2 * function + 1)) & (2**64 - 1))
@@ -84,16 +87,39 @@ def permuted(marks: np.ndarray, function: int) -> np.ndarray:
     return h & ~np.uint64(7) | np.uint64(function)
 
 
-def compact_windows(h: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
-    """(l, c, r), r included: the nodes of the Cartesian tree over ``h`` with ``least`` places or more."""
-    ranges = [(0, len(h))]
-    while ranges:
-        a, b = ranges.pop()
-        if b - a < least:
-            continue
-        c = a + int(h[a:b].argmin())
-        yield a, c, b - 1
-        ranges += [(a, c), (c + 1, b)]
+def _slid(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """The least, or greatest, of every ``width`` neighbours; ``pick`` is ``np.minimum`` or ``np.maximum``."""
+    step = 1
+    while 2 * step <= width:
+        values = pick(values[:-step], values[step:])
+        step *= 2
+    rest = width - step
+    return pick(values[:-rest], values[rest:]) if rest else values
+
+
+def compact_windows(h: np.ndarray, least: int) -> np.ndarray:
+    """Rows (l, c, r), r included, by c: the nodes of the Cartesian tree over ``h`` with ``least`` places or more.
+
+    Such a node is the least of some ``least`` neighbours, and so are the nodes above it, the first smaller ones on its left and right.
+    So the tree is built over the places that are least somewhere; of equal ones the first is the node above.
+    """
+    if len(h) < least:
+        return np.zeros((0, 3), np.int64)
+    edge = np.zeros(least - 1, h.dtype)
+    lows = np.concatenate([edge, _slid(h, least, np.minimum), edge])
+    places = np.flatnonzero(h == _slid(lows, least, np.maximum))
+    values = h[places].tolist()
+    left, right = [-1] * len(values), [len(values)] * len(values)
+    above: list[int] = []
+    for n, value in enumerate(values):
+        while above and values[above[-1]] > value:
+            right[above.pop()] = n
+        if above:
+            left[n] = above[-1]
+        above.append(n)
+    ends = np.concatenate([places, [len(h), -1]])
+    windows = np.stack([ends[left] + 1, places, ends[right] - 1], axis=1)
+    return windows[windows[:, 2] - windows[:, 0] + 1 >= least]
 
 
 MEMBER = ["key", "id", "c", "l", "r", "context"]
@@ -104,10 +130,13 @@ WINDOW_SCHEMA = (
 _KINDS = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
 
 
-def contexts(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """32 bits for the shingles on the left of each place, above 32 bits for those on its right, both with the place itself."""
+def contexts(marks: np.ndarray, places: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """32 bits for the shingles on the left of each place, above 32 bits for those on its right, both with the place itself.
+
+    ``start`` and ``end`` (not included) bound the text of each place.
+    """
     total = np.concatenate([[np.uint64(0)], np.cumsum((marks ^ (marks >> np.uint64(29))) * _MIX, dtype=np.uint64)])
-    low, high = np.maximum(places - CONTEXT, 0), np.minimum(places + CONTEXT + 1, len(marks))
+    low, high = np.maximum(places - CONTEXT, start), np.minimum(places + CONTEXT + 1, end)
     left, right = (total[places + 1] - total[low]) * _BASE, (total[high] - total[places]) * _BASE
     return (left & np.uint64(0xFFFFFFFF00000000) | right >> np.uint64(32)).view(np.int64)
 
@@ -163,6 +192,51 @@ def _apart(rows: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return other & (rows[5] >> 32 != head[5] >> 32), other & (rows[5] & 0xFFFFFFFF != head[5] & 0xFFFFFFFF)
 
 
+def _members(each: np.ndarray, counts: list[int], ids: list[int], least: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of some texts, given their words' hashes one text after the other, and the number of each window's text."""
+    marks = _rolled(each)
+    ends = np.cumsum(counts)
+    starts, keys = ends - counts, np.array(ids, np.int64)
+    # Runs of words that reach from one text into the next one bound the windows of both.
+    across = (ends[:-1, None] - np.arange(1, SHINGLE)).ravel()
+    ends = ends - SHINGLE + 1
+    rows, texts = [], []
+    for f in range(hashes):
+        h = np.maximum(permuted(marks, f), np.uint64(8 + f))
+        h[across] = 0
+        low, places, high = compact_windows(h, least).T
+        text = np.searchsorted(starts, places, "right") - 1
+        start, end = starts[text], ends[text]
+        own = places < end
+        low, places, high, text, start, end = (x[own] for x in (low, places, high, text, start, end))
+        context = contexts(marks, places, start, end)
+        rows.append(np.stack([h[places].view(np.int64), keys[text], places - start, low - start, high - start, context]))
+        texts.append(text)
+    return np.concatenate(rows, axis=1), np.concatenate(texts)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[np.ndarray, list[int], list[int]]]:
+    """Hashes of the words of some texts, their numbers of words, and their ids; texts without a window are left out."""
+    each: list[np.ndarray] = []
+    counts: list[int] = []
+    ids: list[int] = []
+    held = 0
+    for batch in batches:
+        for key, text in zip(batch.column("id"), batch.column("text"), strict=True):
+            words = _words(text.as_py())
+            if len(words) - SHINGLE + 1 < least:
+                continue
+            each.append(_hashed(words))
+            counts.append(len(words))
+            ids.append(key.as_py())
+            held += len(words)
+            if held >= BLOCK:
+                yield np.concatenate(each), counts, ids
+                each, counts, ids, held = [], [], [], 0
+    if ids:
+        yield np.concatenate(each), counts, ids
+
+
 def _windows(least: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
@@ -179,24 +253,19 @@ def _windows(least: int, hashes: int):
             yield from links
             yield from _seeds(rows, *_apart(rows, head))
 
-        for batch in batches:
-            for key, text in zip(batch.column("id"), batch.column("text"), strict=True):
-                marks = shingles(text.as_py())
-                if len(marks) < least:
-                    continue
-                for f in range(hashes):
-                    h = permuted(marks, f)
-                    found = np.array(list(compact_windows(h, least)), np.int64).T
-                    places = found[1]
-                    ids = np.full(len(places), key.as_py())
-                    parts.append(
-                        np.stack([h[places].view(np.int64), ids, places, found[0], found[2], contexts(marks, places)])
-                    )
-                    held += len(places)
-                if held >= CHUNK:
-                    yield from flush()
-                    parts, held = [], 0
-        if parts:
+        for each, counts, ids in _blocks(batches, least):
+            rows, text = _members(each, counts, ids, least, hashes)
+            total = held + np.cumsum(np.bincount(text, minlength=len(ids)))
+            while total[-1] >= CHUNK:
+                full = int(np.searchsorted(total, CHUNK))
+                parts.append(rows[:, text <= full])
+                yield from flush()
+                parts = []
+                rows, text = rows[:, text > full], text[text > full]
+                total = total - total[full]
+            parts.append(rows)
+            held = int(total[-1])
+        if held:
             yield from flush()
 
     return run
@@ -255,6 +324,25 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(data, pa.binary())], [*names, "data"])
 
 
+def _held(marks: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which marks are among the others; of a few hundred, a search in sorted ones is quicker than ``np.isin``."""
+    if not len(others):
+        return np.zeros(len(marks), bool)
+    ranked = np.sort(others)
+    return ranked[np.minimum(np.searchsorted(ranked, marks), len(ranked) - 1)] == marks
+
+
+def _distinct(marks: np.ndarray) -> np.ndarray:
+    ranked = np.sort(marks)
+    return np.concatenate([ranked[:1], ranked[1:][ranked[1:] != ranked[:-1]]])
+
+
+def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    one, two = _distinct(a), _distinct(b)
+    both = int(np.count_nonzero(_held(one, two)))
+    return both / max(1, len(one) + len(two) - both)
+
+
 def _longest(hit: np.ndarray, share: float) -> tuple[int, int]:
     """The longest part of which at least this share are hits, from its first hit to its last: start and end."""
     total = np.concatenate([[0.0], np.cumsum(np.where(hit, 1 - share, -share))])
@@ -277,7 +365,7 @@ def passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> lis
     """
     share = 2 * similarity / (1 + similarity)
     levels = [share, (1 + share) / 2, 1.0]
-    hits = np.isin(a, b)
+    hits = _held(a, b)
     out = []
     todo = [(0, len(a), 0)]
     while todo:
@@ -305,11 +393,9 @@ def _counterpart(
 ) -> tuple[int, int, int, int, float] | None:
     """Where ``part`` stands in ``b``, as (part0, part1, b0, b1, Jaccard), if similar enough."""
     share = 2 * similarity / (1 + similarity)
-    u, v = _longest(np.isin(b, part), share)
-    p, q = _longest(np.isin(part, b[u:v]), share)
-    one, two = np.unique(part[p:q]), np.unique(b[u:v])
-    both = len(np.intersect1d(one, two, assume_unique=True))
-    alike = both / max(1, len(one) + len(two) - both)
+    u, v = _longest(_held(b, part), share)
+    p, q = _longest(_held(part, b[u:v]), share)
+    alike = _jaccard(part[p:q], b[u:v])
     return (p, q, u, v, alike) if alike >= similarity and min(q - p, v - u) >= least else None
 
 
@@ -371,9 +457,7 @@ def _aligned(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> tup
                 found.append((int(both[x, y]), int(begin[x, 0]), int(end[0, y])))
     for _, x, y in sorted(found, reverse=True):
         (p, q), (u, v) = _padded(int(i[x]), int(i[y]), least, len(a)), _padded(int(j[x]), int(j[y]), least, len(b))
-        one, two = np.unique(a[p:q]), np.unique(b[u:v])
-        both = len(np.intersect1d(one, two, assume_unique=True))
-        alike = both / (len(one) + len(two) - both)
+        alike = _jaccard(a[p:q], b[u:v])
         if alike >= similarity:
             return p, q, u, v, alike
     return None
@@ -385,7 +469,7 @@ def _rest(
     """Similar parts in what ``taken`` leaves of ``a``: parts of different lengths, and such as end in edited words."""
     ends = sorted((x, y) for x, y, *_ in taken)
     todo = list(zip([0, *(y for _, y in ends)], [*(x for x, _ in ends), len(a)], strict=True))
-    known = np.isin(a, b)
+    known = _held(a, b)
     out = []
     while todo:
         lo, hi = todo.pop()
@@ -412,7 +496,7 @@ def _verify(least: int, similarity: float):
                 x0, u0, x1, u1 = max(sa, a0 - DRIFT), max(sb, b0 - DRIFT), a1 + DRIFT, b1 + DRIFT
                 wide, beside = whole[x0 - sa : x1 + 1 - sa], other[u0 - sb : u1 + 1 - sb]
                 # Most stretches share a phrase only.
-                if np.isin(wide, beside).sum() < least * similarity:
+                if _held(wide, beside).sum() < least * similarity:
                     continue
                 words = SHINGLE - 1
                 a, b = whole[a0 - sa : a1 + 1 - sa], other[b0 - sb : b1 + 1 - sb]
