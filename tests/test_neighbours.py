@@ -77,6 +77,71 @@ def test_bounds_leave_most_tiles_out(spark):
     assert (need * rings.n).sum() / (500 * 8000) < 0.15
 
 
+def test_rows_beyond_all_bounds_are_left_out_where_they_are_read(spark, monkeypatch):
+    """Queries near the middle, and two remote ones: the blocks hold the few rows near them."""
+    rng = np.random.default_rng(2)
+    points = [(i, *map(float, p)) for i, p in enumerate(rng.uniform(-1, 1, (6000, 3)))]
+    asked = [(i, *map(float, p)) for i, p in enumerate(rng.normal(size=(60, 3)) * 0.05)]
+    asked += [(60, 90.0, 0.0, 0.0), (61, 0.0, -70.0, 5.0)]
+    dealt = []
+
+    def noted(df, label="cut", write=neighbours.cut_lineage):
+        written = write(df, label)
+        if label == "row-blocks":
+            dealt.append(written.agg(F.sum("n")).first()[0])
+        return written
+
+    monkeypatch.setattr(neighbours, "cut_lineage", noted)
+    found = neighbours.nearest_join(*frames(spark, (points, asked)), COLUMNS, "key", "query")
+    assert got(found) == plain(points, asked, 5)
+    assert dealt and sum(dealt) < 1500
+
+
+@pytest.mark.parametrize("met", [1, 1000])
+def test_samples_within_samples_bound_the_distances(spark, cloud, monkeypatch, met):
+    monkeypatch.setattr(neighbours, "PART", 4)
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(neighbours, "MOST_MET", met)
+    found = neighbours.nearest_join(*frames(spark, cloud), COLUMNS, "key", "query", k=7)
+    assert got(found) == plain(*cloud, 7)
+
+
+def test_a_query_without_a_name_and_rows_that_repeat(spark):
+    rows = spark.createDataFrame([(1, 0.0, 0.0, 0.0)] * 2 + [(None, 1.0, 0.0, 0.0), (3, 9.0, 0.0, 0.0)], SHAPE)
+    asked = spark.createDataFrame([(None, 0.0, 0.0, 0.0), (7, 8.0, 0.0, 0.0)], SHAPE.replace("key", "query"))
+    found = neighbours.nearest_join(rows, asked, COLUMNS, "key", "query", k=3)
+    assert [tuple(r) for r in found.orderBy("query", "place").collect()] == [
+        (None, 1, 0.0, 1), (None, 1, 0.0, 2), (None, None, 1.0, 3), (7, 3, 1.0, 1), (7, None, 49.0, 2), (7, 1, 64.0, 3),
+    ]
+
+
+def test_rows_are_read_again_only_if_they_come_from_files(spark, tmp_path):
+    spark.range(50).select(F.col("id").alias("key"), *[F.col("id").cast("double").alias(c) for c in COLUMNS]).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    for rows, same in (
+        (table.where("x > 3").withColumn("y", F.col("x") * 2), True),
+        (table.withColumn("y", F.rand()), False),
+        (table.limit(20), False),
+        (table.dropDuplicates(["x"]), False),
+        (table.sample(0.5), False),
+    ):
+        named = neighbours.points(rows, COLUMNS, "key")
+        assert (neighbours._kept(named) is named) == same
+
+
+def test_the_best_of_many_equal_values(monkeypatch):
+    monkeypatch.setattr(neighbours, "PAIR_CELLS", 100)
+    values = np.concatenate([np.ones((300, 2)), np.zeros((3, 2)), np.full((300, 2), 2.0)])
+    asked = np.array([[1.0, 1.0], [0.0, 0.0], [2.0, 2.0]])
+    who, which, gap = neighbours.best_of(asked, values, 4)
+    assert who.tolist() == [0] * 4 + [1] * 4 + [2] * 4
+    assert which.tolist() == [0, 1, 2, 3, 300, 301, 302, 0, 303, 304, 305, 306]
+    assert gap.tolist() == [0.0] * 7 + [2.0] + [0.0] * 4
+    order = neighbours.in_leaves(values, neighbours.LEAF)
+    found = list(neighbours.best_within(asked, np.full(3, 1.5), values, order, 4))
+    assert [x.tolist() for x in found[0]] == [who.tolist(), which.tolist(), gap.tolist()]
+
+
 def test_blocks_and_samples_do_not_pass_through_the_driver(spark, cloud):
     """Repeated queries compress so well that Spark took their blocks for a small table."""
     rows, queries = frames(spark, cloud)

@@ -1,14 +1,18 @@
 """Nearest rows of a table of queries: both sides in blocks, met by joins, pruned by bounds or by buckets.
 
 Rows and queries are points (name, vec). Points of one cell lie together in blocks: one row with the names, in order, and the
-matrix of the values. Joins move blocks, and a tile of two blocks is compared by one product of matrices.
+matrix of the values. Joins move blocks, and a tile of two blocks is compared by products of matrices. Rows that no query can need
+stay in the task that reads them: just those within a bound of some query are dealt into blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
+from operator import and_, or_
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +24,20 @@ from tidemark.session import cut_lineage
 
 #: Points in a block of rows and of queries, and cells of a matrix compared at a time.
 ROW_BLOCK, QUERY_BLOCK, TILE_CELLS = 4096, 1024, 4_000_000
+#: Neighbouring rows and queries of a tile that are told apart by a box, and numbers of a tile's exact distances held at a time.
+LEAF, GROUP, PAIR_CELLS = 64, 64, 2_000_000
 #: Distances to centres worked out at a time, in tasks and on the driver.
 CENTER_CELLS = 500_000
 #: Cells of the exact join and rows they are fitted to. Both bound what the driver holds, not which rows are compared.
 MAX_CELLS, SAMPLE_ROWS = 1024, 8192
+#: Cells that a query meets on average; with more of them the cells are made larger.
+MOST_MET = 32
+#: A sample that bounds distances has one row in so many, the sample before it one in so many of its rows.
+PART = 32
+#: Balls around queries, of common and of remote ones, and boxes around the balls, for points of up to so many values.
+BALLS, FAR_BALLS, BOXES, BOX_WIDE = 128, 64, 3, 8
+#: Least shares of a join's tasks, and queries that one task takes.
+SHARES, TASK_QUERIES = 64, 8192
 #: Blocks of queries whose bounds one task works out.
 TASK_BLOCKS = 8
 #: Rounding of distances, relative to the values.
@@ -34,33 +48,60 @@ Cells = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 def points(df: DataFrame, columns: Sequence[str] | str, key: str) -> DataFrame:
     """(name, vec): the complete rows; ``columns`` are numbers, or the name of one array of numbers."""
+    return _complete(_named(df, columns, key))
+
+
+def _named(df: DataFrame, columns: Sequence[str] | str, key: str) -> DataFrame:
     if isinstance(columns, str):
         vec = F.col(columns).cast("array<double>")
     else:
         vec = F.array(*[F.col(c).cast("double") for c in columns])
-    rows = df.select(F.col(key).alias("name"), vec.alias("vec"))
-    return rows.where(F.col("vec").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x)))
+    return df.select(F.col(key).alias("name"), vec.alias("vec"))
+
+
+def _complete(rows: DataFrame) -> DataFrame:
+    # Null for an array that is null or has a null.
+    return rows.where(~F.array_contains("vec", float("nan")))
 
 
 def _asked(queries: DataFrame, columns: Sequence[str] | str, query_key: str) -> DataFrame:
     """The queries; repeated rows are one."""
-    asked = cut_lineage(points(queries, columns, query_key), "queries")
-    if asked.count() < queries.count():
+    given = cut_lineage(_named(queries, columns, query_key), "queries")
+    asked = _complete(given)
+    if asked.count() < given.count():
         raise ValueError("a query row has a missing value")
     return asked.distinct()
 
 
-def _least_keys(rows: DataFrame, k: int) -> DataFrame:
+def _least_keys(rows: DataFrame, k: int, rank: Callable[[], Column] = F.row_number) -> DataFrame:
     """Of equal points only the ``k`` smallest names can be an answer; tasks leave out the others before the shuffle."""
     # Hashes first: arrays have no prefix to sort by.
-    rank = F.row_number().over(Window.partitionBy(F.xxhash64("vec"), "vec").orderBy("name"))
+    rank = rank().over(Window.partitionBy(F.xxhash64("vec"), "vec").orderBy("name"))
     return rows.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """Rows that are the same when they are read again: those of files, by projections and filters, as they are, others written."""
+
+    def plain(plan: Any) -> bool:
+        if plan.getClass().getSimpleName() == "LogicalRelation":
+            return True
+        below = plan.children()
+        return plan.getClass().getSimpleName() in ("Project", "Filter") and plain(below.apply(0))
+
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    return rows if plan.deterministic() and plain(plan) else cut_lineage(rows, "rows")
+
+
 def _matrix(vec: pa.Array) -> np.ndarray:
     return np.asarray(vec.flatten(), float).reshape(len(vec), -1)
 
 
+def _among(step: float) -> Column:
+    """One row in ``step``: those of the smallest hashes."""
+    return F.xxhash64("name", "vec") < int(2**64 / step) - 2**63
+
+
 def _sample(rows: DataFrame, n: int, total: int | None = None) -> np.ndarray:
     """The ``n`` rows of ``total`` with the smallest hashes.
 
@@ -69,7 +110,7 @@ def _sample(rows: DataFrame, n: int, total: int | None = None) -> np.ndarray:
     mark = F.xxhash64("name", "vec")
     share = 2 * n / max(1, rows.count() if total is None else total)
     while True:
-        some = rows if share >= 1 else rows.where(mark < int(2**64 * share) - 2**63)
+        some = rows if share >= 1 else rows.where(_among(1 / share))
         drawn = cut_lineage(some.orderBy(mark).limit(n).select("vec"), "sample").toArrow()
         # Repeated rows share a hash, so there can be too few below the bound.
         if share >= 1 or drawn.num_rows >= n:
@@ -100,11 +141,27 @@ def _nearest_centers(values: np.ndarray, centers: np.ndarray) -> tuple[np.ndarra
 # Blocks.
 
 
+def in_leaves(values: np.ndarray, size: int) -> np.ndarray:
+    """The places of the points, halved again and again along the widest side; every ``size`` of them are neighbours."""
+
+    def halves(at: np.ndarray) -> list[np.ndarray]:
+        if len(at) <= size:
+            return [at]
+        some = values[at]
+        wide = some[:, (some.max(axis=0) - some.min(axis=0)).argmax()]
+        cut = -(-len(at) // size) // 2 * size
+        order = np.argpartition(wide, cut)
+        return halves(at[order[:cut]]) + halves(at[order[cut:]])
+
+    return np.concatenate(halves(np.arange(len(values))))
+
+
 def blocks(rows: DataFrame, cells: Cells, size: int) -> DataFrame:
-    """(block, cell, low, high, n, names, data) from points: each cell in blocks of up to ``size``, by their place in it.
+    """(block, cell, low, high, n, names, data, leaves) from points: each cell in blocks of up to ``size``, by their place in it.
 
     ``cells`` gives for a matrix the row, cell and place of every entry; a row may have entries in several cells. Entries are
-    dealt by ranges of cell, place and a hash, so a cell that holds a third of them is split among tasks.
+    dealt by ranges of cell, place and a hash, so a cell that holds a third of them is split among tasks. ``leaves`` has the places
+    of a block's points in an order in which neighbours lie together.
     """
     kind = rows.schema["name"].dataType.simpleString()
 
@@ -120,11 +177,12 @@ def blocks(rows: DataFrame, cells: Cells, size: int) -> DataFrame:
         whole = pa.Table.from_batches(held).combine_chunks()
         whole = whole.take(pc.sort_indices(whole["name"]))
         names, places = whole["name"].combine_chunks(), whole["place"].to_numpy()
-        data = _matrix(whole["vec"].combine_chunks()).tobytes()
+        values = _matrix(whole["vec"].combine_chunks())
         row = [[cell], [places.min()], [places.max()], [len(names)]]
         listed = pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names)
-        columns = [*(pa.array(x) for x in row), listed, pa.array([data], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["cell", "low", "high", "n", "names", "data"])
+        packed = [values.tobytes(), in_leaves(values, LEAF).astype(np.int32).tobytes()]
+        columns = [*(pa.array(x) for x in row), listed, *(pa.array([x], pa.binary()) for x in packed)]
+        return pa.RecordBatch.from_arrays(columns, ["cell", "low", "high", "n", "names", "data", "leaves"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, count = None, [], 0
@@ -145,61 +203,99 @@ def blocks(rows: DataFrame, cells: Cells, size: int) -> DataFrame:
 
     entries = rows.mapInArrow(assign, f"cell long, place double, name {kind}, vec array<double>")
     dealt = entries.repartitionByRange("cell", "place", F.xxhash64("name")).sortWithinPartitions("cell", "place")
-    shape = f"cell long, low double, high double, n long, names array<{kind}>, data binary"
+    shape = f"cell long, low double, high double, n long, names array<{kind}>, data binary, leaves binary"
     return dealt.mapInArrow(gather, shape).withColumn("block", F.monotonically_increasing_id())
 
 
-def _met(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+def _met(ours: DataFrame, theirs: DataFrame, *share: str) -> DataFrame:
     """Blocks of one cell. A query repeated for many cells is compressed to little, so Spark would take its blocks for a small table
     and send them through the driver."""
-    return ours.hint("merge").join(theirs.hint("merge"), "cell")
+    return ours.hint("merge").join(theirs.hint("merge"), ["cell", *share])
 
 
-def best_of(asked: np.ndarray, values: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, places, squared distances) of the ``k`` nearest values of each query, ties by place.
+def best_of(
+    asked: np.ndarray, values: np.ndarray, k: int, limit: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, places and squared distances of the ``k`` nearest values of each query, ties by place.
 
-    One product for many queries finds the values that can be among the best; their distances are then exact.
+    One product for many queries finds the values that can be among the best; their distances are then exact. With ``limit``, a
+    squared distance for each query, values beyond it may be left out.
     """
     lengths = (values**2).sum(axis=1)
     some = max(1, TILE_CELLS // len(values))
+    found = []
     for first in range(0, len(asked), some):
         part = asked[first : first + some]
         own = (part**2).sum(axis=1)
-        rough = lengths[None, :] + own[:, None] - 2 * (part @ values.T)
+        rough = part @ values.T
+        rough *= -2
+        rough += lengths[None, :]
+        rough += own[:, None]
         slack = SLACK * (own + lengths.max())
-        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(values) > k else np.full(len(part), np.inf)
-        near_all = rough <= (limit + slack)[:, None]
-        for i, near in enumerate(near_all):
-            near = np.flatnonzero(near)
-            gap = ((values[near] - part[i]) ** 2).sum(axis=1)
-            best = np.argsort(gap, kind="stable")[:k]
-            yield first + i, near[best], gap[best]
-
-
-def _tiles(met: DataFrame, k: int, query_kind: str, kind: str) -> DataFrame:
-    """(_query, _key, distance): the best of every tile (q_names, q_data, names, data)."""
+        most = np.full(len(part), np.inf) if limit is None else limit[first : first + some]
+        near = rough <= (most + slack)[:, None]
+        if len(values) > k and np.count_nonzero(near) > 16 * k * len(part):
+            most = np.minimum(most, np.partition(rough, k - 1, axis=1)[:, k - 1])
+            near = rough <= (most + slack)[:, None]
+        ends = np.cumsum(np.count_nonzero(near, axis=1))
+        at, pairs = 0, max(1, PAIR_CELLS // max(1, values.shape[1]))
+        while at < len(part):
+            # Equal values are all near, so a few queries may have many pairs.
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + pairs, side="right")))
+            who, which = np.nonzero(near[at:to])
+            gap = ((values[which] - part[at + who]) ** 2).sum(axis=1)
+            order = np.lexsort((gap, who))
+            who, which, gap = who[order], which[order], gap[order]
+            best = np.arange(len(who)) - np.searchsorted(who, who) < k
+            found.append((first + at + who[best], which[best], gap[best]))
+            at = to
+    who, which, gap = (np.concatenate(x) for x in zip(*found, strict=True))
+    return who, which, gap
+
+
+def best_within(
+    asked: np.ndarray, bounds: np.ndarray, values: np.ndarray, order: np.ndarray, k: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """As :func:`best_of`, of values within ``bounds``: neighbouring queries are compared with the leaves whose boxes they reach."""
+    starts, firsts = np.arange(0, len(order), LEAF), np.arange(0, len(asked), GROUP)
+    placed, limit = values[order], bounds**2
+    low, high = np.minimum.reduceat(placed, starts), np.maximum.reduceat(placed, starts)
+    least, most = np.minimum.reduceat(asked, firsts), np.maximum.reduceat(asked, firsts)
+    for first, from_, to in zip(firsts, least, most, strict=True):
+        mine = slice(first, first + GROUP)
+        away = np.maximum(np.maximum(low - to, from_ - high), 0.0)
+        need = (away**2).sum(axis=1) <= limit[mine].max()
+        if need.any():
+            at = np.arange(len(order)) if need.all() else np.sort(order[np.repeat(need, LEAF)[: len(order)]])
+            who, which, gap = best_of(asked[mine], values if need.all() else values[at], k, limit[mine])
+            yield first + who, at[which], gap
+
+
+def _tiles(met: DataFrame, k: int, query_kind: str, kind: str, bounded: bool = False) -> DataFrame:
+    """(_query, _key, distance): the best of every tile (q_names, q_data, names, data).
+
+    With ``bounded`` the last value of a query is the distance within which its answers lie, and tiles have ``leaves``.
+    """
+    wanted = ["q_names", "q_data", "names", "data", *["leaves"] * bounded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c) for c in ("q_names", "q_data", "names", "data")]
-            for q_names, q_data, names, data in zip(*columns, strict=True):
+            for q_names, q_data, names, data, *leaves in zip(*(batch.column(c) for c in wanted), strict=True):
                 q_names, names = q_names.values, names.values
                 asked = np.frombuffer(q_data.as_buffer(), float).reshape(len(q_names), -1)
                 values = np.frombuffer(data.as_buffer(), float).reshape(len(names), -1)
-                found = list(best_of(asked, values, k))
-                counts = [len(at) for _, at, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        q_names.take(pa.array(np.repeat([i for i, *_ in found], counts))),
-                        names.take(pa.array(np.concatenate([at for _, at, _ in found]))),
-                        pa.array(np.concatenate([gap for *_, gap in found])),
-                    ],
-                    ["_query", "_key", "distance"],
-                )
-
-    return met.select("q_names", "q_data", "names", "data").mapInArrow(
-        run, f"_query {query_kind}, _key {kind}, distance double"
-    )
+                if bounded:
+                    order = np.frombuffer(leaves[0].as_buffer(), np.int32)
+                    found = list(best_within(np.ascontiguousarray(asked[:, :-1]), asked[:, -1], values, order, k))
+                else:
+                    found = [best_of(asked, values, k)]
+                if found:
+                    who, which, gap = (np.concatenate(x) for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [q_names.take(pa.array(who)), names.take(pa.array(which)), pa.array(gap)], ["_query", "_key", "distance"]
+                    )
+
+    return met.select(*wanted).mapInArrow(run, f"_query {query_kind}, _key {kind}, distance double")
 
 
 def _placed(found: DataFrame, k: int) -> DataFrame:
@@ -239,7 +335,7 @@ class Rings:
     high: np.ndarray
     n: np.ndarray
 
-    def needed(self, asked: np.ndarray, home: int, bound: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def needed(self, asked: np.ndarray, home: int, bound: float | np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which cells can hold one of the ``k`` nearest rows of each query, the gaps to the centres and the bounds.
 
         All rows of a cell are within its farthest row of the centre; enough of them bound the k-th distance. A row of
@@ -262,82 +358,229 @@ class Rings:
         return (least <= bounds[:, None]) & (self.n > 0), gaps, bounds
 
 
-def nearest_join(
-    df: DataFrame,
-    queries: DataFrame,
-    columns: Sequence[str] | str,
-    key: str,
-    query_key: str,
-    k: int = 5,
-    cells: int | None = None,
-    row_block: int = ROW_BLOCK,
-    query_block: int = QUERY_BLOCK,
-    known: DataFrame | None = None,
-) -> DataFrame:
-    """``(query_key, key, distance, place)``: the ``k`` nearest rows of every query row by squared distance, ties by key.
+# Bounds of the distances, and rows beyond them.
 
-    Exact, with queries of any number: neither side is sent to all tasks or to the driver. Rows and queries are dealt into cells
-    around the same centres and into blocks by their distance from them. First the blocks around a query's own place give a k-th
-    distance; then a block of queries meets just the blocks that bounds by centre, ring and plane can't exclude. Centres are
-    fitted to a bounded sample, which decides the speed only.
 
-    ``known`` (_query, distance) may give distances of rows found already, instead of the first step. A query with a missing value is
-    refused; rows with one are left out. Rows of equal values beyond the ``k`` smallest keys can't be answers and don't travel.
+def _bounded(asked: DataFrame, found: DataFrame, k: int, tasks: int) -> DataFrame:
+    """The queries (name, vec, bound) with the distance of the ``k``-th row found where it is less than their bound."""
+    kth = _placed(found.withColumn("_key", F.lit(0)), k).where(F.col("place") == k).select("_query", F.sqrt("distance").alias("kth"))
+    met = asked.hint("merge").join(kth.hint("merge"), F.col("name").eqNullSafe(F.col("_query")), "left")
+    return cut_lineage(met.select("name", "vec", F.least("bound", "kth").alias("bound")).repartition(tasks), "bounds")
+
+
+def _bounded_by(asked: DataFrame, sample: np.ndarray, k: int) -> DataFrame:
+    """The same from a sample of the rows."""
+    if len(sample) < k:
+        return asked
+    lengths = (sample**2).sum(axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, bound = _matrix(batch.column("vec")), np.asarray(batch.column("bound")).copy()
+            some = max(1, TILE_CELLS // len(sample))
+            for first in range(0, len(values), some):
+                part = values[first : first + some]
+                own = (part**2).sum(axis=1)
+                rough = lengths[None, :] + own[:, None] - 2 * (part @ sample.T)
+                kth = np.partition(rough, k - 1, axis=1)[:, k - 1] + SLACK * (own + lengths.max())
+                bound[first : first + some] = np.minimum(bound[first : first + some], np.sqrt(np.maximum(kth, 0.0)))
+            yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("vec"), pa.array(bound)], ["name", "vec", "bound"])
+
+    return cut_lineage(asked.mapInArrow(run, asked.schema), "bounds")
+
+
+def _boxes(low: np.ndarray, high: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """At most ``n`` boxes that hold all of these; the two whose common box adds least become one."""
+    while len(low) > n:
+        least, most = np.minimum(low[:, None], low[None]), np.maximum(high[:, None], high[None])
+        own = (high - low).prod(axis=1)
+        adds = (most - least).prod(axis=2) - own[:, None] - own[None]
+        np.fill_diagonal(adds, np.inf)
+        one, other = divmod(int(adds.argmin()), len(low))
+        low[one], high[one] = least[one, other], most[one, other]
+        low, high = np.delete(low, other, axis=0), np.delete(high, other, axis=0)
+    return list(zip(low, high, strict=True))
+
+
+def _in_reach(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows that lie within the bound of some query, and some others.
+
+    Queries lie in balls around common centres; those that reach farthest beyond theirs have balls of their own. A ball's radius
+    covers its queries' bounds. Few boxes around the balls leave rows out before these are sent to Python.
     """
-    asked = _asked(queries, columns, query_key)
-    rows = cut_lineage(_least_keys(points(df, columns, key), k), "rows")
+    if not asked.where(F.col("bound") == float("inf")).isEmpty():
+        return rows
+    centers = fit_centers(_sample(asked, SAMPLE_ROWS), BALLS)
+    wide = centers.shape[1]
+
+    def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, gap = _nearest_centers(_matrix(batch.column("vec")), centers)
+            yield pa.RecordBatch.from_arrays([pa.array(gap + np.asarray(batch.column("bound"))), batch.column("vec")], ["far", "vec"])
+
+    farthest = asked.mapInArrow(far, "far double, vec array<double>").orderBy(F.desc("far")).limit(FAR_BALLS).select("vec").toArrow()
+    balls = np.unique(np.concatenate([centers, _matrix(farthest["vec"].combine_chunks())]), axis=0)
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most, low, high = np.full(len(balls), -np.inf), np.full(balls.shape, np.inf), np.full(balls.shape, -np.inf)
+        for batch in batches:
+            values, bound = _matrix(batch.column("vec")), np.asarray(batch.column("bound"))
+            home, gap = _nearest_centers(values, balls)
+            np.maximum.at(most, home, gap + bound)
+            np.minimum.at(low, home, values - bound[:, None])
+            np.maximum.at(high, home, values + bound[:, None])
+        seen = np.flatnonzero(most > -np.inf)
+        ends = [pa.array(list(x[seen]), pa.list_(pa.float64())) for x in (low, high)]
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(most[seen]), *ends], ["ball", "most", "low", "high"])
+
+    covered = asked.mapInArrow(cover, "ball long, most double, low array<double>, high array<double>").groupBy("ball")
+    sides = range(wide) if wide <= BOX_WIDE else ()
+    ends = [end(F.col(name)[i]) for name, end in (("low", F.min), ("high", F.max)) for i in sides]
+    found = np.array([tuple(r) for r in covered.agg(F.max("most"), *ends).collect()], float)
+    balls, most = balls[found[:, 0].astype(int)], found[:, 1]
+    slack = np.sqrt(SLACK) * (1 + np.sqrt((balls**2).sum(axis=1)) + most)
+    most = most + slack
+    if sides:
+        boxes = _boxes(found[:, 2 : 2 + wide] - slack[:, None], found[:, 2 + wide :] + slack[:, None], BOXES)
+        within = [[F.abs(F.get("vec", F.lit(i)) - float((low[i] + high[i]) / 2)) <= float((high[i] - low[i]) / 2) for i in sides] for low, high in boxes]
+        rows = rows.where(reduce(or_, [reduce(and_, x) for x in within]))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _matrix(batch.column("vec"))
+            near, some = np.zeros(len(values), bool), max(1, CENTER_CELLS // len(balls))
+            for first in range(0, len(values), some):
+                near[first : first + some] = (_gaps(values[first : first + some], balls) <= most).any(axis=1)
+            if near.any():
+                yield batch.filter(pa.array(near))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
+def _cell_centers(rows: DataFrame, total: int, bounds: np.ndarray, k: int) -> np.ndarray:
+    """Centres for the cells of the rows, no more than let a query of a sample, with its bound, meet few of them."""
+    sample = _sample(rows, SAMPLE_ROWS, total)
+    wanted = min(MAX_CELLS, max(1, int(total**0.5 / 2)))
+    while True:
+        centers = fit_centers(sample, wanted)
+        if wanted <= MOST_MET:
+            return centers
+        home, gap = _nearest_centers(sample, centers)
+        low, high = np.full(len(centers), np.inf), np.zeros(len(centers))
+        np.minimum.at(low, home, gap)
+        np.maximum.at(high, home, gap)
+        n = np.bincount(home, minlength=len(centers))
+        high[n == 0] = np.inf
+        rings = Rings(centers, low, high, n)
+        own, _ = _nearest_centers(bounds[:, :-1], centers)
+        met = sum(rings.needed(bounds[own == i, :-1], int(i), bounds[own == i, -1], k)[0].sum() for i in np.unique(own))
+        if met <= MOST_MET * len(bounds):
+            return centers
+        wanted //= 4
+
+
+def _found(
+    rows: DataFrame, asked: DataFrame, k: int, cells: int | None = None, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK
+) -> DataFrame | None:
+    """(_query, _key, distance): rows within the bounds of the queries, with the ``k`` nearest of each; none if there are no rows."""
     kind, query_kind = (t.schema["name"].dataType.simpleString() for t in (rows, asked))
+    rows = cut_lineage(_least_keys(_in_reach(rows, asked), k), "rows")
     total = rows.count()
     if not total:
-        none = rows.select(F.lit(None).cast(query_kind).alias("_query"), F.col("name").alias("_key"), F.lit(0.0).alias("distance"))
-        return _result(none, key, query_key, k)
-    wanted = cells or min(MAX_CELLS, max(1, int(total**0.5 / 2)))
-    centers = fit_centers(_sample(rows, SAMPLE_ROWS, total), wanted)
-    theirs = cut_lineage(blocks(rows, _homes(centers), row_block), "row-blocks")
-    ours = blocks(asked, _homes(centers), query_block)
-    ours = ours.withColumnsRenamed({"names": "q_names", "data": "q_data", "block": "q_block", "low": "q_low", "high": "q_high"})
-    ours = cut_lineage(ours.withColumnRenamed("n", "q_n"), "query-blocks")
+        return None
+    # The bound goes with a query as its last value.
+    queries = asked.select("name", F.concat("vec", F.array("bound")).alias("vec"))
+    if cells:
+        centers = fit_centers(_sample(rows, SAMPLE_ROWS, total), cells)
+    else:
+        centers = _cell_centers(rows, total, _sample(queries, TASK_QUERIES // 32), k)
+    homes = _homes(centers)
+    theirs = cut_lineage(blocks(rows, homes, row_block), "row-blocks")
+    ours = cut_lineage(blocks(queries, lambda values: homes(values[:, :-1]), query_block).select("cell", "names", "data"), "query-blocks")
     queried = ours.count()
     rings = _rings(theirs, centers)
-    if known is None:
-        around = _met(ours, theirs).where("high >= q_low AND low <= q_high")
-        known = _tiles(around, k, query_kind, kind)
-    kth = _placed(known.withColumn("_key", F.lit(0)), k).where(F.col("place") == k).select("_query", "distance")
-    member = ours.select("q_block", F.explode("q_names").alias("_query"))
-    bound = member.hint("merge").join(kth.hint("merge"), "_query").groupBy("q_block").agg(F.max("distance").alias("bound"), F.count("*").alias("bounded"))
-    ours = ours.join(bound.hint("merge"), "q_block", "left").withColumn(
-        "bound", F.when(F.col("bounded") == F.col("q_n"), F.sqrt("bound"))
-    )
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for home, limit, names, data in zip(
-                *(batch.column(c) for c in ("cell", "bound", "q_names", "q_data")), strict=True
-            ):
-                names = names.values
-                values = np.frombuffer(data.as_buffer(), float).reshape(len(names), -1)
-                limit = limit.as_py()
-                need, gaps, bounds = rings.needed(values, home.as_py(), np.inf if limit is None else limit, k)
+            for home, names, data in zip(*(batch.column(c) for c in ("cell", "names", "data")), strict=True):
+                values = np.frombuffer(data.as_buffer(), float).reshape(len(names.values), -1)
+                order = in_leaves(values[:, :-1], GROUP)
+                names, values = names.values.take(pa.array(order)), values[order]
+                need, gaps, bounds = rings.needed(values[:, :-1], home.as_py(), values[:, -1], k)
                 for cell in np.flatnonzero(need.any(axis=0)):
                     some = np.flatnonzero(need[:, cell])
                     listed = pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), names.take(pa.array(some)))
+                    sent = np.column_stack([values[some, :-1], bounds[some]])
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([int(cell)]),
                             pa.array([float((gaps[some, cell] - bounds[some]).min())]),
                             pa.array([float((gaps[some, cell] + bounds[some]).max())]),
                             listed,
-                            pa.array([values[some].tobytes()], pa.binary()),
+                            pa.array([sent.tobytes()], pa.binary()),
                         ],
                         ["cell", "least", "most", "q_names", "q_data"],
                     )
 
     shape = f"cell long, least double, most double, q_names array<{query_kind}>, q_data binary"
     # Blocks are few rows; each is work for a matrix.
-    spread = max(1, queried // TASK_BLOCKS)
-    reached = ours.repartition(spread).select("cell", "bound", "q_names", "q_data").mapInArrow(reach, shape)
-    met = _met(reached, theirs).where("high >= least AND low <= most")
-    return _result(_tiles(met, k, query_kind, kind), key, query_key, k)
+    reached = ours.repartition(max(1, queried // TASK_BLOCKS)).mapInArrow(reach, shape)
+    # Few cells are shared by several tasks, each with a part of the queries and all rows.
+    shares = -(-SHARES // len(centers))
+    reached = reached.withColumn("share", F.pmod(F.xxhash64("q_names"), F.lit(shares)))
+    theirs = theirs.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    return _tiles(_met(reached, theirs, "share").where("high >= least AND low <= most"), k, query_kind, kind, bounded=True)
+
+
+def nearest_join(
+    df: DataFrame,
+    queries: DataFrame,
+    columns: Sequence[str] | str,
+    key: str,
+    query_key: str,
+    k: int = 5,
+    cells: int | None = None,
+    row_block: int = ROW_BLOCK,
+    query_block: int = QUERY_BLOCK,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """``(query_key, key, distance, place)``: the ``k`` nearest rows of every query row by squared distance, ties by key.
+
+    Exact, with queries of any number: neither side is sent to all tasks or to the driver. First samples of the rows, each within
+    the next, bound the k-th distance of every query: the first is compared as it is, the answers from each are the bounds
+    for the next, those of the last for all rows. Rows beyond the bounds of all queries are left out where they are read. The others and
+    the queries are dealt into cells around the same centres and into blocks by their distance from them; a block of queries meets just
+    the blocks, and in them the leaves, that bounds by centre, ring, plane and box can't exclude. Centres are fitted to a
+    bounded sample, which decides the speed only.
+
+    ``known`` (_query, distance) may give distances of rows found already, instead of the samples. A query with a missing value is
+    refused; rows with one are left out. Rows of equal values beyond the ``k`` smallest keys can't be answers and don't travel.
+    """
+    asked = _asked(queries, columns, query_key)
+    rows = _kept(points(df, columns, key))
+    query_kind = asked.schema["name"].dataType.simpleString()
+    none = rows.limit(0).select(F.lit(None).cast(query_kind).alias("_query"), F.col("name").alias("_key"), F.lit(0.0).alias("distance"))
+    count = asked.count()
+    if not count:
+        return _result(none, key, query_key, k)
+    tasks = -(-count // TASK_QUERIES)
+    asked = cut_lineage(asked.withColumn("bound", F.lit(float("inf"))).repartition(tasks), "bounds")
+    if known is not None:
+        asked = _bounded(asked, known, k, tasks)
+    if known is None or not asked.where(F.col("bound") == float("inf")).isEmpty():
+        part = cut_lineage(rows.where(_among(PART)), "part")
+        drawn = part.count()
+        enough = drawn >= SAMPLE_ROWS
+        asked = _bounded_by(asked, _sample(part if enough else rows, SAMPLE_ROWS, PART * drawn if enough else None), k)
+        steps = []
+        while known is None and drawn > 4 * SAMPLE_ROWS:
+            steps.append(PART ** (len(steps) + 1))
+            drawn //= PART
+        for step in reversed(steps):
+            found = _found(part.where(_among(step)), asked, k)
+            asked = asked if found is None else _bounded(asked, found, k, tasks)
+    found = _found(rows, asked, k, cells, row_block, query_block)
+    return _result(none if found is None else found, key, query_key, k)
 
 
 def _rings(theirs: DataFrame, centers: np.ndarray) -> Rings:
