@@ -213,6 +213,40 @@ def test_index_recall_and_the_exact_answer(spark, cloud):
     assert got(exact) == plain(*cloud, 5)
 
 
+def test_a_lookup_deals_only_the_rows_of_buckets_it_opens(spark, monkeypatch):
+    """Neither the index nor a lookup writes all rows once for each table."""
+    rng = np.random.default_rng(4)
+    points = [(i, *map(float, p)) for i, p in enumerate(rng.uniform(-1, 1, (6000, 3)))]
+    asked = [(i, *map(float, p)) for i, p in enumerate(rng.normal(size=(20, 3)) * 0.02)]
+    written = []
+
+    def noted(df, label="cut", write=neighbours.cut_lineage):
+        table = write(df, label)
+        written.append((label, table.agg(F.sum("n")).first()[0] if "n" in table.columns else table.count()))
+        return table
+
+    monkeypatch.setattr(neighbours, "cut_lineage", noted)
+    rows, queries = frames(spark, (points, asked))
+    index = neighbours.build_index(rows, COLUMNS, "key", bucket=30)
+    exact = neighbours.nearest_index(index, queries, COLUMNS, "key", "query", probes=2, exact=True)
+    assert got(exact) == plain(points, asked, 5)
+    # The rows don't come from a file, so they are written, once.
+    assert [n for label, n in written if n >= 3000 and label != "sample"] == [6000]
+
+
+def test_marked_buckets_lose_no_row(spark, cloud, monkeypatch):
+    """Few marks open almost all buckets; the answers are the same."""
+    rows, queries = frames(spark, cloud)
+    rows = rows.union(rows.where("key % 10 = 0"))
+    index = neighbours.build_index(rows, COLUMNS, "key", bucket=60)
+    answers = []
+    for slots in (2**20, 8):
+        monkeypatch.setattr(neighbours, "SLOTS", slots)
+        answers.append(sorted(map(tuple, neighbours.nearest_index(index, queries, COLUMNS, "key", "query", k=7, probes=2).collect())))
+    assert answers[0] == answers[1] and len(answers[0]) > 800
+    assert len({r[:2] for r in answers[0]}) == len(answers[0])
+
+
 def test_every_row_is_in_one_bucket_of_each_table(spark, cloud):
     rows, _ = frames(spark, cloud)
     index = neighbours.build_index(rows, COLUMNS, "key", tables=3, bucket=40, row_block=16)

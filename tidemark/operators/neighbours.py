@@ -36,6 +36,8 @@ MOST_MET = 32
 PART = 32
 #: Balls around queries, of common and of remote ones, and boxes around the balls, for points of up to so many values.
 BALLS, FAR_BALLS, BOXES, BOX_WIDE = 128, 64, 3, 8
+#: Buckets that a lookup opens are marked by their numbers' last bits.
+SLOTS = 2**20
 #: Least shares of a join's tasks, and queries that one task takes.
 SHARES, TASK_QUERIES = 64, 8192
 #: Blocks of queries whose bounds one task works out.
@@ -601,28 +603,90 @@ def _result(found: DataFrame, key: str, query_key: str, k: int) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class NeighbourIndex:
-    """Rows in buckets by random projections, as a table of blocks; every row is in one bucket of each table.
+class Buckets:
+    """Tables of buckets by random projections: a table has a few directions, each cut at quantiles of a sample.
 
-    A table has a few directions, each cut at quantiles of a sample. ``edges`` has one row of borders for each direction.
+    ``edges`` has one row of borders for each direction.
     """
 
-    blocks: DataFrame
-    rows: DataFrame
     directions: np.ndarray  # tables x directions x values
     edges: np.ndarray  # tables x directions x borders
-    key_kind: str
 
-    def bucket(self, table: int, codes: np.ndarray) -> np.ndarray:
+    def number(self, table: int, codes: np.ndarray) -> np.ndarray:
         cuts = self.edges.shape[2] + 1
         weights = cuts ** np.arange(codes.shape[-1])
         return table * cuts ** codes.shape[-1] + (codes * weights).sum(axis=-1)
 
+    def codes(self, table: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strip of each value in each direction of a table, and where the value lies."""
+        at, edges = values @ self.directions[table].T, self.edges[table]
+        return np.stack([np.searchsorted(edges[i], at[:, i], side="right") for i in range(len(edges))], axis=1), at
+
+    def own(self, values: np.ndarray) -> np.ndarray:
+        """The bucket of each value in each table."""
+        return np.stack([self.number(t, self.codes(t, values)[0]) for t in range(len(self.directions))])
+
+    def cells(self, opened: np.ndarray | None = None) -> Cells:
+        """The entries of rows; with ``opened`` those in buckets that it marks."""
+
+        def cells(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            own = self.own(values)
+            wanted = np.ones(own.shape, bool) if opened is None else _marked(opened, own)
+            at = np.nonzero(wanted)[1]
+            return at, own[wanted], np.zeros(len(at))
+
+        return cells
+
+
+def _marked(opened: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Which cells may be among those marked in the ``SLOTS`` bits of ``opened``."""
+    slot = cell & (SLOTS - 1)
+    return opened[slot >> 3] >> (slot & 7) & 1 == 1
+
+
+@dataclass(frozen=True)
+class NeighbourIndex:
+    """Rows and the rule that puts each into one bucket of each table.
+
+    The rule is small and the buckets are as large as the rows, once for each table. So they aren't stored: those that a lookup
+    opens are made of the rows they hold, by one pass over the rows.
+    """
+
+    rows: DataFrame
+    buckets: Buckets
+    row_block: int
+    key_kind: str
+
+    @property
+    def blocks(self) -> DataFrame:
+        """All buckets of all tables."""
+        return blocks(self.rows, self.buckets.cells(), self.row_block)
+
+    def opened(self, asked: DataFrame, cells: Cells, k: int) -> DataFrame:
+        """The buckets that entries of the queries by ``cells`` lie in, and some others.
+
+        Of equal rows only those of the ``k`` smallest names are taken; the others can't be answers.
+        """
+
+        def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen = np.zeros(SLOTS, bool)
+            for batch in batches:
+                seen[cells(_matrix(batch.column("vec")))[1] & (SLOTS - 1)] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen))], ["slot"])
 
-def _codes(values: np.ndarray, directions: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The strip of each value in each direction of a table, and where the value lies."""
-    at = values @ directions.T
-    return np.stack([np.searchsorted(edges[i], at[:, i], side="right") for i in range(len(edges))], axis=1), at
+        seen = np.zeros(SLOTS, bool)
+        seen[np.asarray(asked.mapInArrow(slots, "slot long").distinct().toArrow()["slot"])] = True
+        marks, buckets = np.packbits(seen, bitorder="little"), self.buckets
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                near = _marked(marks, buckets.own(_matrix(batch.column("vec")))).any(axis=0)
+                if near.any():
+                    yield batch.filter(pa.array(near))
+
+        # Names, not rows, are counted: the same row found in two tables is one answer.
+        rows = _least_keys(self.rows.mapInArrow(keep, self.rows.schema), k, F.dense_rank)
+        return blocks(cut_lineage(rows, "opened"), buckets.cells(marks), self.row_block)
 
 
 def build_index(
@@ -638,8 +702,9 @@ def build_index(
     """An index of the complete rows: ``tables`` tables of buckets of about ``bucket`` rows each.
 
     Borders come from a sample of ``SAMPLE_ROWS`` rows; all rows are indexed. A bucket has no greatest size: a full one is several blocks.
+    Rows straight from files stay there, others are written once.
     """
-    rows = cut_lineage(points(df, columns, key), "rows")
+    rows = _kept(points(df, columns, key))
     total = rows.count()
     sample = _sample(rows, SAMPLE_ROWS, total)
     wide = sample.shape[1] if len(sample) else 1
@@ -651,17 +716,7 @@ def build_index(
     edges = np.zeros((tables, directions, cuts - 1))
     for t in range(tables if len(sample) else 0):
         edges[t] = np.quantile(sample @ lines[t].T, shares, axis=0).T
-    index = NeighbourIndex(rows, rows, lines, edges, rows.schema["name"].dataType.simpleString())
-
-    def cells(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = [index_free.bucket(t, _codes(values, lines[t], edges[t])[0]) for t in range(tables)]
-        at = np.tile(np.arange(len(values)), tables)
-        return at, np.concatenate(found), np.zeros(len(at))
-
-    # Tasks need the borders, not the tables.
-    index_free = NeighbourIndex(None, None, lines, edges, index.key_kind)
-    stored = cut_lineage(blocks(rows, cells, row_block), "index")
-    return NeighbourIndex(stored, rows, lines, edges, index.key_kind)
+    return NeighbourIndex(rows, Buckets(lines, edges), row_block, rows.schema["name"].dataType.simpleString())
 
 
 def nearest_index(
@@ -677,7 +732,8 @@ def nearest_index(
 ) -> DataFrame:
     """``(query_key, key, distance, place)``: near rows of every query row, found in buckets and ranked by their exact distance.
 
-    A query looks into ``probes`` buckets of each table: its own and those across the borders nearest to it. An answer may miss a row
+    A query looks into ``probes`` buckets of each table: its own and those across the borders nearest to it. All rows are read once and
+    those of the buckets looked into are dealt into blocks. An answer may miss a row
     that shares no bucket with the query. With ``exact`` the distances found are taken as bounds of :func:`nearest_join`, whose
     answer is complete. A query with a missing value is refused.
     """
@@ -687,14 +743,14 @@ def nearest_index(
         # Its directions are as wide as nothing.
         none = index.rows.select(F.lit(None).cast(query_kind).alias("_query"), F.col("name").alias("_key"), F.lit(0.0).alias("distance"))
         return _result(none, key, query_key, k)
-    lines, edges = index.directions, index.edges
-    free = NeighbourIndex(None, None, lines, edges, index.key_kind)
+    buckets = index.buckets
+    lines, edges = buckets.directions, buckets.edges
     steps = np.array(list(product((-1, 0, 1), repeat=lines.shape[1])))
 
     def cells(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, found = [], []
         for t in range(len(lines)):
-            codes, place = _codes(values, lines[t], edges[t])
+            codes, place = buckets.codes(t, values)
             cost = np.zeros((len(values), len(steps)))
             for i in range(lines.shape[1]):
                 walls = np.concatenate([[-np.inf], edges[t, i], [np.inf]])
@@ -704,13 +760,17 @@ def nearest_index(
             open_ = np.isfinite(np.take_along_axis(cost, order, axis=1))
             who, which = np.nonzero(open_)
             at.append(who)
-            found.append(free.bucket(t, codes[who] + steps[order[who, which]]))
+            found.append(buckets.number(t, codes[who] + steps[order[who, which]]))
         at = np.concatenate(at)
         return at, np.concatenate(found), np.zeros(len(at))
 
+    asked = cut_lineage(asked.repartition(-(-max(1, asked.count()) // TASK_QUERIES)), "asked")
+    theirs = index.opened(asked, cells, k).select("cell", "names", "data")
     ours = blocks(asked, cells, query_block).select("cell", F.col("names").alias("q_names"), F.col("data").alias("q_data"))
-    met = _met(ours, index.blocks.select("cell", "names", "data"))
-    found = _tiles(met, k, query_kind, index.key_kind).distinct()
+    # A row lies in a bucket of each table; a task keeps the best of a query, each once.
+    place = F.dense_rank().over(Window.partitionBy("_query").orderBy("distance", "_key"))
+    found = _tiles(_met(ours, theirs), k, query_kind, index.key_kind)
+    found = found.withColumn("place", place).where(F.col("place") <= k).drop("place").distinct()
     if not exact:
         return _result(found, key, query_key, k)
     rows = index.rows.select(F.col("name").alias(key), F.col("vec").alias("_vec"))
